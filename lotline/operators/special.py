@@ -1,0 +1,67 @@
+"""Tail probabilities for the few rows of a test table."""
+
+from __future__ import annotations
+
+import math
+
+
+def incomplete_beta(a: float, b: float, x: float) -> float:
+    """Regularised incomplete beta function by continued fraction."""
+    if x <= 0.0 or x >= 1.0:
+        return min(max(x, 0.0), 1.0)
+    if x > (a + 1.0) / (a + b + 2.0):
+        return 1.0 - incomplete_beta(b, a, 1.0 - x)
+    scale = math.exp(
+        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    ) / a
+    tiny = 1e-300
+    c, d = 1.0, 1.0 / max(1.0 - (a + b) * x / (a + 1.0), tiny)
+    total = d
+    for m in range(1, 10_000):
+        for term in (
+            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
+            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
+        ):
+            d = 1.0 / ((1.0 + term * d) or tiny)
+            c = (1.0 + term / c) or tiny
+            total *= c * d
+        if abs(c * d - 1.0) < 1e-15:
+            break
+    return scale * total
+
+
+def upper_gamma(s: float, x: float) -> float:
+    """Regularised upper incomplete gamma function."""
+    if x <= 0.0:
+        return 1.0
+    front = math.exp(s * math.log(x) - x - math.lgamma(s))
+    if x < s + 1.0:
+        term = total = 1.0 / s
+        k = s
+        while abs(term) > abs(total) * 1e-16:
+            k += 1.0
+            term *= x / k
+            total += term
+        return 1.0 - front * total
+    b, c = x + 1.0 - s, 1e300
+    d = 1.0 / b
+    total = d
+    for i in range(1, 10_000):
+        a = -i * (i - s)
+        b += 2.0
+        d = 1.0 / (a * d + b)
+        c = b + a / c
+        total *= c * d
+        if abs(c * d - 1.0) < 1e-15:
+            break
+    return front * total
+
+
+def f_tail(f: float, df1: float, df2: float) -> float:
+    """P(F > f)."""
+    return incomplete_beta(df2 / 2.0, df1 / 2.0, df2 / (df2 + df1 * f))
+
+
+def chi2_tail(x: float, df: float) -> float:
+    """P(chi-square > x)."""
+    return upper_gamma(df / 2.0, x / 2.0)
