@@ -18,12 +18,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotline.operators.skew import HOT_SHARE, skew_join
-from lotline.staging import stage
+from lotline.operators.skew import HOT_SHARE, hot_from_counts, skew_join
+from lotline.staging import stage, stage_observed
 
 FIRST_LEVEL = 3
 LAST_LEVEL = 26
 PAIRS_PER_ROW = 32
+SMALL_WORK = 5_000_000
 
 BOX = ["x1", "y1", "x2", "y2"]
 
@@ -48,18 +49,40 @@ class Frame:
         ]
 
 
-def make_frame(a: DataFrame, b: DataFrame) -> Frame | None:
+@dataclass(frozen=True)
+class Side:
+    """A staged table of boxes and what was seen of it while it was written."""
+
+    df: DataFrame
+    seen: dict
+
+    @property
+    def rows(self) -> int:
+        return self.seen["n"] or 0
+
+    def hot(self, keys: Sequence[str] = ("x1", "y1"), share: float = HOT_SHARE) -> list[int]:
+        """Hashes of places with a large share of the weight."""
+        if not self.rows or self.seen["wmax"] < share * self.seen["wsum"]:
+            return []
+        hot = self.df.where(F.col("w") >= share * self.seen["wsum"]).select(F.xxhash64(*keys).alias("h"))
+        return [r["h"] for r in hot.limit(int(1 / share) + 1).collect()]
+
+
+def make_side(df: DataFrame, name: str = "places") -> Side:
+    return Side(*stage_observed(df, name, {
+        "n": F.count(F.lit(1)), "wsum": F.sum("w"), "wmax": F.max("w"),
+        "x0": F.min("x1"), "y0": F.min("y1"), "x9": F.max("x2"), "y9": F.max("y2"),
+    }))
+
+
+def make_frame(a: Side, b: Side) -> Frame | None:
     """None when a side has no rows."""
-    both = [
-        t.agg(F.min("x1"), F.min("y1"), F.max("x2"), F.max("y2"), F.count(F.lit(1))).head()
-        for t in (a, b)
-    ]
-    if not both[0][4] or not both[1][4]:
+    if not a.rows or not b.rows:
         return None
-    x0, y0 = min(r[0] for r in both), min(r[1] for r in both)
-    x1, y1 = max(r[2] for r in both), max(r[3] for r in both)
-    side = max(x1 - x0, y1 - y0) * (1 + 1e-9) or 1.0
-    return Frame(float(x0), float(y0), float(side), both[0][4] + both[1][4])
+    x0, y0 = (min(s.seen[c] for s in (a, b)) for c in ("x0", "y0"))
+    x9, y9 = (max(s.seen[c] for s in (a, b)) for c in ("x9", "y9"))
+    side = max(x9 - x0, y9 - y0) * (1 + 1e-9) or 1.0
+    return Frame(float(x0), float(y0), float(side), a.rows + b.rows)
 
 
 def _cells(t: DataFrame, frame: Frame, level: int, side: str) -> DataFrame:
@@ -116,6 +139,7 @@ class Descent:
     level: int
     pairs: DataFrame
     whole: list[tuple[int, DataFrame]]
+    work: float
 
 
 def _descend(a: DataFrame, b: DataFrame, frame: Frame, sift: Callable) -> Descent:
@@ -123,41 +147,41 @@ def _descend(a: DataFrame, b: DataFrame, frame: Frame, sift: Callable) -> Descen
 
     `sift` takes pairs with bounds near2 and far2 and returns (undecided, counted whole or None).
     """
-    pairs, whole, level, step, work = None, [], FIRST_LEVEL, FIRST_LEVEL, float("inf")
+    pairs, whole, level, step = None, [], FIRST_LEVEL, FIRST_LEVEL
     while True:
         both = _children(pairs, _cells(a, frame, level, "a"), _cells(b, frame, level, "b"), step)
         near2, far2 = box_bounds(A_BOX, B_BOX)
         kept, done = sift(both.withColumns({"near2": near2, "far2": far2}))
         keep = A_KEY + B_KEY + ["an", "bn", "bw", *B_BOX, "far2"]
-        if done is None:
-            pairs = stage(kept.select(*keep), "cells")
-        else:
-            tagged = stage(
-                kept.select(*keep, F.lit(False).alias("whole"))
-                .unionByName(done.select(*keep, F.lit(True).alias("whole"))), "cells"
-            )
-            pairs = tagged.where(~F.col("whole"))
+        tagged = kept.select(*keep, F.lit(False).alias("whole"))
+        if done is not None:
+            tagged = tagged.unionByName(done.select(*keep, F.lit(True).alias("whole")))
+        undecided = F.when(~F.col("whole"), F.col("an").cast("double") * F.col("bn"))
+        tagged, seen = stage_observed(tagged, "cells", {
+            "work": F.sum(undecided), "whole": F.count_if("whole"),
+        })
+        pairs = tagged.where(~F.col("whole"))
+        if seen["whole"]:
             whole.append((level, tagged.where("whole").groupBy(*A_KEY).agg(F.sum("bw").alias("w"))))
-        before, work = work, pairs.agg(F.sum(F.col("an").cast("double") * F.col("bn"))).head()[0] or 0.0
+        work = seen["work"] or 0.0
         if work <= PAIRS_PER_ROW * frame.rows or level >= LAST_LEVEL:
-            return Descent(frame, level, pairs, whole)
+            return Descent(frame, level, pairs, whole, work)
         level, step = level + 1, 1
 
 
-def _hot(cells: DataFrame, keys: Sequence[str], weight: str, share: float = HOT_SHARE) -> list[int]:
-    """Hashes of cells with a large share of the rows; at most 1/share of them."""
-    totals = cells.groupBy(*keys).agg(F.sum(weight).alias("n"))
-    total = totals.agg(F.sum("n")).scalar()
-    hot = totals.where(F.col("n") >= share * total).select(F.xxhash64(*keys).alias("h"))
-    return [r["h"] for r in hot.limit(int(1 / share) + 1).collect()]
+def _hot(found: Descent, keys: Sequence[str], weight: Column) -> list[int]:
+    """Hot cells among the undecided pairs; not looked for when one task could do all the work."""
+    if found.work <= SMALL_WORK:
+        return []
+    counts = found.pairs.groupBy(*keys).agg(weight.alias("n"))
+    return hot_from_counts(counts, keys, "n")
 
 
 def _row_candidates(a: DataFrame, found: Descent) -> DataFrame:
     """Rows of `a` next to the cells of `b` they have to be compared with."""
     i, j = found.frame.cell(found.level)
     rows = a.withColumns({"ai": i, "aj": j})
-    per_cell = found.pairs.select(*A_KEY, "an").distinct()
-    hot = _hot(per_cell, A_KEY, "an")
+    hot = _hot(found, A_KEY, F.max("an"))
     cells = found.pairs.select(*A_KEY, *B_KEY, "bw", *B_BOX, F.col("far2").alias("cell_far2"))
     near = skew_join(rows, cells, A_KEY, "inner", hot=hot)
     near2, far2 = box_bounds(BOX, B_BOX)
@@ -168,11 +192,11 @@ def _with_rows(candidates: DataFrame, b: DataFrame, found: Descent, columns: Seq
     """Candidates joined with the rows of their cells; `b` columns get the prefix b_."""
     i, j = found.frame.cell(found.level)
     rows = b.select(i.alias("bi"), j.alias("bj"), *[F.col(c).alias(f"b_{c}") for c in columns])
-    return skew_join(candidates, rows, B_KEY, "inner", hot=_hot(found.pairs, B_KEY, "an"))
+    return skew_join(candidates, rows, B_KEY, "inner", hot=_hot(found, B_KEY, F.sum("an")))
 
 
 def nearest(
-    a: DataFrame, b: DataFrame, distance2: Column, payload: Sequence[str], columns: Sequence[str] = ()
+    a: Side, b: Side, distance2: Column, payload: Sequence[str], columns: Sequence[str] = ()
 ) -> DataFrame:
     """For each distinct row of `a` (x1, y1, x2, y2): least (d2, payload...) over all rows of `b`.
 
@@ -180,11 +204,10 @@ def nearest(
     Ties go to the lowest payload. Rows of `a` are kept only when `b` has rows.
     """
     best = F.struct(F.col("d2"), *[F.col(f"b_{c}").alias(c) for c in payload])
-    frame = make_frame(a, b)
+    frame, a, b = make_frame(a, b), a.df, b.df
     if frame is None:
-        none = b.select(*[F.col(c).alias(f"b_{c}") for c in payload]).withColumn("d2", F.lit(0.0))
-        none = none.select(best.alias("best")).limit(0)
-        return a.select(*BOX).limit(0).join(none, F.lit(True), "left")
+        none = b.select(*[F.col(c).alias(f"b_{c}") for c in payload], F.lit(0.0).alias("d2"))
+        return none.select(*[F.lit(0.0).alias(c) for c in BOX], best.alias("best")).limit(0)
 
     def sift(pairs):
         reach = F.min("far2").over(Window.partitionBy(*A_KEY))
@@ -198,7 +221,7 @@ def nearest(
 
 
 def weight_within(
-    a: DataFrame, b: DataFrame, radius: float, distance2: Column,
+    a: Side, b: Side, radius: float, distance2: Column,
     keys: Sequence[str] = BOX, columns: Sequence[str] = (),
 ) -> DataFrame:
     """For each row of `a` (told apart by `keys`): total weight of `b` rows within the radius.
@@ -206,7 +229,7 @@ def weight_within(
     Rows of `a` without any are left out.
     """
     r2 = float(radius) ** 2
-    frame = make_frame(a, b)
+    frame, a, b = make_frame(a, b), a.df, b.df
     if frame is None:
         return a.select(*keys, F.lit(0).cast("long").alias("w")).limit(0)
 
@@ -239,7 +262,12 @@ def _whole_weights(a: DataFrame, found: Descent, keys: Sequence[str]) -> DataFra
         weights = weights.select(F.col("ai").alias("ki"), F.col("aj").alias("kj"), F.col("w").alias(f"w{k}"))
         cells = cells.join(weights, ["ki", "kj"], "left").drop("ki", "kj")
         base = base + F.coalesce(F.col(f"w{k}"), F.lit(0))
-    cells = stage(cells.select("ai", "aj", "an", base.alias("base")).where("base > 0"), "whole")
+    cells = cells.select("ai", "aj", "an", base.alias("base")).where("base > 0")
+    if found.frame.rows > SMALL_WORK:
+        cells = stage(cells, "whole")
+        hot = hot_from_counts(cells, A_KEY, "an")
+    else:
+        hot = []
     rows = a.select(*keys, i.alias("ai"), j.alias("aj"))
-    joined = skew_join(rows, cells, A_KEY, "inner", hot=_hot(cells, A_KEY, "an"))
+    joined = skew_join(rows, cells, A_KEY, "inner", hot=hot)
     return joined.select(*keys, F.col("base").alias("w"))

@@ -17,17 +17,20 @@ HOT_SHARE = 0.02
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the key values that may hold at least `share` of the rows (at most 1/share)."""
+    """Hashes of the key values that may hold at least `share` of the rows.
+
+    At most 1/share of them; the sketch misses none and may name some rarer ones, which then are
+    sliced too, at little cost.
+    """
     hashed = df.select(F.xxhash64(*keys).alias("h"))
-    found = hashed.stat.freqItems(["h"], support=share).head()[0]
-    if not found:
-        return []
-    # the sketch may name rare keys too: keep those that are really frequent
-    counts = hashed.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col("h") == F.lit(h)).alias(f"c{i}") for i, h in enumerate(found)],
-    ).head()
-    return sorted(h for i, h in enumerate(found) if counts[f"c{i}"] >= share * counts["n"])
+    return sorted(hashed.stat.freqItems(["h"], support=share).head()[0] or [])
+
+
+def hot_from_counts(counts: DataFrame, keys: Sequence[str], weight: str, share: float = HOT_SHARE) -> list[int]:
+    """The same from a table that has one row per key and its number of rows."""
+    total = counts.agg(F.sum(weight)).scalar()
+    hot = counts.where(F.col(weight) >= share * total).select(F.xxhash64(*keys).alias("h"))
+    return [r["h"] for r in hot.limit(int(1 / share) + 1).collect()]
 
 
 def row_salt(df: DataFrame, slices: int) -> Column:

@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from lotline.functions.geo import crosses_ray, on_segment, segment_squared_distance, squared_distance
 from lotline.operators import grid
-from lotline.operators.skew import skew_join
-from lotline.staging import stage
+from lotline.operators.skew import HOT_SHARE, hot_from_counts, hot_keys, skew_join
+from lotline.staging import stage, stage_observed
+
+# tables up to this many rows fit in one task, so their keys need no spreading
+SMALL_ROWS = 1_000_000
 
 
 def places(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
@@ -25,10 +28,12 @@ def places(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     return counted.select("x1", "y1", F.col("x1").alias("x2"), F.col("y1").alias("y2"), "w")
 
 
-def _attach(points: DataFrame, found: DataFrame, x: str, y: str, how: str = "left") -> DataFrame:
-    """Bring columns found per place (px, py) back to the rows."""
+def _attach(
+    points: DataFrame, found: DataFrame, at: grid.Side, x: str, y: str, how: str = "left"
+) -> DataFrame:
+    """Bring columns found per place (px, py) back to the rows; crowded places are spread out."""
     keyed = points.withColumns({"px": F.col(x).cast("double"), "py": F.col(y).cast("double")})
-    return skew_join(keyed, found, ["px", "py"], how).drop("px", "py")
+    return skew_join(keyed, found, ["px", "py"], how, hot=at.hot()).drop("px", "py")
 
 
 def _point_d2() -> Column:
@@ -39,23 +44,23 @@ def nearest_distance(
     points: DataFrame, layer: DataFrame, name: str = "distance", x: str = "x", y: str = "y"
 ) -> DataFrame:
     """Add the distance to the nearest point of the layer."""
-    at, to = stage(places(points, x, y), "places"), stage(places(layer, x, y), "places")
+    at, to = grid.make_side(places(points, x, y)), grid.make_side(places(layer, x, y), "layer")
     best = grid.nearest(at, to, _point_d2(), [], ["x1", "y1"])
     found = best.select(
         F.col("x1").alias("px"), F.col("y1").alias("py"), F.sqrt("best.d2").alias(name)
     )
-    return _attach(points, found, x, y)
+    return _attach(points, found, at, x, y)
 
 
 def count_within(
     points: DataFrame, layer: DataFrame, radius: float, name: str = "count", x: str = "x", y: str = "y"
 ) -> DataFrame:
     """Add the number of layer points within the radius, rim included; 0 where there are none."""
-    at, to = stage(places(points, x, y), "places"), stage(places(layer, x, y), "places")
+    at, to = grid.make_side(places(points, x, y)), grid.make_side(places(layer, x, y), "layer")
     near = grid.weight_within(at, to, radius, _point_d2(), columns=["x1", "y1"])
     found = near.select(F.col("x1").alias("px"), F.col("y1").alias("py"), F.col("w").alias(name))
     known = F.col(x).isNotNull() & F.col(y).isNotNull()
-    out = _attach(points, found, x, y)
+    out = _attach(points, found, at, x, y)
     return out.withColumn(name, F.when(known, F.coalesce(F.col(name), F.lit(0).cast("long"))))
 
 
@@ -71,14 +76,12 @@ def fill_from_nearest_known(
         F.col(f"s.{key}").alias(key), F.col(f"s.{column}").alias(column),
     )
     lacking = points.where(F.col(column).isNull())
-    best = grid.nearest(
-        stage(places(lacking, x, y), "places"), stage(sources, "sources"), _point_d2(), [key, column],
-        ["x1", "y1"],
-    )
+    at = grid.make_side(places(lacking, x, y))
+    best = grid.nearest(at, grid.make_side(sources, "sources"), _point_d2(), [key, column], ["x1", "y1"])
     found = best.select(
         F.col("x1").alias("px"), F.col("y1").alias("py"), F.col(f"best.{column}").alias("_fill")
     )
-    filled = _attach(lacking, found, x, y).withColumn(column, F.col("_fill")).drop("_fill")
+    filled = _attach(lacking, found, at, x, y).withColumn(column, F.col("_fill")).drop("_fill")
     return points.where(F.col(column).isNotNull()).unionByName(filled.select(*points.columns))
 
 
@@ -141,17 +144,25 @@ def _slab(y: Column | str) -> Column:
     return F.least(F.greatest(F.floor(F.coalesce(spot, F.lit(0.0))), F.lit(0)), F.col("slabs") - 1)
 
 
-def containment(at: DataFrame, edges: DataFrame, key: str = "poly_id") -> DataFrame:
+def _hot(df: DataFrame, rows: int, keys: Sequence[str]) -> list[int]:
+    """Hot keys of a table whose size is known; none where one task could hold the whole of it."""
+    return hot_keys(df, keys) if rows > SMALL_ROWS else []
+
+
+def containment(at: grid.Side, edges: DataFrame, key: str = "poly_id") -> DataFrame:
     """(px, py, key) for every place (x1, y1) inside or on the rim of a polygon.
 
     Boxes of polygons go into a grid whose cell size fits the box, so that each covers at most
     four cells of its own level; a place looks into one cell per level in use. In each
     candidate polygon a place then meets only the edges of its own horizontal slab.
     """
-    slabs = stage(_slabs(edges, key), "polygons")
-    levels = [r["level"] for r in slabs.select("level").distinct().collect()]
+    slabs, seen = stage_observed(_slabs(edges, key), "polygons", {
+        "levels": F.collect_set("level"), "edges": F.sum("n"), "most": F.max("n"),
+    })
+    levels = seen["levels"]
     if not levels:
-        return at.select(F.col("x1").alias("px"), F.col("y1").alias("py"), F.lit(None).alias(key)).limit(0)
+        none = edges.select(key, F.lit(0.0).alias("px"), F.lit(0.0).alias("py"))
+        return none.select("px", "py", key).limit(0)
 
     def number(c, level):
         return F.floor(F.col(c) / F.pow(F.lit(2.0), level)).cast("long")
@@ -159,27 +170,31 @@ def containment(at: DataFrame, edges: DataFrame, key: str = "poly_id") -> DataFr
     covered = slabs.withColumns({
         "cx": F.explode(F.sequence(number("bx1", F.col("level")), number("bx2", F.col("level")))),
     }).withColumn("cy", F.explode(F.sequence(number("by1", F.col("level")), number("by2", F.col("level")))))
-    looks = at.select(
+    looks = at.df.select(
         F.col("x1").alias("px"), F.col("y1").alias("py"),
         F.explode(F.array(*[F.lit(v) for v in sorted(levels)])).alias("level"),
     ).withColumns({"cx": number("px", F.col("level")), "cy": number("py", F.col("level"))})
     inside_box = F.col("px").between(F.col("bx1"), F.col("bx2")) & F.col("py").between(F.col("by1"), F.col("by2"))
     candidates = (
-        skew_join(looks, covered, ["level", "cx", "cy"], "inner")
+        skew_join(looks, covered, ["level", "cx", "cy"], "inner", hot=_hot(looks, at.rows, ["level", "cx", "cy"]))
         .where(inside_box)
         .select("px", "py", key, _slab("py").alias("slab"))
     )
+    if at.rows > SMALL_ROWS:
+        candidates = stage(candidates, "candidates")
     size = slabs.select(key, "by1", "height", "slabs")
+    big = [] if seen["most"] < HOT_SHARE * seen["edges"] else hot_from_counts(slabs, [key], "n")
+    big = big if seen["edges"] > SMALL_ROWS else []
     low, high = _slab(F.least("y1", "y2")), _slab(F.greatest("y1", "y2"))
     pieces = (
-        skew_join(edges, size, [key], "inner")
+        skew_join(edges, size, [key], "inner", hot=big)
         .select(key, "x1", "y1", "x2", "y2", F.explode(F.sequence(low, high)).alias("slab"))
     )
     ends = ("px", "py", "x1", "y1", "x2", "y2")
     crossed = F.count_if(crosses_ray(*ends)) % 2 == 1
     touched = F.max(on_segment(*ends))
     return (
-        skew_join(candidates, pieces, [key, "slab"], "inner")
+        skew_join(candidates, pieces, [key, "slab"], "inner", hot=_hot(candidates, at.rows, [key, "slab"]))
         .groupBy("px", "py", key)
         .agg((crossed | touched).alias("hit"))
         .where("hit")
@@ -196,20 +211,22 @@ def point_in_polygon_join(
     `attributes` (key, ...) is joined to the hits. With `one_row`, overlapping polygons give the
     lowest key only.
     """
-    hits = containment(stage(places(points, x, y), "places"), edges, key)
+    at = grid.make_side(places(points, x, y))
+    hits = containment(at, edges, key)
     if one_row:
         hits = hits.groupBy("px", "py").agg(F.min(key).alias(key))
     if attributes is not None:
         hits = skew_join(hits, attributes, [key], "left")
-    return _attach(points, hits, x, y)
+    return _attach(points, hits, at, x, y)
 
 
 def outside_polygons(
     points: DataFrame, edges: DataFrame, key: str = "poly_id", x: str = "x", y: str = "y"
 ) -> DataFrame:
     """Rows that lie in none of the polygons."""
-    hits = containment(stage(places(points, x, y), "places"), edges, key)
-    return _attach(points, hits.select("px", "py").distinct(), x, y, "left_anti")
+    at = grid.make_side(places(points, x, y))
+    hits = containment(at, edges, key)
+    return _attach(points, hits.select("px", "py").distinct(), at, x, y, "left_anti")
 
 
 def _edge_d2() -> Column:
@@ -225,13 +242,24 @@ def _edge_boxes(edges: DataFrame, keep: Sequence[str]) -> DataFrame:
     )
 
 
+def distance_to_edges(
+    points: DataFrame, edges: DataFrame, name: str = "distance", x: str = "x", y: str = "y"
+) -> DataFrame:
+    """Add the distance to the nearest edge of any polygon."""
+    at = grid.make_side(places(points, x, y))
+    sides = grid.make_side(_edge_boxes(edges, []), "edges")
+    best = grid.nearest(at, sides, _edge_d2(), [], ["ex1", "ey1", "ex2", "ey2"])
+    found = best.select(F.col("x1").alias("px"), F.col("y1").alias("py"), F.sqrt("best.d2").alias(name))
+    return _attach(points, found, at, x, y)
+
+
 def polygons_near(
-    at: DataFrame, edges: DataFrame, radius: float, key: str = "poly_id", inside: DataFrame | None = None
+    at: grid.Side, edges: DataFrame, radius: float, key: str = "poly_id", inside: DataFrame | None = None
 ) -> DataFrame:
     """Keys of polygons that touch the disc around at least one place."""
     distance2 = segment_squared_distance("b_x1", "b_y1", "ex1", "ey1", "ex2", "ey2")
     near = grid.weight_within(
-        _edge_boxes(edges, [key]), at, radius, distance2, keys=[key], columns=["x1", "y1"]
+        grid.make_side(_edge_boxes(edges, [key]), "edges"), at, radius, distance2, keys=[key], columns=["x1", "y1"]
     ).select(key)
     inside = containment(at, edges, key) if inside is None else inside
     return near.unionByName(inside.select(key)).distinct()
@@ -247,13 +275,13 @@ def fill_from_nearest_polygon(
     a value, not necessarily the row in question.
     """
     lacking = points.where(F.col(column).isNull())
-    at = stage(places(lacking, x, y), "places")
+    at = grid.make_side(places(lacking, x, y))
     usable = attributes.where(F.col(column) >= at_least).select(key, column)
     edges = stage(skew_join(edges, usable, [key], "inner"), "edges")
     inside = stage(containment(at, edges, key), "inside")
     near = polygons_near(at, edges, radius, key, inside)
     candidates = stage(skew_join(edges, near, [key], "left_semi"), "edges")
-    by_edge = grid.nearest(at, stage(_edge_boxes(candidates, [key, column]), "edges"), _edge_d2(),
+    by_edge = grid.nearest(at, grid.make_side(_edge_boxes(candidates, [key, column]), "edges"), _edge_d2(),
                            [key, column], ["ex1", "ey1", "ex2", "ey2"])
     best = by_edge.select(F.col("x1").alias("px"), F.col("y1").alias("py"), "best")
     zero = skew_join(inside, usable, [key], "inner").select(
@@ -261,7 +289,7 @@ def fill_from_nearest_polygon(
     )
     found = best.unionByName(zero).groupBy("px", "py").agg(F.min("best").alias("best"))
     found = found.select("px", "py", F.col(f"best.{column}").alias("_fill"))
-    filled = _attach(lacking, found, x, y).withColumn(column, F.col("_fill")).drop("_fill")
+    filled = _attach(lacking, found, at, x, y).withColumn(column, F.col("_fill")).drop("_fill")
     return points.where(F.col(column).isNotNull()).unionByName(filled.select(*points.columns))
 
 
@@ -283,9 +311,9 @@ def semivariogram(
     # squares of differences from the mean stay small
     mean = known.agg(F.avg(z)).head()[0] or 0.0
     z = z - F.lit(mean)
-    spots = stage(known.groupBy(*at).agg(
+    spots, seen = stage_observed(known.groupBy(*at).agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum(z).alias("s"), F.sum(z * z).alias("q")
-    ), "places")
+    ), "places", {"rows": F.count(F.lit(1))})
     cell = cutoff / 2
     cx, cy = (F.floor(F.col(c) / F.lit(cell)).cast("long") for c in ("x1", "y1"))
     here = spots.select("x1", "y1", "n", "s", "q", cx.alias("cx"), cy.alias("cy"))
@@ -300,7 +328,8 @@ def semivariogram(
     d = F.sqrt(_point_d2())
     pairs = F.col("n") * F.col("b_n")
     squares = F.col("b_n") * F.col("q") + F.col("n") * F.col("b_q") - 2 * F.col("s") * F.col("b_s")
-    apart = skew_join(here, there, ["cx", "cy"], "inner").where(once).select(
+    hot = _hot(here, seen["rows"] * 10, ["cx", "cy"])
+    apart = skew_join(here, there, ["cx", "cy"], "inner", hot=hot).where(once).select(
         d.alias("d"), pairs.alias("np"), squares.alias("sq")
     ).where(F.col("d") <= cutoff)
     same = spots.where("n > 1").select(

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -31,3 +32,10 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{stage_root(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_observed(df: DataFrame, name: str, metrics: Mapping[str, Column]) -> tuple[DataFrame, dict]:
+    """Stage a table and get aggregates of it from the same job."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *[e.alias(k) for k, e in metrics.items()]), name)
+    return staged, seen.get
