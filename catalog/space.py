@@ -215,10 +215,10 @@ def _(spark, sf):
 
 
 HEX = """
-    a as (select id, x, y, (x * 0.5773502691896257e0 - y / 3.0e0) / 692.8203230275509e0 as q,
-      (y * 0.6666666666666666e0) / 692.8203230275509e0 as r from pts),
+    a as (select id, x, y, (x * 0.5773502691896257e0 - y / 3.0e0) / 692.820323027551e0 as q,
+      (y * 0.6666666666666666e0) / 692.820323027551e0 as r from pts),
     b as (select *, round_even(q, 0) as rq, round_even(r, 0) as rr, round_even(-q - r, 0) as rs from a),
-    c as (select *, abs(rq - q) as dq, abs(rr - r) as dr, abs(rs + q + r) as ds from b),
+    c as (select *, abs(rq - q) as dq, abs(rr - r) as dr, abs(rs - (-q - r)) as ds from b),
     hex as (select id, x, y, cast(case when dq > dr and dq > ds then -rr - rs else rq end as bigint) as cx,
       cast(case when not (dq > dr and dq > ds) and dr > ds then -rq - rs else rr end as bigint) as cy from c),
     f as (select cx, cy, cast((row_number() over (order by (cx * 7919 + cy * 104729 + 15485863000) % 10007, cx, cy) - 1) % 5

@@ -59,10 +59,9 @@ def final_prediction(
 
 def impurity_importance(model: Model, names: Sequence[str], scale: bool = False) -> list[tuple[str, float]]:
     """Share of impurity reduction per feature, highest first; scaled to 100 for the best if wanted."""
-    values = model.featureImportances.toArray()
-    top = max(values.max(), 1e-300) if scale else 0.01
-    rows = [(n, float(v) / top * 100 if scale else float(v)) for n, v in zip(names, values)]
-    return sorted(rows, key=lambda r: (-r[1], r[0]))
+    values = [float(v) for v in model.featureImportances.toArray()]
+    factor = 100 / max(max(values), 1e-300) if scale else 1.0
+    return sorted(((n, v * factor) for n, v in zip(names, values)), key=lambda r: (-r[1], r[0]))
 
 
 def shuffle_column(df: DataFrame, column: str, keys: Sequence[str], buckets: int, seed: int = 0) -> DataFrame:
