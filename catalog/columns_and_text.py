@@ -249,3 +249,9 @@ def _(spark, sf):
         (tx.labelled_quantity("normal"), None),
         (tx.veto(tx.number_with_unit("context"), "context"), 25),
         (tx.dimension_product("normal"), 25)]).alias("surface"))
+
+
+LISTING_COLUMNS_SQL = (
+    "cast(id as string) as property_id, price, cast(yr as integer) as year, surface_total, bathrooms, title, "
+    "text || '|\"' || title || '\", ' || cast(id as string) as description"
+)

@@ -232,15 +232,15 @@ def _(spark, sf):
     return rounded(rounded(out, "l_quantity", digits=6), "l_extendedprice")
 
 
-BREAKS = more("br as (select " + ", ".join(
-    f"quantile_cont(obs, {i / 10}) as b{i}" for i in range(11)) + " from scored)")
-BIN = "case " + " ".join(f"when obs <= (select b{i} from br) then {i}" for i in range(1, 11)) + " end"
+BREAKS = more("br as (select list_distinct([" + ", ".join(
+    f"quantile_cont(obs, {i / 10})" for i in range(11)) + "]) as b from scored)")
+BIN = "cast(greatest(1, len(list_filter(b, lambda e: e < obs))) as integer)"
 
 
 @query("error_by_decile", cte("scored") + BREAKS + f"""
     select {BIN} as bin, count(*) as n, round(avg(obs), 3) as mean_observed, round(avg(pred), 3) as mean_predicted,
       round(avg(abs(obs - pred)), 3) as mae, round(avg(abs((obs - pred) / obs)) * 100, 6) as mape
-    from scored group by 1""")
+    from scored cross join br group by 1""")
 def _(spark, sf):
     out = st.error_by_quantile_bin(derive(spark, sf, "scored"), "obs", "pred")
     return rounded(rounded(out, "mean_observed", "mean_predicted", "mae", digits=3), "mape", digits=6)
