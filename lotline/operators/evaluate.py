@@ -17,7 +17,8 @@ METRICS: dict[str, Metric] = {
     "mae": lambda o, p: F.avg(F.abs(o - p)),
     "rmse": lambda o, p: F.sqrt(F.avg((o - p) * (o - p))),
     "mape": lambda o, p: F.avg(F.abs(F.try_divide(o - p, o))) * 100,
-    "r2_cor": lambda o, p: F.pow(F.corr(o, p), 2),
+    # null, and no error, for constant predictions
+    "r2_cor": lambda o, p: F.try_divide(F.pow(F.covar_pop(o, p), 2), F.var_pop(o) * F.var_pop(p)),
     "r2_sse": lambda o, p: 1 - F.try_divide(F.sum((o - p) * (o - p)), F.var_pop(o) * F.count(o)),
     "mae_log": lambda o, p: F.avg(F.abs(F.log1p(o) - F.log1p(p))),
     "rmsle": lambda o, p: F.sqrt(F.avg(F.pow(F.log1p(o) - F.log1p(p), 2))),
