@@ -161,11 +161,18 @@ def digit_or_word_count(
 
 
 def one_edit_pattern(word: str) -> str:
-    """Alternation of everything within one insertion, deletion or substitution of the word."""
-    n = len(word)
-    swaps = [word[:i] + ".?" + word[i + 1:] for i in range(n)]
-    inserts = [word[:i] + "." + word[i:] for i in range(1, n)]
-    return "(?s)(?:" + "|".join(swaps + inserts) + ")"
+    """Everything within one insertion, deletion or substitution of the word.
+
+    Letter by letter: either the letter and the rest within one edit, or the edit here and the rest
+    as it stands. Sharing prefixes this way keeps the tries per text position few.
+    """
+    pattern = ""
+    for i in reversed(range(len(word))):
+        ways = [word[i] + pattern, ".?" + word[i + 1:]]
+        if i:
+            ways.append("." + word[i:])
+        pattern = "(?:" + "|".join(ways) + ")"
+    return "(?s)" + pattern
 
 
 def fuzzy_contains(column: Column | str, words: Sequence[str]) -> Column:

@@ -85,9 +85,10 @@ def make_frame(a: Side, b: Side) -> Frame | None:
     return Frame(float(x0), float(y0), float(side), a.rows + b.rows)
 
 
-def _cells(t: DataFrame, frame: Frame, level: int, side: str) -> DataFrame:
+def _cells(t: DataFrame, frame: Frame, level: int, side: str, apart: str | None) -> DataFrame:
     i, j = frame.cell(level)
-    return t.groupBy(i.alias(f"{side}i"), j.alias(f"{side}j")).agg(
+    split = F.lit(0) if apart is None else F.col(apart)
+    return t.groupBy(i.alias(f"{side}i"), j.alias(f"{side}j"), split.alias(f"{side}g")).agg(
         F.count(F.lit(1)).alias(f"{side}n"), F.sum("w").alias(f"{side}w"),
         F.min("x1").alias(f"{side}x1"), F.min("y1").alias(f"{side}y1"),
         F.max("x2").alias(f"{side}x2"), F.max("y2").alias(f"{side}y2"),
@@ -111,7 +112,7 @@ def box_bounds(a: Sequence[str], b: Sequence[str]) -> tuple[Column, Column]:
 
 
 A_BOX, B_BOX = ([f"{s}{c}" for c in BOX] for s in "ab")
-A_KEY, B_KEY = ["ai", "aj"], ["bi", "bj"]
+A_KEY, B_KEY = ["ai", "aj", "ag"], ["bi", "bj", "bg"]
 
 
 def _children(pairs: DataFrame | None, a: DataFrame, b: DataFrame, step: int) -> DataFrame:
@@ -128,7 +129,8 @@ def _children(pairs: DataFrame | None, a: DataFrame, b: DataFrame, step: int) ->
     if pairs is None:
         return a.join(b, (F.col("pai") == F.col("pbi")) & (F.col("paj") == F.col("pbj")))
     parents = pairs.select(*[F.col(c).alias(f"p{c}") for c in A_KEY + B_KEY])
-    return parents.join(a, ["pai", "paj"]).join(b, ["pbi", "pbj"])
+    parents = parents.withColumnsRenamed({"pag": "ag", "pbg": "bg"})
+    return parents.join(a, ["pai", "paj", "ag"]).join(b, ["pbi", "pbj", "bg"])
 
 
 @dataclass
@@ -140,16 +142,22 @@ class Descent:
     pairs: DataFrame
     whole: list[tuple[int, DataFrame]]
     work: float
+    apart: str | None = None
 
+    def group(self) -> Column:
+        return F.lit(0) if self.apart is None else F.col(self.apart)
 
-def _descend(a: DataFrame, b: DataFrame, frame: Frame, sift: Callable) -> Descent:
-    """Refine until few row pairs are undecided or refining no longer helps.
+
+def _descend(a: DataFrame, b: DataFrame, frame: Frame, sift: Callable, apart: str | None = None) -> Descent:
+    """Refine until few row pairs are undecided or the last level is reached.
 
     `sift` takes pairs with bounds near2 and far2 and returns (undecided, counted whole or None).
     """
     pairs, whole, level, step = None, [], FIRST_LEVEL, FIRST_LEVEL
     while True:
-        both = _children(pairs, _cells(a, frame, level, "a"), _cells(b, frame, level, "b"), step)
+        both = _children(pairs, _cells(a, frame, level, "a", apart), _cells(b, frame, level, "b", apart), step)
+        if apart is not None:
+            both = both.where("ag <> bg")
         near2, far2 = box_bounds(A_BOX, B_BOX)
         kept, done = sift(both.withColumns({"near2": near2, "far2": far2}))
         keep = A_KEY + B_KEY + ["an", "bn", "bw", *B_BOX, "far2"]
@@ -162,10 +170,10 @@ def _descend(a: DataFrame, b: DataFrame, frame: Frame, sift: Callable) -> Descen
         })
         pairs = tagged.where(~F.col("whole"))
         if seen["whole"]:
-            whole.append((level, tagged.where("whole").groupBy(*A_KEY).agg(F.sum("bw").alias("w"))))
+            whole.append((level, tagged.where("whole").groupBy(*A_KEY, "bg").agg(F.sum("bw").alias("w"))))
         work = seen["work"] or 0.0
         if work <= PAIRS_PER_ROW * frame.rows or level >= LAST_LEVEL:
-            return Descent(frame, level, pairs, whole, work)
+            return Descent(frame, level, pairs, whole, work, apart)
         level, step = level + 1, 1
 
 
@@ -180,7 +188,7 @@ def _hot(found: Descent, keys: Sequence[str], weight: Column) -> list[int]:
 def _row_candidates(a: DataFrame, found: Descent) -> DataFrame:
     """Rows of `a` next to the cells of `b` they have to be compared with."""
     i, j = found.frame.cell(found.level)
-    rows = a.withColumns({"ai": i, "aj": j})
+    rows = a.withColumns({"ai": i, "aj": j, "ag": found.group()})
     hot = _hot(found, A_KEY, F.max("an"))
     cells = found.pairs.select(*A_KEY, *B_KEY, "bw", *B_BOX, F.col("far2").alias("cell_far2"))
     near = skew_join(rows, cells, A_KEY, "inner", hot=hot)
@@ -191,7 +199,7 @@ def _row_candidates(a: DataFrame, found: Descent) -> DataFrame:
 def _with_rows(candidates: DataFrame, b: DataFrame, found: Descent, columns: Sequence[str]) -> DataFrame:
     """Candidates joined with the rows of their cells; `b` columns get the prefix b_."""
     i, j = found.frame.cell(found.level)
-    rows = b.select(i.alias("bi"), j.alias("bj"), *[F.col(c).alias(f"b_{c}") for c in columns])
+    rows = b.select(i.alias("bi"), j.alias("bj"), found.group().alias("bg"), *[F.col(c).alias(f"b_{c}") for c in columns])
     return skew_join(candidates, rows, B_KEY, "inner", hot=_hot(found, B_KEY, F.sum("an")))
 
 
@@ -222,52 +230,52 @@ def nearest(
 
 def weight_within(
     a: Side, b: Side, radius: float, distance2: Column,
-    keys: Sequence[str] = BOX, columns: Sequence[str] = (),
+    keys: Sequence[str] = BOX, columns: Sequence[str] = (), apart: str | None = None,
 ) -> DataFrame:
-    """For each row of `a` (told apart by `keys`): total weight of `b` rows within the radius.
+    """For each row of `a` (told apart by `keys`): total weight w of `b` rows within the radius.
 
-    Rows of `a` without any are left out.
+    Rows of `a` without any are left out. With `apart`, a column of both sides, only rows that
+    differ in it are compared, and there is one line per row of `a` and value bg on the other side.
     """
     r2 = float(radius) ** 2
     frame, a, b = make_frame(a, b), a.df, b.df
     if frame is None:
-        return a.select(*keys, F.lit(0).cast("long").alias("w")).limit(0)
+        bg = F.lit(0) if apart is None else F.col(apart)
+        return a.select(*keys, bg.alias("bg"), F.lit(0).cast("long").alias("w")).limit(0)
 
     def sift(pairs):
         reach = pairs.where(F.col("near2") <= r2)
         return reach.where(F.col("far2") > r2), reach.where(F.col("far2") <= r2)
 
-    found = _descend(a, b, frame, sift)
+    found = _descend(a, b, frame, sift, apart)
     near = _row_candidates(a, found).where(F.col("near2") <= r2)
     exact = (
         _with_rows(near.where(F.col("far2") > r2).drop("w", "bw", *B_BOX), b, found, ["w", *columns])
         .where(distance2 <= r2)
-        .select(*keys, F.col("b_w").alias("w"))
+        .select(*keys, "bg", F.col("b_w").alias("w"))
     )
-    by_cell = near.where(F.col("far2") <= r2).select(*keys, F.col("bw").alias("w"))
+    by_cell = near.where(F.col("far2") <= r2).select(*keys, "bg", F.col("bw").alias("w"))
     total = exact.unionByName(by_cell)
     if found.whole:
         total = total.unionByName(_whole_weights(a, found, keys))
-    return total.groupBy(*keys).agg(F.sum("w").cast("long").alias("w"))
+    return total.groupBy(*keys, "bg").agg(F.sum("w").cast("long").alias("w"))
 
 
 def _whole_weights(a: DataFrame, found: Descent, keys: Sequence[str]) -> DataFrame:
     """Weights counted by whole cells, brought down to the last level and on to the rows."""
     i, j = found.frame.cell(found.level)
-    cells = a.groupBy(i.alias("ai"), j.alias("aj")).agg(F.count(F.lit(1)).alias("an"))
-    base = F.lit(0)
-    for k, (level, weights) in enumerate(found.whole):
+    cells = a.groupBy(i.alias("ai"), j.alias("aj"), found.group().alias("ag")).agg(F.count(F.lit(1)).alias("an"))
+    base = None
+    for level, weights in found.whole:
         up = found.level - level
-        cells = cells.withColumns({"ki": F.shiftright("ai", up), "kj": F.shiftright("aj", up)})
-        weights = weights.select(F.col("ai").alias("ki"), F.col("aj").alias("kj"), F.col("w").alias(f"w{k}"))
-        cells = cells.join(weights, ["ki", "kj"], "left").drop("ki", "kj")
-        base = base + F.coalesce(F.col(f"w{k}"), F.lit(0))
-    cells = cells.select("ai", "aj", "an", base.alias("base")).where("base > 0")
+        below = cells.withColumns({"ki": F.shiftright("ai", up), "kj": F.shiftright("aj", up)})
+        weights = weights.withColumnsRenamed({"ai": "ki", "aj": "kj"})
+        part = below.join(weights, ["ki", "kj", "ag"]).drop("ki", "kj")
+        base = part if base is None else base.unionByName(part)
+    base = base.groupBy(*A_KEY, "bg").agg(F.sum("w").alias("w"), F.max("an").alias("an"))
+    hot = []
     if found.frame.rows > SMALL_WORK:
-        cells = stage(cells, "whole")
-        hot = hot_from_counts(cells, A_KEY, "an")
-    else:
-        hot = []
-    rows = a.select(*keys, i.alias("ai"), j.alias("aj"))
-    joined = skew_join(rows, cells, A_KEY, "inner", hot=hot)
-    return joined.select(*keys, F.col("base").alias("w"))
+        base = stage(base, "whole")
+        hot = hot_from_counts(base.groupBy(*A_KEY).agg(F.max("an").alias("an")), A_KEY, "an")
+    rows = a.select(*keys, i.alias("ai"), j.alias("aj"), found.group().alias("ag"))
+    return skew_join(rows, base.drop("an"), A_KEY, "inner", hot=hot).select(*keys, "bg", "w")

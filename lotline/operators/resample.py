@@ -152,19 +152,13 @@ def fold_roles(
     ).withColumn("role", F.when(F.col("own") == F.col("fold"), "test").otherwise("train"))
     if not buffer:
         return roles.select(key, "fold", "role")
-    spots = stage(
-        df.groupBy(F.col(x).cast("double").alias("x1"), F.col(y).cast("double").alias("y1"), "fold")
-        .agg(F.count(F.lit(1)).alias("w"))
-        .select("x1", "y1", F.col("x1").alias("x2"), F.col("y1").alias("y2"), "w", "fold"),
-        "spots",
-    )
-    close = None
-    for f in range(k):
-        outside = grid.make_side(spots.where(F.col("fold") != f).drop("fold"))
-        inside = grid.make_side(spots.where(F.col("fold") == f).drop("fold"))
-        near = grid.weight_within(outside, inside, buffer, _point_d2(), columns=["x1", "y1"])
-        near = near.select(F.col("x1").alias("px"), F.col("y1").alias("py"), F.lit(f).alias("fold"))
-        close = near if close is None else close.unionByName(near)
+    at = [F.col(x).cast("double").alias("x1"), F.col(y).cast("double").alias("y1")]
+    spots = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*at, "fold").agg(F.count(F.lit(1)).alias("w"))
+    side = grid.make_side(spots.select(
+        "x1", "y1", F.col("x1").alias("x2"), F.col("y1").alias("y2"), "w", "fold"), "spots")
+    near = grid.weight_within(side, side, buffer, _point_d2(), ["x1", "y1", "fold"], ["x1", "y1"], apart="fold")
+    close = near.select(
+        F.col("x1").alias("px"), F.col("y1").alias("py"), F.col("fold").alias("own"), F.col("bg").alias("fold"))
     test = roles.where("role = 'test'")
-    train = skew_join(roles.where("role = 'train'"), close, ["px", "py", "fold"], "left_anti")
+    train = skew_join(roles.where("role = 'train'"), close, ["px", "py", "own", "fold"], "left_anti")
     return test.unionByName(train).select(key, "fold", "role")

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 0.02
+# tables known to have no more rows than this fit in one task, so their keys need no spreading
+SMALL_ROWS = 1_000_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
@@ -47,16 +49,19 @@ def skew_join(
     null_safe: bool = False,
     share: float = HOT_SHARE,
     hot: Sequence[int] | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Equi-join with the hot keys of `left` spread over many tasks.
 
     `how` is inner, left, left_semi or left_anti: those decide each left row by itself, so the
-    left side may be sliced. With `null_safe`, null keys match each other.
+    left side may be sliced. With `null_safe`, null keys match each other. `hot` or `rows` (of the
+    left side), where known, save the search for hot keys.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot slice the left side of a {how} join")
     on = list(on)
-    hot = hot_keys(left, on, share) if hot is None else list(hot)
+    if hot is None:
+        hot = [] if rows is not None and rows <= SMALL_ROWS else hot_keys(left, on, share)
     match_on = list(on)
     if hot:
         slices = max(8, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 2)

@@ -13,12 +13,9 @@ from pyspark.sql import functions as F
 
 from lotline.functions.geo import crosses_ray, on_segment, segment_squared_distance, squared_distance
 from lotline.operators import grid
-from lotline.operators.skew import HOT_SHARE, hot_from_counts, hot_keys, skew_join
+from lotline.operators.skew import HOT_SHARE, SMALL_ROWS, hot_from_counts, hot_keys, skew_join
 from lotline.staging import stage, stage_observed
 
-# tables up to this many rows fit in one task, so their keys need no spreading
-SMALL_ROWS = 1_000_000
-
 
 def places(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     """Distinct places as boxes of no extent, weighted by the number of rows there."""
@@ -277,14 +274,15 @@ def fill_from_nearest_polygon(
     lacking = points.where(F.col(column).isNull())
     at = grid.make_side(places(lacking, x, y))
     usable = attributes.where(F.col(column) >= at_least).select(key, column)
-    edges = stage(skew_join(edges, usable, [key], "inner"), "edges")
-    inside = stage(containment(at, edges, key), "inside")
+    one = {"rows": F.count(F.lit(1))}
+    edges, size = stage_observed(skew_join(edges, usable, [key], "inner"), "edges", one)
+    inside, hits = stage_observed(containment(at, edges, key), "inside", one)
     near = polygons_near(at, edges, radius, key, inside)
-    candidates = stage(skew_join(edges, near, [key], "left_semi"), "edges")
+    candidates = skew_join(edges, near, [key], "left_semi", rows=size["rows"])
     by_edge = grid.nearest(at, grid.make_side(_edge_boxes(candidates, [key, column]), "edges"), _edge_d2(),
                            [key, column], ["ex1", "ey1", "ex2", "ey2"])
     best = by_edge.select(F.col("x1").alias("px"), F.col("y1").alias("py"), "best")
-    zero = skew_join(inside, usable, [key], "inner").select(
+    zero = skew_join(inside, usable, [key], "inner", rows=hits["rows"]).select(
         "px", "py", F.struct(F.lit(0.0).alias("d2"), F.col(key), F.col(column)).alias("best")
     )
     found = best.unionByName(zero).groupBy("px", "py").agg(F.min("best").alias("best"))
@@ -324,7 +322,8 @@ def semivariogram(
         *[F.col(c).alias(f"b_{c}") for c in ("x1", "y1", "n", "s", "q")], "cx", "cy", shift.alias("o")
     ).withColumns({"cx": F.col("cx") - F.col("o.i"), "cy": F.col("cy") - F.col("o.j")})
     same_cell = (F.col("o.i") == 0) & (F.col("o.j") == 0)
-    once = ~same_cell | (F.struct("x1", "y1") < F.struct("b_x1", "b_y1"))
+    before = (F.col("x1") < F.col("b_x1")) | ((F.col("x1") == F.col("b_x1")) & (F.col("y1") < F.col("b_y1")))
+    once = ~same_cell | before
     d = F.sqrt(_point_d2())
     pairs = F.col("n") * F.col("b_n")
     squares = F.col("b_n") * F.col("q") + F.col("n") * F.col("b_q") - 2 * F.col("s") * F.col("b_s")
