@@ -162,10 +162,11 @@ def sql_class(columns: list[str], fallback: str) -> str:
 
 
 def sql_count(text: str) -> str:
-    hit = f"nullif(regexp_extract({text}, {q(tx.count_pattern(fv.NUMBER_WORDS, fv.BATH_NOUN))}), '')"
-    words = " ".join(f"when lower({hit}) like '%{w}%' then {n}.0e0" for w, n in fv.NUMBER_WORDS.items())
+    words = "|".join(fv.NUMBER_WORDS)
+    hit = f"nullif(regexp_extract({text}, {q(rf'(?i)({chr(92)}d+){chr(92)}s*({fv.BATH_NOUN})|(?:{words}){chr(92)}s*({fv.BATH_NOUN})')}), '')"
+    whens = " ".join(f"when lower({hit}) like '%{w}%' then {n}.0e0" for w, n in fv.NUMBER_WORDS.items())
     digits = r"try_cast(nullif(regexp_extract(" + hit + r", '\d+'), '') as double)"
-    value = f"case {words} else {digits} end"
+    value = f"case {whens} else {digits} end"
     return f"case when ({value}) < {fv.BATH_LIMIT} then ({value}) end"
 
 

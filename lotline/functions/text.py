@@ -52,8 +52,13 @@ def context_window(
     before: int = fv.CONTEXT_WORDS,
     after: int = fv.CONTEXT_WORDS,
 ) -> Column:
-    """First number with a unit, with up to `before` and `after` words around it."""
-    return F.regexp_substr(_col(column), F.lit("(?U)" + context_pattern(units, before, after)))
+    """First number with a unit, with up to `before` and `after` words around it.
+
+    Texts without any number and unit are told apart first by the short pattern.
+    """
+    c = _col(column)
+    window = F.regexp_substr(c, F.lit("(?U)" + context_pattern(units, before, after)))
+    return F.when(c.rlike(rf"(?U)\d\s?({units})"), window)
 
 
 def context_pattern(units: str, before: int, after: int) -> str:
@@ -142,7 +147,7 @@ HOUSING_RULES = [
 
 
 def count_pattern(words: Mapping[str, int], noun: str) -> str:
-    return rf"(?i)(\d+)\s*({noun})|(?:{'|'.join(words)})\s*({noun})"
+    return rf"(?i)(\d+|{'|'.join(words)})\s*(?:{noun})"
 
 
 def digit_or_word_count(
@@ -152,12 +157,11 @@ def digit_or_word_count(
     limit: float = fv.BATH_LIMIT,
 ) -> Column:
     """A count before a noun, in digits or in words; counts at or over the limit are null."""
-    hit = F.regexp_substr(_col(column), F.lit(count_pattern(words, noun)))
-    low = F.lower(hit)
-    value = F.regexp_substr(hit, F.lit(r"\d+")).try_cast("double")
-    for word, number in reversed(list(words.items())):
-        value = F.when(low.contains(word), F.lit(float(number))).otherwise(value)
-    return F.when(value < limit, value)
+    token = F.regexp_extract(_col(column), count_pattern(words, noun), 1)
+    spelled = F.create_map(*[F.lit(v) for w, n in words.items() for v in (w, float(n))])
+    value = F.coalesce(token.try_cast("double"), F.try_element_at(spelled, F.lower(token)))
+    # null where the limit is reached, with the value named once so that it is worked out once
+    return F.nullif(F.least(value, F.lit(float(limit))), F.lit(float(limit)))
 
 
 def one_edit_pattern(word: str) -> str:

@@ -20,20 +20,26 @@ def mine_text(ads: DataFrame) -> DataFrame:
 
     Sizes with a unit are read from the text as written, the other patterns from normalised text.
     """
-    text = tx.normalize_text("description")
-    ads = ads.withColumns({"description_adj": text, "_context": tx.context_window("description")})
-    mined = tx.veto(tx.number_with_unit("_context"), "_context")
+    lacks = F.col("surface_total").isNull()
+    ads = ads.withColumns({
+        "description_adj": tx.normalize_text("description"),
+        "_context": F.when(lacks, tx.context_window("description")),
+    })
+    # each candidate is a column of its own: the cascade names it more than once
+    ads = ads.withColumns({
+        "_label": F.when(lacks, tx.labelled_quantity("description_adj")),
+        "_mined": tx.veto(tx.number_with_unit("_context"), "_context"),
+        "_area": F.when(lacks, tx.dimension_product("description_adj")),
+    })
     surface = fill_from("surface_total", [
-        (tx.labelled_quantity("description_adj"), None),
-        (mined, fv.MIN_MINED_SURFACE),
-        (tx.dimension_product("description_adj"), fv.MIN_MINED_SURFACE),
+        ("_label", None), ("_mined", fv.MIN_MINED_SURFACE), ("_area", fv.MIN_MINED_SURFACE),
     ])
     return ads.withColumns({
         "surface_total": surface,
         "type_housing": tx.classify_by_keywords(["title", "description"], fallback="property_type"),
         "bathrooms": fill_from("bathrooms", [(tx.digit_or_word_count("description_adj"), None)]),
         **{name: tx.fuzzy_contains("description_adj", words) for name, words in fv.AMENITY_WORDS.items()},
-    }).drop("_context")
+    }).drop("_context", "_label", "_mined", "_area")
 
 
 @dataclass(frozen=True)
