@@ -200,6 +200,17 @@ def _(spark, sf):
 
 # --- folds -------------------------------------------------------------------------------------
 
+
+
+def cuts(cells: str, mark: str, k: int = 5) -> str:
+    """Common table expressions that give each block its run of the k equal runs in mark order."""
+    wanted = ", ".join(f"cast(ceil(n * {j} / {k}.0) as bigint)" for j in range(1, k))
+    return f"""m as (select cx, cy, {mark} as mark from (select distinct cx, cy from {cells})),
+    o as (select mark, row_number() over (order by mark) as r, count(*) over () as n from m),
+    t as (select mark from o where r in ({wanted})),
+    f as (select cx, cy, cast((select count(*) from t where t.mark < m.mark) as integer) as fold from m)"""
+
+
 DEAL = "(cx * 7919 + cy * 104729 + 15485863) % 10007"
 
 
@@ -207,7 +218,7 @@ DEAL = "(cx * 7919 + cy * 104729 + 15485863) % 10007"
     e as (select min(x) as x0, min(y) as y0, (max(x) - min(x)) / 10 as w, (max(y) - min(y)) / 10 as h from pts),
     c as (select id, cast(least(floor((x - (select x0 from e)) / (select w from e)), 9) as bigint) as cx,
       cast(least(floor((y - (select y0 from e)) / (select h from e)), 9) as bigint) as cy from pts),
-    f as (select cx, cy, (row_number() over (order by {DEAL}, cx, cy) - 1) % 5 as fold from (select distinct cx, cy from c))
+    {cuts('c', DEAL)}
     select id, cx, cy, cast(fold as integer) as fold from c join f using (cx, cy)""")
 def _(spark, sf):
     cells = rs.square_cells(derive(spark, sf, "pts"))
@@ -221,8 +232,7 @@ HEX = """
     c as (select *, abs(rq - q) as dq, abs(rr - r) as dr, abs(rs - (-q - r)) as ds from b),
     hex as (select id, x, y, cast(case when dq > dr and dq > ds then -rr - rs else rq end as bigint) as cx,
       cast(case when not (dq > dr and dq > ds) and dr > ds then -rq - rs else rr end as bigint) as cy from c),
-    f as (select cx, cy, cast((row_number() over (order by (cx * 7919 + cy * 104729 + 15485863000) % 10007, cx, cy) - 1) % 5
-      as integer) as fold from (select distinct cx, cy from hex))"""
+    """ + cuts("hex", "(cx * 7919 + cy * 104729 + 15485863000) % 10007")
 HEX_DEAL = "(cx * 7919 + cy * 104729 + 15485863000) % 10007"
 
 
@@ -233,13 +243,13 @@ def _(spark, sf):
 
 
 @query("buffered_fold_roles", cte("pts") + "," + HEX + """,
-    o as (select id, x, y, fold, floor(x/600.0) as gx, floor(y/600.0) as gy from hex join f using (cx, cy)),
-    n as (select id, x, y, fold, gx + i as gx, gy + j as gy from o
+    rows_ as (select id, x, y, fold, floor(x/600.0) as gx, floor(y/600.0) as gy from hex join f using (cx, cy)),
+    n as (select id, x, y, fold, gx + i as gx, gy + j as gy from rows_
       cross join (select unnest([-1, 0, 1]) as i) cross join (select unnest([-1, 0, 1]) as j)),
-    close as (select distinct a.id, b.fold from o a join n b on a.gx = b.gx and a.gy = b.gy and a.fold <> b.fold
+    close as (select distinct a.id, b.fold from rows_ a join n b on a.gx = b.gx and a.gy = b.gy and a.fold <> b.fold
       and (a.x-b.x)*(a.x-b.x) + (a.y-b.y)*(a.y-b.y) <= 360000)
     select o.id, cast(k.k as integer) as fold, case when o.fold = k.k then 'test' else 'train' end as role
-    from o cross join (select unnest([0, 1, 2, 3, 4]) as k) k
+    from rows_ o cross join (select unnest([0, 1, 2, 3, 4]) as k) k
     left join close c on c.id = o.id and c.fold = k.k where c.id is null""")
 def _(spark, sf):
     cells = rs.hexagon_cells(derive(spark, sf, "pts"), 1200)

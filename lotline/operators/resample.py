@@ -8,7 +8,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotline.operators import grid
@@ -17,7 +17,6 @@ from lotline.operators.skew import skew_join
 from lotline.operators.spatial import _point_d2
 from lotline.staging import stage
 
-MAX_RANKED_CELLS = 1_000_000
 
 
 def random_mark(keys: Sequence[str], seed: int) -> Column:
@@ -103,20 +102,19 @@ def hexagon_cells(df: DataFrame, size: float, x: str = "x", y: str = "y") -> Dat
 
 
 def block_folds(df: DataFrame, k: int, order: Column | None = None, seed: int = 0) -> DataFrame:
-    """Add `fold` 0..k-1: blocks (cx, cy) dealt out in a random order, so folds get equally many blocks.
+    """Add `fold` 0..k-1: blocks (cx, cy) in a random order, cut into k runs of equally many blocks.
 
-    Blocks number as many as the map has cells. Beyond a million the order is no longer ranked and
-    the random mark itself deals them out.
+    The cuts are k-1 exact order statistics of the random mark, so the fold of a row is a plain
+    expression: no ranking of the blocks, no join back.
     """
-    mark = F.xxhash64(F.lit(seed), "cx", "cy") if order is None else order
-    cells = stage(df.where("cx is not null").groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n")), "blocks")
-    if cells.count() <= MAX_RANKED_CELLS:
-        rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(mark, "cx", "cy"))
-        fold = (rank - 1) % k
-    else:
-        fold = F.pmod(mark, F.lit(k))
-    folds = cells.select("cx", "cy", fold.cast("int").alias("fold"))
-    return skew_join(df, folds, ["cx", "cy"], "left")
+    mark = random_mark(["cx", "cy"], seed) if order is None else order
+    blocks = stage(df.where("cx is not null").select("cx", "cy").distinct(), "blocks")
+    found, _ = order_statistics(
+        blocks, {"mark": mark}, lambda _, n: [math.ceil(n * j / k) - 1 for j in range(1, k)]
+    )
+    cuts = sorted(found["mark"].values())
+    fold = sum(((mark.cast("double") > F.lit(c)).cast("int") for c in cuts), F.lit(0))
+    return df.withColumn("fold", F.when(F.col("cx").isNotNull(), fold))
 
 
 def balanced_block_folds(
@@ -128,15 +126,14 @@ def balanced_block_folds(
     one aggregate over the block counts.
     """
     deal = deal or (lambda t: F.pmod(F.xxhash64(t, F.col("cx"), F.col("cy")), F.lit(k)))
-    cells = stage(df.where("cx is not null").groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n")), "blocks")
-    attempt = cells.withColumn("try", F.explode(F.sequence(F.lit(0), F.lit(tries - 1))))
+    blocks = df.where("cx is not null").groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))
+    attempt = blocks.withColumn("try", F.explode(F.sequence(F.lit(0), F.lit(tries - 1))))
     sizes = attempt.groupBy("try", deal(F.col("try")).alias("fold")).agg(F.sum("n").alias("n"))
-    # empty folds count as size 0: the spread follows from the sum of squares
-    spread = sizes.groupBy("try").agg(F.sum(F.col("n") * F.col("n")).alias("sq"))
+    # the sizes of a try add up to all rows, so the most even try has the least sum of squares
+    spread = sizes.groupBy("try").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("sq"))
     best = spread.orderBy("sq", "try").limit(1).head()
     chosen = F.lit(0 if best is None else best["try"])
-    folds = cells.select("cx", "cy", deal(chosen).cast("int").alias("fold"))
-    return skew_join(df, folds, ["cx", "cy"], "left")
+    return df.withColumn("fold", F.when(F.col("cx").isNotNull(), deal(chosen).cast("int")))
 
 
 def fold_roles(
