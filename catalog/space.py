@@ -9,6 +9,7 @@ from catalog.registry import query
 from lotline.functions import geo
 from lotline.operators import resample as rs
 from lotline.operators import spatial as sp
+from lotline.staging import stage
 
 
 def zone_edges(spark, sf):
@@ -181,7 +182,7 @@ def _(spark, sf):
     rings = zone_rings(spark, sf)
     attrs = rings.select("poly_id", F.expr("nullif(cast(val as bigint), 6)").alias("val"))
     edges = sp.edge_table(rings)
-    joined = sp.point_in_polygon_join(derive(spark, sf, "pts").drop("z"), edges, attrs).drop("poly_id")
+    joined = stage(sp.point_in_polygon_join(derive(spark, sf, "pts").drop("z"), edges, attrs).drop("poly_id"))
     return sp.fill_from_nearest_polygon(joined, edges, attrs, "val", 150).select("id", "val")
 
 

@@ -200,7 +200,7 @@ def _with_rows(candidates: DataFrame, b: DataFrame, found: Descent, columns: Seq
     """Candidates joined with the rows of their cells; `b` columns get the prefix b_."""
     i, j = found.frame.cell(found.level)
     rows = b.select(i.alias("bi"), j.alias("bj"), found.group().alias("bg"), *[F.col(c).alias(f"b_{c}") for c in columns])
-    return skew_join(candidates, rows, B_KEY, "inner", hot=_hot(found, B_KEY, F.sum("an")))
+    return skew_join(candidates, rows, B_KEY, "inner", hot=_hot(found, B_KEY, F.sum("an")), spread=True)
 
 
 def nearest(
@@ -231,6 +231,7 @@ def nearest(
 def weight_within(
     a: Side, b: Side, radius: float, distance2: Column,
     keys: Sequence[str] = BOX, columns: Sequence[str] = (), apart: str | None = None,
+    sift: Callable | None = None,
 ) -> DataFrame:
     """For each row of `a` (told apart by `keys`): total weight w of `b` rows within the radius.
 
@@ -243,11 +244,11 @@ def weight_within(
         bg = F.lit(0) if apart is None else F.col(apart)
         return a.select(*keys, bg.alias("bg"), F.lit(0).cast("long").alias("w")).limit(0)
 
-    def sift(pairs):
+    def decided_by_pair(pairs):
         reach = pairs.where(F.col("near2") <= r2)
         return reach.where(F.col("far2") > r2), reach.where(F.col("far2") <= r2)
 
-    found = _descend(a, b, frame, sift, apart)
+    found = _descend(a, b, frame, sift or decided_by_pair, apart)
     near = _row_candidates(a, found).where(F.col("near2") <= r2)
     exact = (
         _with_rows(near.where(F.col("far2") > r2).drop("w", "bw", *B_BOX), b, found, ["w", *columns])
@@ -261,6 +262,27 @@ def weight_within(
     return total.groupBy(*keys, "bg").agg(F.sum("w").cast("long").alias("w"))
 
 
+def any_within(
+    a: Side, b: Side, radius: float, distance2: Column,
+    keys: Sequence[str] = BOX, columns: Sequence[str] = (), apart: str | None = None,
+) -> DataFrame:
+    """Rows of `a` (and values bg of `apart`) with at least one row of `b` within the radius.
+
+    One cell that lies wholly within the radius settles all rows of a cell of `a`, and cells that
+    cannot hold the nearest row are dropped, so far fewer pairs stay open than in a count.
+    """
+    r2 = float(radius) ** 2
+
+    def sift(pairs):
+        reach = F.min("far2").over(Window.partitionBy(*A_KEY, "bg"))
+        close = pairs.where(F.col("near2") <= r2).withColumn("reach", reach)
+        settled = (F.col("reach") <= r2) & (F.col("far2") == F.col("reach"))
+        return close.where((F.col("reach") > r2) & (F.col("near2") <= F.col("reach"))), close.where(settled)
+
+    found = weight_within(a, b, radius, distance2, keys, columns, apart, sift)
+    return found.select(*keys, "bg")
+
+
 def _whole_weights(a: DataFrame, found: Descent, keys: Sequence[str]) -> DataFrame:
     """Weights counted by whole cells, brought down to the last level and on to the rows."""
     i, j = found.frame.cell(found.level)

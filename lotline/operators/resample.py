@@ -153,7 +153,7 @@ def fold_roles(
     spots = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*at, "fold").agg(F.count(F.lit(1)).alias("w"))
     side = grid.make_side(spots.select(
         "x1", "y1", F.col("x1").alias("x2"), F.col("y1").alias("y2"), "w", "fold"), "spots")
-    near = grid.weight_within(side, side, buffer, _point_d2(), ["x1", "y1", "fold"], ["x1", "y1"], apart="fold")
+    near = grid.any_within(side, side, buffer, _point_d2(), ["x1", "y1", "fold"], ["x1", "y1"], apart="fold")
     close = near.select(
         F.col("x1").alias("px"), F.col("y1").alias("py"), F.col("fold").alias("own"), F.col("bg").alias("fold"))
     test = roles.where("role = 'test'")

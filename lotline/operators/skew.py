@@ -50,12 +50,15 @@ def skew_join(
     share: float = HOT_SHARE,
     hot: Sequence[int] | None = None,
     rows: int | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """Equi-join with the hot keys of `left` spread over many tasks.
 
     `how` is inner, left, left_semi or left_anti: those decide each left row by itself, so the
     left side may be sliced. With `null_safe`, null keys match each other. `hot` or `rows` (of the
-    left side), where known, save the search for hot keys.
+    left side), where known, save the search for hot keys. `spread` is for joins that make many
+    pairs out of few bytes: the left side is hash-partitioned on the join keys into the full number
+    of shuffle partitions, which a sort-merge join needs anyway and small-partition merging would undo.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot slice the left side of a {how} join")
@@ -72,6 +75,9 @@ def skew_join(
         copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(slices - 1))).otherwise(F.array(F.lit(0)))
         right = right.withColumn("_slice", F.explode(copies))
         match_on.append("_slice")
+    if spread:
+        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        left = left.repartition(partitions, *match_on)
     if null_safe:
         names = {c: f"_r_{c}" for c in match_on}
         right = right.withColumnsRenamed(names)

@@ -6,7 +6,7 @@ and brings the answer back by the coordinates, so many listings at one place cos
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,28 +37,56 @@ def _point_d2() -> Column:
     return squared_distance("x1", "y1", "b_x1", "b_y1")
 
 
+def nearest_by_place(at: grid.Side, layer: DataFrame, name: str, x: str = "x", y: str = "y") -> DataFrame:
+    """(px, py, name): distance from each place to the nearest point of the layer."""
+    best = grid.nearest(at, grid.make_side(places(layer, x, y), "layer"), _point_d2(), [], ["x1", "y1"])
+    return best.select(F.col("x1").alias("px"), F.col("y1").alias("py"), F.sqrt("best.d2").alias(name))
+
+
+def count_by_place(
+    at: grid.Side, layer: DataFrame, radius: float, name: str, x: str = "x", y: str = "y"
+) -> DataFrame:
+    """(px, py, name): number of layer points within the radius of each place, where there are any."""
+    to = grid.make_side(places(layer, x, y), "layer")
+    near = grid.weight_within(at, to, radius, _point_d2(), columns=["x1", "y1"])
+    return near.select(F.col("x1").alias("px"), F.col("y1").alias("py"), F.col("w").alias(name))
+
+
 def nearest_distance(
     points: DataFrame, layer: DataFrame, name: str = "distance", x: str = "x", y: str = "y"
 ) -> DataFrame:
     """Add the distance to the nearest point of the layer."""
-    at, to = grid.make_side(places(points, x, y)), grid.make_side(places(layer, x, y), "layer")
-    best = grid.nearest(at, to, _point_d2(), [], ["x1", "y1"])
-    found = best.select(
-        F.col("x1").alias("px"), F.col("y1").alias("py"), F.sqrt("best.d2").alias(name)
-    )
-    return _attach(points, found, at, x, y)
+    return with_point_layers(points, {name: layer}, {}, x, y)
 
 
 def count_within(
     points: DataFrame, layer: DataFrame, radius: float, name: str = "count", x: str = "x", y: str = "y"
 ) -> DataFrame:
     """Add the number of layer points within the radius, rim included; 0 where there are none."""
-    at, to = grid.make_side(places(points, x, y)), grid.make_side(places(layer, x, y), "layer")
-    near = grid.weight_within(at, to, radius, _point_d2(), columns=["x1", "y1"])
-    found = near.select(F.col("x1").alias("px"), F.col("y1").alias("py"), F.col("w").alias(name))
+    return with_point_layers(points, {}, {name: (layer, radius)}, x, y)
+
+
+def with_point_layers(
+    points: DataFrame, nearest: Mapping[str, DataFrame], within: Mapping[str, tuple[DataFrame, float]],
+    x: str = "x", y: str = "y",
+) -> DataFrame:
+    """Add nearest distances and counts for several layers at once.
+
+    Places are made once, the answers are put together per place, and the rows are joined once.
+    """
+    at = grid.make_side(places(points, x, y))
+    answers = [nearest_by_place(at, layer, name, x, y) for name, layer in nearest.items()]
+    answers += [count_by_place(at, layer, r, name, x, y) for name, (layer, r) in within.items()]
+    found = answers[0]
+    if len(answers) > 1:
+        found = at.df.select(F.col("x1").alias("px"), F.col("y1").alias("py"))
+        for answer in answers:
+            found = found.join(answer, ["px", "py"], "left")
     known = F.col(x).isNotNull() & F.col(y).isNotNull()
+    zero = F.lit(0).cast("long")
+    counts = {name: F.when(known, F.coalesce(F.col(name), zero)) for name in within}
     out = _attach(points, found, at, x, y)
-    return out.withColumn(name, F.when(known, F.coalesce(F.col(name), F.lit(0).cast("long"))))
+    return out.withColumns(counts) if counts else out
 
 
 def fill_from_nearest_known(
@@ -191,7 +219,8 @@ def containment(at: grid.Side, edges: DataFrame, key: str = "poly_id") -> DataFr
     crossed = F.count_if(crosses_ray(*ends)) % 2 == 1
     touched = F.max(on_segment(*ends))
     return (
-        skew_join(candidates, pieces, [key, "slab"], "inner", hot=_hot(candidates, at.rows, [key, "slab"]))
+        skew_join(candidates, pieces, [key, "slab"], "inner", spread=True,
+                  hot=_hot(candidates, at.rows, [key, "slab"]))
         .groupBy("px", "py", key)
         .agg((crossed | touched).alias("hit"))
         .where("hit")
@@ -255,7 +284,7 @@ def polygons_near(
 ) -> DataFrame:
     """Keys of polygons that touch the disc around at least one place."""
     distance2 = segment_squared_distance("b_x1", "b_y1", "ex1", "ey1", "ex2", "ey2")
-    near = grid.weight_within(
+    near = grid.any_within(
         grid.make_side(_edge_boxes(edges, [key]), "edges"), at, radius, distance2, keys=[key], columns=["x1", "y1"]
     ).select(key)
     inside = containment(at, edges, key) if inside is None else inside
@@ -328,7 +357,7 @@ def semivariogram(
     pairs = F.col("n") * F.col("b_n")
     squares = F.col("b_n") * F.col("q") + F.col("n") * F.col("b_q") - 2 * F.col("s") * F.col("b_s")
     hot = _hot(here, seen["rows"] * 10, ["cx", "cy"])
-    apart = skew_join(here, there, ["cx", "cy"], "inner", hot=hot).where(once).select(
+    apart = skew_join(here, there, ["cx", "cy"], "inner", hot=hot, spread=True).where(once).select(
         d.alias("d"), pairs.alias("np"), squares.alias("sq")
     ).where(F.col("d") <= cutoff)
     same = spots.where("n > 1").select(

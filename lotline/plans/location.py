@@ -41,18 +41,19 @@ def park_centroids(edges: DataFrame, attributes: DataFrame, key: str = "poly_id"
 
 
 def location_features(ads: DataFrame, layers: Layers, key: str = "property_id", poly: str = "poly_id") -> DataFrame:
-    """Key and one column per feature. The projected table is staged: each feature starts from it."""
+    """Key and one column per feature.
+
+    Point layers are answered together; the table is staged between steps that read it repeatedly.
+    """
     x, y = MAGNA_BOGOTA.forward("lon", "lat")
     base = stage(ads.select(key, x.alias("x"), y.alias("y")), "projected")
     out = base
-    for name, layer in layers.nearest.items():
-        out = sp.nearest_distance(out, layer, name)
+    if layers.nearest or layers.within:
+        out = stage(sp.with_point_layers(base, layers.nearest, layers.within), "features")
     if layers.appraisal:
         edges, attributes, column = layers.appraisal
         joined = sp.point_in_polygon_join(out, edges, attributes.select(poly, column), poly).drop(poly)
-        out = sp.fill_from_nearest_known(stage(joined, "appraisal"), column, key)
-    for name, (layer, radius) in layers.within.items():
-        out = sp.count_within(out, layer, radius, name)
+        out = stage(sp.fill_from_nearest_known(stage(joined, "appraisal"), column, key), "appraisal")
     if layers.stratum:
         edges, attributes, column = layers.stratum
         joined = sp.point_in_polygon_join(out, edges, attributes.select(poly, column), poly).drop(poly)

@@ -31,8 +31,8 @@ def read_listings(spark: SparkSession, path: str, schema: str | T.StructType = L
 
 
 def read_layer(spark: SparkSession, path: str, srid: int, schema: str | T.StructType | None = None) -> DataFrame:
-    """A point layer (id, attributes, x, y) or polygon layer (id, attributes, rings), with its
-    coordinate system as a column comment-like attribute `srid`."""
+    """A point layer (id, attributes, x, y) or polygon layer (id, attributes, rings), with the number
+    of its coordinate system in the column `srid`."""
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path).withColumn("srid", F.lit(srid))
 
