@@ -39,10 +39,11 @@ def _(spark, sf):
     return derive(spark, sf, "pts").select("id", F.col("x").cast("double"), F.col("y").cast("double"))
 
 
-def tm_sql(p: geo.TransverseMercator, lon: str, lat: str) -> tuple[str, str]:
-    e, t, d = repr(p._eccentricity), "sinh(atanh(sin(phi)) - {e} * atanh({e} * sin(phi)))", "dl"
-    t = t.replace("{e}", e)
-    xi, eta = f"atan2({t}, cos({d}))", f"atanh(sin({d}) / sqrt(1 + pow({t}, 2)))"
+def tm_sql(p: geo.TransverseMercator) -> tuple[str, str]:
+    """Easting and northing from phi and dl in radians."""
+    e = repr(p._eccentricity)
+    t = f"sinh(atanh(sin(phi)) - {e} * atanh({e} * sin(phi)))"
+    xi, eta = f"atan2({t}, cos(dl))", f"atanh(sin(dl) / sqrt(1 + pow({t}, 2)))"
     north = " + ".join([xi, *[f"{a!r} * sin({2*j} * {xi}) * cosh({2*j} * {eta})" for j, a in enumerate(p._alpha, 1)]])
     east = " + ".join([eta, *[f"{a!r} * cos({2*j} * {xi}) * sinh({2*j} * {eta})" for j, a in enumerate(p._alpha, 1)]])
     return (f"{p.false_easting!r} + {p._radius!r} * ({east})",
@@ -50,7 +51,7 @@ def tm_sql(p: geo.TransverseMercator, lon: str, lat: str) -> tuple[str, str]:
 
 
 def projected_sql(p) -> str:
-    x, y = tm_sql(p, "lon", "lat")
+    x, y = tm_sql(p)
     return cte("lonlat") + f"""select id, round({x}, 3) as x, round({y}, 3) as y from (
       select id, radians(lat) as phi, radians(lon - ({p.lon0!r})) as dl from lonlat)"""
 
@@ -98,9 +99,6 @@ def _(spark, sf):
     return out.select("poly_id", *[F.round(c, 4).alias(c) for c in ("x", "y", "area")])
 
 
-EDGES_WITH_ORIGIN = ("zones", "edges")
-
-
 def edges_cte() -> str:
     return cte("pts", "zones", "edges").replace("select zid, val,", "select zid, val, ox, oy,")
 

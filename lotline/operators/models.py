@@ -16,7 +16,7 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.functions.columns import TARGET_TRANSFORMS
@@ -32,13 +32,10 @@ def coefficient_table(model, names: Sequence[str]) -> DataFrame:
     s = model.summary
     values = [*[float(c) for c in model.coefficients], float(model.intercept)]
     rows = list(zip([*names, "(Intercept)"], values, s.coefficientStandardErrors, s.tValues, s.pValues))
-    return SparkRows(rows, "term string, estimate double, std_error double, t double, p double")
-
-
-def SparkRows(rows, schema) -> DataFrame:
-    from pyspark.sql import SparkSession
-
-    return SparkSession.active().createDataFrame([tuple(r) for r in rows], schema)
+    spark = SparkSession.active()
+    return spark.createDataFrame(
+        [tuple(r) for r in rows], "term string, estimate double, std_error double, t double, p double"
+    )
 
 
 def elastic_net(penalty: float, mixture: float, label="label", features="features") -> LinearRegression:

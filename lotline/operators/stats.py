@@ -168,7 +168,6 @@ def chi_square_test(df: DataFrame, category: str, group: str) -> DataFrame:
     rows = counts.groupBy(category).agg(F.sum("o").alias("row_total"))
     cols = counts.groupBy(group).agg(F.sum("o").alias("col_total"))
     total = counts.agg(F.sum("o")).scalar()
-    shape = counts.agg(F.countDistinct(category).alias("r"), F.countDistinct(group).alias("c"))
     # sum over cells of o^2/e needs only the cells that occur; the absent ones add -e each,
     # which the total already has: sum((o-e)^2/e) = sum(o^2/e) - n
     e = F.col("row_total") * F.col("col_total") / F.col("n")

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lotline import fixed_values as fv
 from lotline.functions.columns import drop_null_rows, not_in, within_box
