@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotline.llm import bpe, licenses, simhash
+from lotline.llm import bpe, langid, licenses, simhash
 from lotline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,8 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op7_license_scan"] = licenses.scan_sql()
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
