@@ -198,31 +198,36 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary, text string")
 
 
-def round_trip_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
+def round_trip_digests(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, spans_cover): each text encoded, spanned and decoded.
 
     The digests are of the decimal ids joined by spaces and of the decoded bytes. spans_cover says that
-    the character spans cover the text without a gap. Null texts count as empty.
+    the character spans cover the text without a gap. `with_ids` adds the ids. Null texts count as empty;
+    repeated rows give repeated results.
     """
     path = path or public_tokenizers.path(RANKS)
     small_batches(docs.sparkSession)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_cover"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = [str(i).encode() for i in range(len(_vocabulary(path)))]
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            rows = []
-            for text, ids in zip(texts, encode(texts, path)):
-                starts, ends = char_spans(text, ids, path)
-                whole = not ids and not text or bool(
-                    ids and starts[0] == 0 and ends[-1] == len(text) and (starts[1:] <= ends[:-1]).all()
-                )
-                line = b" ".join(map(name.__getitem__, ids))
-                rows.append((len(ids), hashlib.sha256(line).hexdigest(), hashlib.sha256(decode(ids, path)).hexdigest(), whole))
-            n, line, raw, whole = zip(*rows) if rows else ((), (), (), ())
-            arrays = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(line, pa.string()), pa.array(raw, pa.string()), pa.array(whole, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_cover"])
-
-    return id_and_text(docs).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_cover boolean"
-    )
+            encoded = encode(texts, path)
+            lines = [hashlib.sha256(b" ".join(map(name.__getitem__, ids))).hexdigest() for ids in encoded]
+            raw = [hashlib.sha256(decode(ids, path)).hexdigest() for ids in encoded]
+            whole = [_covers(t, *char_spans(t, ids, path)) for t, ids in zip(texts, encoded)]
+            arrays = [
+                batch.column("doc_id"), pa.array([len(ids) for ids in encoded], pa.int64()), pa.array(lines, pa.string()),
+                pa.array(raw, pa.string()), pa.array(whole, pa.bool_()), *([pa.array(encoded, pa.list_(pa.int32()))] * with_ids),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    kinds = ["long", "long", "string", "string", "boolean", "array<int>"]
+    return id_and_text(docs).mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+
+
+def _covers(text: str, starts: np.ndarray, ends: np.ndarray) -> bool:
+    if not len(starts):
+        return not text
+    return bool(starts[0] == 0 and ends[-1] == len(text) and (starts[1:] <= ends[:-1]).all())

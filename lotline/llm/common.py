@@ -35,4 +35,4 @@ def fold_of(doc_id: Column, folds: int) -> Column:
 
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """Bytes of all texts: one scan that moves one number per task."""
-    return int(docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).scalar() or 0)
+    return int(docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).head()[0] or 0)
