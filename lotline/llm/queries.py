@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotline.llm import bpe, decontaminate, langid, licenses, quality, simhash, toxicity
+from lotline.llm import bpe, decontaminate, langid, licenses, omh, quality, simhash, toxicity
 from lotline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,11 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 SQL["op7_license_scan"] = licenses.scan_sql()
 
 
+@query
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return omh.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
