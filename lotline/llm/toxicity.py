@@ -40,6 +40,8 @@ MIN_DOCS = 4
 MIN_PRECISION = 0.8
 STEMS = range(4, 8)
 MAX_ENTRIES = 20_000
+# distinct terms that a task counts before it hands them on
+HELD_TERMS = 50_000
 
 
 def folded_words(text: str) -> list[str]:
@@ -117,6 +119,13 @@ def _terms(words: list[str]) -> set[str]:
     return {w for w in distinct if len(w) > 2} | {f"{w[:n]}*" for w in distinct for n in STEMS if len(w) > n}
 
 
+def _term_rows(counts: dict[int, Counter]) -> pa.RecordBatch:
+    clean, toxic = counts[0], counts[1]
+    terms = [*toxic.keys() | clean.keys()]
+    arrays = [pa.array(terms, pa.string()), pa.array([toxic[t] for t in terms], pa.int64()), pa.array([clean[t] for t in terms], pa.int64())]
+    return pa.RecordBatch.from_arrays(arrays, ["term", "toxic", "clean"])
+
+
 def _labelled(docs: DataFrame, labels: DataFrame, train: Column, fit_docs: int) -> DataFrame:
     """(text, y) of a bounded, evenly spread sample of the training rows with a label."""
     known = labels.where("toxic is not null").groupBy(F.col("doc_id").alias("_label_id")).agg(F.max("toxic").cast("int").alias("y"))
@@ -143,12 +152,13 @@ def learn_lexicon(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic, clean = Counter(), Counter()
+            counts = {0: Counter(), 1: Counter()}
             for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
-                (toxic if y else clean).update(_terms(folded_words(text)))
-            terms = [*toxic.keys() | clean.keys()]
-            arrays = [pa.array(terms, pa.string()), pa.array([toxic[t] for t in terms], pa.int64()), pa.array([clean[t] for t in terms], pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["term", "toxic", "clean"])
+                counts[y].update(_terms(folded_words(text)))
+                if len(counts[0]) + len(counts[1]) > HELD_TERMS:
+                    yield _term_rows(counts)
+                    counts = {0: Counter(), 1: Counter()}
+            yield _term_rows(counts)
 
     total = sample.agg(F.count_if(F.col("y") == 1).alias("toxic"), F.count_if(F.col("y") == 0).alias("clean")).head()
     if not total["toxic"]:
