@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotline.llm import bpe, decontaminate, langid, licenses, omh, quality, simhash, toxicity
+from lotline.llm import bpe, decontaminate, langid, licenses, omh, quality, shards, simhash, toxicity
 from lotline.llm.common import table
+from lotline.staging import stage_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,6 +35,13 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.learn_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{stage_root(spark).rstrip('/')}/shards-{uuid.uuid4().hex}"
+    layout = shards.materialise(table(spark, sf_dir, "documents"), path)
+    return shards.digests(shards.read_sequences(spark, path, layout))
+
+
 @query
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"))
