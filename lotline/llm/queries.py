@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotline.llm import bpe, decontaminate, langid, licenses, omh, quality, shards, simhash, toxicity
+from lotline.llm import bpe, decontaminate, langid, licenses, omh, pitman_yor, quality, shards, simhash, toxicity
 from lotline.llm.common import table
 from lotline.staging import stage_root
 
@@ -42,6 +42,11 @@ def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.digests(shards.read_sequences(spark, path, layout))
 
 
+@query
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"))
