@@ -18,13 +18,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotline.operators.skew import HOT_SHARE, hot_from_counts, skew_join
+from lotline.operators.skew import hot_from_counts, skew_join
 from lotline.staging import stage, stage_observed
 
-FIRST_LEVEL = 3
+FIRST_LEVEL = 4
+STEP = 2
 LAST_LEVEL = 26
 PAIRS_PER_ROW = 32
-SMALL_WORK = 5_000_000
 
 BOX = ["x1", "y1", "x2", "y2"]
 
@@ -60,12 +60,9 @@ class Side:
     def rows(self) -> int:
         return self.seen["n"] or 0
 
-    def hot(self, keys: Sequence[str] = ("x1", "y1"), share: float = HOT_SHARE) -> list[int]:
-        """Hashes of places with a large share of the weight."""
-        if not self.rows or self.seen["wmax"] < share * self.seen["wsum"]:
-            return []
-        hot = self.df.where(F.col("w") >= share * self.seen["wsum"]).select(F.xxhash64(*keys).alias("h"))
-        return [r["h"] for r in hot.limit(int(1 / share) + 1).collect()]
+    def hot(self) -> DataFrame:
+        """(x1, y1) of the places with a large share of the rows, as of `hot_keys`."""
+        return hot_from_counts(self.df, ["x1", "y1"], "w")
 
 
 def make_side(df: DataFrame, name: str = "places") -> Side:
@@ -174,15 +171,13 @@ def _descend(a: DataFrame, b: DataFrame, frame: Frame, sift: Callable, apart: st
         work = seen["work"] or 0.0
         if work <= PAIRS_PER_ROW * frame.rows or level >= LAST_LEVEL:
             return Descent(frame, level, pairs, whole, work, apart)
-        level, step = level + 1, 1
+        step = min(STEP, LAST_LEVEL - level)
+        level += step
 
 
-def _hot(found: Descent, keys: Sequence[str], weight: Column) -> list[int]:
-    """Hot cells among the undecided pairs; not looked for when one task could do all the work."""
-    if found.work <= SMALL_WORK:
-        return []
-    counts = found.pairs.groupBy(*keys).agg(weight.alias("n"))
-    return hot_from_counts(counts, keys, "n")
+def _hot(found: Descent, keys: Sequence[str], weight: Column) -> DataFrame:
+    """Hot cells among the undecided pairs."""
+    return hot_from_counts(found.pairs.groupBy(*keys).agg(weight.alias("n")), keys, "n")
 
 
 def _row_candidates(a: DataFrame, found: Descent) -> DataFrame:
@@ -295,9 +290,7 @@ def _whole_weights(a: DataFrame, found: Descent, keys: Sequence[str]) -> DataFra
         part = below.join(weights, ["ki", "kj", "ag"]).drop("ki", "kj")
         base = part if base is None else base.unionByName(part)
     base = base.groupBy(*A_KEY, "bg").agg(F.sum("w").alias("w"), F.max("an").alias("an"))
-    hot = []
-    if found.frame.rows > SMALL_WORK:
-        base = stage(base, "whole")
-        hot = hot_from_counts(base.groupBy(*A_KEY).agg(F.max("an").alias("an")), A_KEY, "an")
+    base = stage(base, "whole")
+    hot = hot_from_counts(base.groupBy(*A_KEY).agg(F.max("an").alias("an")), A_KEY, "an")
     rows = a.select(*keys, i.alias("ai"), j.alias("aj"), found.group().alias("ag"))
     return skew_join(rows, base.drop("an"), A_KEY, "inner", hot=hot).select(*keys, "bg", "w")

@@ -1,8 +1,9 @@
 """Joins that stay balanced when a few keys hold a large share of the rows.
 
-Hot keys are found by one pass of Spark's frequent-item sketch over the key hash: no shuffle, and
-at most 1/share candidates come back. Only rows of hot keys get a salt, and only the matching
-rows of the other side are repeated, so an even table pays nothing but the sketch.
+A key is hot when it has more rows than an even share of one task. Hot keys are counted exactly, by an
+aggregate of the keys alone; there are at most as many as shuffle partitions, so their table is
+broadcast. Only rows of hot keys are dealt to slices, as many as their count asks for, and only the matching
+rows of the other side are repeated. Both sides are compared in their common type, as a plain join does.
 """
 
 from __future__ import annotations
@@ -13,32 +14,61 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.02
-# tables known to have no more rows than this fit in one task, so their keys need no spreading
-SMALL_ROWS = 1_000_000
+SLICES = "_slices"
+_STORED = {"Project", "Filter", "Relation", "LogicalRDD", "LocalRelation", "Range", "SubqueryAlias"}
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the key values that may hold at least `share` of the rows.
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    At most 1/share of them; the sketch misses none and may name some rarer ones, which then are
-    sliced too, at little cost.
+
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, _slices): keys with more rows than an even share of a task, and into how many slices to deal them."""
+    return hot_from_counts(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, "_n")
+
+
+def hot_from_counts(counts: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
+    """The same from a table that has one row per key and its number of rows.
+
+    Nothing runs here: the limit is a subquery of the plan that uses the table. Since every hot key has over one
+    share of all rows, there are fewer of them than shares.
     """
-    hashed = df.select(F.xxhash64(*keys).alias("h"))
-    return sorted(hashed.stat.freqItems(["h"], support=share).head()[0] or [])
+    parts = _partitions(counts)
+    share = counts.agg(F.greatest(F.sum(weight) / parts, F.lit(1.0))).scalar()
+    slices = F.least(F.ceil(F.col(weight) / share), F.lit(parts)).cast("int")
+    return counts.where(F.col(weight) > share).select(*keys, slices.alias(SLICES))
+
 
+def reads_stored_rows(df: DataFrame) -> bool:
+    """Whether the rows come straight from a stored table, so that a retry sees them in the same order."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = [line.lstrip(" :+-").split("[")[0].split("(")[0].split() for line in plan.splitlines()]
+    return all(n[0] in _STORED for n in nodes if n)
 
-def hot_from_counts(counts: DataFrame, keys: Sequence[str], weight: str, share: float = HOT_SHARE) -> list[int]:
-    """The same from a table that has one row per key and its number of rows."""
-    total = counts.agg(F.sum(weight)).scalar()
-    hot = counts.where(F.col(weight) >= share * total).select(F.xxhash64(*keys).alias("h"))
-    return [r["h"] for r in hot.limit(int(1 / share) + 1).collect()]
 
+def row_salt(df: DataFrame) -> Column:
+    """A number per row that deals rows evenly and is the same on a retry.
 
-def row_salt(df: DataFrame, slices: int) -> Column:
-    """Slice number of a row: same row in the same input partition, same slice, also on a retry."""
+    Rows of a stored table are numbered as they are read, so equal rows part too. Elsewhere it is a
+    hash of the row and its partition.
+    """
+    if reads_stored_rows(df):
+        return F.monotonically_increasing_id()
     plain = [c for c, t in df.dtypes if not t.startswith(("map", "variant"))]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in plain]), F.lit(slices))
+    return F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in plain])
+
+
+def _common_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> list[str]:
+    """The type in which each key is compared; analysis only."""
+    a = left.select(*[F.col(c).alias(f"l{i}") for i, c in enumerate(on)])
+    b = right.select(*[F.col(c).alias(f"r{i}") for i, c in enumerate(on)])
+    both = a.join(b, F.lit(False), "full").select(*[F.coalesce(f"l{i}", f"r{i}").alias(f"k{i}") for i in range(len(on))])
+    return [t for _, t in both.dtypes]
+
+
+def _equal(a: Sequence[str], b: Sequence[str], null_safe: bool) -> Column:
+    one = (lambda x, y: F.col(x).eqNullSafe(F.col(y))) if null_safe else (lambda x, y: F.col(x) == F.col(y))
+    return reduce(lambda x, y: x & y, [one(x, y) for x, y in zip(a, b)])
 
 
 def skew_join(
@@ -47,48 +77,41 @@ def skew_join(
     on: Sequence[str],
     how: str = "left",
     null_safe: bool = False,
-    share: float = HOT_SHARE,
-    hot: Sequence[int] | None = None,
-    rows: int | None = None,
+    hot: DataFrame | None = None,
     spread: bool = False,
 ) -> DataFrame:
     """Equi-join with the hot keys of `left` spread over many tasks.
 
     `how` is inner, left, left_semi or left_anti: those decide each left row by itself, so the
-    left side may be sliced. With `null_safe`, null keys match each other. `hot` or `rows` (of the
-    left side), where known, save the search for hot keys. `spread` is for joins that make many
+    left side may be sliced. With `null_safe`, null keys match each other. `hot`, a table as
+    of `hot_keys` where one is at hand, saves counting the keys of `left`. `spread` is for joins that make many
     pairs out of few bytes: the left side is hash-partitioned on the join keys into the full number
     of shuffle partitions, which a sort-merge join needs anyway and small-partition merging would undo.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot slice the left side of a {how} join")
-    on = list(on)
-    if hot is None:
-        hot = [] if rows is not None and rows <= SMALL_ROWS else hot_keys(left, on, share)
-    match_on = list(on)
-    if hot:
-        slices = max(8, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 2)
-        is_hot = F.xxhash64(*on).isin(hot)
-        left = left.withColumn(
-            "_slice", F.when(is_hot, row_salt(left, slices)).otherwise(F.lit(0)).cast("int")
-        )
-        copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(slices - 1))).otherwise(F.array(F.lit(0)))
-        right = right.withColumn("_slice", F.explode(copies))
-        match_on.append("_slice")
+    on, own = list(on), left.columns
+    kinds = _common_types(left, right, on)
+    lk, rk, hk = ([f"_{side}{i}" for i in range(len(on))] for side in "lrh")
+    salt = row_salt(left)
+    left = left.withColumns({n: F.col(c).cast(t) for n, c, t in zip(lk, on, kinds)})
+    right = right.withColumns({n: F.col(c).cast(t) for n, c, t in zip(rk, on, kinds)}).drop(*on)
+    hot = hot_keys(left, lk).toDF(*hk, SLICES) if hot is None else hot.select(
+        *[F.col(c).cast(t).alias(n) for n, c, t in zip(hk, on, kinds)], SLICES
+    )
+    hot = F.broadcast(hot)
+    # a null key matches no row of the other side, but its rows have to be dealt out as well
+    dealt = F.when(F.col(SLICES).isNotNull(), F.pmod(F.col("_salt"), F.col(SLICES))).otherwise(0)
+    left = left.withColumn("_salt", salt).join(hot, _equal(lk, hk, True), "left")
+    left = left.withColumn("_ls", dealt.cast("int")).drop(*hk, SLICES, "_salt")
+    right = right.join(hot, _equal(rk, hk, null_safe), "left")
+    right = right.withColumn("_rs", F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SLICES), F.lit(1)) - 1))).drop(*hk, SLICES)
     if spread:
-        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        left = left.repartition(partitions, *match_on)
-    if null_safe:
-        names = {c: f"_r_{c}" for c in match_on}
-        right = right.withColumnsRenamed(names)
-        cond = reduce(
-            lambda a, b: a & b, [left[c].eqNullSafe(right[n]) for c, n in names.items()]
-        )
-        out = left.join(right, cond, how)
-        out = out.drop(*names.values())
-    else:
-        out = left.join(right, match_on, how)
-    return out.drop("_slice")
+        left = left.repartition(_partitions(left), *lk, "_ls")
+    out = left.join(right, _equal(lk, rk, null_safe) & (F.col("_ls") == F.col("_rs")), how)
+    if how in ("left_semi", "left_anti"):
+        return out.select(*own)
+    return out.select(*on, *[c for c in own if c not in on], *[c for c in right.columns if c not in (*rk, "_rs")])
 
 
 def outer_merge(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lotline.functions.geo import crosses_ray, on_segment, segment_squared_distance, squared_distance
 from lotline.operators import grid
-from lotline.operators.skew import HOT_SHARE, SMALL_ROWS, hot_from_counts, hot_keys, skew_join
+from lotline.operators.skew import SLICES, hot_from_counts, skew_join
 from lotline.staging import stage, stage_observed
 
 
@@ -30,7 +30,7 @@ def _attach(
 ) -> DataFrame:
     """Bring columns found per place (px, py) back to the rows; crowded places are spread out."""
     keyed = points.withColumns({"px": F.col(x).cast("double"), "py": F.col(y).cast("double")})
-    return skew_join(keyed, found, ["px", "py"], how, hot=at.hot()).drop("px", "py")
+    return skew_join(keyed, found, ["px", "py"], how, hot=at.hot().toDF("px", "py", SLICES)).drop("px", "py")
 
 
 def _point_d2() -> Column:
@@ -169,11 +169,6 @@ def _slab(y: Column | str) -> Column:
     return F.least(F.greatest(F.floor(F.coalesce(spot, F.lit(0.0))), F.lit(0)), F.col("slabs") - 1)
 
 
-def _hot(df: DataFrame, rows: int, keys: Sequence[str]) -> list[int]:
-    """Hot keys of a table whose size is known; none where one task could hold the whole of it."""
-    return hot_keys(df, keys) if rows > SMALL_ROWS else []
-
-
 def containment(at: grid.Side, edges: DataFrame, key: str = "poly_id") -> DataFrame:
     """(px, py, key) for every place (x1, y1) inside or on the rim of a polygon.
 
@@ -182,7 +177,7 @@ def containment(at: grid.Side, edges: DataFrame, key: str = "poly_id") -> DataFr
     candidate polygon a place then meets only the edges of its own horizontal slab.
     """
     slabs, seen = stage_observed(_slabs(edges, key), "polygons", {
-        "levels": F.collect_set("level"), "edges": F.sum("n"), "most": F.max("n"),
+        "levels": F.collect_set("level"),
     })
     levels = seen["levels"]
     if not levels:
@@ -201,15 +196,13 @@ def containment(at: grid.Side, edges: DataFrame, key: str = "poly_id") -> DataFr
     ).withColumns({"cx": number("px", F.col("level")), "cy": number("py", F.col("level"))})
     inside_box = F.col("px").between(F.col("bx1"), F.col("bx2")) & F.col("py").between(F.col("by1"), F.col("by2"))
     candidates = (
-        skew_join(looks, covered, ["level", "cx", "cy"], "inner", hot=_hot(looks, at.rows, ["level", "cx", "cy"]))
+        skew_join(looks, covered, ["level", "cx", "cy"], "inner")
         .where(inside_box)
         .select("px", "py", key, _slab("py").alias("slab"))
     )
-    if at.rows > SMALL_ROWS:
-        candidates = stage(candidates, "candidates")
+    candidates = stage(candidates, "candidates")
     size = slabs.select(key, "by1", "height", "slabs")
-    big = [] if seen["most"] < HOT_SHARE * seen["edges"] else hot_from_counts(slabs, [key], "n")
-    big = big if seen["edges"] > SMALL_ROWS else []
+    big = hot_from_counts(slabs, [key], "n")
     low, high = _slab(F.least("y1", "y2")), _slab(F.greatest("y1", "y2"))
     pieces = (
         skew_join(edges, size, [key], "inner", hot=big)
@@ -219,8 +212,7 @@ def containment(at: grid.Side, edges: DataFrame, key: str = "poly_id") -> DataFr
     crossed = F.count_if(crosses_ray(*ends)) % 2 == 1
     touched = F.max(on_segment(*ends))
     return (
-        skew_join(candidates, pieces, [key, "slab"], "inner", spread=True,
-                  hot=_hot(candidates, at.rows, [key, "slab"]))
+        skew_join(candidates, pieces, [key, "slab"], "inner", spread=True)
         .groupBy("px", "py", key)
         .agg((crossed | touched).alias("hit"))
         .where("hit")
@@ -303,15 +295,14 @@ def fill_from_nearest_polygon(
     lacking = points.where(F.col(column).isNull())
     at = grid.make_side(places(lacking, x, y))
     usable = attributes.where(F.col(column) >= at_least).select(key, column)
-    one = {"rows": F.count(F.lit(1))}
-    edges, size = stage_observed(skew_join(edges, usable, [key], "inner"), "edges", one)
-    inside, hits = stage_observed(containment(at, edges, key), "inside", one)
+    edges = stage(skew_join(edges, usable, [key], "inner"), "edges")
+    inside = stage(containment(at, edges, key), "inside")
     near = polygons_near(at, edges, radius, key, inside)
-    candidates = skew_join(edges, near, [key], "left_semi", rows=size["rows"])
+    candidates = skew_join(edges, near, [key], "left_semi")
     by_edge = grid.nearest(at, grid.make_side(_edge_boxes(candidates, [key, column]), "edges"), _edge_d2(),
                            [key, column], ["ex1", "ey1", "ex2", "ey2"])
     best = by_edge.select(F.col("x1").alias("px"), F.col("y1").alias("py"), "best")
-    zero = skew_join(inside, usable, [key], "inner", rows=hits["rows"]).select(
+    zero = skew_join(inside, usable, [key], "inner").select(
         "px", "py", F.struct(F.lit(0.0).alias("d2"), F.col(key), F.col(column)).alias("best")
     )
     found = best.unionByName(zero).groupBy("px", "py").agg(F.min("best").alias("best"))
@@ -338,9 +329,9 @@ def semivariogram(
     # squares of differences from the mean stay small
     mean = known.agg(F.avg(z)).head()[0] or 0.0
     z = z - F.lit(mean)
-    spots, seen = stage_observed(known.groupBy(*at).agg(
+    spots = stage(known.groupBy(*at).agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum(z).alias("s"), F.sum(z * z).alias("q")
-    ), "places", {"rows": F.count(F.lit(1))})
+    ), "places")
     cell = cutoff / 2
     cx, cy = (F.floor(F.col(c) / F.lit(cell)).cast("long") for c in ("x1", "y1"))
     here = spots.select("x1", "y1", "n", "s", "q", cx.alias("cx"), cy.alias("cy"))
@@ -356,8 +347,7 @@ def semivariogram(
     d = F.sqrt(_point_d2())
     pairs = F.col("n") * F.col("b_n")
     squares = F.col("b_n") * F.col("q") + F.col("n") * F.col("b_q") - 2 * F.col("s") * F.col("b_s")
-    hot = _hot(here, seen["rows"] * 10, ["cx", "cy"])
-    apart = skew_join(here, there, ["cx", "cy"], "inner", hot=hot, spread=True).where(once).select(
+    apart = skew_join(here, there, ["cx", "cy"], "inner", spread=True).where(once).select(
         d.alias("d"), pairs.alias("np"), squares.alias("sq")
     ).where(F.col("d") <= cutoff)
     same = spots.where("n > 1").select(

@@ -47,17 +47,51 @@ def test_skew_join_equals_plain_join(spark, how):
     left = skewed(spark)
     right = spark.range(-1, 250).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
     right = right.unionByName(right.where("k < 5"))
-    hot = skew.hot_keys(left, ["k"])
-    assert left.where("k = -1").select(F.xxhash64("k")).head()[0] in hot
+    assert [r["k"] for r in skew.hot_keys(left, ["k"]).collect()] == [-1]
     got = skew.skew_join(left, right, ["k"], how)
     want = left.join(right, ["k"], how).select(got.columns)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
-def test_hot_rows_are_spread_even_when_identical(spark):
-    same = spark.range(0, 4000, 1, 8).select(F.lit(1).alias("k"))
-    sizes = same.withColumn("s", skew.row_salt(same, 8)).groupBy("s").count().collect()
-    assert len(sizes) > 2
+@pytest.mark.parametrize(("a", "b"), [
+    ("int", "bigint"), ("bigint", "int"), ("float", "double"), ("decimal(10,2)", "double"),
+    ("decimal(10,2)", "decimal(12,4)"), ("date", "timestamp"), ("string", "int"), ("int", "string")])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_keys_of_different_types_match_as_in_a_plain_join(spark, a, b, how):
+    value = "date_add(date'2024-01-01', {})" if "date" in (a, b) else "{}"
+    left = spark.range(1000).selectExpr(f"cast({value.format('cast(if(id < 600, 7, id % 9) as int)')} as {a}) as k", "id")
+    right = spark.range(5, 12).selectExpr(f"cast({value.format('cast(id as int)')} as {b}) as k", "id as w")
+    got = skew.skew_join(left, right, ["k"], how)
+    want = left.join(right, ["k"], how).select(got.columns)
+    assert got.schema["k"].dataType == want.schema["k"].dataType
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_null_keys_are_spread_and_kept(spark):
+    left = spark.range(900).select(F.when(F.col("id") % 2 == 0, F.col("id") % 5).alias("k"), "id")
+    right = spark.createDataFrame([(0, "a"), (3, "b"), (None, "c")], "k int, w string")
+    for null_safe, with_null in ((False, 0), (True, 450)):
+        got = skew.skew_join(left, right, ["k"], "left", null_safe=null_safe)
+        assert got.count() == 900 and got.where("k is null and w = 'c'").count() == with_null
+
+
+def test_only_keys_over_an_even_share_are_hot(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(100_000)
+    assert skew.hot_keys(rows, ["id"]).count() == 0
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        small = rows.select(F.when(F.col("id") < 1900, -1).otherwise(F.col("id")).alias("k"))
+        assert [tuple(r) for r in skew.hot_keys(small, ["k"]).collect()] == [(-1, 4)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
+def test_equal_rows_fill_all_slices(spark):
+    same = spark.range(0, 100_000, 1, 2).select(F.lit(1).alias("k"))
+    sizes = same.withColumn("s", F.pmod(skew.row_salt(same), F.lit(8))).groupBy("s").count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 13_000
+    assert not skew.reads_stored_rows(same.groupBy("k").count())
 
 
 def test_outer_merge_keeps_everything(spark):
