@@ -170,6 +170,21 @@ def sql_count(text: str) -> str:
     return f"case when ({value}) < {fv.BATH_LIMIT} then ({value}) end"
 
 
+# The ads are written by a rule (`ads` in inputs.py), so what a text says is known without any pattern.
+def told(**cases: str) -> str:
+    return "case id % 6 " + " ".join(f"when {k[1:]} then cast({v} as double)" for k, v in cases.items()) + " end"
+
+
+def sql_least_distance(text: str, words: list[str]) -> str:
+    """Whether some substring is within one edit of a word, by edit distances of all substrings of fitting length."""
+    def nearest(w: str) -> str:
+        lengths = ", ".join(f"levenshtein(substr({text}, i, {len(w) + d}), '{w}')" for d in (-1, 0, 1))
+        return f"list_min([least({lengths}) for i in range(1, length({text}) + 1)])"
+
+    tests = " or ".join(f"{nearest(w)} <= 1" for w in words)
+    return f"coalesce(cast(({tests}) as integer), 0)"
+
+
 def sql_fuzzy(text: str, words: list[str]) -> str:
     tests = " or ".join(f"regexp_matches({text}, {q(tx.one_edit_pattern(w))})" for w in words)
     return f"coalesce(cast(({tests}) as integer), 0)"
@@ -187,39 +202,44 @@ def _(spark, sf):
     return derive(spark, sf, "ads").select("id", tx.context_window("text").alias("context"))
 
 
-@query("number_with_unit", cte("ads") + f"select id, {sql_mined()} as surface from ads")
+ADS_SIZED = cte("ads") + ", a as (select p_partkey as id, p_size as p from part) "
+
+
+@query("number_with_unit", ADS_SIZED + "select id, " + told(_0="p + 30", _1="p", _3="p + 60") + " as surface from a")
 def _(spark, sf):
     return derive(spark, sf, "ads").select("id", tx.number_with_unit(tx.context_window("text")).alias("surface"))
 
 
-@query("word_list_veto", cte("ads") + f"select id, {sql_vetoed(CONTEXT, sql_mined())} as surface from ads")
+@query("word_list_veto", ADS_SIZED + "select id, " + told(_0="p + 30") + " as surface from a")
 def _(spark, sf):
     ads = derive(spark, sf, "ads").withColumn("context", tx.context_window("text"))
     return ads.select("id", tx.veto(tx.number_with_unit("context"), "context").alias("surface"))
 
 
-@query("dimension_product", cte("ads") + f"select id, {sql_dimension(NORMAL)} as area from ads")
+@query("dimension_product", ADS_SIZED + "select id, " + told(_2="8 * p") + " as area from a")
 def _(spark, sf):
     return derive(spark, sf, "ads").select("id", tx.dimension_product(tx.normalize_text("text")).alias("area"))
 
 
-@query("labelled_quantity", cte("ads") + f"select id, {sql_labelled(NORMAL)} as built from ads")
+@query("labelled_quantity", ADS_SIZED + "select id, " + told(_3="p + 60") + " as built from a")
 def _(spark, sf):
     return derive(spark, sf, "ads").select("id", tx.labelled_quantity(tx.normalize_text("text")).alias("built"))
 
 
-@query("classify_by_keywords", cte("ads") + f"select id, {sql_class(['title', 'text'], 'stored')} as housing from ads")
+@query("classify_by_keywords", cte("ads") + """
+    select id, case when id % 4 = 0 then 'Apartamento' when id % 4 = 1 then 'Casa' when id % 6 = 0 then 'Apartamento' else stored end as housing
+    from ads""")
 def _(spark, sf):
     return derive(spark, sf, "ads").select("id", tx.classify_by_keywords(["title", "text"], fallback="stored").alias("housing"))
 
 
-@query("digit_or_word_count", cte("ads") + f"select id, {sql_count(NORMAL)} as baths from ads")
+@query("digit_or_word_count", ADS_SIZED + "select id, " + told(_0="3", _1="2", _4="2") + " as baths from a")
 def _(spark, sf):
     return derive(spark, sf, "ads").select("id", tx.digit_or_word_count(tx.normalize_text("text")).alias("baths"))
 
 
 @query("amenity_flags", cte("ads") + "select id, " + ", ".join(
-    f"{sql_fuzzy('text', words)} as {name}" for name, words in fv.AMENITY_WORDS.items()) + " from ads")
+    f"{sql_least_distance('text', words)} as {name}" for name, words in fv.AMENITY_WORDS.items()) + " from ads")
 def _(spark, sf):
     return derive(spark, sf, "ads").select(
         "id", *[tx.fuzzy_contains("text", words).alias(name) for name, words in fv.AMENITY_WORDS.items()])

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +22,8 @@ from lotline.operators import stacking as sk
 from lotline.operators.network import NetworkRegressor
 from lotline.operators.tuning import grid_search
 from lotline.plans import cleaning, location, valuation
-from lotline.staging import stage
+from lotline.sources import io
+from lotline.staging import stage, stage_root
 
 INPUTS = ["qty", "disc", "tax"]
 
@@ -106,9 +110,39 @@ def _(spark, sf):
     return out.select("id", "line", "supp", F.round("prediction", 5).alias("prediction"))
 
 
-@query("coefficient_table")
+def normal_equations_sql() -> str:
+    """Least squares on three inputs from their covariances: inverse by cofactors, then estimates and standard errors."""
+    m = {(i, j): f"v{min(i, j)}{max(i, j)}" for i in range(3) for j in range(3)}
+    minor = {}
+    for i in range(3):
+        for j in range(3):
+            r, c = [k for k in range(3) if k != i], [k for k in range(3) if k != j]
+            minor[i, j] = f"({'-' if (i + j) % 2 else ''}({m[r[0], c[0]]} * {m[r[1], c[1]]} - {m[r[0], c[1]]} * {m[r[1], c[0]]}))"
+    det = " + ".join(f"v0{j} * {minor[0, j]}" for j in range(3))
+    moments = [f"covar_pop({INPUTS[i]}, {INPUTS[j]}) as v{i}{j}" for i in range(3) for j in range(i, 3)]
+    moments += [f"covar_pop({c}, target) as c{i}, avg({c}) as m{i}" for i, c in enumerate(INPUTS)]
+    inverse = ", ".join(f"{minor[i, j]} / det as w{i}{j}" for i in range(3) for j in range(3))
+    estimates = ", ".join(" + ".join(f"w{i}{j} * c{j}" for j in range(3)) + f" as b{i}" for i in range(3))
+    spread = " + ".join(f"m{i} * m{j} * w{i}{j}" for i in range(3) for j in range(3))
+    rows = [(name, f"b{i}", f"s2 * w{i}{i} / n") for i, name in enumerate(INPUTS)]
+    rows.append(("(Intercept)", "my - b0 * m0 - b1 * m1 - b2 * m2", f"s2 * (1 + {spread}) / n"))
+    return more(
+        f"m as (select count(*) as n, avg(target) as my, var_pop(target) as vy, {', '.join(moments)} from homes)",
+        f"d as (select *, {det} as det from m)", f"i as (select *, {inverse} from d)", f"b as (select *, {estimates} from i)",
+        "e as (select *, (vy - b0 * c0 - b1 * c1 - b2 * c2) * n / (n - 4) as s2 from b)",
+    ) + " union all ".join(
+        f"select '{t}' as term, round({e}, 5) as estimate, round(sqrt({v}), 5) as std_error, round(({e}) / sqrt({v}), 3) as t from e" for t, e, v in rows)
+
+
+@query("coefficient_table", cte("homes") + normal_equations_sql())
 def _(spark, sf):
-    return md.coefficient_table(md.least_squares().fit(homes(spark, sf)), INPUTS)
+    out = md.coefficient_table(md.least_squares().fit(homes(spark, sf)), INPUTS).drop("p")
+    return rounded(rounded(out, "estimate", "std_error", digits=5), "t", digits=3)
+
+
+@query("coefficient_p_values")
+def _(spark, sf):
+    return md.coefficient_table(md.least_squares().fit(homes(spark, sf)), INPUTS).select("term", "p")
 
 
 @query("mean_baseline", cte("homes") + "select id, line, supp, round((select avg(target) from homes), 6) as prediction from homes")
@@ -117,22 +151,38 @@ def _(spark, sf):
     return rounded(md.MeanLearner().fit(df).transform(df).select("id", "line", "supp", "prediction"), "prediction")
 
 
-@query("design_matrix")
+# levels from the most to the least frequent, ties by name
+RANKED = more(*[f"{c}s as (select {c}, row_number() over (order by count(*) desc, {c}) as r from homes group by 1)" for c in ("kind", "state")])
+
+
+def in_columns(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """A feature vector as columns f0, f1 ..."""
+    features = vector_to_array("features")
+    return df.select(*keys, *[F.round(features[i], 6).alias(f"f{i}") for i in range(n)])
+
+
+@query("design_matrix", cte("homes") + RANKED + """
+    select id, line, supp, round(qty, 6) as f0, round(disc, 6) as f1, cast(k.r = 1 as double) as f2, cast(k.r = 2 as double) as f3,
+      cast(s.r = 1 as double) as f4 from homes h join kinds k on h.kind = k.kind join states s on h.state = s.state""")
 def _(spark, sf):
     df = derive(spark, sf, "homes")
-    out = ft.design_matrix(df, "target ~ qty + disc + kind + state").transform(df)
-    return out.groupBy("kind", "state").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("features").cast("string")).alias("features"))
+    return in_columns(ft.design_matrix(df, "target ~ qty + disc + kind + state").transform(df), 5, "id", "line", "supp")
+
 
+def z_score_sql(*expressions: str) -> str:
+    return ", ".join(f"round(({e} - avg({e}) over ()) / stddev_samp({e}) over (), 6) as f{i}" for i, e in enumerate(expressions))
 
-@query("preparation_pipeline")
+
+@query("preparation_pipeline", cte("homes") + RANKED + f"""
+    select id, line, supp, {z_score_sql('qty', 'disc', 'tax', *[f'cast(k.r = {i} as double)' for i in (1, 2, 3)])}
+    from homes h join kinds k on h.kind = k.kind""")
 def _(spark, sf):
     df = derive(spark, sf, "homes").withColumn("constant", F.lit(1.0))
-    out = ft.preparation([*INPUTS, "constant"], ["kind"]).fit(df).transform(df)
-    return out.select("id", "line", F.col("features").cast("string").alias("features"))
+    return in_columns(ft.preparation([*INPUTS, "constant"], ["kind"]).fit(df).transform(df), 6, "id", "line", "supp")
 
 
 def search_table(spark, sf, learner, grid, **options):
-    data = homes(spark, sf).select("id", "features", "label", "fold").persist()
+    data = stage(homes(spark, sf).select("id", "features", "label", "fold"), "homes")
     return grid_search(data, learner, grid, 5, **options).table()
 
 
@@ -149,7 +199,7 @@ def _(spark, sf):
 
 @query("regression_tree_search")
 def _(spark, sf):
-    data = homes(spark, sf).select("features", "label", "fold").persist()
+    data = stage(homes(spark, sf).select("features", "label", "fold"), "homes")
     variance = md.target_variance(data, "label")
     return grid_search(data, lambda cp: md.regression_tree(variance, cp, depth=6), {"cp": [0.0, 0.01]}, 5).table()
 
@@ -218,11 +268,11 @@ def _(spark, sf):
     return ev.error_metrics(model.transform(df.where("fold = 0")), "label", "prediction", ["mae", "rmse", "r2_sse"])
 
 
-@query("learner_fallback")
+@query("learner_fallback", cte("homes") + "select id, line, supp, round((select median(target) from homes), 6) as prediction from homes")
 def _(spark, sf):
     df = homes(spark, sf)
     broken = md.WithFallback(md.least_squares(features="absent"), statistic="median")
-    return broken.fit(df).transform(df).select("id", "line", "prediction")
+    return rounded(broken.fit(df).transform(df).select("id", "line", "supp", "prediction"), "prediction")
 
 
 def stack_rows(spark, sf):
@@ -246,7 +296,10 @@ OOF = more("h as (select *, id % 5 as fold from homes)") + """,
 @query("out_of_fold_predictions", cte("homes") + OOF + """
     select id, line, supp, round(z_mean, 5) as z_mean, round(z_line, 5) as z_line from z""")
 def _(spark, sf):
-    return rounded(stack_rows(spark, sf).select("id", "line", "supp", "z_mean", "z_line"), "z_mean", "z_line", digits=5)
+    df = derive(spark, sf, "homes").withColumn("fold", F.expr("cast(id % 5 as int)")).withColumnRenamed("target", "label")
+    df = stage(VectorAssembler(inputCols=["qty"], outputCol="features").transform(df), "homes")
+    out = sk.out_of_fold(df, {"mean": md.MeanLearner(), "line": md.least_squares()}, 5)
+    return rounded(out.select("id", "line", "supp", "z_mean", "z_line"), "z_mean", "z_line", digits=5)
 
 
 @query("stacking_gram_matrix", cte("homes") + OOF + """
@@ -325,21 +378,42 @@ def clean_listings(spark, sf):
     return cleaning.clean_training_ads(listings(spark, sf))[0]
 
 
-@query("clean_new_listings")
+NEW_SQL = LISTINGS_SQL + f""",
+    t as (select *, {NORMAL} as description_adj, {CONTEXT} as context from listings),
+    mined as (select * replace (
+        coalesce(surface_total, {ct.sql_labelled('description_adj')},
+          case when {MINED} > 25 then {MINED} end,
+          case when {ct.sql_dimension('description_adj')} > 25 then {ct.sql_dimension('description_adj')} end, {fv.IMPUTED_SURFACE}) as surface_total,
+        coalesce(bathrooms, {ct.sql_count('description_adj')}, {fv.IMPUTED_BATHROOMS}) as bathrooms),
+      {ct.sql_class(['title', 'description'], 'property_type')} as type_housing,
+      {', '.join(f"{ct.sql_fuzzy('description_adj', w)} as {n}" for n, w in fv.AMENITY_WORDS.items())} from t)
+    select {', '.join(c for c in fv.CLEAN_COLUMNS if c != 'price')} from mined"""
+
+
+@query("clean_new_listings", NEW_SQL)
 def _(spark, sf):
     return cleaning.FIXED_CONSTANTS.transform(listings(spark, sf).drop("price"))
 
 
-@query("location_features")
-def _(spark, sf):
-    ads = derive(spark, sf, "lonlat").withColumnRenamed("id", "property_id")
+def spots_of(spark, sf, name: str, key: str, a: int, b: int) -> DataFrame:
+    """A point layer in the city, made from the keys of a table."""
     x, y = location.MAGNA_BOGOTA.forward("lon", "lat")
-    spots = table(spark, sf, "supplier").selectExpr(
-        "s_suppkey as id", "-74.13 + s_suppkey % 97 / 1000.0e0 as lon", "4.6 + s_suppkey % 89 / 1000.0e0 as lat",
-    ).select("id", x.alias("x"), y.alias("y"))
-    rings = zone_rings(spark, sf).select(
+    spots = table(spark, sf, name).selectExpr(f"{key} as id", f"-74.13 + {key} % {a} / 1000.0e0 as lon", f"4.6 + {key} % {b} / 1000.0e0 as lat")
+    return spots.select("id", x.alias("x"), y.alias("y"))
+
+
+def city_zones(spark, sf) -> DataFrame:
+    """Zones in the city with an appraisal value, a stratum and a kind of park."""
+    return zone_rings(spark, sf).select(
         "poly_id", (F.col("val") * 1000.0).alias("AVALUO_COM"), F.col("val").alias("ESTRATO"),
+        F.when(F.col("val") == 1, fv.EXCLUDED_PARK_TYPES[0]).otherwise("PARQUE").alias("TIPOPARQUE"),
         F.expr("transform(rings, r -> transform(r, p -> struct(p.x + 994000.0 as x, p.y + 1000000.0 as y)))").alias("rings"))
+
+
+@query("location_features")
+def _(spark, sf):
+    ads = derive(spark, sf, "lonlat").withColumnRenamed("id", "property_id")
+    spots, rings = spots_of(spark, sf, "supplier", "s_suppkey", 97, 89), city_zones(spark, sf)
     edges = sp.edge_table(rings)
     layers = location.Layers(
         nearest={"dist_parque": sp.centroids(edges), "dist_cai": spots},
@@ -348,6 +422,34 @@ def _(spark, sf):
     return location.location_features(ads, layers)
 
 
+@query("whole_valuation_flow")
+def whole_valuation_flow(spark, sf, grid=None, rounds: int = 3):
+    """Ads of a city to written predictions, with every location layer: the three flows in a row."""
+    rings = city_zones(spark, sf)
+    edges = sp.edge_table(rings)
+    ads = location.keep_city(listings(spark, sf), (-74.2, 4.55, -74.0, 4.75))
+    clean, _ = cleaning.clean_training_ads(ads)
+    clean = stage(clean, "clean")
+    layers = location.Layers(
+        nearest={
+            "dist_parque": location.park_centroids(edges, rings), "dist_cai": spots_of(spark, sf, "supplier", "s_suppkey", 97, 89),
+            "dist_transmi": spots_of(spark, sf, "supplier", "s_suppkey", 83, 71), "dist_centComercial": spots_of(spark, sf, "nation", "n_nationkey", 7, 5),
+        },
+        within={
+            "num_paraderos_sitp": (spots_of(spark, sf, "customer", "c_custkey", 101, 97), fv.RADIUS_BUS_STOPS),
+            "num_colegios": (spots_of(spark, sf, "supplier", "s_suppkey", 97, 89), fv.RADIUS_SCHOOLS),
+            "num_restaurantes": (spots_of(spark, sf, "customer", "c_custkey", 89, 79), fv.RADIUS_RESTAURANTS),
+        },
+        appraisal=(edges, rings, "AVALUO_COM"), stratum=(edges, rings, "ESTRATO"))
+    features = location.location_features(clean.select("property_id", "lon", "lat"), layers)
+    frame = stage(valuation.model_frame(clean, features), "model-frame")
+    search = valuation.tune_with_spatial_folds(
+        frame, lambda depth: md.regularised_boosting(rounds, depth, 0.3), grid or {"depth": [2, 3]}, k=3)
+    folder = f"{stage_root(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
+    path = io.write_predictions(search.predict(frame, frame), folder, "gbm", search.search.best)
+    return spark.read.schema("property_id string, price double").option("header", True).csv(path)
+
+
 @query("tuned_valuation")
 def _(spark, sf):
     frame = derive(spark, sf, "lonlat").join(table(spark, sf, "orders"), F.expr("id = o_orderkey")).selectExpr(

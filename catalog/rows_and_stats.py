@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import functions as F
 
 from catalog.inputs import cte, derive, more, table
@@ -53,9 +55,13 @@ def _(spark, sf):
     return rw.preview(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey")
 
 
-@query("random_sample")
+SAMPLE_MARK = "((o_orderkey % 2147483647) * 48271) % 2147483647"
+
+
+@query("random_sample", f"select o_orderkey, o_custkey, o_totalprice from orders order by {SAMPLE_MARK}, o_orderkey limit 1000")
 def _(spark, sf):
-    return rw.sample_rows(table(spark, sf, "orders"), 1000, ["o_orderkey"], seed=7)
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return rw.sample_rows(orders, 1000, ["o_orderkey"], mark=F.expr(SAMPLE_MARK))
 
 
 @query("append_tagged", """
@@ -98,23 +104,35 @@ def _(spark, sf):
                        table(spark, sf, "supplier").selectExpr("s_suppkey as key"), "key")
 
 
+# keys are shifted, so that both sides have rows without a partner although whole tables are joined
 @query("left_join_by_key", f"""
     select l_partkey, {LINE_ID.replace(', l_partkey', '')}, p_brand, p_size
-    from lineitem left join (select * from part where p_size > 10) using_part on l_partkey = p_partkey""")
+    from lineitem left join part on l_partkey = p_partkey + 50""")
 def _(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    parts = table(spark, sf, "part").where("p_size > 10").selectExpr("p_partkey as l_partkey", "p_brand", "p_size")
+    parts = table(spark, sf, "part").selectExpr("p_partkey + 50 as l_partkey", "p_brand", "p_size")
     return skew_join(lines, parts, ["l_partkey"], "left")
 
 
+HOT_INT = "cast(case when l_linenumber <= 3 then 7 else l_partkey % 1000000007 end as int)"
+
+
+@query("left_join_mixed_key_types", f"""
+    select {HOT_INT} as k, l_orderkey, l_linenumber, p_brand from lineitem left join part on {HOT_INT} = p_partkey""")
+def _(spark, sf):
+    lines = table(spark, sf, "lineitem").selectExpr(f"{HOT_INT} as k", "l_orderkey", "l_linenumber")
+    parts = table(spark, sf, "part").selectExpr("cast(p_partkey as bigint) as k", "p_brand")
+    return skew_join(lines, parts, ["k"], "left")
+
+
 @query("outer_merge_by_key", """
-    select coalesce(o_custkey, c_custkey) as custkey, spent, c_name
-    from (select o_custkey, round(sum(o_totalprice), 2) as spent from orders where o_orderstatus = 'P' group by 1)
-    full join (select c_custkey, c_name from customer where c_acctbal > 0) on o_custkey = c_custkey""")
+    select coalesce(k, c_custkey) as custkey, spent, c_name
+    from (select o_custkey + 10 as k, round(sum(o_totalprice), 2) as spent from orders group by 1)
+    full join customer on k = c_custkey""")
 def _(spark, sf):
-    spent = table(spark, sf, "orders").where("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("custkey")).agg(
+    spent = table(spark, sf, "orders").groupBy((F.col("o_custkey") + 10).alias("custkey")).agg(
         F.round(F.sum("o_totalprice"), 2).alias("spent"))
-    names = table(spark, sf, "customer").where("c_acctbal > 0").selectExpr("c_custkey as custkey", "c_name")
+    names = table(spark, sf, "customer").selectExpr("c_custkey as custkey", "c_name")
     return outer_merge(spent, names, ["custkey"])
 
 
@@ -270,11 +288,32 @@ def _(spark, sf):
     return rounded(st.chi_square_test(table(spark, sf, "lineitem"), "l_linestatus", "l_returnflag"), "chi2", digits=6)
 
 
-@query("balance_table")
-def _(spark, sf):
+def balance_sql() -> str:
+    cells = lambda e: ", ".join(f"{e.format(g=g)}" for g in "FO")
+    means = " union all ".join(
+        f"""select '{c}' as variable, cast(null as varchar) as level, """ + cells(
+            f"count({c}) filter (l_linestatus = '{{g}}') as {{g}}_n, round(avg({c}) filter (l_linestatus = '{{g}}'), 6) as {{g}}_mean, "
+            f"round(stddev_samp({c}) filter (l_linestatus = '{{g}}'), 6) as {{g}}_sd") + " from lineitem" for c in BALANCED)
+    shares = "select 'l_returnflag', l_returnflag, " + cells(
+        "count(*) filter (l_linestatus = '{g}'), round(count(*) filter (l_linestatus = '{g}') * 100.0e0 "
+        "/ (select count(*) from lineitem where l_linestatus = '{g}' and l_returnflag is not null), 6), cast(null as double)")
+    return f"{means} union all {shares} from lineitem where l_returnflag is not null group by l_returnflag"
+
+
+def balanced(spark, sf):
     return st.balance_table(table(spark, sf, "lineitem"), "l_linestatus", ["F", "O"], BALANCED, ["l_returnflag"])
 
 
+@query("balance_table", balance_sql())
+def _(spark, sf):
+    return rounded(balanced(spark, sf).drop("p"), "F_mean", "F_sd", "O_mean", "O_sd", digits=6)
+
+
+@query("balance_table_p_values")
+def _(spark, sf):
+    return balanced(spark, sf).select("variable", "level", "p")
+
+
 @query("histogram", """
     with b as (select min(o_totalprice) as lo, (max(o_totalprice) - min(o_totalprice)) / 50 as w from orders)
     select cast(least(floor((o_totalprice - (select lo from b)) / (select w from b)), 49) as integer) as bin,
@@ -301,10 +340,18 @@ def _(spark, sf):
     return out.select("point", F.round(F.col("density") * 1e9, 6).alias("density"))
 
 
-@query("normal_qq_table")
+QQ_POINTS = 199
+QQ_PROBS = [(i - 0.5) / QQ_POINTS for i in range(1, QQ_POINTS + 1)]
+
+
+@query("normal_qq_table", "with g(point, p, theoretical) as (values " + ", ".join(
+    f"(cast({i} as integer), {p:.17e}, {NormalDist().inv_cdf(p):.17e})" for i, p in enumerate(QQ_PROBS, 1)) + f"""),
+    s as (select unnest(quantile_cont(l_extendedprice - 2000 * l_quantity, [{', '.join(f'{p:.17e}' for p in QQ_PROBS)}])) as sample,
+      unnest(range(1, {QQ_POINTS + 1})) as point from lineitem)
+    select g.point, round(p, 9) as p, round(theoretical, 9) as theoretical, round(sample, 4) as sample from g join s on g.point = s.point""")
 def _(spark, sf):
     df = table(spark, sf, "lineitem").selectExpr("l_extendedprice - 2000 * l_quantity as residual")
-    return st.qq_table(df, "residual", 199)
+    return rounded(rounded(st.qq_table(df, "residual", QQ_POINTS), "p", "theoretical", digits=9), "sample", digits=4)
 
 
 @query("table_shapes", """

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from catalog.inputs import cte, derive, more, table, zone_rings
 from catalog.registry import query
+from lotline import fixed_values as fv
 from lotline.functions import geo
 from lotline.operators import resample as rs
 from lotline.operators import spatial as sp
+from lotline.plans import location
 from lotline.staging import stage
 
 
@@ -112,7 +114,10 @@ def _(spark, sf):
         "id", "x", "y", "poly_id", "val")
 
 
-@query("outside_polygons", edges_cte() + more(SQL_HITS) + "select id, x, y from pts where id not in (select id from hits)")
+SQL_INSIDE = SQL_HITS.replace("hits as", "inside as").replace("    or max(case", "    and max(case").replace("then 1 else 0 end) = 1)", "then 1 else 0 end) = 0)")
+
+
+@query("outside_polygons", edges_cte() + more(SQL_INSIDE) + "select id, x, y from pts where id not in (select id from inside)")
 def _(spark, sf):
     return sp.outside_polygons(derive(spark, sf, "pts").drop("z"), zone_edges(spark, sf))
 
@@ -120,8 +125,33 @@ def _(spark, sf):
 @query("within_disc", cte("pts", "layer") + f"""
     select id from pts p where exists (select 1 from layer l where {D2} <= 250.0 * 250.0)""")
 def _(spark, sf):
-    near = sp.count_within(derive(spark, sf, "pts").select("id", "x", "y"), derive(spark, sf, "layer"), 250, "n")
-    return near.where("n > 0").select("id")
+    points = derive(spark, sf, "pts").select("id", "x", "y")
+    return sp.with_any_within(points, derive(spark, sf, "layer"), 250).select("id")
+
+
+@query("keep_city", edges_cte() + more(SQL_INSIDE) + """
+    select id, x as lon, y as lat from pts where x between 500 and 9000 and y between 400.5e0 and 9500
+      and id not in (select id from inside)""")
+def _(spark, sf):
+    ads = derive(spark, sf, "pts").selectExpr("id", "x as lon", "y as lat")
+    return location.keep_city(ads, (500.0, 400.5, 9000.0, 9500.0), zone_edges(spark, sf))
+
+
+PARK_TYPES = fv.EXCLUDED_PARK_TYPES + ["PARQUE"]
+PARK_TYPE = "case n_nationkey % {n} {cases} end".format(
+    n=len(PARK_TYPES) + 1, cases=" ".join(f"when {i} then '{t}'" for i, t in enumerate(PARK_TYPES)))
+
+
+@query("park_centroids", cte("zones", "edges") + f""",
+    parks as (select cast(n_nationkey as bigint) as zid, {PARK_TYPE} as kind from nation)
+    select e.zid as poly_id, round(sum((x1 + x2) * (x1*y2 - x2*y1)) / (3 * sum(x1*y2 - x2*y1)), 4) as x,
+      round(sum((y1 + y2) * (x1*y2 - x2*y1)) / (3 * sum(x1*y2 - x2*y1)), 4) as y
+    from edges e join parks p on e.zid = p.zid
+    where kind is null or kind not in ({', '.join(f"'{t}'" for t in fv.EXCLUDED_PARK_TYPES)}) group by 1""")
+def _(spark, sf):
+    kinds = table(spark, sf, "nation").selectExpr("cast(n_nationkey as bigint) as poly_id", f"{PARK_TYPE} as TIPOPARQUE")
+    return location.park_centroids(zone_edges(spark, sf), kinds).select(
+        "poly_id", *[F.round(c, 4).alias(c) for c in ("x", "y")])
 
 
 @query("nearest_distance", cte("pts", "layer") + f"""
@@ -306,6 +336,6 @@ def _(spark, sf):
     return rs.last_rows_held_out(table(spark, sf, "orders").select("o_orderkey"), 0.2, "o_orderkey")
 
 
-@query("random_folds")
+@query("random_folds", f"select o_orderkey, cast(({MARK}) % 5 as integer) as fold from orders")
 def _(spark, sf):
-    return rs.random_folds(table(spark, sf, "orders").select("o_orderkey"), 5, ["o_orderkey"], 3)
+    return rs.random_folds(table(spark, sf, "orders").select("o_orderkey"), 5, mark=F.expr(MARK))

@@ -28,7 +28,7 @@ def _(spark, sf):
     ads.write.option("header", True).option("escape", '"').csv(path)
     schema = ("property_id string, price double, year int, surface_total double, bathrooms double, title string, "
               "description string")
-    return io.read_listings(spark, path, schema).withColumn("description", F.replace("description", F.lit("\n"), F.lit("|")))
+    return io.read_listings(spark, path, schema, multi_line=True).withColumn("description", F.replace("description", F.lit("\n"), F.lit("|")))
 
 
 @query("read_point_layer", "select s_suppkey, s_name, s_nationkey, s_acctbal, 3116 as srid from supplier")

@@ -20,8 +20,6 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LEVELS = 10_000
-
 
 def design_matrix(df: DataFrame, formula: str, force_index: bool = False):
     """Fitted formula: `transform` adds `features` (reference level left out, no intercept) and `label`."""
@@ -29,16 +27,16 @@ def design_matrix(df: DataFrame, formula: str, force_index: bool = False):
 
 
 def levels_of(df: DataFrame, column: str) -> list:
-    """Distinct values in order, null last; refused for columns that are no categories."""
-    found = df.select(column).distinct().limit(MAX_LEVELS + 1).collect()
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} values and is no category")
-    values = [r[0] for r in found]
+    """Distinct values in order, null last. Each will be a column, so the column is meant to be a category."""
+    values = [r[0] for r in df.select(column).distinct().collect()]
     return sorted(v for v in values if v is not None) + ([None] if None in values else [])
 
 
 def one_hot_columns(df: DataFrame, column: str, levels: Sequence | None = None) -> DataFrame:
-    """A 0/1 column per level, null being a level of its own; the source column goes."""
+    """A 0/1 column per level, null being a level of its own; the source column goes.
+
+    Give `levels` where they are known. For categories with very many values use `category_codes`, which needs one column.
+    """
     levels = levels_of(df, column) if levels is None else levels
     flags = {
         f"{column}_{'NA' if v is None else v}": F.col(column).eqNullSafe(F.lit(v)).cast("int") for v in levels

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SKETCH_ACCURACY = 10_000
 MAX_BRACKET_ROWS = 100_000
@@ -31,6 +32,7 @@ class _Search:
     inside: int
     below: int = 0
     value: float | None = None
+    stuck: bool = False
 
     @property
     def zone(self):
@@ -46,12 +48,14 @@ def order_statistics(
 ) -> tuple[dict[str, dict[int, float]], dict[str, int]]:
     """Values at zero-based ranks of each column (nulls and NaN left out), and the row counts.
 
+    Whole numbers and decimals keep their type, so values that doubles cannot tell apart are told apart here.
     `ranks` gets a column name and its number of values and returns the wanted ranks.
     """
     names = list(columns)
-    data = df.select(*[
-        F.when(~F.isnan(columns[c].cast("double")), columns[c].cast("double")).alias(f"v{i}")
-        for i, c in enumerate(names)
+    data = df.select(*[columns[c].alias(f"v{i}") for i, c in enumerate(names)])
+    exact = {f"v{i}" for i, t in enumerate(data.schema.fields) if isinstance(t.dataType, (T.IntegralType, T.DecimalType))}
+    data = data.select(*[
+        F.col(v) if v in exact else F.when(~F.isnan(F.col(v).cast("double")), F.col(v).cast("double")).alias(v) for v in data.columns
     ])
     col = {c: F.col(f"v{i}") for i, c in enumerate(names)}
     head = data.agg(*[
@@ -120,7 +124,7 @@ def _narrow(data, col, searches, accuracy) -> None:
     brackets = {}
     for z, gs in enumerate(zones.values()):
         for k, g in enumerate(gs):
-            brackets[g] = row[f"q{z}"][2 * k], row[f"q{z}"][2 * k + 1]
+            brackets[g] = _bracket(groups[g][0], row[f"q{z}"][2 * k], row[f"q{z}"][2 * k + 1])
 
     # one pass counts the values below, on and between the bracket ends of every column
     ends: dict[str, list[float]] = {}
@@ -144,6 +148,7 @@ def _narrow(data, col, searches, accuracy) -> None:
             total(stop) for stop in (at[low] + 1, at[low] + 2, at[high] + 1, at[high] + 2)
         )
         for s in groups[g]:
+            before = s.inside
             if below <= s.rank < to_low:
                 s.value = low
             elif to_inside <= s.rank < to_high:
@@ -154,6 +159,25 @@ def _narrow(data, col, searches, accuracy) -> None:
                 s.low, s.inside, s.below = high, s.inside - (to_high - s.below), to_high
             else:
                 s.low, s.high, s.inside, s.below = low, high, to_inside - to_low, to_low
+            s.stuck = s.inside == before
+
+
+def _bracket(search: _Search, low, high) -> tuple:
+    """The ends proposed by a sketch, which works in doubles, put inside the open zone of the search.
+
+    Where the last pass gained nothing the middle of the zone is taken, so whole numbers beyond the reach of
+    doubles are halved instead.
+    """
+    step = 1 if isinstance(low, int) else 0
+    ends = sorted((low, high))
+    if math.isfinite(search.low) and math.isfinite(search.high) and (search.stuck or (step and search.high - search.low < 4)):
+        middle = search.low + (search.high - search.low) // 2 if step else (search.low + search.high) / 2
+        return middle, middle
+    if step and math.isfinite(search.low):
+        ends = [max(e, search.low + 1) for e in ends]
+    if step and math.isfinite(search.high):
+        ends = [min(e, search.high - 1) for e in ends]
+    return tuple(ends)
 
 
 def _place(c: Column, edges: Sequence[float], start: int) -> Column:
@@ -230,7 +254,7 @@ def exact_quantiles(
         row = []
         for p in probabilities:
             h = (n - 1) * p
-            low, high = values[name][math.floor(h)], values[name][math.ceil(h)]
+            low, high = float(values[name][math.floor(h)]), float(values[name][math.ceil(h)])
             row.append(low + (high - low) * (h - math.floor(h)))
         out[name] = row
     return out

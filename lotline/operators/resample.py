@@ -6,7 +6,7 @@ Random choices are functions of row keys, so they do not depend on how a table i
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,18 +20,48 @@ from lotline.staging import stage
 
 
 def random_mark(keys: Sequence[str], seed: int) -> Column:
-    """Row number in a random order, as far as doubles tell whole numbers apart."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 12)
+    """Row number in a random order."""
+    return F.xxhash64(F.lit(seed), *keys)
 
 
-def hold_out(df: DataFrame, share: float, mark: Column) -> DataFrame:
-    """Add `held_out`: 1 for the given share of the rows, those with the lowest marks."""
-    found, counts = order_statistics(
-        df, {"mark": mark}, lambda _, n: [math.floor(n * share) - 1] if n * share >= 1 else []
-    )
-    edge = next(iter(found["mark"].values()), None)
-    flag = F.lit(0) if edge is None else (mark.cast("double") <= F.lit(edge)).cast("int")
-    return df.withColumn("held_out", flag)
+def _lowest(
+    df: DataFrame, marks: Mapping[str, Column], share: Callable[[int], int], tie: Column | None = None
+) -> dict[str, Column]:
+    """Per name: whether a row is among the `share(n)` of the n rows with the lowest marks.
+
+    Marks are compared in their own type. Where equal marks lie across the cut, `tie` decides among them, a hash of
+    the row by default; rows equal in that too stay together.
+    """
+    found, counts = order_statistics(df, marks, lambda _, n: [share(n) - 1] if share(n) > 0 else [])
+    edges = {name: next(iter(found[name].values()), None) for name in marks}
+    known = {name: e for name, e in edges.items() if e is not None}
+    out = {name: F.lit(False) for name in marks}
+    if not known:
+        return out
+    seen = df.agg(*[
+        e.alias(f"{k}{i}") for i, (name, edge) in enumerate(known.items())
+        for k, e in (("below", F.count_if(marks[name] < F.lit(edge))), ("on", F.count_if(marks[name] == F.lit(edge))))
+    ]).head()
+    tie = F.xxhash64(*df.columns) if tie is None else tie
+    open_ties = {}
+    for i, (name, edge) in enumerate(known.items()):
+        room = share(counts[name]) - seen[f"below{i}"]
+        out[name] = F.coalesce(marks[name] <= F.lit(edge), F.lit(False))
+        if room < seen[f"on{i}"]:
+            open_ties[name] = room
+    if open_ties:
+        on = {name: F.when(marks[name] == F.lit(known[name]), tie) for name in open_ties}
+        cuts, _ = order_statistics(df, on, lambda name, _: [open_ties[name] - 1])
+        for name in open_ties:
+            cut = next(iter(cuts[name].values()))
+            out[name] = F.coalesce((marks[name] < F.lit(known[name])) | (on[name] <= F.lit(cut)), F.lit(False))
+    return out
+
+
+def hold_out(df: DataFrame, share: float, mark: Column, tie: Column | None = None) -> DataFrame:
+    """Add `held_out`: 1 for the given share of the rows, those with the lowest marks; `tie` parts equal marks."""
+    chosen = _lowest(df, {"mark": mark}, lambda n: math.floor(n * share), tie)["mark"]
+    return df.withColumn("held_out", chosen.cast("int"))
 
 
 def last_rows_held_out(df: DataFrame, share: float, order: str) -> DataFrame:
@@ -40,29 +70,29 @@ def last_rows_held_out(df: DataFrame, share: float, order: str) -> DataFrame:
 
 
 def stratified_split(
-    df: DataFrame, target: str, share: float, mark: Column, breaks: int = 5
+    df: DataFrame, target: str, share: float, mark: Column, breaks: int = 5, tie: Column | None = None
 ) -> DataFrame:
     """Add `in_train`: in each quantile group of the target the share (rounded up) with the lowest marks.
 
     `breaks` quantile points cut breaks-1 groups; equal points are merged.
     """
     points = exact_quantiles(df, [target], [i / (breaks - 1) for i in range(breaks)])[target]
+    if points is None:
+        return df.withColumns({"stratum": F.lit(None).cast("int"), "in_train": F.lit(0)})
     stratum = right_closed_bin(target, points)
-    strata = range(1, len(set(points)))
-    edges, _ = order_statistics(
-        df, {str(k): F.when(stratum == k, mark) for k in strata},
-        lambda _, n: [math.ceil(n * share) - 1],
-    )
-    test = F.lit(False)
-    for k in strata:
-        for edge in edges[str(k)].values():
-            test = test | ((stratum == k) & (mark.cast("double") <= F.lit(edge)))
-    return df.withColumns({"stratum": stratum, "in_train": F.coalesce(test, F.lit(False)).cast("int")})
+    strata = {str(k): F.when(stratum == k, mark) for k in range(1, len(set(points)))}
+    chosen = F.lit(False)
+    for test in _lowest(df, strata, lambda n: math.ceil(n * share), tie).values():
+        chosen = chosen | test
+    return df.withColumns({"stratum": stratum, "in_train": chosen.cast("int")})
 
 
-def random_folds(df: DataFrame, k: int, keys: Sequence[str], seed: int = 0) -> DataFrame:
-    """Add `fold` 0..k-1."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(k)).cast("int"))
+def random_folds(
+    df: DataFrame, k: int, keys: Sequence[str] = (), seed: int = 0, mark: Column | None = None
+) -> DataFrame:
+    """Add `fold` 0..k-1 by a random mark: a given whole number, or a hash of the keys."""
+    mark = random_mark(keys, seed) if mark is None else mark
+    return df.withColumn("fold", F.pmod(mark, F.lit(k)).cast("int"))
 
 
 # --- blocks ----------------------------------------------------------------------------------
@@ -113,7 +143,7 @@ def block_folds(df: DataFrame, k: int, order: Column | None = None, seed: int =
         blocks, {"mark": mark}, lambda _, n: [math.ceil(n * j / k) - 1 for j in range(1, k)]
     )
     cuts = sorted(found["mark"].values())
-    fold = sum(((mark.cast("double") > F.lit(c)).cast("int") for c in cuts), F.lit(0))
+    fold = sum(((mark > F.lit(c)).cast("int") for c in cuts), F.lit(0))
     return df.withColumn("fold", F.when(F.col("cx").isNotNull(), fold))
 
 

@@ -67,12 +67,14 @@ def preview(df: DataFrame, key: str, n: int = 5) -> DataFrame:
     return top_k(df, n, key)
 
 
-def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 0) -> DataFrame:
-    """Random sample of exactly n rows (all when fewer): the n smallest seeded key hashes.
+def sample_rows(
+    df: DataFrame, n: int, keys: Sequence[str], seed: int = 0, mark: Column | None = None
+) -> DataFrame:
+    """Random sample of exactly n rows (all when fewer): those with the n smallest marks.
 
-    The same rows come out however the table is partitioned.
+    The mark is a seeded hash of the keys unless given; the same rows come out however the table is partitioned.
     """
-    mark = F.xxhash64(F.lit(seed), *keys)
+    mark = F.xxhash64(F.lit(seed), *keys) if mark is None else mark
     return df.withColumn("_mark", mark).orderBy("_mark", *keys).limit(n).drop("_mark")
 
 

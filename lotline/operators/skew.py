@@ -41,7 +41,7 @@ def hot_from_counts(counts: DataFrame, keys: Sequence[str], weight: str) -> Data
 
 def reads_stored_rows(df: DataFrame) -> bool:
     """Whether the rows come straight from a stored table, so that a retry sees them in the same order."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    plan = df._jdf.queryExecution().analyzed().toString()
     nodes = [line.lstrip(" :+-").split("[")[0].split("(")[0].split() for line in plan.splitlines()]
     return all(n[0] in _STORED for n in nodes if n)
 

@@ -66,6 +66,17 @@ def count_within(
     return with_point_layers(points, {}, {name: (layer, radius)}, x, y)
 
 
+def with_any_within(
+    points: DataFrame, layer: DataFrame, radius: float, x: str = "x", y: str = "y"
+) -> DataFrame:
+    """Rows with at least one layer point within the radius, rim included."""
+    at = grid.make_side(places(points, x, y))
+    to = grid.make_side(places(layer, x, y), "layer")
+    found = grid.any_within(at, to, radius, _point_d2(), columns=["x1", "y1"])
+    near = found.select(F.col("x1").alias("px"), F.col("y1").alias("py")).distinct()
+    return _attach(points, near, at, x, y, "left_semi")
+
+
 def with_point_layers(
     points: DataFrame, nearest: Mapping[str, DataFrame], within: Mapping[str, tuple[DataFrame, float]],
     x: str = "x", y: str = "y",
@@ -169,8 +180,8 @@ def _slab(y: Column | str) -> Column:
     return F.least(F.greatest(F.floor(F.coalesce(spot, F.lit(0.0))), F.lit(0)), F.col("slabs") - 1)
 
 
-def containment(at: grid.Side, edges: DataFrame, key: str = "poly_id") -> DataFrame:
-    """(px, py, key) for every place (x1, y1) inside or on the rim of a polygon.
+def containment(at: grid.Side, edges: DataFrame, key: str = "poly_id", rim: bool = True) -> DataFrame:
+    """(px, py, key) for every place (x1, y1) inside a polygon, or on its rim if that counts.
 
     Boxes of polygons go into a grid whose cell size fits the box, so that each covers at most
     four cells of its own level; a place looks into one cell per level in use. In each
@@ -214,7 +225,7 @@ def containment(at: grid.Side, edges: DataFrame, key: str = "poly_id") -> DataFr
     return (
         skew_join(candidates, pieces, [key, "slab"], "inner", spread=True)
         .groupBy("px", "py", key)
-        .agg((crossed | touched).alias("hit"))
+        .agg(((crossed | touched) if rim else (crossed & ~touched)).alias("hit"))
         .where("hit")
         .drop("hit")
     )
@@ -241,9 +252,9 @@ def point_in_polygon_join(
 def outside_polygons(
     points: DataFrame, edges: DataFrame, key: str = "poly_id", x: str = "x", y: str = "y"
 ) -> DataFrame:
-    """Rows that lie in none of the polygons."""
+    """Rows that lie in none of the polygons; the rim of a polygon is not inside."""
     at = grid.make_side(places(points, x, y))
-    hits = containment(at, edges, key)
+    hits = containment(at, edges, key, rim=False)
     return _attach(points, hits.select("px", "py").distinct(), at, x, y, "left_anti")
 
 

@@ -6,12 +6,11 @@ import math
 from collections.abc import Mapping, Sequence
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotline.operators.quantiles import exact_quantiles, right_closed_bin
-from lotline.operators.special import chi2_tail, f_tail
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -191,43 +190,59 @@ def chi_square_test(df: DataFrame, category: str, group: str) -> DataFrame:
     )
 
 
-@F.udf(T.DoubleType())
-def _f_tail(f, df1, df2):
-    return None if f is None or not df2 else f_tail(f, df1, df2)
+def _upper_tail(spark: SparkSession, family: str, value: float, *parameters: float) -> float:
+    """P(X > value) of a distribution of the mathematics library that Spark runs with."""
+    distributions = spark._jvm.org.apache.commons.math3.distribution
+    return 1.0 - getattr(distributions, family)(*[float(p) for p in parameters]).cumulativeProbability(float(value))
 
 
-@F.udf(T.DoubleType())
-def _chi2_tail(x, df1):
-    return None if x is None or not df1 else chi2_tail(x, df1)
+def equal_means_p_values(moments: DataFrame) -> dict[str, float | None]:
+    """p-value per variable from the one-way F statistics of group moments; None without a second group or any spread."""
+    return {
+        r["variable"]: None if r["f"] is None or not r["df1"] else _upper_tail(moments.sparkSession, "FDistribution", r["f"], r["df1"], r["df2"])
+        for r in equal_means_test(moments).collect()
+    }
+
+
+def chi_square_p_value(df: DataFrame, category: str, group: str) -> float | None:
+    """p-value of `chi_square_test`; None for a single row or column."""
+    test = chi_square_test(df, category, group).head()
+    if test is None or not test["df1"]:
+        return None
+    return _upper_tail(df.sparkSession, "ChiSquaredDistribution", test["chi2"], test["df1"])
 
 
 def balance_table(
     df: DataFrame, group: str, levels: Sequence[str], numeric: Sequence[str], categories: Sequence[str] = ()
 ) -> DataFrame:
     """Per variable: n, mean and sd by group with the p-value of equal means; for categories the
-    count and per cent of each level by group with the chi-square p-value."""
+    count and per cent of each level by group with the chi-square p-value.
+
+    The moments of all numeric variables come from one scan, the counts of a category from one aggregate. A listed
+    level without rows has n 0 and null shares.
+    """
     moments = group_moments(df, group, numeric)
     wide = moments.groupBy("variable").pivot(group, list(levels)).agg(
-        F.first("n").alias("n"), F.first("mean").alias("mean"), F.sqrt(F.first("var")).alias("sd")
+        F.coalesce(F.first("n"), F.lit(0)).alias("n"), F.first("mean").alias("mean"), F.sqrt(F.first("var")).alias("sd")
     )
-    # the tail is worked out on one row per variable
-    tests = equal_means_test(moments).select("variable", _f_tail("f", "df1", "df2").alias("p"))
-    out = wide.join(tests, "variable").withColumn("level", F.lit(None).cast("string"))
+    wide = wide.withColumns({f"{v}_n": F.coalesce(f"{v}_n", F.lit(0)) for v in levels})
+    p = equal_means_p_values(moments)
+    known = F.create_map(*[F.lit(x) for v in numeric for x in (v, p.get(v))]) if numeric else F.lit(None)
+    out = wide.withColumns({"p": known[F.col("variable")].cast("double"), "level": F.lit(None).cast("string")})
     for c in categories:
-        counts = df.where(F.col(c).isNotNull()).groupBy(c).pivot(group, list(levels)).agg(
-            F.count(F.lit(1))
-        )
-        totals = df.where(F.col(c).isNotNull()).groupBy(group).count()
+        counts = df.where(F.col(c).isNotNull()).groupBy(c, group).agg(F.count(F.lit(1)).alias("n"))
+        table = counts.groupBy(c).agg(*[
+            F.coalesce(F.sum(F.when(F.col(group) == v, F.col("n"))), F.lit(0)).alias(f"{v}_n") for v in levels
+        ])
         shares = {}
-        for name in levels:
-            n = totals.where(F.col(group) == name).agg(F.max("count")).scalar()
-            shares[f"{name}_n"] = F.coalesce(F.col(name), F.lit(0))
-            shares[f"{name}_mean"] = F.coalesce(F.col(name), F.lit(0)) * 100.0 / n
-            shares[f"{name}_sd"] = F.lit(None).cast("double")
-        p = chi_square_test(df, c, group).select(_chi2_tail("chi2", "df1"))
-        out = out.unionByName(counts.select(
-            F.lit(c).alias("variable"), F.col(c).cast("string").alias("level"),
-            *[e.alias(k) for k, e in shares.items()], p.scalar().alias("p"),
+        for v in levels:
+            total = table.agg(F.sum(f"{v}_n")).scalar()
+            shares |= {
+                f"{v}_n": F.col(f"{v}_n"), f"{v}_mean": F.try_divide(F.col(f"{v}_n") * 100.0, total), f"{v}_sd": F.lit(None).cast("double"),
+            }
+        out = out.unionByName(table.select(
+            F.lit(c).alias("variable"), F.col(c).cast("string").alias("level"), *[e.alias(k) for k, e in shares.items()],
+            F.lit(chi_square_p_value(df, c, group)).cast("double").alias("p"),
         ))
     return out.select("variable", "level", *[c for c in out.columns if c not in ("variable", "level")])
 
@@ -255,14 +270,21 @@ def density(
 ) -> DataFrame:
     """Gaussian kernel density on an even grid from minimum to maximum.
 
+    A column without values gives no rows; one value alone gives one grid point, at the top of its kernel.
+
     Rows are first shared out linearly between their two neighbouring grid points, which is one
     map-side aggregate to at most `points` rows; the kernel is then summed over the grid alone.
     """
     c = F.col(column).cast("double")
     low, high, n, sd = df.agg(F.min(c), F.max(c), F.count(c), F.stddev_samp(c)).head()
+    if not n:
+        return df.sparkSession.createDataFrame([], "point int, x double, density double")
     if bandwidth is None:
         q1, q3 = exact_quantiles(df, [column], [0.25, 0.75])[column]
-        bandwidth = rule_of_thumb_bandwidth(sd, q3 - q1, n)
+        bandwidth = rule_of_thumb_bandwidth(sd or 0.0, q3 - q1, n)
+    if low == high or points < 2:
+        peak = 1 / (bandwidth * math.sqrt(2 * math.pi))
+        return df.sparkSession.createDataFrame([(0, low, peak)], "point int, x double, density double")
     step = (high - low) / (points - 1)
     spot = (c - F.lit(low)) / F.lit(step)
     left = F.least(F.floor(spot), F.lit(points - 2))

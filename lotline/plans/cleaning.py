@@ -62,7 +62,8 @@ FIXED_CONSTANTS = CleaningModel(
 
 
 def price_per_metre(df: DataFrame) -> DataFrame:
-    return df.withColumn("price_per_m2", F.bround(F.col("price") / F.col("surface_total"), 0))
+    """Price per square metre, rounded half to even; null for a surface of zero, whose ad the trim then leaves out."""
+    return df.withColumn("price_per_m2", F.bround(F.try_divide("price", "surface_total"), 0))
 
 
 def clean_training_ads(ads: DataFrame, key: str = "property_id") -> tuple[DataFrame, CleaningModel]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from lotline.operators import resample as rs
 from lotline.operators.evaluate import final_prediction
 from lotline.operators.skew import skew_join
 from lotline.operators.tuning import SearchResult, grid_search
-from lotline.staging import stage
+from lotline.staging import stage, stage_observed
 
 
 def model_frame(clean: DataFrame, features: DataFrame, key: str = "property_id", target: str | None = "price") -> DataFrame:
@@ -47,6 +48,7 @@ def hexagon_roles(df: DataFrame, key: str, k: int = 5, size: float = fv.BLOCK_SI
 class Valuation:
     search: SearchResult
     predictors: Sequence[str]
+    dropped_rows: int = 0
 
     def predict(self, df: DataFrame, train: DataFrame, target: str = "price") -> DataFrame:
         """Predictions inside the 1 and 99 per cent quantiles of the training target, rounded."""
@@ -59,10 +61,15 @@ def tune_with_spatial_folds(
     frame: DataFrame, learner: Callable[..., object], grid: Mapping[str, Sequence], key: str = "property_id",
     target: str = "price", k: int = 5, size: float = fv.BLOCK_SIZE,
 ) -> Valuation:
-    """Assemble predictors, make buffered hexagon folds, search the grid, refit the best point."""
+    """Assemble predictors, make buffered hexagon folds, search the grid, refit the best point.
+
+    Rows that lack a predictor cannot be trained on; they are left out and counted in `dropped_rows`.
+    """
     predictors = [c for c in frame.columns if c in fv.PREDICTORS]
-    ready = VectorAssembler(inputCols=predictors, outputCol="features", handleInvalid="skip")
-    data = stage(ready.transform(project_to_utm(frame)).select(key, "features", F.col(target).alias("label"), "x", "y"), "frame")
+    lacks = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in predictors])
+    known, seen = stage_observed(project_to_utm(frame), "frame", {"lacking": F.count_if(lacks)})
+    ready = VectorAssembler(inputCols=predictors, outputCol="features")
+    data = stage(ready.transform(known.where(~lacks)).select(key, "features", F.col(target).alias("label"), "x", "y"), "frame")
     roles = stage(hexagon_roles(data, key, k, size), "roles")
     search = grid_search(data, learner, grid, k, roles=roles, key=key)
-    return Valuation(search, predictors)
+    return Valuation(search, predictors, seen["lacking"])

@@ -16,16 +16,19 @@ LISTING_SCHEMA = (
 )
 
 
-def read_listings(spark: SparkSession, path: str, schema: str | T.StructType = LISTING_SCHEMA) -> DataFrame:
-    """Ads from Parquet, or from delimited text with quoted fields that may hold line breaks.
+def read_listings(
+    spark: SparkSession, path: str, schema: str | T.StructType = LISTING_SCHEMA, multi_line: bool = False
+) -> DataFrame:
+    """Ads from Parquet, or from delimited text with quoted fields.
 
+    With `multi_line` quoted fields may hold line breaks; then a file cannot be split, so it is read by one task.
     A number that cannot be read becomes null; its row stays.
     """
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.schema(schema).parquet(path)
     return (
         spark.read.schema(schema)
-        .option("header", True).option("multiLine", True).option("escape", '"')
+        .option("header", True).option("multiLine", multi_line).option("escape", '"')
         .option("mode", "PERMISSIVE").csv(path)
     )
 
@@ -67,5 +70,5 @@ def write_predictions(
 
 def write_report(df: DataFrame, path: str, format: str = "parquet") -> None:
     """A statistics table, in one part: it has a row per variable or grid point."""
-    writer = df.coalesce(1).write.mode("overwrite")
+    writer = df.repartition(1).write.mode("overwrite")
     writer.option("header", True).csv(path) if format == "csv" else writer.parquet(path)

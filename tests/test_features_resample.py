@@ -67,6 +67,15 @@ def test_folds_do_not_depend_on_partitions(spark):
         assert a == b and len(a) == 400
 
 
+def test_hold_out_parts_ties_and_large_marks_exactly(spark):
+    df = spark.range(1000).withColumn("mark", F.col("id") % 4)
+    out = rs.hold_out(df, 0.3, F.col("mark"), tie=F.col("id"))
+    held = [r["id"] for r in out.where("held_out = 1").collect()]
+    assert len(held) == 300 and sorted(held) == sorted([i for i in range(1000) if i % 4 == 0] + [i for i in range(200) if i % 4 == 1])
+    large = spark.range(1000).select((F.lit(2**60) + F.col("id")).alias("k"))
+    assert {r["k"] - 2**60 for r in rs.last_rows_held_out(large, 0.1, "k").where("held_out = 1").collect()} == set(range(900, 1000))
+
+
 def test_hold_out_is_exact(spark):
     out = rs.hold_out(spark.range(1000), 1 / 3, rs.random_mark(["id"], 4))
     assert out.agg(F.sum("held_out")).head()[0] == 333

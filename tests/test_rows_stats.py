@@ -10,7 +10,6 @@ from lotline.operators import quantiles as qn
 from lotline.operators import rows as rw
 from lotline.operators import skew
 from lotline.operators import stats as st
-from lotline.operators.special import chi2_tail, f_tail
 
 RNG = np.random.default_rng(11)
 
@@ -136,24 +135,53 @@ def test_decile_bins_are_right_closed(spark):
     assert got == {1: 2, **{b: 1 for b in range(2, 11)}}
 
 
-def test_tails():
-    assert f_tail(4.0, 1, 10) == pytest.approx(0.0733880, abs=1e-6)
-    assert f_tail(2.5, 3, 40) == pytest.approx(0.0733, abs=2e-4)
-    assert chi2_tail(3.841458820694124, 1) == pytest.approx(0.05, abs=1e-10)
-    assert chi2_tail(18.307038053275146, 10) == pytest.approx(0.05, abs=1e-10)
-
-
 def test_balance_table(spark):
     rows = [("a", 1.0, "x"), ("a", 2.0, "x"), ("a", 3.0, "y"), ("b", 2.0, "y"), ("b", 4.0, "y"), ("b", 6.0, "x")]
     df = spark.createDataFrame(rows, "g string, v double, c string")
     got = {(r["variable"], r["level"]): r for r in st.balance_table(df, "g", ["a", "b"], ["v"], ["c"]).collect()}
     v = got[("v", None)]
     assert (v["a_n"], v["a_mean"], v["a_sd"], v["b_mean"], v["b_sd"]) == (3, 2.0, 1.0, 4.0, 2.0)
-    assert v["p"] == pytest.approx(f_tail((6 / 1) / (10 / 4), 1, 4))
+    # P(F > 2.4) with 1 and 4 degrees of freedom
+    assert v["p"] == pytest.approx(0.196263, abs=1e-5)
     assert got[("c", "x")]["a_mean"] == pytest.approx(200 / 3)
     assert got[("c", "x")]["p"] == pytest.approx(1.0)
 
 
+def test_balance_table_with_an_absent_level_and_empty_column(spark):
+    df = spark.createDataFrame([("a", 1.0, "x"), ("a", 3.0, "y")], "g string, v double, c string").withColumn("w", F.lit(None).cast("double"))
+    got = {(r["variable"], r["level"]): r for r in st.balance_table(df, "g", ["a", "z"], ["v", "w"], ["c"]).collect()}
+    assert (got["v", None]["z_n"], got["v", None]["z_mean"], got["v", None]["p"]) == (0, None, None)
+    assert (got["w", None]["a_n"], got["w", None]["p"]) == (0, None)
+    assert (got["c", "x"]["a_mean"], got["c", "x"]["z_n"], got["c", "x"]["z_mean"], got["c", "x"]["p"]) == (50.0, 0, None, None)
+
+
+def test_chi_square_p_values(spark):
+    rows = [("a", "x")] * 20 + [("a", "y")] * 10 + [("b", "x")] * 8 + [("b", "y")] * 16 + [("b", "z")] * 5
+    df = spark.createDataFrame(rows, "g string, c string")
+    chi2 = st.chi_square_test(df, "c", "g").head()["chi2"]
+    # with two degrees of freedom the tail is exp(-chi2 / 2)
+    assert st.chi_square_p_value(df, "c", "g") == pytest.approx(np.exp(-chi2 / 2))
+
+
+def test_density_of_constant_and_empty_columns(spark):
+    one = spark.createDataFrame([(2.0,), (2.0,), (None,)], "v double")
+    assert [r["x"] for r in st.density(one, "v").collect()] == [2.0]
+    assert st.density(one.where("v > 5"), "v").collect() == []
+
+
+def test_order_statistics_keep_whole_numbers_beyond_doubles(spark):
+    big = 2**53
+    df = spark.range(0, 5000, 1, 3).select((F.lit(big) + F.col("id")).alias("v"))
+    found, n = qn.order_statistics(df, {"v": F.col("v")}, lambda _, n: [0, 1, 2, 2501, n - 1])
+    assert n["v"] == 5000 and found["v"] == {r: big + r for r in (0, 1, 2, 2501, 4999)}
+    found, _ = qn.order_statistics(df, {"v": F.col("v")}, lambda _, n: [1, 777, 3333], max_rows=5, accuracy=20)
+    assert found["v"] == {r: big + r for r in (1, 777, 3333)}
+    few = df.select((F.col("v") % 3 + big).alias("v"))
+    found, _ = qn.order_statistics(few, {"v": F.col("v")}, lambda _, n: [1700, 4000], max_rows=5, accuracy=20)
+    want = sorted(big + (big + i) % 3 for i in range(5000))
+    assert found["v"] == {1700: want[1700], 4000: want[4000]}
+
+
 def test_yates_correction(spark):
     rows = [("a", "x")] * 20 + [("a", "y")] * 10 + [("b", "x")] * 8 + [("b", "y")] * 16
     df = spark.createDataFrame(rows, "g string, c string")

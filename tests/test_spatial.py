@@ -97,7 +97,7 @@ def test_containment_cases(spark):
     one = sp.point_in_polygon_join(points, sp.edge_table(polygons(spark)), one_row=True)
     assert one.count() == 6
     out = sp.outside_polygons(points, sp.edge_table(polygons(spark)))
-    assert {r["id"] for r in out.collect()} == {"hole", "out"}
+    assert {r["id"] for r in out.collect()} == {"hole", "out", "edge", "corner"}
 
 
 def test_containment_matches_brute_force(spark):
