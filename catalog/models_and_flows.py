@@ -186,28 +186,29 @@ def search_table(spark, sf, learner, grid, **options):
     return grid_search(data, learner, grid, 5, **options).table()
 
 
+# The searches below take their grids as arguments; the defaults are small, the full ones are in fixed_values.
 @query("elastic_net_search")
-def _(spark, sf):
+def elastic_net_search(spark, sf, penalties=(1e-6, 0.1), mixtures=(0.0, 0.75)):
     df = derive(spark, sf, "homes").withColumnRenamed("target", "label")
     df = ft.interactions(ft.fit_polynomial(df, "qty").transform(df), [("qty", "disc")])
     columns = ["qty_poly1", "qty_poly2", "disc", "tax", "qty_x_disc"]
     ready = ft.preparation(columns, ["kind"]).fit(df).transform(df)
     cells = rs.square_cells(ready.select("id", "x", "y", "features", "label"))
     folded = stage(rs.block_folds(cells, 5, seed=1).select("features", "label", "fold"), "folded")
-    return grid_search(folded, md.elastic_net, {"penalty": [1e-6, 0.1], "mixture": [0.0, 0.75]}, 5).table()
+    return grid_search(folded, md.elastic_net, {"penalty": list(penalties), "mixture": list(mixtures)}, 5).table()
 
 
 @query("regression_tree_search")
-def _(spark, sf):
+def regression_tree_search(spark, sf, cps=(0.0, 0.01)):
     data = stage(homes(spark, sf).select("features", "label", "fold"), "homes")
     variance = md.target_variance(data, "label")
-    return grid_search(data, lambda cp: md.regression_tree(variance, cp, depth=6), {"cp": [0.0, 0.01]}, 5).table()
+    return grid_search(data, lambda cp: md.regression_tree(variance, cp, depth=6), {"cp": list(cps)}, 5).table()
 
 
 @query("random_forest_search")
-def _(spark, sf):
-    return search_table(spark, sf, lambda mtry, min_node: md.random_forest(5, mtry, min_node, depth=5),
-                        {"mtry": [2, 3], "min_node": [5]})
+def random_forest_search(spark, sf, grid=None, trees: int = 5, depth: int = 5):
+    return search_table(spark, sf, lambda mtry, min_node: md.random_forest(trees, mtry, min_node, depth=depth),
+                        grid or {"mtry": [2, 3], "min_node": [5]})
 
 
 @query("absolute_loss_boosting")
@@ -350,6 +351,13 @@ def listings(spark, sf) -> DataFrame:
     return joined.selectExpr(*[f"{e} as {c}" for c, e in LISTING.items()])
 
 
+@query("drop_exact_copies", LISTINGS_SQL + f"""
+    select property_id from (select *, row_number() over (partition by {', '.join(fv.EXACT_COPY_KEYS)} order by property_id) as rn from listings)
+    where rn = 1""")
+def _(spark, sf):
+    return cleaning.drop_exact_copies(listings(spark, sf)).select("property_id")
+
+
 NORMAL = ct.NORMAL.replace("text", "description")
 CONTEXT = ct.CONTEXT.replace("(text,", "(description,")
 MINED = ct.sql_vetoed("context", ct.sql_mined("context"))

@@ -11,7 +11,7 @@ from lotline import fixed_values as fv
 from lotline.functions import text as tx
 from lotline.functions.columns import fill_from
 from lotline.operators.impute import FillModel, TrimModel, fit_median, fit_mode, fit_sd_trim
-from lotline.operators.rows import latest_per_key
+from lotline.operators.rows import first_per_key, latest_per_key
 from lotline.staging import stage
 
 
@@ -61,6 +61,11 @@ FIXED_CONSTANTS = CleaningModel(
 )
 
 
+def drop_exact_copies(ads: DataFrame, key: str = "property_id") -> DataFrame:
+    """Of ads that agree in place, size, price and month, the one with the lowest key; nulls count as equal."""
+    return first_per_key(ads, fv.EXACT_COPY_KEYS, [key])
+
+
 def price_per_metre(df: DataFrame) -> DataFrame:
     """Price per square metre, rounded half to even; null for a surface of zero, whose ad the trim then leaves out."""
     return df.withColumn("price_per_m2", F.bround(F.try_divide("price", "surface_total"), 0))

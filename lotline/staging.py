@@ -6,6 +6,7 @@ lost executors and later steps read only the columns they need.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -13,14 +14,15 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_WRITTEN: list[str] = []
 
 
 def stage_root(spark: SparkSession) -> str:
-    """The shared folder of the session; a private one only for local masters without a setting."""
+    """The shared folder of the session; a private one only where driver and tasks are one process and none is set."""
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\[\]]*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
     root = tempfile.mkdtemp(prefix="lotline-")
     spark.conf.set(CHECKPOINT_DIR, root)
@@ -30,6 +32,7 @@ def stage_root(spark: SparkSession) -> str:
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write the table once to the shared folder and go on from there."""
     path = f"{stage_root(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -39,3 +42,13 @@ def stage_observed(df: DataFrame, name: str, metrics: Mapping[str, Column]) -> t
     seen = Observation()
     staged = stage(df.observe(seen, *[e.alias(k) for k, e in metrics.items()]), name)
     return staged, seen.get
+
+
+def clear_stages(spark: SparkSession) -> int:
+    """Delete the stage tables that this driver has written, once no result that reads them is needed; their number."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    done = 0
+    while _WRITTEN:
+        path = hadoop.Path(_WRITTEN.pop())
+        done += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return done

@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from lotline import fixed_values as fv
 from lotline.operators import evaluate as ev
 from lotline.operators import models as md
 from lotline.operators import network as nw
@@ -130,3 +131,20 @@ def test_network_learns_and_does_not_depend_on_partitions(data):
     mae = ev.error_metrics(one.transform(data), "label", "prediction", ["mae"]).head()["mae"]
     base = ev.error_metrics(md.MeanLearner().fit(data).transform(data), "label", "prediction", ["mae"]).head()["mae"]
     assert mae < 0.6 * base
+
+
+def test_full_grids_run_through_the_search(spark):
+    from catalog import models_and_flows as flows
+
+    sf = "/root/testdata/sf0.001"
+    forest = flows.random_forest_search(spark, sf, grid=fv.FOREST_GRID, trees=1, depth=2)
+    assert forest.count() == len(fv.FOREST_GRID["mtry"]) * len(fv.FOREST_GRID["min_node"])
+    assert flows.regression_tree_search(spark, sf, cps=fv.TREE_CP_GRID).count() == len(fv.TREE_CP_GRID)
+
+
+def test_stages_can_be_cleared(spark, tmp_path):
+    from lotline.staging import clear_stages, stage
+
+    clear_stages(spark)
+    stage(spark.range(3), "gone")
+    assert clear_stages(spark) == 1 and clear_stages(spark) == 0
