@@ -169,31 +169,34 @@ class Pairs:
     @staticmethod
     def read(blocks: list[tuple[int, bytes]]) -> Pairs:
         """From (flush, block), in any order."""
-        blocks = sorted(blocks)
-        parts = [unpack(b) for _, b in blocks]
+        blocks_of = sorted(blocks)
+        flushes = np.array([f for f, _ in blocks_of])
+        parts = [unpack(b) for _, b in blocks_of]
         words, word_at = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
         contexts, context_at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         word_ids, context_ids, docs, train, times, bases = [], [], [], [], [], []
         w0 = u0 = d0 = 0
         for p in parts:
-            context_ids.append(np.repeat(context_at[u0 : u0 + len(p[0])], p[1]))
-            word_ids.append(word_at[w0 + p[3].astype(np.int64)])
-            docs.append((p[4] >> 1).astype(np.int64) + d0)
+            context_ids.append(np.repeat(context_at[u0 : u0 + len(p[0])].astype(np.int32), p[1]))
+            word_ids.append(word_at[w0 : w0 + len(p[2])].astype(np.int32)[p[3]])
+            docs.append((p[4] >> 1).astype(np.int32) + np.int32(d0))
             train.append((p[4] & 1) == 0)
-            times.append(p[5].astype(np.int64))
+            times.append(p[5].astype(np.int32))
             bases.append(d0)
             d0 += int(p[6][0])
             w0, u0 = w0 + len(p[2]), u0 + len(p[0])
-        word, context = np.concatenate(word_ids), np.concatenate(context_ids)
-        key = context.astype(np.int64) * len(words) + word
+        del parts, blocks_of
+        key = np.concatenate(context_ids).astype(np.int64) * len(words)
+        key += np.concatenate(word_ids)
+        del context_ids, word_ids
         order = np.argsort(key, kind="stable")
         key, times, train = key[order], np.concatenate(times)[order], np.concatenate(train)[order]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        pair = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key))))
-        count = np.add.reduceat(times * train, first)
+        pair = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(key))))
+        count = np.add.reduceat((times * train).astype(np.int64), first)
         return Pairs(
             words, contexts, key[first] // len(words), key[first] % len(words), count, pair, np.concatenate(docs)[order], times,
-            np.array([f for f, _ in blocks]), np.array([*bases, d0]),
+            flushes, np.array([*bases, d0]),
         )
 
 
