@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Normalised sentences of public licences and notices, by identifier.
+# Normalised sentences of public licences and notices, by identifier, as the cut leaves them: no mark of
+# `_END` lies inside one. Notices that are cut in the middle have an identifier for each part.
 SENTENCES = {
     "mit-released": "released under the mit license",
     "mit-licensed": "licensed under the mit license",
@@ -22,12 +23,33 @@ SENTENCES = {
     "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
     "apache-short": "licensed under the apache license version 2.0",
     "apache-header": "licensed under the apache license version 2.0 the license you may not use this file except in compliance with the license",
+    "apache-start": "licensed under the apache license version 2.0 the license",
+    "apache-use": "you may not use this file except in compliance with the license",
     "apache-copy": "you may obtain a copy of the license at http www.apache.org licenses license 2.0",
+    "apache-copy-https": "you may obtain a copy of the license at https www.apache.org licenses license 2.0",
+    "apache-at": "you may obtain a copy of the license at",
+    "apache-url": "http www.apache.org licenses license 2.0",
+    "apache-url-https": "https www.apache.org licenses license 2.0",
     "apache-as-is": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
+    "apache-copy-as-is": "you may obtain a copy of the license at http www.apache.org licenses license 2.0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
+    "apache-copy-as-is-https": "you may obtain a copy of the license at https www.apache.org licenses license 2.0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
     "gpl3-work": "this work is licensed under the gnu general public license version 3",
     "gpl2-work": "this work is licensed under the gnu general public license version 2",
     "gpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "gpl2-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "free-program": "this program is free software",
+    "free-library": "this library is free software",
+    "gpl3-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl2-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "lgpl-terms": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2.1 of the license or at your option any later version",
+    "gpl-published": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+    "lgpl-published": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+    "version-3": "either version 3 of the license or at your option any later version",
+    "version-2": "either version 2 of the license or at your option any later version",
+    "version-2.1": "either version 2.1 of the license or at your option any later version",
+    "useful-program": "this program is distributed in the hope that it will be useful but without any warranty",
+    "useful-library": "this library is distributed in the hope that it will be useful but without any warranty",
+    "no-implied": "without even the implied warranty of merchantability or fitness for a particular purpose",
     "gpl-warranty": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
     "lgpl-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2.1 of the license or at your option any later version",
     "bsd-terms": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
@@ -42,13 +64,20 @@ SENTENCES = {
     "cc-by-nc": "licensed under cc by nc 4.0",
     "cc-by-nc-work": "this work is licensed under a creative commons attribution noncommercial 4.0 international license",
     "cc0": "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
-    "mpl-terms": "this source code form is subject to the terms of the mozilla public license v. 2.0",
+    "mpl-terms": "this source code form is subject to the terms of the mozilla public license v",
+    "mpl-version": "this source code form is subject to the terms of the mozilla public license version 2.0",
+    "mpl-copy": "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla.org mpl 2.0",
+    "mpl-copy-https": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla.org mpl 2.0",
     "unlicense": "this is free and unencumbered software released into the public domain",
     "reserved": "all rights reserved",
     "spdx-mit": "spdx license identifier mit",
     "spdx-apache": "spdx license identifier apache 2.0",
     "spdx-gpl3": "spdx license identifier gpl 3.0 or later",
     "spdx-bsd3": "spdx license identifier bsd 3 clause",
+    "spdx": "spdx license identifier",
+    "name-apache": "apache 2.0",
+    "name-gpl3": "gpl 3.0 or later",
+    "name-bsd3": "bsd 3 clause",
 }
 # Licence (SPDX name where there is one), kind, identifiers in the order they must come.
 RULES = [
@@ -56,22 +85,38 @@ RULES = [
     ("MIT", "permissive", ("mit-licensed",)),
     ("MIT", "permissive", ("mit-project",)),
     ("MIT", "permissive", ("mit-grant", "mit-notice", "as-is-software")),
+    ("MIT", "permissive", ("mit-notice", "as-is-software")),
     ("MIT", "permissive", ("spdx-mit",)),
     ("MIT-0", "permissive", ("mit-grant", "as-is-software")),
     ("ISC", "permissive", ("isc-grant",)),
     ("Apache-2.0", "permissive", ("apache-short",)),
     ("Apache-2.0", "permissive", ("apache-header",)),
     ("Apache-2.0", "permissive", ("apache-copy", "apache-as-is")),
+    ("Apache-2.0", "permissive", ("apache-copy-https", "apache-as-is")),
+    ("Apache-2.0", "permissive", ("apache-start", "apache-use")),
+    ("Apache-2.0", "permissive", ("apache-use", "apache-copy-as-is")),
+    ("Apache-2.0", "permissive", ("apache-use", "apache-copy-as-is-https")),
+    ("Apache-2.0", "permissive", ("apache-at", "apache-url", "apache-as-is")),
+    ("Apache-2.0", "permissive", ("apache-at", "apache-url-https", "apache-as-is")),
     ("Apache-2.0", "permissive", ("spdx-apache",)),
+    ("Apache-2.0", "permissive", ("spdx", "name-apache")),
     ("GPL-3.0-only", "copyleft", ("gpl3-work",)),
     ("GPL-2.0-only", "copyleft", ("gpl2-work",)),
     ("GPL-3.0-or-later", "copyleft", ("gpl-free",)),
+    ("GPL-3.0-or-later", "copyleft", ("gpl3-terms",)),
+    ("GPL-3.0-or-later", "copyleft", ("gpl-published", "version-3")),
     ("GPL-3.0-or-later", "copyleft", ("spdx-gpl3",)),
+    ("GPL-3.0-or-later", "copyleft", ("spdx", "name-gpl3")),
     ("GPL-2.0-or-later", "copyleft", ("gpl2-free",)),
+    ("GPL-2.0-or-later", "copyleft", ("gpl2-terms",)),
+    ("GPL-2.0-or-later", "copyleft", ("gpl-published", "version-2")),
     ("LGPL-2.1-or-later", "copyleft", ("lgpl-free",)),
+    ("LGPL-2.1-or-later", "copyleft", ("lgpl-terms",)),
+    ("LGPL-2.1-or-later", "copyleft", ("lgpl-published", "version-2.1")),
     ("BSD-2-Clause", "permissive", ("bsd-terms", "bsd-source", "bsd-binary", "bsd-as-is")),
     ("BSD-3-Clause", "permissive", ("bsd-terms", "bsd-source", "bsd-binary", "bsd-names")),
     ("BSD-3-Clause", "permissive", ("spdx-bsd3",)),
+    ("BSD-3-Clause", "permissive", ("spdx", "name-bsd3")),
     ("CC-BY-4.0", "permissive", ("cc-by",)),
     ("CC-BY-4.0", "permissive", ("cc-by-work",)),
     ("CC-BY-SA-4.0", "copyleft", ("cc-by-sa",)),
@@ -80,13 +125,16 @@ RULES = [
     ("CC-BY-NC-4.0", "restricted", ("cc-by-nc-work",)),
     ("CC0-1.0", "permissive", ("cc0",)),
     ("MPL-2.0", "copyleft", ("mpl-terms",)),
+    ("MPL-2.0", "copyleft", ("mpl-version",)),
+    ("MPL-2.0", "copyleft", ("mpl-copy",)),
+    ("MPL-2.0", "copyleft", ("mpl-copy-https",)),
     ("Unlicense", "permissive", ("unlicense",)),
     ("LicenseRef-all-rights-reserved", "restricted", ("reserved",)),
 ]
 # a sentence ends at these marks before white space or the end of the text; an empty line ends one too
 _END = r"[.!?:;]+(?=[ \t\r\n]|$)|\n[ \t\r]*\n"
-# one of these stems is in every known sentence, so a text without any of them holds none
-_STEMS = r"(?i)licen|permi|redistribut|rights|warrant|as is|copyright|free software|public domain|provided by|neither the name|no event shall"
+# one of these stems is in every known sentence, so a text without any of them holds none; single words, as a line may end anywhere
+_STEMS = r"(?i)licen|permi|distribut|rights|warrant|copyright|software|domain|apache|gpl|bsd"
 
 
 def _array(items: list[str]) -> Column:

@@ -61,3 +61,75 @@ def test_every_sentence_holds_a_stem_and_every_rule_is_known():
 
 def test_empty_table(docs_of):
     assert licenses.scan(docs_of([(0, "a")]).where("doc_id > 5")).collect() == []
+
+
+APACHE = """Copyright 2024 Somebody
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL3 = """Copyright (C) 2024 Somebody
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+GPL2 = """Copyright (C) 2024 Somebody
+
+This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+"""
+LGPL = """Copyright (C) 2024 Somebody
+
+This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+NOTICES = [
+    (APACHE, "Apache-2.0"), (APACHE.replace("http:", "https:"), "Apache-2.0"), (GPL3, "GPL-3.0-or-later"), (GPL2, "GPL-2.0-or-later"),
+    (LGPL, "LGPL-2.1-or-later"), (MPL, "MPL-2.0"), ("SPDX-License-Identifier: Apache-2.0\n", "Apache-2.0"),
+    ("SPDX-License-Identifier: GPL-3.0-or-later\n", "GPL-3.0-or-later"), ("SPDX-License-Identifier: BSD-3-Clause\n", "BSD-3-Clause"),
+]
+
+
+def commented(text):
+    return "".join(f"# {line}".rstrip() + "\n" for line in text.splitlines()) + "import this\n"
+
+
+def test_verbatim_notices_plain_and_as_comments(docs_of):
+    texts = [t for t, _ in NOTICES] + [commented(t) for t, _ in NOTICES] + [commented(MIT), GPL3.replace("free software", "free\nsoftware")]
+    docs = docs_of(texts)
+    rows = sorted(map(tuple, licenses.scan(docs).collect()))
+    assert [r[3] for r in rows] == [want for _, want in NOTICES] * 2 + ["MIT", "GPL-3.0-or-later"]
+    assert "free-program" in rows[-1][2]
+    frame = docs.toPandas()  # noqa: F841  (read by the SQL)
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM frame")
+    assert rows == sorted(con.execute(queries.SQL["op7_license_scan"]).fetchall())
+
+
+def test_every_sentence_comes_out_of_the_cut_as_it_is_stored(docs_of):
+    rows = licenses.scan(docs_of(list(licenses.SENTENCES.values()))).orderBy("doc_id").collect()
+    assert [r["sentence_ids"] for r in rows] == list(licenses.SENTENCES)
