@@ -7,8 +7,10 @@ A sweep reseats all customers of a word in a restaurant given everything else as
 predictive probabilities are averaged over sweeps.
 
 The work is dealt by context, so a restaurant is whole in one task; contexts that hold a large share of the words are
-dealt by word pair. Tokens move once, as columns of numbers per batch and bucket, with repeats counted. One exchange of
-per-word sums brings the parent's seating and the corpus counts back to where the pairs are.
+dealt by word pair. What moves are the distinct pairs of each batch of documents with their counts; the documents' entries
+stay together. In every sweep the buckets send the tables of words and split contexts to their owners, which reseat the parent
+and send the sums back, so a sweep knows all restaurants and the parent as the last one left them, and each sample is one of
+all restaurants together.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +36,6 @@ SEED = 17
 BUCKET_BYTES = 20 << 20
 HELD_TOKENS = 1_500_000
 LEAST_BUCKETS = 1
-# documents from which contexts are found that are worth splitting; only the balance depends on it
-HOT_SAMPLE = 2_000
 EXACT = 16
 
 
@@ -153,56 +154,45 @@ def sample_tables(
 
 @dataclass
 class Pairs:
-    """What a bucket holds: distinct words and contexts, pairs sorted by context, and the entries (pair, document, times)."""
+    """What a bucket holds: distinct words and contexts, and pairs sorted by context with their training count."""
 
     words: np.ndarray
     contexts: np.ndarray
     context: np.ndarray
     word: np.ndarray
     count: np.ndarray
-    entry_pair: np.ndarray
-    entry_doc: np.ndarray
-    entry_times: np.ndarray
-    flushes: np.ndarray
-    flush_base: np.ndarray
+
+    def block(self) -> bytes:
+        return pack(self.words, self.contexts, np.bincount(self.context, minlength=len(self.contexts)), self.word, self.count)
+
+    @staticmethod
+    def of(block: bytes) -> Pairs:
+        words, contexts, sizes, word, count = unpack(block)
+        return Pairs(words, contexts, np.repeat(np.arange(len(contexts)), sizes), word.astype(np.int64), count.astype(np.int64))
 
     @staticmethod
-    def read(blocks: list[tuple[int, bytes]]) -> Pairs:
-        """From (flush, block), in any order."""
+    def read(blocks: list[tuple[int, bytes]]) -> tuple[Pairs, list[tuple[int, np.ndarray]]]:
+        """From (flush, block) in any order; also the pairs of each flush, in the order of its block."""
         blocks_of = sorted(blocks)
-        flushes = np.array([f for f, _ in blocks_of])
         parts = [unpack(b) for _, b in blocks_of]
         words, word_at = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
         contexts, context_at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        word_ids, context_ids, docs, train, times, bases = [], [], [], [], [], []
-        w0 = u0 = d0 = 0
+        keys = []
+        w0 = u0 = 0
         for p in parts:
-            context_ids.append(np.repeat(context_at[u0 : u0 + len(p[0])].astype(np.int32), p[1]))
-            word_ids.append(word_at[w0 : w0 + len(p[2])].astype(np.int32)[p[3]])
-            docs.append((p[4] >> 1).astype(np.int32) + np.int32(d0))
-            train.append((p[4] & 1) == 0)
-            times.append(p[5].astype(np.int32))
-            bases.append(d0)
-            d0 += int(p[6][0])
+            keys.append(np.repeat(context_at[u0 : u0 + len(p[0])].astype(np.int64), p[1]) * len(words) + word_at[w0 : w0 + len(p[2])][p[3]])
             w0, u0 = w0 + len(p[2]), u0 + len(p[0])
-        del parts, blocks_of
-        key = np.concatenate(context_ids).astype(np.int64) * len(words)
-        key += np.concatenate(word_ids)
-        del context_ids, word_ids
-        order = np.argsort(key, kind="stable")
-        key, times, train = key[order], np.concatenate(times)[order], np.concatenate(train)[order]
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        pair = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(key))))
-        count = np.add.reduceat((times * train).astype(np.int64), first)
-        return Pairs(
-            words, contexts, key[first] // len(words), key[first] % len(words), count, pair, np.concatenate(docs)[order], times,
-            flushes, np.array([*bases, d0]),
-        )
+        ends = np.cumsum([len(k) for k in keys])
+        counts = np.concatenate([p[4] for p in parts])
+        del parts
+        key, at = np.unique(np.concatenate(keys), return_inverse=True)
+        count = np.bincount(at, weights=counts, minlength=len(key)).astype(np.int64)
+        slots = np.split(at.astype(np.int32), ends[:-1])
+        return Pairs(words, contexts, key // len(words), key % len(words), count), [(f, s) for (f, _), s in zip(blocks_of, slots)]
 
 
-def _sweep(pairs: Pairs, tables: np.ndarray, parent: np.ndarray, scale: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """All dishes reseated once; `scale` is how many times larger a context's restaurant is than what the bucket holds of it."""
-    total = np.bincount(pairs.context, weights=tables, minlength=len(pairs.contexts)) * scale
+def _sweep(pairs: Pairs, tables: np.ndarray, total: np.ndarray, parent: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """All dishes reseated once, given the tables of whole restaurants and the parent's probability of each word."""
     again = np.flatnonzero(pairs.count > 1)
     out = tables.copy()
     out[again] = sample_tables(
@@ -211,19 +201,6 @@ def _sweep(pairs: Pairs, tables: np.ndarray, parent: np.ndarray, scale: np.ndarr
     return out
 
 
-def first_seating(pairs: Pairs, hot: np.ndarray, buckets: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(tables per pair, scale per context, whether it is hot) with the parent guessed from the contexts that the bucket has."""
-    rng = np.random.default_rng(seed)
-    seen = pairs.count > 0
-    guess = (np.bincount(pairs.word[seen], minlength=len(pairs.words)) + 0.5) / (seen.sum() + 0.5 * len(pairs.words) + 1)
-    is_hot = np.isin(pairs.contexts, hot)
-    scale = np.where(is_hot, float(buckets), 1.0)
-    tables = seen.astype(np.int64)
-    for _ in range(BURN_IN):
-        tables = _sweep(pairs, tables, guess, scale, rng)
-    return tables, scale, is_hot
-
-
 def _owner(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (_mix(hashes ^ np.uint64(0xA5A5A5A5)) % np.uint64(buckets)).astype(np.int64)
 
@@ -234,12 +211,12 @@ def _bucket_of(context: np.ndarray, word: np.ndarray, hot: np.ndarray, buckets:
 
 
 def _deal(held: list[tuple], first_row: int, hot: np.ndarray, buckets: int) -> Iterator[tuple]:
-    """(bucket, flush, kind, block) of the documents held: kind 0 are tokens, kind 1 the documents themselves."""
+    """(bucket, flush, kind, block) of the documents held: kind 0 are their distinct pairs with the training count, once
+    each; kind 1 are the documents, and the entries (pair, times) of each, which stay together."""
     ids = np.array([i if i is not None else 0 for i, _, _ in held], dtype=np.int64)
     none = np.array([i is None for i, _, _ in held], dtype=np.int64)
     out = np.array([o for _, o, _ in held], dtype=np.int64)
     sizes = np.array([len(h) + 1 for _, _, h in held], dtype=np.int64)
-    yield int(first_row % buckets), first_row, 1, pack(ids.view(np.uint64), none, out, sizes)
     ends = np.cumsum(sizes)
     word = np.full(ends[-1], END, dtype=np.uint64)
     for (_, _, h), end, size in zip(held, ends, sizes):
@@ -247,19 +224,24 @@ def _deal(held: list[tuple], first_row: int, hot: np.ndarray, buckets: int) -> I
     names, at = np.unique(np.append(word, BEGIN), return_inverse=True)
     context = np.append(at[-1], at[:-2])
     context[ends[:-1]] = at[-1]
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    key, times = np.unique((context * np.int64(len(names)) + at[:-1]) * len(sizes) + doc, return_counts=True)
-    doc, key = key % len(sizes), key // len(sizes)
+    key, pair = np.unique(context * np.int64(len(names)) + at[:-1], return_inverse=True)
     context, at = key // len(names), key % len(names)
+    count = np.bincount(pair, weights=np.repeat(1 - out, sizes), minlength=len(key)).astype(np.int64)
     bucket = _bucket_of(names[context], names[at], hot, buckets)
     order = np.argsort(bucket, kind="stable")
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    entry, times = np.unique(np.repeat(np.arange(len(sizes)), sizes) * np.int64(len(key)) + place[pair], return_counts=True)
     cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    yield int(first_row % buckets), first_row, 1, pack(
+        ids.view(np.uint64), none, out, sizes, np.bincount(entry // len(key), minlength=len(sizes)), entry % len(key), times,
+        bucket[order][cuts], np.diff(np.append(cuts, len(order))),
+    )
     for part in np.split(order, cuts[1:]):
         run = np.flatnonzero(np.append(True, context[part][1:] != context[part][:-1]))
         words, word_at = np.unique(at[part], return_inverse=True)
         yield int(bucket[part[0]]), first_row, 0, pack(
-            names[context[part][run]], np.diff(np.append(run, len(part))), names[words], word_at,
-            doc[part] * 2 + out[doc[part]], times[part], np.array([len(sizes)]),
+            names[context[part][run]], np.diff(np.append(run, len(part))), names[words], word_at, count[part],
         )
 
 
@@ -269,20 +251,33 @@ def _rows(rows: list[tuple], names: str, kinds: list[pa.DataType]) -> pa.RecordB
 
 
 def hot_contexts(texts: DataFrame, buckets: int) -> np.ndarray:
-    """Hashes of words with a share of over a quarter of a bucket in a sample of documents; at most 4 per bucket."""
-    share = min(1.0, HOT_SAMPLE / max(1, texts.count()))
-    sample = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < max(1, int(share * 1_000_000)))
+    """Hashes of all contexts with more than a quarter of a bucket's tokens; none with less than an eighth, so at most 8 per bucket."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+
+        def summed() -> pa.RecordBatch:
+            words, n = np.unique(np.concatenate(held), return_counts=True)
+            # what is left out here is less than an eighth of a bucket's share over all chunks together
+            often = n * 8 * buckets >= size
+            words, n = words[often], n[often]
+            return pa.RecordBatch.from_arrays([pa.array([None, *words.view(np.int64).tolist()], pa.int64()), pa.array([size, *n.tolist()], pa.int64())], ["word", "n"])
+
         for batch in batches:
-            found = [word_hashes(t) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
-            words, n = np.unique(np.concatenate([*found, np.full(len(found), BEGIN)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
+            for text in batch.column("text").cast(pa.large_binary()).to_pylist():
+                held.append(np.append(word_hashes(text), BEGIN))
+                size += len(held[-1])
+                if size >= HELD_TOKENS:
+                    yield summed()
+                    held, size = [], 0
+        if held:
+            yield summed()
 
-    counts = sample.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(4 * buckets).collect()
-    total = counts.agg(F.sum("n")).head()[0] or 0
-    return np.sort(np.array([r["word"] for r in top if r["n"] * 4 * buckets > total], dtype=np.int64).view(np.uint64))
+    counts = texts.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counts.orderBy(F.desc("n"), "word").limit(8 * buckets + 1).collect()
+    total = next((r["n"] for r in top if r["word"] is None), 0)
+    return np.sort(np.array([r["word"] for r in top if r["word"] is not None and r["n"] * 8 * buckets > total], dtype=np.int64).view(np.uint64))
 
 
 def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -318,21 +313,30 @@ def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, bucket_
             yield _rows(list(_deal(kept, first, hot, buckets)), names, kinds)
 
     dealt = rows.mapInArrow(deal, "bucket int, flush long, kind int, block binary").repartition(buckets, "bucket")
-    asked = dealt.groupBy("bucket").applyInArrow(_ask(hot, buckets), "owner int, bucket int, block binary")
-    told = asked.repartition(buckets, "owner").groupBy("owner").applyInArrow(
-        _tell(buckets), "bucket int, owner int, block binary, words long, tokens long, customers long, tables long"
+    pairs = dealt.groupBy("bucket").applyInArrow(_pairs, "bucket int, block binary").repartition(buckets, "bucket")
+    mail = "round int, to int, sender int, kind int, block binary"
+    asked = pairs.groupBy("bucket").applyInArrow(_start(hot, buckets), mail)
+    samples = []
+    for sweep in range(BURN_IN + SAMPLES + 1):
+        told = asked.repartition(buckets, "to").groupBy("to").applyInArrow(_tell(sweep), mail).repartition(buckets, "to")
+        if sweep > BURN_IN:
+            samples.append(told)
+        if sweep < BURN_IN + SAMPLES:
+            asked = pairs.groupBy("bucket").cogroup(told.groupBy("to")).applyInArrow(_ask(sweep + 1, hot, buckets), mail)
+    sampled = reduce(DataFrame.union, samples).repartition(buckets, "to")
+    scored = dealt.groupBy("bucket").cogroup(sampled.groupBy("to")).applyInArrow(
+        _score(hot, buckets), "to int, flush long, bucket int, block binary"
     )
-    sums = told.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "tokens", "customers", "tables")])
-    totals = sums.select(F.struct("words", "tokens", "customers", "tables").alias("totals")).scalar()
-    replies = told.select("bucket", "owner", "block", totals.alias("totals")).select("bucket", "owner", "block", "totals.*").repartition(buckets, "bucket")
-    partial = dealt.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInArrow(
-        _score(hot, buckets), "flush long, kind int, train_tokens long, block binary"
-    )
-    return partial.repartition(buckets, "flush").groupBy("flush").applyInArrow(
+    return dealt.groupBy("bucket").cogroup(scored.repartition(buckets, "to").groupBy("to")).applyInArrow(
         _gather, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
     )
 
 
+# kinds of messages: to the owner of words and back, and what a bucket and an owner keep for themselves
+ASK, REPLY, SEATING, PARENT = range(4)
+_MAIL = [("round", pa.int32()), ("to", pa.int32()), ("sender", pa.int32()), ("kind", pa.int32()), ("block", pa.binary())]
+
+
 def _table(rows: list[tuple], schema: list[tuple[str, pa.DataType]]) -> pa.Table:
     columns = list(zip(*rows)) if rows else [()] * len(schema)
     return pa.table([pa.array(c, k) for c, (_, k) in zip(columns, schema)], names=[n for n, _ in schema])
@@ -344,57 +348,132 @@ def _tokens(table: pa.Table) -> list[tuple[int, bytes]]:
     return [(flush, block) for flush, kind, block in zip(*columns) if kind == 0]
 
 
-def _ask(hot: np.ndarray, buckets: int):
-    """Per bucket: counts and tables of its words, and of the hot contexts it has a part of, to the owners of the words."""
+def _pairs(key: tuple, table: pa.Table) -> pa.Table:
+    """Per bucket: its pairs, summed over flushes."""
+    blocks = _tokens(table)
+    rows = [(key[0].as_py(), Pairs.read(blocks)[0].block())] if blocks else []
+    return _table(rows, [("bucket", pa.int32()), ("block", pa.binary())])
 
-    def ask(key: tuple, table: pa.Table) -> pa.Table:
-        bucket, out = key[0].as_py(), []
-        blocks = _tokens(table)
-        if blocks:
-            pairs = Pairs.read(blocks)
-            tables, _, is_hot = first_seating(pairs, hot, buckets, SEED + bucket)
-            per_word = [np.bincount(pairs.word, weights=x, minlength=len(pairs.words)).astype(np.int64) for x in (pairs.count, tables)]
-            per_hot = [np.bincount(pairs.context, weights=x, minlength=len(pairs.contexts))[is_hot].astype(np.int64) for x in (pairs.count, tables)]
-            names = pairs.contexts[is_hot]
-            to_word, to_hot = _owner(pairs.words, buckets), _owner(names, buckets)
-            for owner in np.union1d(to_word, to_hot).tolist():
-                w, h = to_word == owner, to_hot == owner
-                out.append((owner, bucket, pack(pairs.words[w], per_word[0][w], per_word[1][w], names[h], per_hot[0][h], per_hot[1][h])))
-        return _table(out, [("owner", pa.int32()), ("bucket", pa.int32()), ("block", pa.binary())])
+
+def _mail(table: pa.Table, kind: int) -> list[tuple[int, bytes]]:
+    """(sender, block) of the messages of a kind, by sender."""
+    rows = zip(*(table.column(c).to_pylist() for c in ("sender", "kind", "block")))
+    return sorted((sender, block) for sender, k, block in rows if k == kind)
+
+
+def _questions(sweep: int, bucket: int, pairs: Pairs, tables: np.ndarray, known: tuple[int, int], hot: np.ndarray, buckets: int) -> list[tuple]:
+    """The seating, kept, and the tables of words and hot contexts, to their owners; counts only go with the last sweep."""
+    last = sweep == BURN_IN + SAMPLES
+    is_hot = np.isin(pairs.contexts, hot)
+    names = pairs.contexts[is_hot]
+    word = [np.bincount(pairs.word, weights=x, minlength=len(pairs.words)).astype(np.int64) for x in (tables, pairs.count)]
+    context = [np.bincount(pairs.context, weights=x, minlength=len(pairs.contexts))[is_hot].astype(np.int64) for x in (tables, pairs.count)]
+    to_word, to_hot = _owner(pairs.words, buckets), _owner(names, buckets)
+    out = [(sweep, bucket, bucket, SEATING, pack(tables))]
+    # every owner is asked, as the sums over all words come from all of them
+    for owner in range(buckets):
+        w, h = np.flatnonzero(to_word == owner), np.flatnonzero(to_hot == owner)
+        counts = (word[1][w], context[1][h]) if last else (w[:0], h[:0])
+        out.append((sweep, owner, bucket, ASK, pack(pairs.words[w], word[0][w], names[h], context[0][h], *counts, np.array(known))))
+    return out
+
+
+def _start(hot: np.ndarray, buckets: int):
+    """Per bucket: one table for each pair."""
+
+    def start(key: tuple, table: pa.Table) -> pa.Table:
+        bucket, pairs = key[0].as_py(), Pairs.of(table.column("block")[0].as_py())
+        return _table(_questions(0, bucket, pairs, (pairs.count > 0).astype(np.int64), (0, 0), hot, buckets), _MAIL)
+
+    return start
+
+
+@dataclass
+class State:
+    """A bucket's seating after a sweep, the tables of its restaurants over all buckets, and what the owners told."""
+
+    tables: np.ndarray
+    total: np.ndarray
+    parent: np.ndarray
+    count: np.ndarray
+    context_count: np.ndarray
+    known: tuple[int, int]
+    tokens: int
+
+    @staticmethod
+    def of(pairs: Pairs, table: pa.Table, hot: np.ndarray, buckets: int) -> State:
+        tables = unpack(_mail(table, SEATING)[0][1])[0].astype(np.int64)
+        total = np.bincount(pairs.context, weights=tables, minlength=len(pairs.contexts))
+        context_count = np.bincount(pairs.context, weights=pairs.count, minlength=len(pairs.contexts))
+        customers, seated, count = (np.zeros(len(pairs.words), dtype=np.int64) for _ in range(3))
+        to_word = _owner(pairs.words, buckets)
+        to_hot = np.where(np.isin(pairs.contexts, hot), _owner(pairs.contexts, buckets), -1)
+        sums = np.zeros(4, dtype=np.int64)
+        for owner, block in _mail(table, REPLY):
+            w, h = np.flatnonzero(to_word == owner), np.flatnonzero(to_hot == owner)
+            found = unpack(block)
+            customers[w], seated[w], total[h] = found[:3]
+            if len(found[3]):
+                count[w] = found[3]
+            if len(found[4]):
+                context_count[h] = found[4]
+            sums += found[5].astype(np.int64)
+        words, tokens, all_customers, all_tables = sums.tolist()
+        parent = parent_probability(customers, seated, all_customers, all_tables, words)
+        return State(tables, total, parent, count, context_count, (words, all_tables), tokens)
+
+
+def _ask(sweep: int, hot: np.ndarray, buckets: int):
+    """Per bucket: a sweep given what the last one left everywhere, and its tables to the owners."""
+
+    def ask(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
+        out = []
+        for owner, block in _mail(told, PARENT):
+            out.append((sweep, owner, owner, PARENT, block))
+        if table.num_rows:
+            bucket, pairs = key[0].as_py(), Pairs.of(table.column("block")[0].as_py())
+            state = State.of(pairs, told, hot, buckets)
+            tables = _sweep(pairs, state.tables, state.total, state.parent, np.random.default_rng((SEED, sweep, bucket)))
+            out += _questions(sweep, bucket, pairs, tables, state.known, hot, buckets)
+        return _table(out, _MAIL)
 
     return ask
 
 
-def _tell(buckets: int):
-    """Per owner: the sums of its words and hot contexts and the parent's seating, back to every bucket that asked."""
+def _tell(sweep: int):
+    """Per owner: the parent's tables of its words reseated, and the sums of its words and hot contexts, to all that asked."""
 
     def tell(key: tuple, table: pa.Table) -> pa.Table:
         owner = key[0].as_py()
-        asked = sorted(zip(table.column("bucket").to_pylist(), table.column("block").to_pylist()))
-        parts = [unpack(b) for _, b in asked]
-        words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        count, customers = (np.bincount(at, weights=np.concatenate([p[i] for p in parts]), minlength=len(words)).astype(np.int64) for i in (1, 2))
-        hot, hot_at = np.unique(np.concatenate([p[3] for p in parts]), return_inverse=True)
-        hot_count, hot_tables = (np.bincount(hot_at, weights=np.concatenate([p[i] for p in parts]), minlength=len(hot)).astype(np.int64) for i in (4, 5))
-        rng = np.random.default_rng(SEED + 100_003 + owner)
-        known = int((count > 0).sum())
-        tables, summed = (customers > 0).astype(np.int64), np.zeros(len(words), dtype=np.int64)
-        again = np.flatnonzero(customers > 1)
-        flat = np.full(len(again), 1 / (known * buckets + 1))
-        for sweep in range(BURN_IN + SAMPLES):
-            # an owner's words are a random share of all, so its tables stand for those of the others too
-            others = np.maximum(tables.sum() * buckets - tables[again], 0).astype(float)
-            tables[again] = sample_tables(customers[again], others, flat, ROOT_DISCOUNT, ROOT_STRENGTH, rng)
-            if sweep >= BURN_IN:
-                summed += tables
-        out, w0, h0 = [], 0, 0
-        for (bucket, _), p in zip(asked, parts):
-            w, h = at[w0 : w0 + len(p[0])], hot_at[h0 : h0 + len(p[3])]
-            w0, h0 = w0 + len(p[0]), h0 + len(p[3])
-            out.append((bucket, owner, pack(count[w], customers[w], summed[w], hot_count[h], hot_tables[h]), 0, 0, 0, 0))
-        if out:
-            out[0] = (*out[0][:3], known, int(count.sum()), int(customers.sum()), int(summed.sum()))
-        return _table(out, [("bucket", pa.int32()), ("owner", pa.int32()), ("block", pa.binary()), *[(n, pa.int64()) for n in ("words", "tokens", "customers", "tables")]])
+        out = [(sweep, bucket, bucket, SEATING, block) for bucket, block in _mail(table, SEATING)]
+        asked = [(bucket, unpack(block)) for bucket, block in _mail(table, ASK)]
+        last = sweep == BURN_IN + SAMPLES
+
+        def summed(name: int, value: int) -> tuple[np.ndarray, np.ndarray]:
+            names, at = np.unique(np.concatenate([p[name] for _, p in asked]), return_inverse=True)
+            return at, np.bincount(at, weights=np.concatenate([p[value] for _, p in asked]), minlength=len(names)).astype(np.int64)
+
+        if asked:
+            (at, customers), (hot_at, hot_tables) = summed(0, 1), summed(2, 3)
+            count, hot_count = (summed(0, 4)[1], summed(2, 5)[1]) if last else (customers[:0], hot_tables[:0])
+            words, all_tables = asked[0][1][6].tolist()
+            tables = (customers > 0).astype(np.int64)
+            if sweep:
+                before = unpack(_mail(table, PARENT)[0][1])[0].astype(np.int64)
+                again = np.flatnonzero(customers > 1)
+                others = np.maximum(all_tables - before[again], 0)
+                tables[again] = sample_tables(
+                    customers[again], others, np.full(len(again), 1 / (words + 1)), ROOT_DISCOUNT, ROOT_STRENGTH, np.random.default_rng((SEED, sweep, owner, 1))
+                )
+            out.append((sweep, owner, owner, PARENT, pack(tables)))
+            sums = np.array([(customers > 0).sum(), count.sum(), customers.sum(), tables.sum()])
+            w0 = h0 = 0
+            for bucket, p in asked:
+                w, h = at[w0 : w0 + len(p[0])], hot_at[h0 : h0 + len(p[2])]
+                w0, h0 = w0 + len(p[0]), h0 + len(p[2])
+                counts = (count[w], hot_count[h]) if last else (count, hot_count)
+                out.append((sweep, bucket, owner, REPLY, pack(customers[w], tables[w], hot_tables[h], *counts, sums)))
+        return _table(out, _MAIL)
 
     return tell
 
@@ -406,66 +485,53 @@ def parent_probability(customers: np.ndarray, tables: np.ndarray, all_customers:
 
 
 def _score(hot: np.ndarray, buckets: int):
-    """Per bucket: sums of log probabilities of its entries by document, with the parent and the counts known."""
-    schema = [("flush", pa.int64()), ("kind", pa.int32()), ("train_tokens", pa.int64()), ("block", pa.binary())]
+    """Per bucket: the chance of each pair, averaged over the joint samples, and the count of its word, to the flushes that have it."""
+    schema = [("to", pa.int32()), ("flush", pa.int64()), ("bucket", pa.int32()), ("block", pa.binary())]
 
-    def score(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        bucket = key[0].as_py()
-        columns = [replies.column(c).to_pylist() for c in ("owner", "block", "words", "tokens", "customers", "tables")]
-        n_words, n_tokens, all_customers, all_tables = (c[0] if c else 0 for c in columns[2:])
-        docs = [(f, 1, n_tokens, b) for f, k, b in zip(*(table.column(c).to_pylist() for c in ("flush", "kind", "block"))) if k == 1]
+    def score(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
         blocks = _tokens(table)
         if not blocks:
-            return _table(docs, schema)
-        pairs = Pairs.read(blocks)
-        first, scale, is_hot = first_seating(pairs, hot, buckets, SEED + bucket)
-        count, customers, summed = (np.zeros(len(pairs.words), dtype=np.int64) for _ in range(3))
-        context_count = np.bincount(pairs.context, weights=pairs.count, minlength=len(pairs.contexts))
-        hot_tables = np.zeros(len(pairs.contexts))
-        to_word, to_hot = _owner(pairs.words, buckets), np.where(is_hot, _owner(pairs.contexts, buckets), -1)
-        for owner, block in zip(*columns[:2]):
-            w, h = np.flatnonzero(to_word == owner), np.flatnonzero(to_hot == owner)
-            found = unpack(block)
-            count[w], customers[w], summed[w] = found[:3]
-            context_count[h], hot_tables[h] = found[3:]
-        parent = parent_probability(customers, summed / SAMPLES, all_customers, all_tables / SAMPLES, n_words)
-        rng = np.random.default_rng(SEED + 200_003 + bucket)
-        tables, mean = first, np.zeros(len(first))
-        for sweep in range(1 + SAMPLES):
-            tables = _sweep(pairs, tables, parent, scale, rng)
-            if sweep:
-                mean += tables / SAMPLES
-        # a hot context's tables were summed over its parts after the first seating, so that seating stands
-        mean = np.where(is_hot[pairs.context], first, mean)
-        context_tables = np.where(is_hot, hot_tables, np.bincount(pairs.context, weights=mean, minlength=len(pairs.contexts)))
-        own, below = pairs.count - DISCOUNT * mean, STRENGTH + DISCOUNT * context_tables[pairs.context]
-        chance = (np.where(pairs.count > 0, own, 0) + below * parent[pairs.word]) / (context_count[pairs.context] + STRENGTH)
-        base = np.log10((count + 1) / (n_tokens + n_words + 1))
-        values = [np.log10(chance), base[pairs.word], (count[pairs.word] > 0).astype(float)]
-        size = pairs.flush_base[-1]
-        sums = [np.bincount(pairs.entry_doc, weights=v[pairs.entry_pair] * pairs.entry_times, minlength=size) for v in values]
-        seen = np.bincount(pairs.entry_doc, minlength=size) > 0
-        for flush, a, b in zip(pairs.flushes.tolist(), pairs.flush_base[:-1], pairs.flush_base[1:]):
-            at = np.flatnonzero(seen[a:b])
-            docs.append((flush, 0, n_tokens, pack(at, sums[0][a:b][at], sums[1][a:b][at], sums[2][a:b][at].astype(np.int64))))
-        return _table(docs, schema)
+            return _table([], schema)
+        bucket = key[0].as_py()
+        pairs, slots = Pairs.read(blocks)
+        rounds = np.array(told.column("round").to_pylist())
+        states = (State.of(pairs, told.filter(pa.array(rounds == r)), hot, buckets) for r in sorted(set(rounds.tolist()), reverse=True))
+        chance, last = np.zeros(len(pairs.count)), None
+        for state in states:
+            # the last sample comes first, and the counts came with it
+            last = last or state
+            own = np.where(pairs.count > 0, pairs.count - DISCOUNT * state.tables, 0)
+            below = STRENGTH + DISCOUNT * state.total[pairs.context]
+            chance += (own + below * state.parent[pairs.word]) / (last.context_count[pairs.context] + STRENGTH) / SAMPLES
+        count, sums = last.count[pairs.word], np.array([last.known[0], last.tokens])
+        # a chance needs no more than seven digits beside the spread of the samples
+        chance = chance.astype(np.float32)
+        return _table([(flush % buckets, flush, bucket, pack(chance[at], count[at], sums)) for flush, at in slots], schema)
 
     return score
 
 
-def _gather(table: pa.Table) -> pa.Table:
-    """Per flush: the documents with the sums of all buckets."""
-    rows = list(zip(*(table.column(c).to_pylist() for c in ("kind", "block"))))
-    ids, none, out, sizes = unpack(next(b for k, b in rows if k == 1))
-    score, base, known = np.zeros(len(ids)), np.zeros(len(ids)), np.zeros(len(ids), dtype=np.int64)
-    for block in sorted(b for k, b in rows if k == 0):
-        at, *found = unpack(block)
-        for total, part in zip((score, base, known), found):
-            total[at] += part.astype(total.dtype)
-    sizes = sizes.astype(np.int64)
-    train = max(table.column("train_tokens").to_pylist())
-    return pa.table({
-        "doc_id": pa.array(ids.view(np.int64), mask=none == 1), "held_out": pa.array(out == 1), "n_tokens": pa.array(sizes), "n_known": pa.array(known),
-        "train_tokens": pa.array(np.full(len(ids), train)), "base_score": pa.array(base), "score": pa.array(score),
-        "perplexity": pa.array(10 ** np.minimum(-score / sizes, 300)),
-    })
+def _gather(key: tuple, table: pa.Table, scored: pa.Table) -> pa.Table:
+    """Per flush: the documents with the sums over their entries."""
+    found: dict[tuple[int, int], bytes] = dict(zip(zip(scored.column("flush").to_pylist(), scored.column("bucket").to_pylist()), scored.column("block").to_pylist()))
+    parts = []
+    for flush, kind, block in zip(*(table.column(c).to_pylist() for c in ("flush", "kind", "block"))):
+        if kind == 0:
+            continue
+        ids, none, out, sizes, entries, pair, times, buckets, lengths = unpack(block)
+        replies = [unpack(found[flush, b]) for b in buckets.tolist()]
+        chance = np.log10(np.concatenate([r[0] for r in replies]).astype(float))
+        count = np.concatenate([r[1].astype(np.int64) for r in replies])
+        n_words, n_tokens = replies[0][2].tolist()
+        base = np.log10((count + 1) / (n_tokens + n_words + 1))
+        doc = np.repeat(np.arange(len(ids)), entries)
+        score, base, known = (np.bincount(doc, weights=v[pair] * times, minlength=len(ids)) for v in (chance, base, (count > 0).astype(float)))
+        sizes = sizes.astype(np.int64)
+        parts.append(pa.table({
+            "doc_id": pa.array(ids.view(np.int64), mask=none == 1), "held_out": pa.array(out == 1), "n_tokens": pa.array(sizes),
+            "n_known": pa.array(np.round(known).astype(np.int64)), "train_tokens": pa.array(np.full(len(ids), n_tokens)),
+            "base_score": pa.array(base), "score": pa.array(score), "perplexity": pa.array(10 ** np.minimum(-score / sizes, 300)),
+        }))
+    names = "doc_id held_out n_tokens n_known train_tokens base_score score perplexity".split()
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+    return pa.concat_tables(parts) if parts else _table([], list(zip(names, kinds)))

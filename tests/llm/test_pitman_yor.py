@@ -194,3 +194,35 @@ def test_edge_rows(docs_of):
     only_held = [i for i in range(100) if held(i)][:2]
     lone = py.score_documents(docs_of([(i, "x y") for i in only_held])).collect()
     assert [(r["n_known"], r["train_tokens"], r["base_score"]) for r in lone] == [(0, 0, 0.0)] * 2
+
+
+def test_many_buckets_and_hot_contexts_equal_a_plain_gibbs_sampler(docs_of, monkeypatch):
+    rows = toy_rows(150, 5)
+    monkeypatch.setattr(py, "HELD_TOKENS", 200)
+    monkeypatch.setattr(py, "hot_contexts", lambda texts, buckets: np.sort(np.append(py.word_hashes(" ".join(f"w{i}" for i in range(25)).encode()), py.BEGIN)))
+    got = {r["doc_id"]: r for r in py.score_documents(docs_of(rows), bucket_bytes=800).collect()}
+    model, want = PlainModel(rows, 5, random.Random(1)), Counter()
+    pairs = {i: list(zip(["<begin>", *words(t)], words(t))) for i, t in rows}
+    for _ in range(10):
+        for u, w in model.customers:
+            model.remove(u, w)
+            model.add(u, w)
+        for u, w in {p for own in pairs.values() for p in own}:
+            want[u, w] += model.prob(u, w) / 10
+    miss = [(got[i]["score"] - sum(math.log10(want[p]) for p in own)) / len(own) for i, own in pairs.items()]
+    assert abs(np.mean(miss)) < 0.02 and np.abs(miss).max() < 0.12
+
+
+def test_a_pair_in_all_documents_is_dealt_once_per_flush():
+    held = [(i, 0, py.word_hashes(f"same u{i}".encode())) for i in range(500)]
+    blocks = [py.unpack(block) for _, _, kind, block in py._deal(held, 0, np.array([py.BEGIN]), 4) if kind == 0]
+    assert sum(len(b[3]) for b in blocks) == 1 + 500 + 500
+    counts = np.concatenate([b[4] for b in blocks])
+    assert sorted(counts.tolist())[-1] == 500 and counts.sum() == 1500
+
+
+def test_hot_contexts_are_counted_over_all_rows(docs_of, monkeypatch):
+    monkeypatch.setattr(py, "HELD_TOKENS", 300)
+    texts = docs_of([" ".join(f"x{i}_{j}" for j in range(9)) for i in range(2500)] + ["often " * 900])
+    hot = py.hot_contexts(texts.select("doc_id", "text"), 10).tolist()
+    assert sorted(hot) == sorted([int(py.BEGIN), *py.word_hashes(b"often").tolist()])
