@@ -36,3 +36,10 @@ def fold_of(doc_id: Column, folds: int) -> Column:
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """Bytes of all texts: one scan that moves one number per task."""
     return int(docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).head()[0] or 0)
+
+
+def drawn(draw: Column, part: int, whole: int) -> Column:
+    """True for about `part` of `whole` rows by their 64-bit hash, at any size; for all where `part` is not less."""
+    if part >= whole:
+        return F.lit(True)
+    return draw.bitwiseAND(F.lit(2**63 - 1)) < F.lit(max(0, part) * 2**63 // whole)

@@ -6,8 +6,11 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lotline.llm import bpe, decontaminate, langid, licenses, omh, pitman_yor, quality, shards, simhash, toxicity
+from lotline.llm import (
+    bpe, decontaminate, langid, licenses, negatives, omh, pitman_yor, quality, secrets, shards, simhash, toxicity, variants,
+)
 from lotline.llm.common import table
 from lotline.staging import stage_root
 
@@ -73,3 +76,24 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", relabelled), F.col("vec_id") % 50 == 0)
+
+
+SQL["op11_hard_negatives"] = negatives.CONTRACT_SQL
+
+
+@query
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.digests(secrets.find_secrets(docs, secrets.learn(docs)))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(variants.vocabulary(table(spark, sf_dir, "documents")))
