@@ -29,8 +29,8 @@ PIECE = 1 << 18
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 # the pattern with the white space of Unicode, as the rank files mean it; re-based classes take in a few controls more
 _MATCH = regex.compile(public_tokenizers.PATTERN.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-# distinct matches that a worker remembers
-REMEMBERED = 200_000
+# distinct matches in one of the two generations that a worker remembers
+REMEMBERED = 300_000
 
 
 def byte_alphabet() -> list[str]:
@@ -108,11 +108,13 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
 class Encoder:
     """Ids of texts; the library sees each distinct match of the pattern once while it is remembered.
 
-    What is remembered depends on the path alone, so an encoder lives as long as its worker process.
+    Two generations bound the memory: once the young one is full it becomes the old one, and matches still in use
+    move on from there, so frequent ones stay. What is remembered depends on the path alone, so an encoder lives as
+    long as its worker process.
     """
 
-    def __init__(self, path: str):
-        self.path, self.known = path, {}
+    def __init__(self, path: str, room: int = REMEMBERED):
+        self.path, self.room, self.known, self.old = path, room, {}, {}
 
     def __call__(self, texts: list[str]) -> list[list[int]]:
         out: list[list[int]] = []
@@ -127,12 +129,20 @@ class Encoder:
         return out
 
     def _learn(self, matches: list[str]) -> None:
-        new = [m for m in set(matches) if m not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(set(matches))
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
+        wanted = set(matches)
+        new = [m for m in wanted if m not in self.known]
+        if self.known and len(self.known) + len(new) > self.room:
+            self.known, self.old = {}, self.known
+            new = list(wanted)
+        kept = self.old.get
+        made = []
+        for m in new:
+            if (ids := kept(m)) is None:
+                made.append(m)
+            else:
+                self.known[m] = ids
+        for at in range(0, len(made), 4096):
+            part = made[at : at + 4096]
             self.known.update(zip(part, (e.ids for e in tokenizer(self.path).encode_batch_fast(part))))
 
 
@@ -199,15 +209,14 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def round_trip_digests(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256, spans_cover): each text encoded, spanned and decoded.
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): each text encoded and decoded.
 
-    The digests are of the decimal ids joined by spaces and of the decoded bytes. spans_cover says that
-    the character spans cover the text without a gap. `with_ids` adds the ids. Null texts count as empty;
-    repeated rows give repeated results.
+    The digests are of the decimal ids joined by spaces and of the decoded bytes. `with_ids` adds the ids. Null
+    texts count as empty; repeated rows give repeated results.
     """
     path = path or public_tokenizers.path(RANKS)
     small_batches(docs.sparkSession)
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_cover"] + ["ids"] * with_ids
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = [str(i).encode() for i in range(len(_vocabulary(path)))]
@@ -216,18 +225,11 @@ def round_trip_digests(docs: DataFrame, path: str | None = None, with_ids: bool
             encoded = encode(texts, path)
             lines = [hashlib.sha256(b" ".join(map(name.__getitem__, ids))).hexdigest() for ids in encoded]
             raw = [hashlib.sha256(decode(ids, path)).hexdigest() for ids in encoded]
-            whole = [_covers(t, *char_spans(t, ids, path)) for t, ids in zip(texts, encoded)]
             arrays = [
                 batch.column("doc_id"), pa.array([len(ids) for ids in encoded], pa.int64()), pa.array(lines, pa.string()),
-                pa.array(raw, pa.string()), pa.array(whole, pa.bool_()), *([pa.array(encoded, pa.list_(pa.int32()))] * with_ids),
+                pa.array(raw, pa.string()), *([pa.array(encoded, pa.list_(pa.int32()))] * with_ids),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    kinds = ["long", "long", "string", "string", "boolean", "array<int>"]
+    kinds = ["long", "long", "string", "string", "array<int>"]
     return id_and_text(docs).mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
-
-
-def _covers(text: str, starts: np.ndarray, ends: np.ndarray) -> bool:
-    if not len(starts):
-        return not text
-    return bool(starts[0] == 0 and ends[-1] == len(text) and (starts[1:] <= ends[:-1]).all())
