@@ -55,7 +55,8 @@ ROUNDS, EPOCHS, PARTS, BATCH, RATE, DECAY = 4, 2, 6, 64, 0.05, 1e-5
 # share of the training windows that are shown without the tokens' own features, and as many without the neighbours'
 HIDE = 0.2
 PIECE = 1 << 20
-REMEMBERED = 150_000
+REMEMBERED = 250_000
+SHORT = 1 << 15
 _NO_TOKEN = ""
 
 
@@ -72,36 +73,70 @@ def _step(x: float, *limits: float) -> int:
     return bisect_left(limits, x)
 
 
-_CLASS = str.maketrans({c: sign for signs, sign in (("abcdefghijklmnopqrstuvwxyz", "a"), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "A"), ("0123456789", "9")) for c in signs})
-_BEYOND, _REPEAT = re.compile("[^\x00-\x7f]"), re.compile(r"(.)\1+")
-_HEXES = re.compile("[0-9a-fA-F]+")
+# kinds of UTF-8 bytes: lower, upper, digit, beyond ASCII; signs stand for themselves
+_KIND = np.arange(256, dtype=np.uint8)
+_KIND[97:123], _KIND[65:91], _KIND[48:58], _KIND[128:] = 97, 65, 48, 128
+_VOWEL = np.isin(np.arange(256), [ord(c) for c in "aeiouAEIOU"])
+_HEX_SIGN = np.isin(np.arange(256), [ord(c) for c in "0123456789abcdefABCDEF"])
+_MIX = np.random.default_rng(7).integers(1, 2**63, 256).astype(np.uint64) | np.uint64(1)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_POWERS = np.cumprod(np.full(SHAPE_RUNS := 10, _ODD))
+_LENGTHS, _SHARES, _VOWELS, _KINDS, _RUNS = ([1, 2, 3, 5, 7, 9, 11, 15, 19, 23, 31, 39, 63], [0, 0.1, 0.3, 0.6, 0.9], [0.05, 0.15, 0.3, 0.45], [0.3, 0.5, 0.7, 0.9], [1, 2, 3, 5, 8])
 _NO_FEATURE = 0
 OWN, NEAR = 12, 5
+_LONGEST = 256  # bytes of a token that its features see
 
 
-def token_features(token: str) -> list[int]:
-    """Hashes of what a token says about itself (the first `OWN`) and of what it says to its neighbours (`NEAR`)."""
-    if token == _NO_TOKEN:
-        none = zlib.crc32(b"no token")
-        return [none, *[_NO_FEATURE] * (OWN - 1), none, *[_NO_FEATURE] * (NEAR - 1)]
-    token = token[:256]
-    n, low = len(token), token.lower()
-    classes = token.translate(_CLASS)
-    if not token.isascii():
-        classes = _BEYOND.sub("u", classes)
-    face = _REPEAT.sub(r"\1", classes)
-    digits, upper = classes.count("9") / n, classes.count("A") / n
-    vowels = (low.count("a") + low.count("e") + low.count("i") + low.count("o") + low.count("u")) / n
-    length = _step(n, 1, 2, 3, 5, 7, 9, 11, 15, 19, 23, 31, 39, 63)
-    mix = f"{_step(digits, 0, 0.1, 0.3, 0.6, 0.9)}{_step(upper, 0, 0.1, 0.3, 0.6, 0.9)}"
-    word = low.strip("._-/+")
-    shown = (
-        f"shape {face[:10]}", f"length {length}", f"mix {mix}", f"runs {_step(len(face), 1, 2, 3, 5, 8)}", f"length and mix {length} {mix}",
-        f"kinds {_step(len(set(token)) / n, 0.3, 0.5, 0.7, 0.9)} {length}", f"vowels {_step(vowels, 0.05, 0.15, 0.3, 0.45)} {length}",
-        f"hex {_HEXES.fullmatch(token) is not None} {length}", f"first {low[:3]}", f"last {low[-3:]}", f"case {token[:4]}", "any",
-        f"word {word[:24]}", f"shape {face[:10]}", f"end {word[-5:]}", f"start {word[:4]}", f"length {length}",
-    )
-    return [zlib.crc32(s.encode()) for s in shown]
+def token_features(tokens: list[str]) -> np.ndarray:
+    """Hashes of what each token says about itself (the first `OWN`) and of what it says to its neighbours (`NEAR`).
+
+    About itself: shape (runs of lower, upper, digit and other letters as one sign each), length, shares of digits and capitals, runs,
+    distinct bytes, vowels, hex digits or not, first and last letters. To neighbours: word, shape, last and first letters, length.
+    """
+    known = [t for t in tokens if t != _NO_TOKEN]
+    raw = [t.encode()[:_LONGEST] for t in known]
+    low = [t.lower().strip("._-/+").encode()[:24] for t in known]
+    sizes = np.array([len(r) for r in raw], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    byte = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    kind, owner = _KIND[byte], np.repeat(np.arange(len(raw)), sizes)
+    change = np.append(True, kind[1:] != kind[:-1]) if len(kind) else np.zeros(0, dtype=bool)
+    change[starts] = True
+    runs = np.bincount(owner, weights=change, minlength=len(raw)).astype(np.int64)
+    at = np.flatnonzero(change)
+    place = np.arange(len(at)) - np.repeat(np.cumsum(runs) - runs, runs)
+    sign = np.where(place < SHAPE_RUNS, _MIX[kind[at]] * _POWERS[np.minimum(place, SHAPE_RUNS - 1)], np.uint64(0))
+    shape = np.add.reduceat(sign, np.cumsum(runs) - runs) if len(raw) else np.zeros(0, dtype=np.uint64)
+    distinct = np.bincount(np.unique(owner * 256 + byte) // 256, minlength=len(raw))
+
+    def share(of: np.ndarray, limits: list[float]) -> np.ndarray:
+        return np.searchsorted(limits, np.bincount(owner, weights=of, minlength=len(raw)) / np.maximum(sizes, 1))
+
+    def letters(words: list[bytes], width: int) -> np.ndarray:
+        return (np.array(words, dtype=f"S{width}").view(np.uint8).reshape(len(words), width) if words else np.zeros((0, width), np.uint8))
+
+    def joined(table: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(table), dtype=np.uint64)
+        for column in table.T:
+            out = (out + column + np.uint64(1)) * _ODD
+        return out
+
+    length = np.searchsorted(_LENGTHS, sizes)
+    mix = share(kind == 48, _SHARES) * 8 + share(kind == 65, _SHARES)
+    head, word = letters(raw, 4), letters(low, 24)
+    tail = letters([w[:-6:-1] for w in low], 5)
+    parts = [
+        shape, length, mix, np.searchsorted(_RUNS, runs), length * 64 + mix, np.searchsorted(_KINDS, distinct / np.maximum(sizes, 1)) * 16 + length,
+        share(_VOWEL[byte], _VOWELS) * 16 + length, share(~_HEX_SIGN[byte], [0]) * 16 + length, joined(word[:, :3]), joined(tail[:, :3]), joined(head),
+        np.zeros(len(raw)), joined(word), shape, joined(tail), joined(word[:, :4]), length,
+    ]
+    out = np.empty((len(tokens), OWN + NEAR), dtype=np.uint64)
+    rows = np.fromiter((t != _NO_TOKEN for t in tokens), dtype=bool, count=len(tokens))
+    for k, part in enumerate(parts):
+        number = np.uint64(k if k < OWN else 64 + k)
+        out[rows, k] = ((part.astype(np.uint64) * _ODD + number + np.uint64(1)) * _MIX[number]) | np.uint64(1)
+        out[~rows, k] = _MIX[number] if k in (0, OWN) else _NO_FEATURE
+    return out
 
 
 def file_features(text: str) -> list[int]:
@@ -115,7 +150,8 @@ def file_features(text: str) -> list[int]:
 
 def _slots(hashes: np.ndarray, role: int) -> np.ndarray:
     """Places of features in the weights: the same feature has another place in another role; no feature has the last."""
-    mixed = (hashes.astype(np.uint64) + np.uint64(1 + role)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (hashes.astype(np.uint64) + np.uint64(1 + role)) * _ODD
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * _ODD
     return np.where(hashes == _NO_FEATURE, BUCKETS, mixed >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int32)
 
 
@@ -129,7 +165,7 @@ class Weights(NamedTuple):
 def no_weights() -> Weights:
     """Weights that tag every token as outside."""
     feature = np.zeros((BUCKETS + 1, 3), dtype=np.float32)
-    feature[_slots(np.array([zlib.crc32(b"any"), zlib.crc32(b"no token")]), 0), OUTSIDE] = 1
+    feature[_slots(token_features(["any"])[0, OWN - 1 : OWN], 0), OUTSIDE] = 1
     return Weights(feature, np.zeros((3, 3), dtype=np.float32))
 
 
@@ -170,13 +206,14 @@ class Scorer:
             n += len(part)
 
     def _score(self, tokens: list[str]) -> np.ndarray:
-        features = np.array([token_features(t) for t in tokens], dtype=np.uint64)
+        features = token_features(tokens)
         parts = [features[:, :OWN], *[features[:, OWN:]] * len(NEIGHBOURS)]
         return np.stack([self.weights.feature[_slots(p, role)].sum(axis=1) for role, p in enumerate(parts)], axis=1)
 
-    def rows_of(self, tokens: list[str]) -> np.ndarray:
-        """(tokens, roles, tags) for the tokens in a row."""
-        self.learn(set(tokens))
+    def rows_of(self, tokens: list[str], learned: bool = False) -> np.ndarray:
+        """(tokens, roles, tags) for the tokens in a row; `learned` if nothing else was learned since they were."""
+        if not learned:
+            self.learn(set(tokens))
         return self.rows[np.fromiter(map(self.young.__getitem__, tokens), dtype=np.int64, count=len(tokens))]
 
     def file(self, text: str) -> np.ndarray:
@@ -241,6 +278,13 @@ def _pieces(text: str, size: int) -> Iterator[tuple[int, int]]:
 _BLANK = re.compile(r"\s")
 
 
+def spans_of_learned(text: str, tokens: list[str], scorer: Scorer) -> list[tuple[int, int]]:
+    """`tagged_spans` of a text whose tokens, and the missing one, the scorer has just learned."""
+    rows = scorer.rows_of([_NO_TOKEN] * 3 + tokens + [_NO_TOKEN], learned=True)
+    tags = best_tags(emissions(rows, scorer.file(text)), scorer.weights.follow)
+    return _spans(text, [(0, len(text), len(tokens))], tags)
+
+
 def tagged_spans(text: str, scorer: Scorer, piece: int = PIECE) -> list[tuple[int, int]]:
     """(start, end) of what the field tags as secret; an inside tag after an outside one begins a span as well.
 
@@ -361,7 +405,7 @@ def _features(tokens: list[list[str]], files: list[list[int]], rng: np.random.Ge
     """(windows, WINDOW, features): places of the features of every token; some windows go without those of one side."""
     known = sorted({t for row in tokens for t in row} | {_NO_TOKEN})
     number = {t: i for i, t in enumerate(known)}
-    table = np.array([token_features(t) for t in known], dtype=np.uint64)
+    table = token_features(known)
     at = np.full((len(tokens), WINDOW + 4), number[_NO_TOKEN])
     for w, row in enumerate(tokens):
         at[w, : len(row)] = [number[t] for t in row]
@@ -473,9 +517,26 @@ def _scorer(flat: bytes) -> Scorer:
 
 def text_spans(text: str, scorer: Scorer) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all base matches and of the tagged spans that touch none, by start, then kind."""
+    return _with_base(text, tagged_spans(text, scorer))
+
+
+def batch_spans(texts: list[str], scorer: Scorer) -> list[list[tuple[str, int, int]]]:
+    """`text_spans` of each text; the tokens of all short ones are learned together."""
+    out: list = [None] * len(texts)
+    short = {i: _TOKEN.findall(t) for i, t in enumerate(texts) if len(t) < SHORT}
+    scorer.learn({_NO_TOKEN}.union(*short.values()))
+    for i, tokens in short.items():
+        out[i] = _with_base(texts[i], spans_of_learned(texts[i], tokens, scorer))
+    for i, text in enumerate(texts):
+        if i not in short:
+            out[i] = text_spans(text, scorer)
+    return out
+
+
+def _with_base(text: str, tagged: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
     base = [s[:3] for s in base_spans(text)]
     more, k, reach = [], 0, 0
-    for start, end in tagged_spans(text, scorer):
+    for start, end in tagged:
         while k < len(base) and base[k][1] < end:
             reach = max(reach, base[k][2])
             k += 1
@@ -497,9 +558,9 @@ def find_secrets(docs: DataFrame, weights: Weights) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(sent.value)
         for batch in batches:
-            out = []
-            for text in batch.column("text").to_pylist():
-                out.append([{"kind": k, "start": a, "end": b, "value": text[a:b]} for k, a, b in text_spans(text, scorer)])
+            texts = batch.column("text").to_pylist()
+            found = zip(texts, batch_spans(texts, scorer))
+            out = [[{"kind": k, "start": a, "end": b, "value": text[a:b]} for k, a, b in spans] for text, spans in found]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, kind)], ["doc_id", "spans"])
 
     return id_and_text(docs).mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:long,end:long,value:string>>")
