@@ -108,11 +108,15 @@ def table_shape(tables: Mapping[str, DataFrame]) -> DataFrame:
 def error_by_quantile_bin(
     df: DataFrame, observed: str, predicted: str, bins: int = 10
 ) -> DataFrame:
-    """Errors by quantile bin of the target; bins are right-closed, the minimum is in bin 1."""
+    """Errors by quantile bin of the target; bins are right-closed, the minimum is in bin 1.
+
+    Rows without a target are in no bin (null); without any target they are the only group.
+    """
     breaks = exact_quantiles(df, [observed], [i / bins for i in range(bins + 1)])[observed]
     error = F.abs(F.col(observed) - F.col(predicted))
+    number = F.lit(None).cast("int") if breaks is None else right_closed_bin(observed, breaks)
     return (
-        df.withColumn("bin", right_closed_bin(observed, breaks))
+        df.withColumn("bin", number)
         .groupBy("bin")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -139,7 +143,7 @@ def group_moments(df: DataFrame, group: str, variables: Sequence[str]) -> DataFr
 
 
 def equal_means_test(moments: DataFrame) -> DataFrame:
-    """One-way F statistic per variable from group moments (equal variances)."""
+    """One-way F statistic per variable from group moments (equal variances); null for one group, or no row beyond the groups."""
     pooled = moments.withColumns({
         "s": F.col("n") * F.col("mean"),
         "within": F.coalesce((F.col("n") - 1) * F.col("var"), F.lit(0.0)),
@@ -155,7 +159,7 @@ def equal_means_test(moments: DataFrame) -> DataFrame:
         (F.col("groups") - 1).alias("df1"),
         (F.col("n") - F.col("groups")).alias("df2"),
         F.try_divide(
-            between / (F.col("groups") - 1), F.col("within") / (F.col("n") - F.col("groups"))
+            F.try_divide(between, F.col("groups") - 1), F.try_divide(F.col("within"), F.col("n") - F.col("groups"))
         ).alias("f"),
     )
 
@@ -305,9 +309,9 @@ def density(
 
 
 def qq_table(df: DataFrame, column: str, points: int = 99) -> DataFrame:
-    """Sample quantiles against standard normal ones at (i - 1/2)/points."""
+    """Sample quantiles against standard normal ones at (i - 1/2)/points; null samples for a column without values."""
     probs = [(i - 0.5) / points for i in range(1, points + 1)]
-    sample = exact_quantiles(df, [column], probs)[column]
+    sample = exact_quantiles(df, [column], probs)[column] or [None] * points
     normal = NormalDist()
     rows = [(i, p, normal.inv_cdf(p), s) for i, (p, s) in enumerate(zip(probs, sample), 1)]
     return df.sparkSession.createDataFrame(rows, "point int, p double, theoretical double, sample double")

@@ -155,6 +155,21 @@ def test_balance_table_with_an_absent_level_and_empty_column(spark):
     assert (got["c", "x"]["a_mean"], got["c", "x"]["z_n"], got["c", "x"]["z_mean"], got["c", "x"]["p"]) == (50.0, 0, None, None)
 
 
+def test_equal_means_of_one_group_and_of_one_row_per_group(spark):
+    one = st.group_moments(spark.createDataFrame([("a", 1.0), ("a", 2.0)], "g string, v double"), "g", ["v"])
+    assert st.equal_means_test(one).head()["f"] is None and st.equal_means_p_values(one) == {"v": None}
+    each = st.group_moments(spark.createDataFrame([("a", 1.0), ("b", 2.0)], "g string, v double"), "g", ["v"])
+    assert st.equal_means_test(each).head()["f"] is None
+
+
+def test_bins_and_quantiles_of_a_column_without_values(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "o double, p double")
+    assert [(r["bin"], r["n"], r["mae"]) for r in st.error_by_quantile_bin(df, "o", "p").collect()] == [(None, 2, None)]
+    assert st.error_by_quantile_bin(df.limit(0), "o", "p").collect() == []
+    got = st.qq_table(df, "o", points=3).collect()
+    assert [r["sample"] for r in got] == [None] * 3 and got[1]["theoretical"] == 0
+
+
 def test_chi_square_p_values(spark):
     rows = [("a", "x")] * 20 + [("a", "y")] * 10 + [("b", "x")] * 8 + [("b", "y")] * 16 + [("b", "z")] * 5
     df = spark.createDataFrame(rows, "g string, c string")
