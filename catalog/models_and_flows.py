@@ -16,6 +16,7 @@ from lotline import fixed_values as fv
 from lotline.operators import evaluate as ev
 from lotline.operators import features as ft
 from lotline.operators import models as md
+from lotline.operators import penalised as pn
 from lotline.operators import resample as rs
 from lotline.operators import spatial as sp
 from lotline.operators import stacking as sk
@@ -186,18 +187,78 @@ def search_table(spark, sf, learner, grid, **options):
     return grid_search(data, learner, grid, 5, **options).table()
 
 
-# The searches below take their grids as arguments; the defaults are small, the full ones are in fixed_values.
+# two recipes in the shape of the full ones: products, then also orthogonal terms of degree two
+RECIPES = {
+    1: {"interactions": [("tax", "qty"), ("disc", "qty")], "polynomials": []},
+    2: {"interactions": [("tax", "qty"), ("disc", "qty"), ("disc", "tax")], "polynomials": ["qty", "disc"]},
+}
+
+
 @query("elastic_net_search")
-def elastic_net_search(spark, sf, penalties=(1e-6, 0.1), mixtures=(0.0, 0.75)):
+def _(spark, sf):
+    """The whole grid of penalties and mixtures for both recipes, on square blocks."""
     df = derive(spark, sf, "homes").withColumnRenamed("target", "label")
-    df = ft.interactions(ft.fit_polynomial(df, "qty").transform(df), [("qty", "disc")])
-    columns = ["qty_poly1", "qty_poly2", "disc", "tax", "qty_x_disc"]
-    ready = ft.preparation(columns, ["kind"]).fit(df).transform(df)
-    cells = rs.square_cells(ready.select("id", "x", "y", "features", "label"))
-    folded = stage(rs.block_folds(cells, 5, seed=1).select("features", "label", "fold"), "folded")
-    return grid_search(folded, md.elastic_net, {"penalty": list(penalties), "mixture": list(mixtures)}, 5).table()
+    folded = stage(rs.block_folds(rs.square_cells(df), 5, seed=1), "folded")
+    out = None
+    for number, recipe in RECIPES.items():
+        ready = valuation.penalised_features(folded, INPUTS, ["kind", "state"], **recipe)
+        ready = stage(ready.select("features", "label", "fold"), "recipe")
+        table = pn.elastic_net_search(ready, md.penalty_grid(), md.mixture_grid()).table().withColumn("recipe", F.lit(number))
+        out = table if out is None else out.unionByName(table)
+    return out
+
+
+SQL_POINTS = f"""points as (select * from (select unnest([{', '.join(map(repr, md.penalty_grid()))}]::double[]) as param_penalty)
+    cross join (select unnest([{', '.join(map(repr, md.mixture_grid()))}]::double[]) as param_mixture))"""
+# per fold, moments of the rows outside it
+SQL_TRAIN = """t as (select k as fold, avg(qty) as mx, avg(target) as my, stddev_pop(qty) as sx, stddev_pop(target) as sy, corr(qty, target) as r
+    from homes cross join (select unnest([0,1,2,3,4]) as k) where id % 5 <> k group by 1)"""
+
+
+def one_predictor(spark, sf):
+    """One column and its target, five folds by key."""
+    df = derive(spark, sf, "homes").withColumn("fold", F.expr("cast(id % 5 as int)")).withColumnRenamed("target", "label")
+    return stage(VectorAssembler(inputCols=["qty"], outputCol="features").transform(df).select("features", "label", "fold"), "one")
+
+
+@query("elastic_net_one_predictor_search", cte("homes") + more(SQL_POINTS, SQL_TRAIN, """
+    f as (select fold, param_penalty, param_mixture, mx, my,
+        sign(r) * greatest(abs(r) - param_mixture * param_penalty / sy, 0) / (1 + (1 - param_mixture) * param_penalty / sy) * sy / sx as b
+      from t cross join points)""") + """
+    select param_penalty, param_mixture, round(avg(mae), 6) as mae, round(avg(rmse), 6) as rmse from (
+      select param_penalty, param_mixture, f.fold, avg(abs(target - my - b * (qty - mx))) as mae, sqrt(avg((target - my - b * (qty - mx))**2)) as rmse
+      from homes join f on homes.id % 5 = f.fold group by all) group by 1, 2""")
+def _(spark, sf):
+    found = pn.elastic_net_search(one_predictor(spark, sf), md.penalty_grid(), md.mixture_grid())
+    return rounded(found.table().select("param_penalty", "param_mixture", "mae", "rmse"), "mae", "rmse")
+
+
+@query("elastic_net_without_penalty", cte("homes") + more(SQL_TRAIN) + """
+    select fold, round(r * sy / sx, 6) as slope, round(my - r * sy / sx * mx, 6) as intercept from t""")
+def _(spark, sf):
+    own = pn.collect_products(pn.cross_products(one_predictor(spark, sf)))
+    total = sum(own.values())
+    rows = []
+    for fold, sums in sorted(own.items()):
+        intercept, slope = pn.penalty_path(total - sums, [0.0], 0.5)
+        rows.append((fold, round(float(slope[0, 0]), 6), round(float(intercept[0]), 6)))
+    return spark.createDataFrame(rows, "fold int, slope double, intercept double")
+
+
+def cross_products_sql() -> str:
+    columns = [*INPUTS, "target", "1"]
+    return " union all ".join(
+        f"select cast(id % 5 as int) as fold, {i} as i, {j} as j, round(sum({columns[i]} * {columns[j]}), 4) as s from homes group by 1"
+        for i in range(len(columns)) for j in range(i, len(columns)))
+
+
+@query("cross_products_per_fold", cte("homes") + cross_products_sql())
+def _(spark, sf):
+    df = derive(spark, sf, "homes").withColumn("fold", F.expr("cast(id % 5 as int)")).withColumnRenamed("target", "label")
+    return rounded(pn.cross_products(VectorAssembler(inputCols=INPUTS, outputCol="features").transform(df)), "s", digits=4)
 
 
+# The searches below take their grids as arguments.
 @query("regression_tree_search")
 def regression_tree_search(spark, sf, cps=(0.0, 0.01)):
     data = stage(homes(spark, sf).select("features", "label", "fold"), "homes")

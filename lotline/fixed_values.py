@@ -106,6 +106,16 @@ BOOSTING_GRID = {
     "min_node": [10, 15],
 }
 BOOSTING_BAG = 0.8
+ELASTIC_NET_NUMERIC = [
+    "surface_total", "bedrooms", "bathrooms", "piscina", "garaje", "seguridad", "balcon", "gym",
+    "dist_parque", "AVALUO_COM", "dist_centComercial", "dist_cai", "dist_transmi",
+    "num_paraderos_sitp", "num_colegios", "ESTRATO", "num_restaurantes",
+]
+ELASTIC_NET_RECIPES = {
+    1: {"interactions": [("dist_transmi", "ESTRATO"), ("AVALUO_COM", "ESTRATO")], "polynomials": []},
+    2: {"interactions": [("dist_parque", "ESTRATO"), ("AVALUO_COM", "ESTRATO"), ("dist_transmi", "ESTRATO")],
+        "polynomials": ["surface_total", "AVALUO_COM", "dist_parque", "dist_centComercial"]},
+}
 TREE_CP_GRID = [i / 1000 for i in range(31)]
 NETWORK_UNITS = (10, 10)
 NETWORK_DROPOUT = 0.2

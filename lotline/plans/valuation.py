@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lotline import fixed_values as fv
 from lotline.functions.columns import to_number, two_level_flag
 from lotline.functions.geo import utm, utm_zone
+from lotline.operators import features as ft
 from lotline.operators import resample as rs
 from lotline.operators.evaluate import final_prediction
 from lotline.operators.skew import skew_join
@@ -44,6 +45,19 @@ def hexagon_roles(df: DataFrame, key: str, k: int = 5, size: float = fv.BLOCK_SI
     return rs.fold_roles(stage(folds, "folds"), k, key, buffer=size / 2)
 
 
+def penalised_features(
+    df: DataFrame, numeric: Sequence[str], categories: Sequence[str], interactions: Sequence[tuple[str, str]] = (),
+    polynomials: Sequence[str] = (),
+) -> DataFrame:
+    """Add `features` for a penalised fit: products, then orthogonal terms of degree two in place of their columns, dummies, constant columns out, z-scores."""
+    df = ft.interactions(df, interactions) if interactions else df
+    for c in polynomials:
+        df = ft.fit_polynomial(df, c).transform(df)
+    columns = [*[c for c in numeric if c not in set(polynomials)], *[f"{a}_x_{b}" for a, b in interactions]]
+    columns += [f"{c}_poly{d}" for c in polynomials for d in (1, 2)]
+    return ft.preparation(columns, categories).fit(df).transform(df)
+
+
 @dataclass
 class Valuation:
     search: SearchResult
