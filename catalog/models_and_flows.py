@@ -17,6 +17,7 @@ from lotline.operators import evaluate as ev
 from lotline.operators import features as ft
 from lotline.operators import models as md
 from lotline.operators import penalised as pn
+from lotline.operators import pruning as pr
 from lotline.operators import resample as rs
 from lotline.operators import spatial as sp
 from lotline.operators import stacking as sk
@@ -260,10 +261,40 @@ def _(spark, sf):
 
 # The searches below take their grids as arguments.
 @query("regression_tree_search")
-def regression_tree_search(spark, sf, cps=(0.0, 0.01)):
+def _(spark, sf):
+    """All complexities on five folds, one tree each."""
     data = stage(homes(spark, sf).select("features", "label", "fold"), "homes")
-    variance = md.target_variance(data, "label")
-    return grid_search(data, lambda cp: md.regression_tree(variance, cp, depth=6), {"cp": list(cps)}, 5).table()
+    return pr.tree_search(data, fv.TREE_CP_GRID, 5).table()
+
+
+@query("regression_tree_sequence")
+def _(spark, sf):
+    """The nested subtrees of a grown tree: complexity, leaves, error relative to the root."""
+    rows = pr.grow(homes(spark, sf)).sequence()
+    return spark.createDataFrame(rows, "cp double, leaves int, relative_error double")
+
+
+def first_split_sql() -> str:
+    """The split of the whole table that lowers the summed squares most, over all gaps between distinct values."""
+    values = " union all ".join(
+        f"select '{c}' as feature, {i} as place, {c} as value, count(*) as n, sum(target) as s from homes group by 3" for i, c in enumerate(INPUTS))
+    return more(
+        f"v as ({values})", "a as (select count(*) as n, sum(target) as s, var_pop(target) * count(*) as risk from homes)",
+        """c as (select feature, place, (value + lead(value) over w) / 2 as threshold, sum(n) over w as n_left, sum(s) over w as s_left
+          from v window w as (partition by feature order by value))""",
+        """g as (select c.*, a.n, a.s, risk, s_left**2 / n_left + (a.s - s_left)**2 / (a.n - n_left) - a.s**2 / a.n as gain
+          from c cross join a where threshold is not null and n_left >= 20 and a.n - n_left >= 20)""",
+    ) + """select feature, round(threshold, 6) as threshold, cast(n_left as bigint) as n_left, round(s_left / n_left, 6) as mean_left,
+      round((s - s_left) / (n - n_left), 6) as mean_right, round(gain / risk, 6) as cp from g order by gain desc, place limit 1"""
+
+
+@query("regression_tree_first_split", cte("homes") + first_split_sql())
+def _(spark, sf):
+    tree = pr.grow(homes(spark, sf), depth=1)
+    root = tree.nodes[0]
+    left, right = (tree.nodes[c] for c in root.children)
+    row = (INPUTS[root.feature], round(root.threshold, 6), int(left.n), round(left.mean, 6), round(right.mean, 6), round(root.collapse / root.risk, 6))
+    return spark.createDataFrame([row], "feature string, threshold double, n_left long, mean_left double, mean_right double, cp double")
 
 
 @query("random_forest_search")

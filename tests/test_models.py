@@ -135,11 +135,12 @@ def test_network_learns_and_does_not_depend_on_partitions(data):
 
 def test_full_grids_run_through_the_search(spark):
     from catalog import models_and_flows as flows
+    from catalog.registry import QUERIES
 
     sf = "/root/testdata/sf0.001"
     forest = flows.random_forest_search(spark, sf, grid=fv.FOREST_GRID, trees=1, depth=2)
     assert forest.count() == len(fv.FOREST_GRID["mtry"]) * len(fv.FOREST_GRID["min_node"])
-    assert flows.regression_tree_search(spark, sf, cps=fv.TREE_CP_GRID).count() == len(fv.TREE_CP_GRID)
+    assert QUERIES["regression_tree_search"](spark, sf).count() == len(fv.TREE_CP_GRID)
 
 
 def test_stages_can_be_cleared(spark, tmp_path):
