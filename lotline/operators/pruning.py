@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotline.operators.tuning import SearchResult, fold_pairs
@@ -140,7 +140,12 @@ class PrunedTree:
     def transform(self, df: DataFrame) -> DataFrame:
         means = [self.tree.node_at(leaf, self.cp).mean for leaf in self.tree.leaves()]
         scored = _with_leaf(self.tree, df)
-        return scored.withColumn(self.prediction, F.get(F.lit([float(m) for m in means]), F.col(_LEAF))).drop(_LEAF)
+        return scored.withColumn(self.prediction, F.get(_numbers(means), F.col(_LEAF))).drop(_LEAF)
+
+
+def _numbers(values: Sequence[float]) -> Column:
+    """A literal array; written as one string, which the optimizer folds, since a tree may have thousands of leaves."""
+    return F.split(F.lit(",".join(map(repr, map(float, values)))), ",").cast("array<double>")
 
 
 def _with_leaf(tree: GrownTree, df: DataFrame) -> DataFrame:
@@ -168,7 +173,7 @@ def node_deviations(tree: GrownTree, df: DataFrame, label: str) -> dict[int, dic
     y = F.col(label).cast("double")
     rows = _with_leaf(tree, df).groupBy(_LEAF).agg(
         F.count(y).alias("n"), F.sum(y).alias("y1"), F.sum(y * y).alias("y2"),
-        *[F.sum(F.abs(y - F.get(F.lit(m), F.col(_LEAF)))).alias(f"d{d}") for d, m in means.items()],
+        *[F.sum(F.abs(y - F.get(_numbers(m), F.col(_LEAF)))).alias(f"d{d}") for d, m in means.items()],
     ).collect()
     return {r[_LEAF]: r.asDict() for r in rows}
 
