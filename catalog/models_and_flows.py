@@ -21,6 +21,7 @@ from lotline.operators import pruning as pr
 from lotline.operators import resample as rs
 from lotline.operators import spatial as sp
 from lotline.operators import stacking as sk
+from lotline.operators import staged as sg
 from lotline.operators.network import NetworkRegressor
 from lotline.operators.tuning import grid_search
 from lotline.plans import cleaning, location, valuation
@@ -274,21 +275,23 @@ def _(spark, sf):
     return spark.createDataFrame(rows, "cp double, leaves int, relative_error double")
 
 
-def first_split_sql() -> str:
-    """The split of the whole table that lowers the summed squares most, over all gaps between distinct values."""
+def first_split_sql(rows: str = "homes", target: str = "target", name: str = "") -> str:
+    """`split`: the split of a table that lowers the summed squares of a target most, over all gaps between distinct values."""
     values = " union all ".join(
-        f"select '{c}' as feature, {i} as place, {c} as value, count(*) as n, sum(target) as s from homes group by 3" for i, c in enumerate(INPUTS))
+        f"select '{c}' as feature, {i} as place, {c} as value, count(*) as n, sum({target}) as s from {rows} group by 3" for i, c in enumerate(INPUTS))
     return more(
-        f"v as ({values})", "a as (select count(*) as n, sum(target) as s, var_pop(target) * count(*) as risk from homes)",
-        """c as (select feature, place, (value + lead(value) over w) / 2 as threshold, sum(n) over w as n_left, sum(s) over w as s_left
-          from v window w as (partition by feature order by value))""",
-        """g as (select c.*, a.n, a.s, risk, s_left**2 / n_left + (a.s - s_left)**2 / (a.n - n_left) - a.s**2 / a.n as gain
-          from c cross join a where threshold is not null and n_left >= 20 and a.n - n_left >= 20)""",
-    ) + """select feature, round(threshold, 6) as threshold, cast(n_left as bigint) as n_left, round(s_left / n_left, 6) as mean_left,
-      round((s - s_left) / (n - n_left), 6) as mean_right, round(gain / risk, 6) as cp from g order by gain desc, place limit 1"""
+        f"v{name} as ({values})", f"a{name} as (select count(*) as n, sum({target}) as s, var_pop({target}) * count(*) as risk from {rows})",
+        f"""c{name} as (select feature, place, (value + lead(value) over w) / 2 as threshold, sum(n) over w as n_left, sum(s) over w as s_left
+          from v{name} window w as (partition by feature order by value))""",
+        f"""split{name} as (select feature, threshold, n_left, s_left / n_left as mean_left, (s - s_left) / (n - n_left) as mean_right,
+            (s_left**2 / n_left + (a.s - s_left)**2 / (a.n - n_left) - a.s**2 / a.n) / risk as cp
+          from c{name} c cross join a{name} a where threshold is not null and n_left >= 20 and a.n - n_left >= 20 order by cp desc, place limit 1)""",
+    )
 
 
-@query("regression_tree_first_split", cte("homes") + first_split_sql())
+@query("regression_tree_first_split", cte("homes") + first_split_sql() + """
+    select feature, round(threshold, 6) as threshold, cast(n_left as bigint) as n_left, round(mean_left, 6) as mean_left,
+      round(mean_right, 6) as mean_right, round(cp, 6) as cp from split""")
 def _(spark, sf):
     tree = pr.grow(homes(spark, sf), depth=1)
     root = tree.nodes[0]
@@ -318,6 +321,36 @@ def _(spark, sf):
     return ev.error_metrics(scored, "label", "prediction", ["mae", "mae_log", "rmsle"])
 
 
+@query("boosting_search")
+def boosting_search(spark, sf, rounds=(2, 3, 4), k: int = 5):
+    """Absolute-loss boosting over all depths, rates and node sizes, the rounds from one fit each.
+
+    The rounds are few, since every round reads the table once per level; `fixed_values.BOOSTING_GRID` has those of a full run.
+    """
+    data = stage(homes(spark, sf).select("features", "label", "fold"), "homes")
+    grid = {c: v for c, v in fv.BOOSTING_GRID.items() if c != "trees"}
+    return sg.boosting_search(data, lambda depth, shrinkage, min_node: md.absolute_loss_boosting(1, depth, shrinkage, min_node, fv.BOOSTING_BAG),
+                              grid, rounds, k, metrics=("mae", "rmse", "mape"), parallelism=6).table()
+
+
+# two rounds on one split each: the mean of the target on either side, then a step along the residuals
+SIDE = "case when (case split{0}.feature when 'qty' then qty when 'disc' then disc else tax end) <= threshold then mean_left else mean_right end"
+TWO_ROUNDS = (first_split_sql() + more(f"h1 as (select homes.*, {SIDE.format('')} as f1, 2 * (target - {SIDE.format('')}) as rest from homes cross join split)")
+              + first_split_sql("h1", "rest", "2") + more(f"h2 as (select h1.*, f1 + 0.3e0 * {SIDE.format('2')} as f2 from h1 cross join split2)"))
+
+
+@query("boosting_first_rounds", cte("homes") + TWO_ROUNDS + """
+    select count(*) as n, round(avg(abs(target - f1)), 6) as mae_1, round(avg(abs(target - f2)), 6) as mae_2,
+      round(sqrt(avg((target - f2)**2)), 6) as rmse_2 from h2""")
+def _(spark, sf):
+    df = homes(spark, sf)
+    model = md.regularised_boosting(2, 1, 0.3, min_child_weight=20).setMaxBins(64).fit(df)
+    y = F.col("label")
+    return sg.prefix_predictions(model, df, [1, 2]).agg(
+        F.count(F.lit(1)).alias("n"), *[F.round(F.avg(F.abs(y - F.col(f"after_{k}"))), 6).alias(f"mae_{k}") for k in (1, 2)],
+        F.round(F.sqrt(F.avg(F.pow(y - F.col("after_2"), 2))), 6).alias("rmse_2"))
+
+
 @query("boosting_with_feature_selection")
 def _(spark, sf):
     df = homes(spark, sf)

@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from compare import compare, oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SLOW_WITHOUT_SQL = {"location_features", "tuned_valuation", "random_forest_search", "stacked_learners"}
+SLOW_WITHOUT_SQL = {"location_features", "tuned_valuation", "random_forest_search", "stacked_learners", "boosting_search"}
 
 
 @pytest.fixture(scope="module")
