@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,9 +61,10 @@ class Side:
     def rows(self) -> int:
         return self.seen["n"] or 0
 
+    @cached_property
     def hot(self) -> DataFrame:
-        """(x1, y1) of the places with a large share of the rows, as of `hot_keys`."""
-        return hot_from_counts(self.df, ["x1", "y1"], "w")
+        """(x1, y1) of the places with a large share of the rows, as of `hot_keys`; found once."""
+        return hot_from_counts(self.df, ["x1", "y1"], "w", self.seen["wsum"] or 0)
 
 
 def make_side(df: DataFrame, name: str = "places") -> Side:

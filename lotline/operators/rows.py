@@ -5,19 +5,25 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lotline.operators.skew import skew_join
+from lotline.operators.skew import hot_from_counts, skew_join
+from lotline.staging import stage
 
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str], name: str = "dup") -> DataFrame:
     """Add 1 where the key values occur more than once, else 0; nulls count as equal.
 
-    Counting is a map-side aggregate; the flags go back by a join with hot keys spread out.
+    Counting is a map-side aggregate; only keys that repeat are staged, and they tell the hot ones too. The
+    flags go back by a join with hot keys spread out.
     """
-    counts = df.groupBy(*keys).agg((F.count(F.lit(1)) > 1).cast("int").alias(name))
-    return skew_join(df, counts, keys, "left", null_safe=True)
+    seen = Observation()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).observe(seen, F.sum(name).alias("rows"))
+    repeated = stage(counts.where(F.col(name) > 1), "repeated")
+    hot = hot_from_counts(repeated, keys, name, seen.get["rows"] or 0)
+    flags = repeated.withColumn(name, F.lit(1))
+    return skew_join(df, flags, keys, "left", null_safe=True, hot=hot).fillna(0, [name])
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

@@ -1,18 +1,21 @@
 """Joins that stay balanced when a few keys hold a large share of the rows.
 
-A key is hot when it has more rows than an even share of one task. Hot keys are counted exactly, by an
-aggregate of the keys alone; there are at most as many as shuffle partitions, so their table is
-broadcast. Only rows of hot keys are dealt to slices, as many as their count asks for, and only the matching
-rows of the other side are repeated. Both sides are compared in their common type, as a plain join does.
+A key is hot when it has more rows than an even share of one task. Hot keys are counted exactly, by one
+aggregate of the keys alone that runs before the join; there are fewer than shuffle partitions, so the driver holds them
+and the join reads them as a local table. Only rows of hot keys are dealt to slices, as many as their count asks for,
+and only the matching rows of the other side are repeated; without hot keys nothing is dealt. Both sides are compared in
+their common type, as a plain join does.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICES = "_slices"
 _STORED = {"Project", "Filter", "Relation", "LogicalRDD", "LocalRelation", "Range", "SubqueryAlias"}
@@ -27,16 +30,22 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return hot_from_counts(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, "_n")
 
 
-def hot_from_counts(counts: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
+def hot_from_counts(counts: DataFrame, keys: Sequence[str], weight: str, total: float | None = None) -> DataFrame:
     """The same from a table that has one row per key and its number of rows.
 
-    Nothing runs here: the limit is a subquery of the plan that uses the table. Since every hot key has over one
-    share of all rows, there are fewer of them than shares.
+    Every hot key has over one share of all rows, so there are fewer of them than shares and they are among the heaviest
+    keys: one job takes as many of these as there are shares, and adds up the total on the way unless it is given.
     """
-    parts = _partitions(counts)
-    share = counts.agg(F.greatest(F.sum(weight) / parts, F.lit(1.0))).scalar()
-    slices = F.least(F.ceil(F.col(weight) / share), F.lit(parts)).cast("int")
-    return counts.where(F.col(weight) > share).select(*keys, slices.alias(SLICES))
+    parts, seen = _partitions(counts), Observation()
+    narrow = counts.select(*keys, F.col(weight).cast("double").alias(SLICES))
+    if total is None:
+        narrow = narrow.observe(seen, F.sum(SLICES).alias("total"))
+    heaviest = narrow.orderBy(F.desc(SLICES)).limit(parts).collect()
+    total = seen.get["total"] if total is None and heaviest else total
+    share = max((total or 0) / parts, 1.0)
+    hot = [(*r[:-1], min(math.ceil(r[SLICES] / share), parts)) for r in heaviest if r[SLICES] is not None and r[SLICES] > share]
+    schema = T.StructType([*counts.select(*keys).schema.fields, T.StructField(SLICES, T.IntegerType())])
+    return counts.sparkSession.createDataFrame(hot, schema)
 
 
 def reads_stored_rows(df: DataFrame) -> bool:
@@ -99,19 +108,31 @@ def skew_join(
     hot = hot_keys(left, lk).toDF(*hk, SLICES) if hot is None else hot.select(
         *[F.col(c).cast(t).alias(n) for n, c, t in zip(hk, on, kinds)], SLICES
     )
-    hot = F.broadcast(hot)
+    equal = _equal(lk, rk, null_safe)
+    slices = [] if hot.isEmpty() else ["_ls"]
+    if slices:
+        left, right = _dealt(left, right, F.broadcast(hot), salt, (lk, rk, hk), null_safe)
+        equal = equal & (F.col("_ls") == F.col("_rs"))
+    if spread:
+        left = left.repartition(_partitions(left), *lk, *slices)
+    out = left.join(right, equal, how)
+    if how in ("left_semi", "left_anti"):
+        return out.select(*own)
+    return out.select(*on, *[c for c in own if c not in on], *[c for c in right.columns if c not in (*rk, "_rs")])
+
+
+def _dealt(
+    left: DataFrame, right: DataFrame, hot: DataFrame, salt: Column, names: tuple[list[str], list[str], list[str]], null_safe: bool
+) -> tuple[DataFrame, DataFrame]:
+    """The left rows of hot keys with a slice each (_ls), the right ones repeated for every slice (_rs)."""
+    lk, rk, hk = names
     # a null key matches no row of the other side, but its rows have to be dealt out as well
     dealt = F.when(F.col(SLICES).isNotNull(), F.pmod(F.col("_salt"), F.col(SLICES))).otherwise(0)
     left = left.withColumn("_salt", salt).join(hot, _equal(lk, hk, True), "left")
     left = left.withColumn("_ls", dealt.cast("int")).drop(*hk, SLICES, "_salt")
     right = right.join(hot, _equal(rk, hk, null_safe), "left")
     right = right.withColumn("_rs", F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SLICES), F.lit(1)) - 1))).drop(*hk, SLICES)
-    if spread:
-        left = left.repartition(_partitions(left), *lk, "_ls")
-    out = left.join(right, _equal(lk, rk, null_safe) & (F.col("_ls") == F.col("_rs")), how)
-    if how in ("left_semi", "left_anti"):
-        return out.select(*own)
-    return out.select(*on, *[c for c in own if c not in on], *[c for c in right.columns if c not in (*rk, "_rs")])
+    return left, right
 
 
 def outer_merge(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:

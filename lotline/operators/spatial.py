@@ -30,7 +30,7 @@ def _attach(
 ) -> DataFrame:
     """Bring columns found per place (px, py) back to the rows; crowded places are spread out."""
     keyed = points.withColumns({"px": F.col(x).cast("double"), "py": F.col(y).cast("double")})
-    return skew_join(keyed, found, ["px", "py"], how, hot=at.hot().toDF("px", "py", SLICES)).drop("px", "py")
+    return skew_join(keyed, found, ["px", "py"], how, hot=at.hot.toDF("px", "py", SLICES)).drop("px", "py")
 
 
 def _point_d2() -> Column:
