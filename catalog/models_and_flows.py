@@ -15,6 +15,7 @@ from catalog.registry import query
 from lotline import fixed_values as fv
 from lotline.operators import evaluate as ev
 from lotline.operators import features as ft
+from lotline.operators import forest as fo
 from lotline.operators import models as md
 from lotline.operators import penalised as pn
 from lotline.operators import pruning as pr
@@ -23,7 +24,6 @@ from lotline.operators import spatial as sp
 from lotline.operators import stacking as sk
 from lotline.operators import staged as sg
 from lotline.operators.network import NetworkRegressor
-from lotline.operators.tuning import grid_search
 from lotline.plans import cleaning, location, valuation
 from lotline.sources import io
 from lotline.staging import stage, stage_root
@@ -184,11 +184,6 @@ def _(spark, sf):
     return in_columns(ft.preparation([*INPUTS, "constant"], ["kind"]).fit(df).transform(df), 6, "id", "line", "supp")
 
 
-def search_table(spark, sf, learner, grid, **options):
-    data = stage(homes(spark, sf).select("id", "features", "label", "fold"), "homes")
-    return grid_search(data, learner, grid, 5, **options).table()
-
-
 # two recipes in the shape of the full ones: products, then also orthogonal terms of degree two
 RECIPES = {
     1: {"interactions": [("tax", "qty"), ("disc", "qty")], "polynomials": []},
@@ -260,7 +255,6 @@ def _(spark, sf):
     return rounded(pn.cross_products(VectorAssembler(inputCols=INPUTS, outputCol="features").transform(df)), "s", digits=4)
 
 
-# The searches below take their grids as arguments.
 @query("regression_tree_search")
 def _(spark, sf):
     """All complexities on five folds, one tree each."""
@@ -300,10 +294,64 @@ def _(spark, sf):
     return spark.createDataFrame([row], "feature string, threshold double, n_left long, mean_left double, mean_right double, cp double")
 
 
+EIGHT = [*INPUTS, "x", "y", "second", "third", "open"]
+
+
+def eight_predictors(spark, sf) -> DataFrame:
+    """Model rows with eight predictors, places and a key that random numbers can be made of."""
+    df = derive(spark, sf, "homes").withColumnRenamed("target", "label").withColumns({
+        "x": F.col("x").cast("double"), "y": F.col("y").cast("double"), "second": (F.col("kind") == "N").cast("double"),
+        "third": (F.col("kind") == "R").cast("double"), "open": (F.col("state") == "O").cast("double"),
+    })
+    return VectorAssembler(inputCols=EIGHT, outputCol="features").transform(df)
+
+
+# features per split and least node sizes on blocks, as in the spatial search
+SPATIAL_FOREST_GRID = {"mtry": [4, 6, 8], "min_node": [5, 10, 15]}
+
+
 @query("random_forest_search")
-def random_forest_search(spark, sf, grid=None, trees: int = 5, depth: int = 5):
-    return search_table(spark, sf, lambda mtry, min_node: md.random_forest(trees, mtry, min_node, depth=depth),
-                        grid or {"mtry": [2, 3], "min_node": [5]})
+def random_forest_search(spark, sf, trees: int = 4, depth: int = 8, k: int = 5):
+    """Both grids in full, on random folds and on square blocks; one forest per number of features and fold.
+
+    `fixed_values.FOREST_TREES` is the number of trees of a full run.
+    """
+    df = eight_predictors(spark, sf)
+    deals = {
+        "random": (rs.random_folds(df, k, ["id", "line", "supp", "qty"], seed=1), fv.FOREST_GRID),
+        "blocks": (rs.block_folds(rs.square_cells(df), k, seed=1), SPATIAL_FOREST_GRID),
+    }
+    out = None
+    for name, (rows, grid) in deals.items():
+        data = stage(rows.select("features", "label", "fold"), "homes")
+        table = fo.forest_search(data, grid["mtry"], grid["min_node"], trees, k, depth=depth, parallelism=5).table().withColumn("folds", F.lit(name))
+        out = table if out is None else out.unionByName(table)
+    return out
+
+
+# a number in [0, 1) per row and tree that SQL can make too
+MARK = "((id % 10007 * 7919 + line * 104729 + supp * 613 + ({t} + 1) * (id % 97 + line * 31 + 1) * 8191) % 100003) / 100003.0e0"
+SQL_BAG = "case " + " ".join(f"when u < {limit!r} then {k}" for k, limit in enumerate(fo._POISSON)) + f" else {len(fo._POISSON)} end"
+
+
+@query("bag_counts", cte("homes") + more(
+    f"m as (select t as tree, {MARK.format(t='t')} as u from homes cross join (select unnest([0,1,2,3,4,5,6,7]) as t))", f"w as (select tree, {SQL_BAG} as w from m)") + """
+    select cast(tree as int) as tree, count_if(w > 0) as in_bag, cast(sum(w) as bigint) as drawn, count_if(w = 0) as out_of_bag from w group by 1""")
+def _(spark, sf):
+    df = derive(spark, sf, "homes").withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    w = fo.bag_weight(F.expr(MARK.format(t="tree")))
+    return df.withColumn("w", w).groupBy("tree").agg(
+        F.count_if(F.col("w") > 0).alias("in_bag"), F.sum("w").alias("drawn"), F.count_if(F.col("w") == 0).alias("out_of_bag"))
+
+
+@query("out_of_bag_importance")
+def _(spark, sf):
+    """Error and importance on the rows that a tree did not see."""
+    keys = ["id", "line", "supp", "qty"]
+    df = stage(eight_predictors(spark, sf).select(*dict.fromkeys([*keys, *EIGHT]), "label"), "homes")
+    forest = fo.bagged_forest(df, EIGHT, fo.hashed_mark(keys), 8, 4, depth=8)
+    error = fo.out_of_bag_error(forest, df).select(F.lit("(error)").alias("variable"), F.col("rmse").alias("importance"))
+    return fo.out_of_bag_importance(forest, df, keys).unionByName(error)
 
 
 @query("absolute_loss_boosting")

@@ -138,8 +138,9 @@ def test_full_grids_run_through_the_search(spark):
     from catalog.registry import QUERIES
 
     sf = "/root/testdata/sf0.001"
-    forest = flows.random_forest_search(spark, sf, grid=fv.FOREST_GRID, trees=1, depth=2)
-    assert forest.count() == len(fv.FOREST_GRID["mtry"]) * len(fv.FOREST_GRID["min_node"])
+    forest = flows.random_forest_search(spark, sf, trees=1, depth=2, k=2)
+    assert {(r["folds"], r["count"]) for r in forest.groupBy("folds").count().collect()} == {("random", 12), ("blocks", 9)}
+    assert len(fv.FOREST_GRID["mtry"]) * len(fv.FOREST_GRID["min_node"]) == 12
     assert QUERIES["regression_tree_search"](spark, sf).count() == len(fv.TREE_CP_GRID)
 
 
