@@ -438,7 +438,7 @@ def _(spark, sf):
 @query("neural_network")
 def _(spark, sf):
     df = homes(spark, sf)
-    model = NetworkRegressor(INPUTS, keys=["id", "line", "supp", "qty"], epochs=12, rate=0.05).fit(df.where("fold > 0"))
+    model = NetworkRegressor(INPUTS, keys=["id", "line", "supp", "qty"], part_rows=10_000).fit(df.where("fold > 0"))
     return ev.error_metrics(model.transform(df.where("fold = 0")), "label", "prediction", ["mae", "rmse", "r2_sse"])
 
 

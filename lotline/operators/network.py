@@ -1,8 +1,8 @@
-"""Feed-forward regression, trained data-parallel: one Spark job per epoch.
+"""Feed-forward regression, trained data-parallel: one Spark job and one scan of a staged table per epoch.
 
-Each task turns its Arrow batches into one gradient sum for the current weights; Spark adds the
-sums up per weight, and the driver takes the step. Only the weights, a few hundred numbers, travel.
-Dropout masks come from row id, epoch and unit, so a fit does not depend on the partitioning.
+Rows are dealt to parts of bounded size by a hash of their keys. In an epoch every part starts from the same weights and takes
+its own steps, one per mini-batch; the weights and the state of the optimiser are then averaged over the parts. Only these, a
+few hundred numbers, travel. Order, parts and dropout masks come from the row keys, so a fit does not depend on the partitioning.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotline import fixed_values as fv
+from lotline.staging import stage
 
 
 def _sizes(inputs: int, units: Sequence[int]) -> list[tuple[int, int]]:
@@ -81,9 +82,8 @@ def _gradient(x, y, weights, mask, loss: str) -> np.ndarray:
 class _Step:
     """Optimiser state; each call gives the change of the weights."""
 
-    def __init__(self, name: str, rate: float, size: int):
-        self.name, self.rate, self.t = name, rate, 0
-        self.m, self.v = np.zeros(size), np.zeros(size)
+    def __init__(self, name: str, rate: float, m: np.ndarray, v: np.ndarray, t: int):
+        self.name, self.rate, self.m, self.v, self.t = name, rate, m, v, t
 
     def __call__(self, g: np.ndarray) -> np.ndarray:
         self.t += 1
@@ -121,9 +121,10 @@ class NetworkModel:
 
 @dataclass
 class NetworkRegressor:
-    """Hidden layers of ReLU units, absolute or squared loss, early stop on a held-out share.
+    """Hidden layers of ReLU units, absolute or squared loss, mini-batches, early stop on a held-out share.
 
-    Inputs and target are standardised with the statistics of the fitted rows.
+    Inputs and target are standardised with the statistics of the fitted rows. A part holds about `part_rows` rows; tables of one part
+    are trained as on one machine.
     """
 
     columns: Sequence[str]
@@ -133,8 +134,10 @@ class NetworkRegressor:
     dropout: float = fv.NETWORK_DROPOUT
     loss: str = "absolute"
     optimizer: str = "adam"
-    rate: float = 0.02
+    rate: float = 0.001
     epochs: int = 400
+    batch: int = 32
+    part_rows: int = 50_000
     patience: int = fv.EARLY_STOP_PATIENCE
     held_out: float = 0.2
     seed: int = 0
@@ -146,58 +149,85 @@ class NetworkRegressor:
         target = row[2 * len(columns)], row[2 * len(columns) + 1] or 1.0
         mark = F.xxhash64(F.lit(self.seed), *self.keys)
         inputs = [((F.col(c) - F.lit(m)) / F.lit(s)).cast("double") for c, (m, s) in scale.items()]
-        data = df.na.drop(subset=[*columns, self.label]).select(
+        rows = df.na.drop(subset=[*columns, self.label]).select(
             mark.alias("mark"),
             (F.pmod(mark, F.lit(1000)) < int(self.held_out * 1000)).alias("check"),
             ((F.col(self.label) - F.lit(target[0])) / F.lit(target[1])).alias("y"),
             *[e.alias(f"x{i}") for i, e in enumerate(inputs)],
-        ).persist()
+        )
+        parts = max(1, -(-rows.count() // self.part_rows))
+        at_once = min(parts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        part = F.pmod(F.xxhash64("mark"), F.lit(parts)).alias("part")
+        dealt = rows.select("*", part).repartition(at_once, "part").sortWithinPartitions("part", "mark", "y", *[f"x{i}" for i in range(len(columns))])
+        data = stage(dealt, "network")
         sizes = _sizes(len(columns), self.units)
         flat = _initial(sizes, self.seed)
-        step = _Step(self.optimizer, self.rate, len(flat))
+        state, steps = np.concatenate((flat, np.zeros(2 * len(flat)))), 0
         best, best_flat, waited, history = np.inf, flat, 0, []
-        try:
-            for epoch in range(self.epochs):
-                sums = self._epoch(data, flat, sizes, epoch)
-                grad, (n, loss, m) = sums[:-3], sums[-3:]
-                score = loss / m if m else np.inf
-                history.append(float(score))
-                if score < best - 1e-12:
-                    best, best_flat, waited = score, flat.copy(), 0
-                else:
-                    waited += 1
-                    if waited > self.patience and m:
-                        break
-                flat = flat + step(grad / max(n, 1))
-        finally:
-            data.unpersist()
-        return NetworkModel(columns, self.units, best_flat if np.isfinite(best) else flat, scale, target, history)
-
-    def _epoch(self, data: DataFrame, flat: np.ndarray, sizes, epoch: int) -> np.ndarray:
-        """Gradient sum, training rows, held-out loss sum and held-out rows for these weights."""
-        dropout, loss, width = self.dropout, self.loss, len(self.columns)
-
-        def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            weights = _unpack(flat, sizes)
-            total = np.zeros(len(flat) + 3)
+        for epoch in range(self.epochs + 1):  # the last pass only scores
+            sums = self._epoch(data, state, steps, sizes, epoch)
+            moved, (n, loss, m, most) = sums[:-4], sums[-4:]
+            score = loss / m if m else np.inf
+            history.append(float(score))
+            if score < best - 1e-12:
+                best, best_flat, waited = score, state[: len(flat)].copy(), 0
+            else:
+                waited += 1
+                if waited > self.patience and m:
+                    break
+            if n and epoch < self.epochs:
+                state, steps = moved / n, steps + int(most)
+        chosen = best_flat if np.isfinite(best) else state[: len(flat)]
+        return NetworkModel(columns, self.units, chosen, scale, target, history)
+
+    def _epoch(self, data: DataFrame, state: np.ndarray, steps: int, sizes, epoch: int) -> np.ndarray:
+        """Weights and optimiser state after an epoch, summed over parts by their training rows; these rows; held-out loss of the weights
+        before and held-out rows; the steps of the largest part."""
+        dropout, loss, width, size = self.dropout, self.loss, len(self.columns), len(state) // 3
+        name, rate, batch, seed = self.optimizer, self.rate, self.batch, self.seed
+
+        def train(pdf: pd.DataFrame) -> np.ndarray:
+            x, y, check = pdf[[f"x{i}" for i in range(width)]].to_numpy(float), pdf["y"].to_numpy(float), pdf["check"].to_numpy(bool)
+            total = np.zeros(len(state) + 4)
+            if check.any():
+                error = _forward(x[check], _unpack(state[:size], sizes))[-1][:, 0] - y[check]
+                total[-3] = np.abs(error).sum() if loss == "absolute" else (error**2).sum()
+                total[-2] = check.sum()
+            own = np.flatnonzero(~check)
+            if not len(own):
+                return total
+            order = own[np.random.default_rng([seed, epoch]).permutation(len(own))]
+            flat, step = state[:size].copy(), _Step(name, rate, state[size : 2 * size].copy(), state[2 * size :].copy(), steps)
+            ids = pdf["mark"].to_numpy()
+            for at in range(0, len(order), batch):
+                rows = order[at : at + batch]
+                mask = _keep_mask(ids[rows], sizes[0][1], epoch, dropout) / (1 - dropout) if dropout else None
+                flat += step(_gradient(x[rows], y[rows], _unpack(flat, sizes), mask, loss) / len(rows))
+            total[:-4] = len(own) * np.concatenate((flat, step.m, step.v))
+            total[-4], total[-1] = len(own), step.t - steps
+            return total
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total, held = np.zeros(len(state) + 4), []
+
+            def add(pdf: pd.DataFrame) -> None:
+                one = train(pdf)
+                total[:-1] += one[:-1]
+                total[-1] = max(total[-1], one[-1])
+
             for pdf in batches:
-                x = pdf[[f"x{i}" for i in range(width)]].to_numpy(float)
-                y, check = pdf["y"].to_numpy(float), pdf["check"].to_numpy(bool)
-                if (~check).any():
-                    mask = None
-                    if dropout:
-                        keep = _keep_mask(pdf["mark"].to_numpy()[~check], sizes[0][1], epoch, dropout)
-                        mask = keep / (1 - dropout)
-                    total[:-3] += _gradient(x[~check], y[~check], weights, mask, loss)
-                    total[-3] += (~check).sum()
-                if check.any():
-                    error = _forward(x[check], weights)[-1][:, 0] - y[check]
-                    total[-2] += np.abs(error).sum() if loss == "absolute" else (error**2).sum()
-                    total[-1] += check.sum()
+                for part, rows in pdf.groupby("part", sort=True):
+                    if held and held[0]["part"].iloc[0] != part:
+                        add(pd.concat(held))
+                        held = []
+                    held.append(rows)
+            if held:
+                add(pd.concat(held))
             yield pd.DataFrame({"i": np.arange(len(total)), "g": total})
 
-        rows = data.mapInPandas(part, "i int, g double").groupBy("i").agg(F.sum("g").alias("g")).collect()
-        out = np.zeros(len(flat) + 3)
-        for r in rows:
+        largest = F.col("i") == len(state) + 3
+        sums = data.mapInPandas(run, "i int, g double").groupBy("i").agg(F.when(F.first(largest), F.max("g")).otherwise(F.sum("g")).alias("g"))
+        out = np.zeros(len(state) + 4)
+        for r in sums.collect():
             out[r["i"]] = r["g"]
         return out

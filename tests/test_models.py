@@ -125,7 +125,7 @@ def test_network_gradient_matches_differences():
 
 
 def test_network_learns_and_does_not_depend_on_partitions(data):
-    learner = nw.NetworkRegressor(["a", "b"], epochs=15, rate=0.1, dropout=0.1)
+    learner = nw.NetworkRegressor(["a", "b"], epochs=15, rate=0.01, dropout=0.1, part_rows=200)
     one, many = learner.fit(data.repartition(1)), learner.fit(data.repartition(7))
     np.testing.assert_allclose(one.flat, many.flat, atol=1e-8)
     mae = ev.error_metrics(one.transform(data), "label", "prediction", ["mae"]).head()["mae"]
@@ -133,6 +133,25 @@ def test_network_learns_and_does_not_depend_on_partitions(data):
     assert mae < 0.6 * base
 
 
+def test_one_part_is_mini_batch_training_on_one_machine(spark, data):
+    """One epoch of one part, step by step."""
+    learner = nw.NetworkRegressor(["a", "b"], units=(3,), dropout=0.0, epochs=1, batch=50, rate=0.01, held_out=0.0, keys=["id"])
+    got = learner.fit(data.repartition(5))
+    pdf = data.withColumn("mark", F.xxhash64(F.lit(0), "id")).toPandas()
+    x = (pdf[["a", "b"]] - pdf[["a", "b"]].mean()) / pdf[["a", "b"]].std(ddof=0)
+    y = (pdf.label - pdf.label.mean()) / pdf.label.std(ddof=0)
+    order = np.argsort(pdf.mark.to_numpy())[np.random.default_rng([0, 0]).permutation(N)]
+    sizes = nw._sizes(2, (3,))
+    flat = nw._initial(sizes, 0)
+    m, v = np.zeros_like(flat), np.zeros_like(flat)
+    for t, at in enumerate(range(0, N, 50), 1):
+        rows = order[at : at + 50]
+        g = nw._gradient(x.to_numpy()[rows], y.to_numpy()[rows], nw._unpack(flat, sizes), None, "absolute") / 50
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        flat = flat - 0.01 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-7)
+    np.testing.assert_allclose(got.flat, flat, atol=1e-10)
+
+
 def test_full_grids_run_through_the_search(spark):
     from catalog import models_and_flows as flows
     from catalog.registry import QUERIES
