@@ -15,13 +15,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotline.llm.common import fold_of, id_and_text, small_batches
+from lotline.llm.common import drawn, fold_of, id_and_text, small_batches
 
 GRAMS = 300
 # bound of the documents that profiles are learned from, spread evenly over all training documents
 FIT_DOCS = 20_000
 UNDETERMINED = "und"
-_NO_LETTER = re.compile(r"[\W\d_]+")
+# numerals that are word characters without being letters, such as superscripts, fractions and Roman numerals
+_NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_NO_LETTER = re.compile(rf"[\W\d_{re.escape(_NUMERALS)}]+")
 # counted at a time, so that a very long text needs bounded memory
 WINDOW = 1 << 20
 _BITS = 21
@@ -77,13 +79,18 @@ def learn_profiles(
 ) -> dict[str, np.ndarray]:
     """Profiles by language from the rows where `train` holds, `lang` is not null and text is there.
 
-    At most about `fit_docs` of these rows are used, taken by a hash of the text. The driver gets `size` grams
-    per language. Without training rows there is no profile.
+    At most about `fit_docs` of these rows are used, shared out evenly over the languages: a language with fewer rows than
+    its share gives all of them, a larger one a draw by a hash of the id. The driver gets the languages' row counts and `size`
+    grams per language. Without training rows there is no profile.
     """
     known = docs.where(train & docs["lang"].isNotNull() & docs["text"].isNotNull())
-    share = min(1.0, fit_docs / max(1, known.count()))
-    if share < 1:
-        known = known.where(F.pmod(F.xxhash64("text", F.lit("profile")), F.lit(1_000_000)) < int(share * 1_000_000))
+    sizes = {r["lang"]: r["n"] for r in known.groupBy(F.col("lang").cast("string").alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    budget = max(1, fit_docs // max(1, len(sizes)))
+    draw, taken = F.xxhash64(F.col("doc_id").cast("string"), F.lit("profile")), F.lit(True)
+    for lang, n in sizes.items():
+        if n > budget:
+            taken = F.when(F.col("lang").cast("string") == lang, drawn(draw, budget, n)).otherwise(taken)
+    known = known.where(taken)
     small_batches(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

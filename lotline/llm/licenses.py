@@ -2,11 +2,14 @@
 
 A text is cut into sentences (and, where a sentence runs over several lines, also into its lines). Each
 is normalised to lower-case words and looked up among the known licence sentences. The identifiers
-found, in text order, are matched against rules: a rule holds where its identifiers occur in its order.
+found, in text order, are matched against rules: a rule holds where its identifiers occur in its order. A rule gives way to
+a longer one of another licence that has all its identifiers in their order, where that one holds as well.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,10 +73,25 @@ SENTENCES = {
     "mpl-copy-https": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla.org mpl 2.0",
     "unlicense": "this is free and unencumbered software released into the public domain",
     "reserved": "all rights reserved",
+    "mit-heading": "mit license",
+    "mit-heading-the": "the mit license",
     "spdx-mit": "spdx license identifier mit",
+    "spdx-mit-0": "spdx license identifier mit 0",
     "spdx-apache": "spdx license identifier apache 2.0",
+    "spdx-gpl2-only": "spdx license identifier gpl 2.0 only",
+    "spdx-gpl2": "spdx license identifier gpl 2.0 or later",
+    "spdx-gpl3-only": "spdx license identifier gpl 3.0 only",
     "spdx-gpl3": "spdx license identifier gpl 3.0 or later",
+    "spdx-lgpl21": "spdx license identifier lgpl 2.1 or later",
+    "spdx-bsd2": "spdx license identifier bsd 2 clause",
     "spdx-bsd3": "spdx license identifier bsd 3 clause",
+    "spdx-isc": "spdx license identifier isc",
+    "spdx-mpl2": "spdx license identifier mpl 2.0",
+    "spdx-cc0": "spdx license identifier cc0 1.0",
+    "spdx-cc-by": "spdx license identifier cc by 4.0",
+    "spdx-cc-by-sa": "spdx license identifier cc by sa 4.0",
+    "spdx-cc-by-nc": "spdx license identifier cc by nc 4.0",
+    "spdx-unlicense": "spdx license identifier unlicense",
     "spdx": "spdx license identifier",
     "name-apache": "apache 2.0",
     "name-gpl3": "gpl 3.0 or later",
@@ -87,6 +105,9 @@ RULES = [
     ("MIT", "permissive", ("mit-grant", "mit-notice", "as-is-software")),
     ("MIT", "permissive", ("mit-notice", "as-is-software")),
     ("MIT", "permissive", ("spdx-mit",)),
+    ("MIT", "permissive", ("mit-heading",)),
+    ("MIT", "permissive", ("mit-heading-the",)),
+    ("MIT-0", "permissive", ("spdx-mit-0",)),
     ("MIT-0", "permissive", ("mit-grant", "as-is-software")),
     ("ISC", "permissive", ("isc-grant",)),
     ("Apache-2.0", "permissive", ("apache-short",)),
@@ -105,7 +126,19 @@ RULES = [
     ("GPL-3.0-or-later", "copyleft", ("gpl-free",)),
     ("GPL-3.0-or-later", "copyleft", ("gpl3-terms",)),
     ("GPL-3.0-or-later", "copyleft", ("gpl-published", "version-3")),
+    ("GPL-2.0-only", "copyleft", ("spdx-gpl2-only",)),
+    ("GPL-2.0-or-later", "copyleft", ("spdx-gpl2",)),
+    ("GPL-3.0-only", "copyleft", ("spdx-gpl3-only",)),
     ("GPL-3.0-or-later", "copyleft", ("spdx-gpl3",)),
+    ("LGPL-2.1-or-later", "copyleft", ("spdx-lgpl21",)),
+    ("ISC", "permissive", ("spdx-isc",)),
+    ("MPL-2.0", "copyleft", ("spdx-mpl2",)),
+    ("CC0-1.0", "permissive", ("spdx-cc0",)),
+    ("CC-BY-4.0", "permissive", ("spdx-cc-by",)),
+    ("CC-BY-SA-4.0", "copyleft", ("spdx-cc-by-sa",)),
+    ("CC-BY-NC-4.0", "restricted", ("spdx-cc-by-nc",)),
+    ("Unlicense", "permissive", ("spdx-unlicense",)),
+    ("BSD-2-Clause", "permissive", ("spdx-bsd2",)),
     ("GPL-3.0-or-later", "copyleft", ("spdx", "name-gpl3")),
     ("GPL-2.0-or-later", "copyleft", ("gpl2-free",)),
     ("GPL-2.0-or-later", "copyleft", ("gpl2-terms",)),
@@ -115,6 +148,7 @@ RULES = [
     ("LGPL-2.1-or-later", "copyleft", ("lgpl-published", "version-2.1")),
     ("BSD-2-Clause", "permissive", ("bsd-terms", "bsd-source", "bsd-binary", "bsd-as-is")),
     ("BSD-3-Clause", "permissive", ("bsd-terms", "bsd-source", "bsd-binary", "bsd-names")),
+    ("BSD-3-Clause", "permissive", ("bsd-terms", "bsd-source", "bsd-binary", "bsd-names", "bsd-as-is")),
     ("BSD-3-Clause", "permissive", ("spdx-bsd3",)),
     ("BSD-3-Clause", "permissive", ("spdx", "name-bsd3")),
     ("CC-BY-4.0", "permissive", ("cc-by",)),
@@ -137,6 +171,25 @@ _END = r"[.!?:;]+(?=[ \t\r\n]|$)|\n[ \t\r]*\n"
 _STEMS = r"(?i)licen|permi|distribut|rights|warrant|copyright|software|domain|apache|gpl|bsd"
 
 
+# the mark after this word would part a notice from its licence
+_TAG = "SPDX-License-Identifier"
+
+
+def _within(short: tuple[str, ...], long: tuple[str, ...]) -> bool:
+    rest = iter(long)
+    return len(short) < len(long) and all(i in rest for i in short)
+
+
+def _longer(rule: tuple) -> list[tuple[str, ...]]:
+    """Identifiers of the rules that a rule gives way to."""
+    name, _, ids = rule
+    return [other for n, _, other in RULES if n != name and _within(ids, other)]
+
+
+def _shape(ids: tuple[str, ...]) -> str:
+    return "%" + "%".join(f"<{i}>" for i in ids) + "%"
+
+
 def _array(items: list[str]) -> Column:
     return F.array(*[F.lit(i) for i in items])
 
@@ -168,10 +221,14 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     """
     line = F.concat(F.lit("<"), F.array_join("ids", "><"), F.lit(">"))
     hits = F.array(*[
-        F.when(line.like("%" + "%".join(f"<{i}>" for i in ids) + "%"), F.struct(F.lit(name).alias("name"), F.lit(kind).alias("kind")))
-        for name, kind, ids in RULES
+        F.when(
+            reduce(lambda a, b: a & ~line.like(_shape(b)), _longer(rule), line.like(_shape(rule[2]))),
+            F.struct(F.lit(rule[0]).alias("name"), F.lit(rule[1]).alias("kind")),
+        )
+        for rule in RULES
     ])
-    found = docs.select(docs[doc_id].alias("doc_id"), sentence_ids(F.coalesce(docs[text], F.lit(""))).alias("ids"))
+    tagged = F.replace(F.coalesce(docs[text], F.lit("")), F.lit(f"{_TAG}:"), F.lit(_TAG))
+    found = docs.select(docs[doc_id].alias("doc_id"), sentence_ids(tagged).alias("ids"))
     found = found.select("doc_id", "ids", F.filter(hits, lambda h: h.isNotNull()).alias("hits"))
     return found.select(
         "doc_id",
@@ -185,11 +242,11 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 def scan_sql() -> str:
     """The same in DuckDB SQL."""
     rows = ", ".join(f"('{s}', '{i}')" for i, s in SENTENCES.items())
-    rules = ", ".join(f"('{n}', '{k}', '%{'%'.join(f'<{i}>' for i in ids)}%')" for n, k, ids in RULES)
+    rules = ", ".join(f"('{n}', '{k}', '{_shape(ids)}', [{', '.join(f"'{_shape(o)}'" for o in _longer((n, k, ids)))}]::VARCHAR[])" for n, k, ids in RULES)
     return f"""
-WITH known(sentence, id) AS (VALUES {rows}), rules(name, kind, shape) AS (VALUES {rules}),
+WITH known(sentence, id) AS (VALUES {rows}), rules(name, kind, shape, longer) AS (VALUES {rules}),
 cut AS (SELECT row_number() OVER () AS r, doc_id, string_split_regex(
-            regexp_replace(coalesce(text, ''), '[.!?:;]+([ \\t\\r\\n]|$)', chr(2) || '\\1', 'g'), chr(2) || '|\\n[ \\t\\r]*\\n') AS parts
+            regexp_replace(replace(coalesce(text, ''), '{_TAG}:', '{_TAG}'), '[.!?:;]+([ \\t\\r\\n]|$)', chr(2) || '\\1', 'g'), chr(2) || '|\\n[ \\t\\r]*\\n') AS parts
         FROM documents),
 part AS (SELECT r, unnest(parts) AS p, generate_subscripts(parts, 1) AS i FROM cut),
 line AS (SELECT r, i, 0 AS j, p AS s FROM part
@@ -200,7 +257,7 @@ plain AS (SELECT r, i, j, trim(regexp_replace(regexp_replace(lower(s), '[^a-z0-9
 hit AS (SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY i, j) AS ids, '<' || string_agg(id, '><' ORDER BY i, j) || '>' AS line
         FROM plain JOIN known ON s = sentence GROUP BY r),
 held AS (SELECT r, list_sort(list_distinct(list(name))) AS names, list_sort(list_distinct(list(kind))) AS kinds
-         FROM hit JOIN rules ON line LIKE shape GROUP BY r)
+         FROM hit JOIN rules ON line LIKE shape AND len(list_filter(longer, lambda o: line LIKE o)) = 0 GROUP BY r)
 SELECT c.doc_id, coalesce(h.n, 0)::BIGINT AS n_sentences, coalesce(h.ids, '') AS sentence_ids,
        coalesce(array_to_string(names, ','), '') AS licenses, coalesce(array_to_string(kinds, ','), '') AS kinds
 FROM cut c LEFT JOIN hit h USING (r) LEFT JOIN held USING (r)"""

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotline.llm.common import fold_of, id_and_text, small_batches
+from lotline.llm.common import drawn, fold_of, id_and_text, small_batches
 from lotline.staging import stage
 
 PASSAGE_WORDS = 64
@@ -27,6 +27,8 @@ GATE = 8
 FIT_DOCS = 12_000
 ROUNDS = 6
 EPOCHS = 4
+# passages of one document that a step of the fit looks at, spread over it; scores attend to all
+FIT_PASSAGES = 128
 MIN_STEPS = 60
 PARTS = 6
 RATE = 0.02
@@ -174,16 +176,14 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, fit_docs: int = FIT
     """Weights from labelled documents; `train` is a condition on `_label_id`.
 
     At most about `fit_docs` documents are used, spread evenly by a hash of the id, and of a very long document
-    in the sample at most 128 passages per step, spread over it. They lie in one staged table of features; every
+    in the sample at most `FIT_PASSAGES` passages per step, spread over it. They lie in one staged table of features; every
     round each of `PARTS` tasks starts from the same weights and returns its own. Without labels
     of both kinds the weights score every document alike.
     """
     small_batches(docs.sparkSession)
     known = labels.where("quality is not null").groupBy(F.col("doc_id").alias("_label_id")).agg(F.min("quality").cast("int").alias("y"))
     known = known.where(train)
-    share = min(1.0, fit_docs / max(1, known.count()))
-    if share < 1:
-        known = known.where(F.pmod(F.xxhash64("_label_id", F.lit("quality")), F.lit(1_000_000)) < int(share * 1_000_000))
+    known = known.where(drawn(F.xxhash64("_label_id", F.lit("quality")), fit_docs, known.count()))
     texts = id_and_text(docs)
     sample = texts.join(F.broadcast(known), texts["doc_id"] == known["_label_id"]).select("doc_id", "y", "text")
 
@@ -192,7 +192,7 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, fit_docs: int = FIT
             bags = []
             for text in batch.column("text").to_pylist():
                 rows = passage_features(text.encode())
-                bags.append(rows[np.linspace(0, len(rows) - 1, min(len(rows), 128)).astype(int)].astype(np.float16).tobytes())
+                bags.append(rows[np.linspace(0, len(rows) - 1, min(len(rows), FIT_PASSAGES)).astype(int)].astype(np.float16).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(bags, pa.binary())], ["doc_id", "y", "bag"])
 
     spread = sample.mapInArrow(encode, "doc_id long, y int, bag binary").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS)).cast("int"))

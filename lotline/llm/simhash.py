@@ -58,16 +58,20 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, bits) with the fingerprint as a signed long; null text counts as empty."""
+    """(doc_id, bits, text_mark): the fingerprint as a signed long, and a hash that tells the texts of a repeated id apart; null text counts as empty."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
             found = np.array([fingerprint(t.as_py(), shingle) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found), batch.column("text_mark")], ["doc_id", "bits", "text_mark"])
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, bits long")
+    return id_and_text(docs).withColumn("text_mark", _mark(F.col("text"))).mapInArrow(run, "doc_id long, bits long, text_mark long")
+
+
+def _mark(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def _segments(max_bits: int) -> list[tuple[int, int]]:
@@ -170,6 +174,11 @@ def near_duplicates(
     component unless all its ids are null. Repeated rows come out as often as they go in. An empty table gives an
     empty result.
     """
+    return _classes(docs, shingle, max_bits, dense).select("doc_id", "fingerprint", "component_id")
+
+
+def _classes(docs: DataFrame, shingle: int, max_bits: int, dense: int) -> DataFrame:
+    """`near_duplicates` with the class (`root`, also where ids repeat) and the hash of the text."""
     prints = stage(fingerprints(docs, shingle), "prints")
     nodes = stage(prints.groupBy("bits").agg(F.min("doc_id").alias("least_id")), "nodes")
     roots = connected_components(links(nodes.select("bits"), max_bits, dense), "links")
@@ -177,21 +186,33 @@ def near_duplicates(
         nodes["bits"], "least_id", F.coalesce("root", nodes["bits"]).alias("root")
     )
     named = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    component = stage(placed.join(named, "root").select("bits", "component_id"), "classes")
+    component = stage(placed.join(named, "root").select("bits", "root", "component_id"), "classes")
     return prints.join(component, "bits", "left").select(
-        "doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id"
+        "doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id", "root", "text_mark"
     )
 
 
-def keep_one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+def keep_one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, dense: int = DENSE) -> DataFrame:
     """The document with the smallest id of every group, all columns as given.
 
-    Rows that repeat an id count as one document, of which one row stays. Rows without an id cannot be
-    named as the one that stays, so all of them stay.
+    Groups are of texts: rows that repeat an id but not its text are in the groups of their own texts. Of the rows of a group
+    that share its smallest id one stays, the first by a hash of the text, then of all columns. Rows without an
+    id cannot be named as the one that stays, so all of them stay.
     """
-    found = near_duplicates(docs, shingle, max_bits)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.join(keep, docs["doc_id"] == F.col("_kept_id"), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    named = named.withColumn("_nth", first).where("_nth = 1").drop("_nth")
+    found = _classes(docs, shingle, max_bits, dense).where("doc_id = component_id")
+    keep = found.groupBy("doc_id", "root").agg(F.min("text_mark").alias("text_mark"))
+    # names that no column of the table has
+    own, row = (_free_name(docs, n) for n in ("kept", "row"))
+    keep = keep.select(F.struct("doc_id", "text_mark").alias(own)).distinct()
+    same = (docs["doc_id"].cast("long") == F.col(own)["doc_id"]) & (_mark(docs["text"]) == F.col(own)["text_mark"])
+    named = docs.join(keep, same, "left_semi")
+    whole = [F.col(f"`{c}`") for c, kind in named.dtypes if not kind.startswith(("map", "variant"))]
+    nth = F.row_number().over(Window.partitionBy(F.col("doc_id"), _mark(F.col("text"))).orderBy(F.xxhash64(*whole)))
+    named = named.withColumn(row, nth).where(F.col(row) == 1).drop(row)
     return named.unionByName(docs.where(docs["doc_id"].isNull()))
+
+
+def _free_name(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name = f"_{name}"
+    return name

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotline.llm.common import fold_of, id_and_text, small_batches
+from lotline.llm.common import drawn, fold_of, id_and_text, small_batches
 from lotline.staging import stage
 
 # Characters that look like a Latin letter. i, l, 1 and their like are one class, written i.
@@ -40,6 +41,7 @@ MIN_DOCS = 4
 MIN_PRECISION = 0.8
 STEMS = range(4, 8)
 MAX_ENTRIES = 20_000
+_BLANK = re.compile(" ")
 # distinct terms that a task counts before it hands them on
 HELD_TERMS = 50_000
 
@@ -130,9 +132,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, train: Column, fit_docs: int)
     """(text, y) of a bounded, evenly spread sample of the training rows with a label."""
     known = labels.where("toxic is not null").groupBy(F.col("doc_id").alias("_label_id")).agg(F.max("toxic").cast("int").alias("y"))
     known = known.where(train)
-    share = min(1.0, fit_docs / max(1, known.count()))
-    if share < 1:
-        known = known.where(F.pmod(F.xxhash64("_label_id", F.lit("toxic")), F.lit(1_000_000)) < int(share * 1_000_000))
+    known = known.where(drawn(F.xxhash64("_label_id", F.lit("toxic")), fit_docs, known.count()))
     texts = id_and_text(docs)
     return texts.join(known, texts["doc_id"] == known["_label_id"]).select("text", "y")
 
@@ -187,7 +187,8 @@ def _shortest(found: dict[str, float]) -> dict[str, float]:
 
 
 def _learn_exceptions(sample: DataFrame, weights: dict[str, float], min_docs: int) -> frozenset[str]:
-    """Phrases of two words around an entry that only documents without a toxic label hold, `min_docs` of them or more."""
+    """Phrases of two words around an entry that only documents without a toxic label hold, `min_docs` of them or more; the most frequent
+    `MAX_ENTRIES`, ties by the phrase."""
     lexicon = Lexicon(weights)
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,14 +197,16 @@ def _learn_exceptions(sample: DataFrame, weights: dict[str, float], min_docs: in
             for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
                 words = folded_words(text)
                 line, found = f" {' '.join(words)} ", set()
+                blanks = [m.start() for m in _BLANK.finditer(line)]
                 for end, (length, _, _) in lexicon.machine().iter(line) if weights else ():
-                    at = line.count(" ", 0, end - length + 2) - 1
+                    at = bisect_left(blanks, end - length + 2) - 1
                     found.update(f"{words[i]} {words[i + 1]}" for i in (at - 1, at) if 0 <= i < len(words) - 1)
                 out += [(p, y) for p in found]
             yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], pa.string()), pa.array([y for _, y in out], pa.int32())], ["phrase", "y"])
 
     found = sample.mapInArrow(phrases, "phrase string, y int").groupBy("phrase").agg(F.sum("y").alias("toxic"), F.count("y").alias("n"))
-    return frozenset(r["phrase"] for r in found.where((F.col("toxic") == 0) & (F.col("n") >= min_docs)).limit(MAX_ENTRIES).collect())
+    clean = found.where((F.col("toxic") == 0) & (F.col("n") >= min_docs))
+    return frozenset(r["phrase"] for r in clean.orderBy(F.desc("n"), "phrase").limit(MAX_ENTRIES).collect())
 
 
 def _densities(texts: DataFrame, lexicon: Lexicon, keep: str, kind: str) -> DataFrame:

@@ -2,6 +2,8 @@ import re
 import zlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from lotline.llm import langid
 from lotline.llm.common import table
 
@@ -78,3 +80,18 @@ def test_edge_rows(docs_of):
     assert langid.identify(docs).count() == 6
     assert langid.identify(docs.where("doc_id > 9")).collect() == []
     assert {r["lang_pred"] for r in langid.predict(docs, {}).collect()} == {"und"}
+
+
+def test_numerals_are_no_letters(spark, docs_of):
+    docs = docs_of([(0, "²"), (1, "½ Ⅷ 12 ①"), (2, "a²")])
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, {"en": langid.top_grams("a an the", 300)}).collect()}
+    assert got == {0: "und", 1: "und", 2: "en"}
+    assert len(langid.gram_counts("x½y")[0]) == len(langid.gram_counts("x y")[0])
+
+
+def test_a_small_language_keeps_its_rows(spark):
+    rows = [(i, "and the of to in is that it", "en") for i in range(3_000)] + [(5_000 + i, "żółć gęś jaźń łódź", "pl") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = langid.learn_profiles(docs, F.lit(True), fit_docs=100)
+    assert set(profiles) == {"en", "pl"}
+    assert {r["lang_pred"] for r in langid.predict(docs.where("lang = 'pl'"), profiles).collect()} == {"pl"}

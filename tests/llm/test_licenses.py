@@ -18,10 +18,10 @@ IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
 FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
 """
 TEXTS = [
-    (None, ""), ("", ""), ("no such words here", ""), (MIT, "MIT,MIT-0"), ("some line\nReleased under the MIT License.\nmore text", "MIT"),
+    (None, ""), ("", ""), ("no such words here", ""), (MIT, "MIT"), ("some line\nReleased under the MIT License.\nmore text", "MIT"),
     ("text without point\nAll rights reserved", "LicenseRef-all-rights-reserved"),
     ("Licensed under CC BY-NC 4.0. Licensed  under the Apache License, Version 2.0.", "Apache-2.0,CC-BY-NC-4.0"),
-    ("# SPDX-License-Identifier: MIT", ""), ("it is released under the MIT license of old", ""),
+    ("# SPDX-License-Identifier: MIT", "MIT"), ("it is released under the MIT license of old", ""),
     ("Released under the MIT License. " * 3000, "MIT"),
     ("The software is provided as is. Permission is hereby granted", ""),
 ]
@@ -30,7 +30,7 @@ TEXTS = [
 def test_rules(docs_of):
     rows = {r["doc_id"]: r for r in licenses.scan(docs_of([t for t, _ in TEXTS], extra=("ids", "hits"))).collect()}
     assert [rows[i]["licenses"] for i in range(len(TEXTS))] == [want for _, want in TEXTS]
-    assert rows[3]["sentence_ids"].split(",") == ["mit-grant", "mit-notice", "as-is-software"]
+    assert rows[3]["sentence_ids"].split(",") == ["mit-heading", "mit-grant", "mit-notice", "as-is-software"]
     assert rows[9]["n_sentences"] == 3000
 
 
@@ -107,9 +107,30 @@ MPL = """This Source Code Form is subject to the terms of the Mozilla Public
 License, v. 2.0. If a copy of the MPL was not distributed with this
 file, You can obtain one at https://mozilla.org/MPL/2.0/.
 """
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+Redistributions of source code must retain the above copyright notice,
+this list of conditions and the following disclaimer.
+
+Redistributions in binary form must reproduce the above copyright notice,
+this list of conditions and the following disclaimer in the documentation
+and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.
+"""
+BSD3 = BSD2.replace("THIS SOFTWARE IS", """Neither the name of the copyright holder nor the names of its contributors
+may be used to endorse or promote products derived from this software without
+specific prior written permission.
+
+THIS SOFTWARE IS""")
 NOTICES = [
     (APACHE, "Apache-2.0"), (APACHE.replace("http:", "https:"), "Apache-2.0"), (GPL3, "GPL-3.0-or-later"), (GPL2, "GPL-2.0-or-later"),
     (LGPL, "LGPL-2.1-or-later"), (MPL, "MPL-2.0"), ("SPDX-License-Identifier: Apache-2.0\n", "Apache-2.0"),
+    ("SPDX-License-Identifier: GPL-2.0-only\n", "GPL-2.0-only"), ("SPDX-License-Identifier: MIT-0\n", "MIT-0"),
+    (MIT.replace("MIT License\n", "").replace(" and this permission notice shall", " shall"), "MIT-0"), (BSD3, "BSD-3-Clause"), (BSD2, "BSD-2-Clause"),
     ("SPDX-License-Identifier: GPL-3.0-or-later\n", "GPL-3.0-or-later"), ("SPDX-License-Identifier: BSD-3-Clause\n", "BSD-3-Clause"),
 ]
 

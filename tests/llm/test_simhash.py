@@ -95,6 +95,14 @@ def test_keep_one_per_group(docs_of):
     assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, -1, 2, 9]
 
 
+def test_repeated_ids_with_different_texts(docs_of):
+    a, b, c = "the same words in a row for a test of copies", "quite another text of some words", "and a third one that nobody else has got here"
+    docs = docs_of([(3, a), (5, a), (5, b), (7, b), (5, c), (5, c)], extra=("_nth", "kept"))
+    kept = simhash.keep_one_per_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted([(3, a), (5, b), (5, c)])
+
+
 def test_empty_table(docs_of):
     docs = docs_of([(0, "a")]).where("doc_id > 5")
     assert simhash.near_duplicates(docs).collect() == []
