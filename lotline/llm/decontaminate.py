@@ -3,7 +3,8 @@
 Scores are BM25 contributions divided by the item's score for its own words, so 1 means that a passage has all
 words of the item. Every passage (overlapping windows long enough to hold any item whole) is a query; block-max
 WAND retrieves all items at the threshold or above. An item retrieved is then verified: enough of its word shingles
-must be in the passage in order, and enough of the words of both its question and its answer.
+must be in the passage in order, and enough of the words of both its question and its answer. An item of fewer words than a shingle
+has none to tell a leak by inside other text; it counts as found where it stands as sentences of its own.
 
 The index is made in parts of bounded text size, and every part meets every passage, so no item table is too large.
 """
@@ -33,18 +34,23 @@ SHINGLE = 5
 SIMILARITY = 0.8
 PART_OVERLAP = 0.5
 MIN_STRIDE = 64
-MIN_ITEM_WORDS = 5
 BLOCK = 4
+# cells of the block bounds of a text's passages that are held at once
+CELLS = 1 << 23
 # bytes of item text in one part of the index, which goes to every executor
 PART_BYTES = 1 << 18
 PIECE = 1 << 22
-_WORD = re.compile(r"[^\W_]+")
+# a longer sentence is no short item
+_SHORT_TEXT = 1 << 10
+# scripts that put no spaces between words: Thai, Lao, Myanmar, Khmer, Kana, Han
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[^\W_{_UNSPACED}]+|(?=[^\W_])[{_UNSPACED}]")
 _SENTENCE_END = re.compile(r"[.!?]+(?:\s+|$)|\n+")
 _PAIR = "doc_id long, item_id long, score double, overlap double, question_overlap double, answer_overlap double"
 
 
 def words_of(text: str) -> list[str]:
-    """Words of a text in lower case: runs of letters and digits."""
+    """Words of a text in lower case: runs of letters and digits; in scripts without spaces every letter."""
     return _WORD.findall(text.lower())
 
 
@@ -69,11 +75,17 @@ class Index:
     postings: list[tuple[list[int], list[float]]]
     block_max: np.ndarray
     stride: int
+    short: dict[tuple[str, ...], list[int]]
 
     @staticmethod
     def build(items: list[tuple[int, list[str], list[str]]], df: dict[str, int], n_items: int, mean_words: float) -> Index:
         """items: (item_id, question words, answer words), where a single sentence has the same list twice."""
         whole = [(i, q if q == a else q + a, q, a) for i, q, a in items]
+        short: dict[tuple[str, ...], list[int]] = {}
+        for i, w, _, _ in whole:
+            if len(w) < SHINGLE:
+                short.setdefault(tuple(w), []).append(i)
+        whole = [x for x in whole if len(x[1]) >= SHINGLE]
         whole.sort(key=lambda x: (len(x[1]), x[0]))
         terms: dict[str, int] = {}
         for _, w, _, _ in whole:
@@ -100,7 +112,7 @@ class Index:
         return Index(
             [i for i, _, _, _ in whole], [code(q) for _, _, q, _ in whole], [code(a) for _, _, _, a in whole],
             [frozenset(_grams(c, w)) for c, w in zip(coded, widths)], widths, terms, found, block_max,
-            max(MIN_STRIDE, max((len(c) for c in coded), default=0)),
+            max(MIN_STRIDE, max((len(c) for c in coded), default=0)), short,
         )
 
 
@@ -157,6 +169,27 @@ def _advance(lists: list[list], goal: int) -> None:
 
 def search(index: Index, text: str, threshold: float = THRESHOLD, similarity: float = SIMILARITY) -> list[tuple]:
     """(item_id, score, overlap, question overlap, answer overlap) of each verified item, its best passage each."""
+    short = [(i, 1.0, 1.0, 1.0, 1.0) for i in short_items(index, text)] if index.short else []
+    return short + _search_passages(index, text, threshold, similarity)
+
+
+def short_items(index: Index, text: str) -> list[int]:
+    """Items of fewer words than a shingle that are one or more whole sentences or lines of the text in a row."""
+    found: set[int] = set()
+    open_: list[list[str]] = []  # words since the start of each of the last sentences
+    for sentence in _SENTENCE_END.split(text):
+        words = words_of(sentence) if len(sentence) < _SHORT_TEXT else [""] * SHINGLE
+        if not words:
+            continue
+        open_ = [w + words for w in open_ if len(w) + len(words) < SHINGLE]
+        if len(words) < SHINGLE:
+            open_.append(words)
+        for w in open_:
+            found.update(index.short.get(tuple(w), ()))
+    return sorted(found)
+
+
+def _search_passages(index: Index, text: str, threshold: float, similarity: float) -> list[tuple]:
     get = index.terms.get
     parts = []
     for piece in _pieces(text):
@@ -177,7 +210,7 @@ def search(index: Index, text: str, threshold: float = THRESHOLD, similarity: fl
     keys = np.unique(passage[inside].astype(np.int64) * width + term[inside])
     passage, term = keys // width, (keys % width).astype(np.int32)
     first = np.flatnonzero(np.diff(passage, prepend=-1))
-    upper = np.add.reduceat(index.block_max[term], first, axis=0).max(axis=1)
+    upper = _upper_bounds(index, term, first)
     best: dict[int, tuple] = {}
     for k in np.flatnonzero(upper >= threshold - 1e-5):
         p = int(passage[first[k]])
@@ -195,6 +228,19 @@ def search(index: Index, text: str, threshold: float = THRESHOLD, similarity: fl
     return [(index.item_ids[place], s, o, q, a) for place, (o, s, q, a) in sorted(best.items())]
 
 
+def _upper_bounds(index: Index, term: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The most that any block can score in each passage; so many passages at once that the table of bounds stays small."""
+    ends, out = np.append(first[1:], len(term)), np.empty(len(first))
+    rows = max(1, CELLS // max(1, index.block_max.shape[1]))
+    at = 0
+    while at < len(first):
+        to = max(at + 1, int(np.searchsorted(ends, first[at] + rows, side="right")))
+        part = index.block_max[term[first[at] : ends[to - 1]]]
+        out[at:to] = np.add.reduceat(part, first[at:to] - first[at], axis=0).max(axis=1)
+        at = to
+    return out
+
+
 def _pieces(text: str) -> list[str]:
     """A very long text cut at white space, so that the words of one piece fit in memory."""
     out, start = [], 0
@@ -214,11 +260,10 @@ def _bag_overlap(words: np.ndarray, window: np.ndarray) -> float:
     return float(np.minimum(counts, have).sum() / counts.sum())
 
 
-def build_indexes(items: DataFrame, part_bytes: int = PART_BYTES) -> list[Index]:
+def build_indexes(items: DataFrame, part_bytes: int = PART_BYTES) -> Iterator[Index]:
     """The index in parts of at most about `part_bytes` of text; idf and length counts are those of all items.
 
-    Items without an id or with under `MIN_ITEM_WORDS` words are left out: too little to tell a leak by.
-    Repeated rows count once. The driver holds one part at a time.
+    Items without an id or without a word are left out. Repeated rows count once. The driver holds one part at a time.
     """
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(
         "item_id is not null and text is not null"
@@ -236,17 +281,15 @@ def build_indexes(items: DataFrame, part_bytes: int = PART_BYTES) -> list[Index]
         "item_id", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_parts)).alias("part"), "qa.question", "qa.answer",
         F.when(F.col("qa.question") == F.col("qa.answer"), F.col("qa.question")).otherwise(F.concat("qa.question", "qa.answer")).alias("words"),
     )
-    parsed = stage(parsed.where(F.size("words") >= MIN_ITEM_WORDS), "items")
+    parsed = stage(parsed.where(F.size("words") > 0), "items")
     n, mean = parsed.agg(F.count("*"), F.avg(F.size("words"))).head()
     terms = parsed.select("part", F.explode(F.array_distinct("words")).alias("word"))
     df = stage(terms.groupBy("word").agg(F.count("*").alias("df")), "item-terms")
-    out = []
     for part in range(n_parts if n else 0):
         rows = parsed.where(F.col("part") == part).select("item_id", "question", "answer").collect()
         own = terms.where(F.col("part") == part).select("word").distinct().join(df, "word").collect()
         if rows:
-            out.append(Index.build([(r["item_id"], r["question"], r["answer"]) for r in rows], {r["word"]: r["df"] for r in own}, n, mean))
-    return out
+            yield Index.build([(r["item_id"], r["question"], r["answer"]) for r in rows], {r["word"]: r["df"] for r in own}, n, mean)
 
 
 def find_leaks(

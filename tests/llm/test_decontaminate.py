@@ -88,3 +88,27 @@ def test_empty_tables(spark, docs_of):
 def test_question_and_answer():
     assert dc.question_and_answer("Who is it? It is Ann.") == (["who", "is", "it"], ["it", "is", "ann"])
     assert dc.question_and_answer("One sentence only") == (["one", "sentence", "only"],) * 2
+
+
+def test_items_without_spaces_and_short_items(spark, docs_of):
+    chinese, japanese, thai = "长江是亚洲最长的河流吗？是的，它很长。", "日本で一番高い山は何ですか。富士山です。", "แม่น้ำที่ยาวที่สุดในโลกคือแม่น้ำอะไร"
+    filler = "这里有一些完全不同的句子，和题目没有关系。" * 40
+    docs = docs_of([
+        (1, filler + chinese + filler), (2, japanese), (3, f"some words {thai} and more"), (4, filler), (5, "He said yes. Blue whale!\nThen he left."),
+        (6, "a blue whale was seen there"), (7, "Is it so? Yes. Of course"), (8, "blue whale"), (9, "is it so yes"),
+    ])
+    items = spark.createDataFrame([(10, chinese), (11, japanese), (12, thai), (13, "Blue whale."), (14, "Is it so? Yes."), (15, "..."), (16, "")], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in dc.find_leaks(docs, items).collect()}
+    assert found == {(1, 10), (2, 11), (3, 12), (5, 13), (8, 13), (7, 14), (9, 14)}
+    assert {r["doc_id"] for r in dc.keep_clean(docs, items).collect()} == {4, 6}
+
+
+def test_bounds_by_windows_of_passages(monkeypatch):
+    rng = np.random.default_rng(9)
+    index = index_of([" ".join(f"w{int(x)}" for x in rng.zipf(1.3, 20) % 300) for _ in range(200)])
+    text = " ".join(f"w{int(x)}" for x in rng.zipf(1.3, 5_000) % 400) + " " + " ".join(list(index.terms)[:20])
+    whole = dc.search(index, text, 0.3, 0.1)
+    for cells in (1, 1_000, 50_000):
+        monkeypatch.setattr(dc, "CELLS", cells)
+        assert dc.search(index, text, 0.3, 0.1) == whole
+    assert whole
