@@ -4,7 +4,7 @@ Both sides are summed up into grid cells (row count, weight, tight bounding box
 Pairs of cells are then refined level by level; a pair whose boxes prove that no row in it can
 matter is dropped, one that proves that every row matters is counted whole. Only cell tables take
 part in this, and they stay small. Rows meet rows at the last level alone, in the pairs that are
-still undecided. The descent goes on until the undecided row pairs are no more than a few dozen
+still undecided. The descent goes on until the undecided row pairs are no more than some hundred
 per row, so dense spots and clusters far from everything are refined as deep as they need.
 
 Points are boxes of no extent. Every table here has box columns x1, y1, x2, y2 and a weight w.
@@ -23,9 +23,9 @@ from lotline.operators.skew import hot_from_counts, skew_join
 from lotline.staging import stage, stage_observed
 
 FIRST_LEVEL = 4
-STEP = 2
+STEP = 1
 LAST_LEVEL = 26
-PAIRS_PER_ROW = 32
+PAIRS_PER_ROW = 128
 
 BOX = ["x1", "y1", "x2", "y2"]
 

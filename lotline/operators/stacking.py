@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 from itertools import combinations
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -25,12 +26,15 @@ def _score_all(models: Mapping[str, object], df: DataFrame) -> DataFrame:
 
 
 def out_of_fold(
-    df: DataFrame, learners: Mapping[str, object], k: int, roles: DataFrame | None = None, key: str | None = None
+    df: DataFrame, learners: Mapping[str, object], k: int, roles: DataFrame | None = None, key: str | None = None, parallelism: int = 8
 ) -> DataFrame:
-    """Rows with each learner's prediction from the fit that did not see them."""
+    """Rows with each learner's prediction from the fit that did not see them; the fits run side by side."""
+    folds = list(fold_pairs(df, k, roles, key))
+    with ThreadPool(parallelism) as pool:
+        fitted = pool.map(lambda job: job[1].fit(folds[job[0]][0]), [(f, e) for f in range(k) for e in learners.values()], chunksize=1)
     out = None
-    for train, test in fold_pairs(df, k, roles, key):
-        scored = _score_all({n: e.fit(train) for n, e in learners.items()}, test)
+    for f, (_, test) in enumerate(folds):
+        scored = _score_all(dict(zip(learners, fitted[f * len(learners) :])), test)
         out = scored if out is None else out.unionByName(scored)
     return out
 
