@@ -21,9 +21,9 @@ GRAMS = 300
 # bound of the documents that profiles are learned from, spread evenly over all training documents
 FIT_DOCS = 20_000
 UNDETERMINED = "und"
+_NO_LETTER, _BLANKS = re.compile(r"[\W\d_]+"), re.compile(" +")
 # numerals that are word characters without being letters, such as superscripts, fractions and Roman numerals
-_NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_NO_LETTER = re.compile(rf"[\W\d_{re.escape(_NUMERALS)}]+")
+_NUMERALS = frozenset(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
 # counted at a time, so that a very long text needs bounded memory
 WINDOW = 1 << 20
 _BITS = 21
@@ -41,9 +41,17 @@ def _codes(line: str) -> np.ndarray:
     return np.concatenate((c[~blank], two, three[~blank[1:-1]]))
 
 
+def letters_of(text: str) -> str:
+    """The letters of a text in lower case, whatever lies between them as one blank."""
+    line = _NO_LETTER.sub(" ", text)
+    if not line.isascii() and (odd := _NUMERALS.intersection(line)):
+        line = _BLANKS.sub(" ", line.translate(dict.fromkeys(map(ord, odd), " ")))
+    return line.strip().lower()
+
+
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct grams of the letters of a text, in lower case, and how often each occurs."""
-    line = _NO_LETTER.sub(" ", text).strip().lower()
+    line = letters_of(text)
     if not line:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     line = f" {line} "
