@@ -97,3 +97,6 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(variants.vocabulary(table(spark, sf_dir, "documents")))
+
+
+SQL["op13_spelling_variants"] = variants.contract_sql()

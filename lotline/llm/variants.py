@@ -128,3 +128,34 @@ def group_variants(words: DataFrame, ratio: int = RATIO, symbols: int = SYMBOLS)
     table = stage(table, "variants")
     roots = _roots(table.where("form is not null"))
     return table.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+
+
+def contract_sql() -> str:
+    """The same in DuckDB SQL: crc32 bit by bit, every pair of words compared after letters beyond ASCII became one byte each."""
+    beyond = "".join(map(chr, range(0xC0, 0x100)))
+    one_byte = "".join(c for c in map(chr, range(33, 127)) if not c.islower() and c not in "'")[: len(beyond)]
+    bits = "list_reduce(range(8), lambda r, _: xor(r >> 1, 3988292384 * (r & 1)), xor(c, b))"
+    return f"""
+with recursive runs as (
+  select doc_id, translate(unnest(regexp_extract_all(text, '{LETTERS}{{{MIN_LENGTH},}}')), '{_UPPER}', '{_LOWER}') as run from documents
+), counted as (select doc_id, run, count(*) as n from runs group by 1, 2
+), coded as (select *, hex(encode(coalesce(cast(doc_id as varchar), '') || ':' || run)) as h from counted
+), bytes as (select *, list_transform(range(1, len(h), 2), lambda i: cast('0x' || substr(h, i, 2) as bigint)) as b from coded
+), hashed as (select run, n, xor(list_reduce(b, lambda c, b: {bits}, 4294967295::bigint), 4294967295::bigint) as h from bytes
+), words as (
+  select case when h % {DAMAGE} = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, sum(n)::bigint as n
+  from hashed group by 1 having length(word) >= {MIN_LENGTH} and sum(n) >= {MIN_COUNT}
+), plain as (select word, n, length(word) as size, translate(word, '{beyond}', '{one_byte}') as w from words
+), near as (
+  select a.word, b.word as other, b.n as other_n from plain a join plain b
+  on b.size between a.size - 1 and a.size + 1 and a.word <> b.word and levenshtein(a.w, b.w) = 1
+), best as (select word, count(*) as n_near, max(other_n) as top from near group by 1
+), formed as (
+  select words.word, words.n, coalesce(n_near, 0)::bigint as n_near, case when top >= {RATIO} * words.n then top end as form_n,
+    (select min(other) from near where near.word = words.word and other_n = top and top >= {RATIO} * words.n) as form
+  from words left join best using (word)
+), chain as (
+  select word, word as root, form as next from formed
+  union all select chain.word, chain.next, formed.form from chain join formed on formed.word = chain.next
+)
+select word, form, root, n, n_near, form_n from formed join (select word, root from chain where next is null) using (word)"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lotline.llm import variants
 from lotline.llm.common import table
-from lotline.llm.queries import QUERIES
+from lotline.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 
@@ -123,3 +123,13 @@ def test_a_hot_word_a_long_text_and_clashing_columns(spark):
 def test_empty_table(spark, docs_of):
     empty = docs_of([(1, "a")]).limit(0)
     assert variants.group_variants(variants.vocabulary(empty)).collect() == []
+
+
+def test_sql_on_edge_texts(spark):
+    import duckdb
+
+    text = " ".join(["garçons"] * 30 + ["garcons", "garçon"] * 6 + ["Ñandúes×÷"] * 9 + ["ÑANDÚES×÷"] * 5)
+    frame = spark.createDataFrame([(None, text), (2, None), (3, ""), (-4, text * 3)], "doc_id long, text string")
+    documents = frame.toPandas().astype({"doc_id": "Int64"})  # noqa: F841  (read by the SQL)
+    want = {r[0]: tuple(r[1:]) for r in duckdb.connect().execute(SQL["op13_spelling_variants"]).fetchall()}
+    assert result(variants.group_variants(variants.vocabulary(frame))) == want and len(want) >= 4
