@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -26,7 +24,7 @@ from lotline.operators import staged as sg
 from lotline.operators.network import NetworkRegressor
 from lotline.plans import cleaning, location, valuation
 from lotline.sources import io
-from lotline.staging import stage, stage_root
+from lotline.staging import stage, stage_path
 
 INPUTS = ["qty", "disc", "tax"]
 
@@ -626,8 +624,7 @@ def whole_valuation_flow(spark, sf, grid=None, rounds: int = 3):
     frame = stage(valuation.model_frame(clean, features), "model-frame")
     search = valuation.tune_with_spatial_folds(
         frame, lambda depth: md.regularised_boosting(rounds, depth, 0.3), grid or {"depth": [2, 3]}, k=3)
-    folder = f"{stage_root(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
-    path = io.write_predictions(search.predict(frame, frame), folder, "gbm", search.search.best)
+    path = io.write_predictions(search.predict(frame, frame), stage_path(spark, "predictions"), "gbm", search.search.best)
     return spark.read.schema("property_id string, price double").option("header", True).csv(path)
 
 

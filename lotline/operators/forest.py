@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from lotline.operators.evaluate import shuffle_column
 from lotline.operators.penalised import SUMS, error_sums, metrics_of_sums
 from lotline.operators.tuning import SearchResult, fold_pairs
-from lotline.staging import stage, stage_root
+from lotline.staging import stage, stage_path
 
 _LEAVES = "_leaves"
 
@@ -57,7 +57,7 @@ class ForestNodes:
 def forest_nodes(model: RandomForestRegressionModel) -> ForestNodes:
     """Node counts (of the bag) and means of a fitted forest, by way of its stored form in the shared folder."""
     spark = SparkSession.active()
-    path = f"{stage_root(spark).rstrip('/')}/forest-{uuid.uuid4().hex}"
+    path = stage_path(spark, "forest")
     model.write().save(path)
     node = F.col("nodeData")
     table = spark.read.parquet(f"{path}/data").select(

@@ -29,10 +29,16 @@ def stage_root(spark: SparkSession) -> str:
     return root
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder, which `clear_stages` deletes with the stage tables."""
+    path = f"{stage_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write the table once to the shared folder and go on from there."""
-    path = f"{stage_root(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _WRITTEN.append(path)
+    path = stage_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
