@@ -8,9 +8,9 @@ predictive probabilities are averaged over sweeps.
 
 The work is dealt by context, so a restaurant is whole in one task; contexts that hold a large share of the words are
 dealt by word pair. What moves are the distinct pairs of each batch of documents with their counts; the documents' entries
-stay together. In every sweep the buckets send the tables of words and split contexts to their owners, which reseat the parent
-and send the sums back, so a sweep knows all restaurants and the parent as the last one left them, and each sample is one of
-all restaurants together.
+stay together. Each bucket names its words and split contexts to their owners once. In every sweep it sends only their tables,
+in the order of the names; the owners reseat the parent and send the sums back, so a sweep knows all restaurants and the
+parent as the last one left them, and each sample is one of all restaurants together.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ SEED = 17
 BUCKET_BYTES = 20 << 20
 HELD_TOKENS = 1_500_000
 LEAST_BUCKETS = 1
+# an owner has the words and split contexts that a hash gives it, as many as so many buckets have
+BUCKETS_PER_OWNER = 8
 EXACT = 16
 
 
@@ -69,10 +71,12 @@ def word_hashes(text: bytes) -> np.ndarray:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of numbers as one compressed block; whole numbers take no more bytes than the largest needs."""
+    """Arrays of numbers as one compressed block. Whole numbers take no more bytes than the largest needs, 64-bit ones are
+    stored as steps (names come in rising order), and bytes of one place lie together."""
     small = [a.astype(np.min_scalar_type(a.max())) if a.dtype.kind == "i" and len(a) and a.min() >= 0 else a for a in arrays]
     head = json.dumps([(a.dtype.str, len(a)) for a in small]).encode()
-    body = b"".join(a.tobytes() for a in small)
+    steps = [np.diff(a, prepend=a.dtype.type(0)) if a.dtype == np.uint64 else a for a in small]
+    body = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in steps)
     return zstandard.ZstdCompressor(level=3).compress(len(head).to_bytes(4, "little") + head + body)
 
 
@@ -81,8 +85,11 @@ def unpack(block: bytes) -> list[np.ndarray]:
     size = int.from_bytes(raw[:4], "little")
     out, at = [], 4 + size
     for kind, n in json.loads(raw[4:at]):
-        out.append(np.frombuffer(raw, dtype=kind, count=n, offset=at))
-        at += n * np.dtype(kind).itemsize
+        kind = np.dtype(kind)
+        planes = np.frombuffer(raw, dtype=np.uint8, count=n * kind.itemsize, offset=at).reshape(kind.itemsize, n)
+        a = np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+        out.append(np.cumsum(a, dtype=np.uint64) if kind == np.uint64 else a)
+        at += n * kind.itemsize
     return out
 
 
@@ -163,28 +170,30 @@ class Pairs:
     count: np.ndarray
 
     def block(self) -> bytes:
-        return pack(self.words, self.contexts, np.bincount(self.context, minlength=len(self.contexts)), self.word, self.count)
+        key = self.context * np.int64(len(self.words)) + self.word
+        return pack(self.contexts, self.words, np.diff(key, prepend=0), self.count)
 
     @staticmethod
     def of(block: bytes) -> Pairs:
-        words, contexts, sizes, word, count = unpack(block)
-        return Pairs(words, contexts, np.repeat(np.arange(len(contexts)), sizes), word.astype(np.int64), count.astype(np.int64))
+        contexts, words, steps, count = unpack(block)
+        key = np.cumsum(steps.astype(np.int64))
+        return Pairs(words, contexts, key // len(words), key % len(words), count.astype(np.int64))
 
     @staticmethod
     def read(blocks: list[tuple[int, bytes]]) -> tuple[Pairs, list[tuple[int, np.ndarray]]]:
         """From (flush, block) in any order; also the pairs of each flush, in the order of its block."""
         blocks_of = sorted(blocks)
-        parts = [unpack(b) for _, b in blocks_of]
-        words, word_at = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
-        contexts, context_at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        parts = [Pairs.of(b) for _, b in blocks_of]
+        words, word_at = np.unique(np.concatenate([p.words for p in parts]), return_inverse=True)
+        contexts, context_at = np.unique(np.concatenate([p.contexts for p in parts]), return_inverse=True)
         keys = []
         w0 = u0 = 0
-        for p in parts:
-            keys.append(np.repeat(context_at[u0 : u0 + len(p[0])].astype(np.int64), p[1]) * len(words) + word_at[w0 : w0 + len(p[2])][p[3]])
-            w0, u0 = w0 + len(p[2]), u0 + len(p[0])
+        counts = np.concatenate([p.count for p in parts])
+        while parts:
+            p = parts.pop(0)
+            keys.append(context_at[u0 + p.context].astype(np.int64) * len(words) + word_at[w0 + p.word])
+            w0, u0 = w0 + len(p.words), u0 + len(p.contexts)
         ends = np.cumsum([len(k) for k in keys])
-        counts = np.concatenate([p[4] for p in parts])
-        del parts
         key, at = np.unique(np.concatenate(keys), return_inverse=True)
         count = np.bincount(at, weights=counts, minlength=len(key)).astype(np.int64)
         slots = np.split(at.astype(np.int32), ends[:-1])
@@ -201,8 +210,18 @@ def _sweep(pairs: Pairs, tables: np.ndarray, total: np.ndarray, parent: np.ndarr
     return out
 
 
-def _owner(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return (_mix(hashes ^ np.uint64(0xA5A5A5A5)) % np.uint64(buckets)).astype(np.int64)
+def _by_owner(hashes: np.ndarray, owners: int) -> list[np.ndarray]:
+    """Of each owner, where its names stand, in rising order."""
+    owner = (_mix(hashes ^ np.uint64(0xA5A5A5A5)) % np.uint64(owners)).astype(np.int64)
+    order = np.argsort(owner, kind="stable")
+    return np.split(order, np.searchsorted(owner[order], np.arange(1, owners)))
+
+
+def _owned(pairs: Pairs, hot: np.ndarray, owners: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(owner, places of its words, places of its hot contexts) of a bucket. Every owner is named, as sums over all words come from all."""
+    split = np.flatnonzero(np.isin(pairs.contexts, hot))
+    for owner, (w, h) in enumerate(zip(_by_owner(pairs.words, owners), _by_owner(pairs.contexts[split], owners))):
+        yield owner, w, split[h]
 
 
 def _bucket_of(context: np.ndarray, word: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
@@ -234,15 +253,14 @@ def _deal(held: list[tuple], first_row: int, hot: np.ndarray, buckets: int) -> I
     entry, times = np.unique(np.repeat(np.arange(len(sizes)), sizes) * np.int64(len(key)) + place[pair], return_counts=True)
     cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
     yield int(first_row % buckets), first_row, 1, pack(
-        ids.view(np.uint64), none, out, sizes, np.bincount(entry // len(key), minlength=len(sizes)), entry % len(key), times,
-        bucket[order][cuts], np.diff(np.append(cuts, len(order))),
+        ids.view(np.uint64), none, out, sizes, np.diff(entry, prepend=0), times,
+        bucket[order][cuts],
     )
     for part in np.split(order, cuts[1:]):
         run = np.flatnonzero(np.append(True, context[part][1:] != context[part][:-1]))
         words, word_at = np.unique(at[part], return_inverse=True)
-        yield int(bucket[part[0]]), first_row, 0, pack(
-            names[context[part][run]], np.diff(np.append(run, len(part))), names[words], word_at, count[part],
-        )
+        context_at = np.repeat(np.arange(len(run)), np.diff(np.append(run, len(part))))
+        yield int(bucket[part[0]]), first_row, 0, Pairs(names[words], names[context[part][run]], context_at, word_at, count[part]).block()
 
 
 def _rows(rows: list[tuple], names: str, kinds: list[pa.DataType]) -> pa.RecordBatch:
@@ -291,6 +309,7 @@ def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, bucket_
     small_batches(docs.sparkSession)
     texts = id_and_text(docs)
     buckets = max(LEAST_BUCKETS, -(-text_bytes(docs) // bucket_bytes))
+    owners = -(-buckets // BUCKETS_PER_OWNER)
     hot = hot_contexts(texts, buckets)
     held = F.coalesce(fold_of(F.col("doc_id"), folds) == held_fold, F.lit(False)).cast("int")
     rows = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", held.alias("held"), "text")
@@ -315,25 +334,27 @@ def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, bucket_
     dealt = rows.mapInArrow(deal, "bucket int, flush long, kind int, block binary").repartition(buckets, "bucket")
     pairs = dealt.groupBy("bucket").applyInArrow(_pairs, "bucket int, block binary").repartition(buckets, "bucket")
     mail = "round int, to int, sender int, kind int, block binary"
-    asked = pairs.groupBy("bucket").applyInArrow(_start(hot, buckets), mail)
+    named = pairs.groupBy("bucket").applyInArrow(_name(hot, owners), mail).repartition(owners, "to")
+    asked = pairs.groupBy("bucket").applyInArrow(_start(hot, owners), mail)
     samples = []
     for sweep in range(BURN_IN + SAMPLES + 1):
-        told = asked.repartition(buckets, "to").groupBy("to").applyInArrow(_tell(sweep), mail).repartition(buckets, "to")
+        asked = asked.repartition(owners, "to")
+        told = named.groupBy("to").cogroup(asked.groupBy("to")).applyInArrow(_tell(sweep), mail).repartition(buckets, "to")
         if sweep > BURN_IN:
             samples.append(told)
         if sweep < BURN_IN + SAMPLES:
-            asked = pairs.groupBy("bucket").cogroup(told.groupBy("to")).applyInArrow(_ask(sweep + 1, hot, buckets), mail)
+            asked = pairs.groupBy("bucket").cogroup(told.groupBy("to")).applyInArrow(_ask(sweep + 1, hot, owners), mail)
     sampled = reduce(DataFrame.union, samples).repartition(buckets, "to")
     scored = dealt.groupBy("bucket").cogroup(sampled.groupBy("to")).applyInArrow(
-        _score(hot, buckets), "to int, flush long, bucket int, block binary"
+        _score(hot, buckets, owners), "to int, flush long, bucket int, block binary"
     )
     return dealt.groupBy("bucket").cogroup(scored.repartition(buckets, "to").groupBy("to")).applyInArrow(
         _gather, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
     )
 
 
-# kinds of messages: to the owner of words and back, and what a bucket and an owner keep for themselves
-ASK, REPLY, SEATING, PARENT = range(4)
+# kinds of messages: to the owner of words and back, what a bucket and an owner keep for themselves, and names for owners
+ASK, REPLY, SEATING, PARENT, NAMES = range(5)
 _MAIL = [("round", pa.int32()), ("to", pa.int32()), ("sender", pa.int32()), ("kind", pa.int32()), ("block", pa.binary())]
 
 
@@ -361,29 +382,33 @@ def _mail(table: pa.Table, kind: int) -> list[tuple[int, bytes]]:
     return sorted((sender, block) for sender, k, block in rows if k == kind)
 
 
-def _questions(sweep: int, bucket: int, pairs: Pairs, tables: np.ndarray, known: tuple[int, int], hot: np.ndarray, buckets: int) -> list[tuple]:
+def _name(hot: np.ndarray, owners: int):
+    """Per bucket: its words and hot contexts, to their owners."""
+
+    def name(key: tuple, table: pa.Table) -> pa.Table:
+        bucket, pairs = key[0].as_py(), Pairs.of(table.column("block")[0].as_py())
+        return _table([(0, owner, bucket, NAMES, pack(pairs.words[w], pairs.contexts[h])) for owner, w, h in _owned(pairs, hot, owners)], _MAIL)
+
+    return name
+
+
+def _questions(sweep: int, bucket: int, pairs: Pairs, tables: np.ndarray, known: tuple[int, int], hot: np.ndarray, owners: int) -> list[tuple]:
     """The seating, kept, and the tables of words and hot contexts, to their owners; counts only go with the last sweep."""
-    last = sweep == BURN_IN + SAMPLES
-    is_hot = np.isin(pairs.contexts, hot)
-    names = pairs.contexts[is_hot]
-    word = [np.bincount(pairs.word, weights=x, minlength=len(pairs.words)).astype(np.int64) for x in (tables, pairs.count)]
-    context = [np.bincount(pairs.context, weights=x, minlength=len(pairs.contexts))[is_hot].astype(np.int64) for x in (tables, pairs.count)]
-    to_word, to_hot = _owner(pairs.words, buckets), _owner(names, buckets)
-    out = [(sweep, bucket, bucket, SEATING, pack(tables))]
-    # every owner is asked, as the sums over all words come from all of them
-    for owner in range(buckets):
-        w, h = np.flatnonzero(to_word == owner), np.flatnonzero(to_hot == owner)
-        counts = (word[1][w], context[1][h]) if last else (w[:0], h[:0])
-        out.append((sweep, owner, bucket, ASK, pack(pairs.words[w], word[0][w], names[h], context[0][h], *counts, np.array(known))))
+    word, context = ([np.bincount(at, weights=x, minlength=n).astype(np.int64) for x in (tables, pairs.count)]
+                     for at, n in ((pairs.word, len(pairs.words)), (pairs.context, len(pairs.contexts))))
+    out = [(sweep, bucket % owners, bucket, SEATING, pack(tables))]
+    for owner, w, h in _owned(pairs, hot, owners):
+        counts = (word[1][w], context[1][h]) if sweep == BURN_IN + SAMPLES else (w[:0], h[:0])
+        out.append((sweep, owner, bucket, ASK, pack(word[0][w], context[0][h], *counts, np.array(known))))
     return out
 
 
-def _start(hot: np.ndarray, buckets: int):
+def _start(hot: np.ndarray, owners: int):
     """Per bucket: one table for each pair."""
 
     def start(key: tuple, table: pa.Table) -> pa.Table:
         bucket, pairs = key[0].as_py(), Pairs.of(table.column("block")[0].as_py())
-        return _table(_questions(0, bucket, pairs, (pairs.count > 0).astype(np.int64), (0, 0), hot, buckets), _MAIL)
+        return _table(_questions(0, bucket, pairs, (pairs.count > 0).astype(np.int64), (0, 0), hot, owners), _MAIL)
 
     return start
 
@@ -401,17 +426,15 @@ class State:
     tokens: int
 
     @staticmethod
-    def of(pairs: Pairs, table: pa.Table, hot: np.ndarray, buckets: int) -> State:
+    def of(pairs: Pairs, table: pa.Table, hot: np.ndarray, owners: int) -> State:
         tables = unpack(_mail(table, SEATING)[0][1])[0].astype(np.int64)
         total = np.bincount(pairs.context, weights=tables, minlength=len(pairs.contexts))
         context_count = np.bincount(pairs.context, weights=pairs.count, minlength=len(pairs.contexts))
         customers, seated, count = (np.zeros(len(pairs.words), dtype=np.int64) for _ in range(3))
-        to_word = _owner(pairs.words, buckets)
-        to_hot = np.where(np.isin(pairs.contexts, hot), _owner(pairs.contexts, buckets), -1)
+        replies = dict(_mail(table, REPLY))
         sums = np.zeros(4, dtype=np.int64)
-        for owner, block in _mail(table, REPLY):
-            w, h = np.flatnonzero(to_word == owner), np.flatnonzero(to_hot == owner)
-            found = unpack(block)
+        for owner, w, h in _owned(pairs, hot, owners):
+            found = unpack(replies[owner])
             customers[w], seated[w], total[h] = found[:3]
             if len(found[3]):
                 count[w] = found[3]
@@ -423,7 +446,7 @@ class State:
         return State(tables, total, parent, count, context_count, (words, all_tables), tokens)
 
 
-def _ask(sweep: int, hot: np.ndarray, buckets: int):
+def _ask(sweep: int, hot: np.ndarray, owners: int):
     """Per bucket: a sweep given what the last one left everywhere, and its tables to the owners."""
 
     def ask(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
@@ -432,9 +455,9 @@ def _ask(sweep: int, hot: np.ndarray, buckets: int):
             out.append((sweep, owner, owner, PARENT, block))
         if table.num_rows:
             bucket, pairs = key[0].as_py(), Pairs.of(table.column("block")[0].as_py())
-            state = State.of(pairs, told, hot, buckets)
+            state = State.of(pairs, told, hot, owners)
             tables = _sweep(pairs, state.tables, state.total, state.parent, np.random.default_rng((SEED, sweep, bucket)))
-            out += _questions(sweep, bucket, pairs, tables, state.known, hot, buckets)
+            out += _questions(sweep, bucket, pairs, tables, state.known, hot, owners)
         return _table(out, _MAIL)
 
     return ask
@@ -443,20 +466,25 @@ def _ask(sweep: int, hot: np.ndarray, buckets: int):
 def _tell(sweep: int):
     """Per owner: the parent's tables of its words reseated, and the sums of its words and hot contexts, to all that asked."""
 
-    def tell(key: tuple, table: pa.Table) -> pa.Table:
+    def tell(key: tuple, named: pa.Table, table: pa.Table) -> pa.Table:
         owner = key[0].as_py()
         out = [(sweep, bucket, bucket, SEATING, block) for bucket, block in _mail(table, SEATING)]
         asked = [(bucket, unpack(block)) for bucket, block in _mail(table, ASK)]
+        names = [unpack(block) for _, block in _mail(named, NAMES)]
         last = sweep == BURN_IN + SAMPLES
 
-        def summed(name: int, value: int) -> tuple[np.ndarray, np.ndarray]:
-            names, at = np.unique(np.concatenate([p[name] for _, p in asked]), return_inverse=True)
-            return at, np.bincount(at, weights=np.concatenate([p[value] for _, p in asked]), minlength=len(names)).astype(np.int64)
+        def places(kind: int) -> tuple[np.ndarray, int]:
+            found, at = np.unique(np.concatenate([n[kind] for n in names]), return_inverse=True)
+            return at, len(found)
+
+        def summed(at: np.ndarray, n: int, value: int) -> np.ndarray:
+            return np.bincount(at, weights=np.concatenate([p[value] for _, p in asked]), minlength=n).astype(np.int64)
 
         if asked:
-            (at, customers), (hot_at, hot_tables) = summed(0, 1), summed(2, 3)
-            count, hot_count = (summed(0, 4)[1], summed(2, 5)[1]) if last else (customers[:0], hot_tables[:0])
-            words, all_tables = asked[0][1][6].tolist()
+            (at, n), (hot_at, n_hot) = places(0), places(1)
+            customers, hot_tables = summed(at, n, 0), summed(hot_at, n_hot, 1)
+            count, hot_count = (summed(at, n, 2), summed(hot_at, n_hot, 3)) if last else (customers[:0], hot_tables[:0])
+            words, all_tables = asked[0][1][4].tolist()
             tables = (customers > 0).astype(np.int64)
             if sweep:
                 before = unpack(_mail(table, PARENT)[0][1])[0].astype(np.int64)
@@ -469,8 +497,8 @@ def _tell(sweep: int):
             sums = np.array([(customers > 0).sum(), count.sum(), customers.sum(), tables.sum()])
             w0 = h0 = 0
             for bucket, p in asked:
-                w, h = at[w0 : w0 + len(p[0])], hot_at[h0 : h0 + len(p[2])]
-                w0, h0 = w0 + len(p[0]), h0 + len(p[2])
+                w, h = at[w0 : w0 + len(p[0])], hot_at[h0 : h0 + len(p[1])]
+                w0, h0 = w0 + len(p[0]), h0 + len(p[1])
                 counts = (count[w], hot_count[h]) if last else (count, hot_count)
                 out.append((sweep, bucket, owner, REPLY, pack(customers[w], tables[w], hot_tables[h], *counts, sums)))
         return _table(out, _MAIL)
@@ -484,7 +512,7 @@ def parent_probability(customers: np.ndarray, tables: np.ndarray, all_customers:
     return (kept + (ROOT_STRENGTH + ROOT_DISCOUNT * all_tables) / (words + 1)) / (all_customers + ROOT_STRENGTH)
 
 
-def _score(hot: np.ndarray, buckets: int):
+def _score(hot: np.ndarray, buckets: int, owners: int):
     """Per bucket: the chance of each pair, averaged over the joint samples, and the count of its word, to the flushes that have it."""
     schema = [("to", pa.int32()), ("flush", pa.int64()), ("bucket", pa.int32()), ("block", pa.binary())]
 
@@ -495,7 +523,7 @@ def _score(hot: np.ndarray, buckets: int):
         bucket = key[0].as_py()
         pairs, slots = Pairs.read(blocks)
         rounds = np.array(told.column("round").to_pylist())
-        states = (State.of(pairs, told.filter(pa.array(rounds == r)), hot, buckets) for r in sorted(set(rounds.tolist()), reverse=True))
+        states = (State.of(pairs, told.filter(pa.array(rounds == r)), hot, owners) for r in sorted(set(rounds.tolist()), reverse=True))
         chance, last = np.zeros(len(pairs.count)), None
         for state in states:
             # the last sample comes first, and the counts came with it
@@ -518,13 +546,14 @@ def _gather(key: tuple, table: pa.Table, scored: pa.Table) -> pa.Table:
     for flush, kind, block in zip(*(table.column(c).to_pylist() for c in ("flush", "kind", "block"))):
         if kind == 0:
             continue
-        ids, none, out, sizes, entries, pair, times, buckets, lengths = unpack(block)
+        ids, none, out, sizes, steps, times, buckets = unpack(block)
         replies = [unpack(found[flush, b]) for b in buckets.tolist()]
         chance = np.log10(np.concatenate([r[0] for r in replies]).astype(float))
         count = np.concatenate([r[1].astype(np.int64) for r in replies])
         n_words, n_tokens = replies[0][2].tolist()
         base = np.log10((count + 1) / (n_tokens + n_words + 1))
-        doc = np.repeat(np.arange(len(ids)), entries)
+        entry = np.cumsum(steps.astype(np.int64))
+        doc, pair = entry // len(chance), entry % len(chance)
         score, base, known = (np.bincount(doc, weights=v[pair] * times, minlength=len(ids)) for v in (chance, base, (count > 0).astype(float)))
         sizes = sizes.astype(np.int64)
         parts.append(pa.table({

@@ -213,11 +213,32 @@ def test_many_buckets_and_hot_contexts_equal_a_plain_gibbs_sampler(docs_of, monk
     assert abs(np.mean(miss)) < 0.02 and np.abs(miss).max() < 0.12
 
 
+def test_blocks_give_back_what_was_packed():
+    rng = np.random.default_rng(3)
+    arrays = [
+        np.sort(rng.integers(0, 2**63, 50).astype(np.uint64)), np.array([3, 2**64 - 1, 0, 7], dtype=np.uint64), np.array([], dtype=np.int64),
+        np.array([0, 70_000, 5]), np.array([2**40, 1]), np.array([-4, 9]), rng.random(9).astype(np.float32), np.array([], dtype=np.uint64),
+    ]
+    for before, after in zip(arrays, py.unpack(py.pack(*arrays)), strict=True):
+        assert before.tolist() == after.tolist()
+
+
+def test_owners_share_out_all_names():
+    names = np.unique(np.random.default_rng(4).integers(0, 2**62, 5000).astype(np.uint64))
+    for owners in (1, 7):
+        parts = py._by_owner(names, owners)
+        assert len(parts) == owners and sorted(np.concatenate(parts).tolist()) == list(range(len(names)))
+        assert all((np.diff(p) > 0).all() for p in parts)
+        # an owner gets the same names whoever sends them
+        some = py._by_owner(names[::3], owners)
+        assert all(set(names[::3][q].tolist()) <= set(names[p].tolist()) for p, q in zip(parts, some))
+
+
 def test_a_pair_in_all_documents_is_dealt_once_per_flush():
     held = [(i, 0, py.word_hashes(f"same u{i}".encode())) for i in range(500)]
-    blocks = [py.unpack(block) for _, _, kind, block in py._deal(held, 0, np.array([py.BEGIN]), 4) if kind == 0]
-    assert sum(len(b[3]) for b in blocks) == 1 + 500 + 500
-    counts = np.concatenate([b[4] for b in blocks])
+    blocks = [py.Pairs.of(block) for _, _, kind, block in py._deal(held, 0, np.array([py.BEGIN]), 4) if kind == 0]
+    assert sum(len(b.word) for b in blocks) == 1 + 500 + 500
+    counts = np.concatenate([b.count for b in blocks])
     assert sorted(counts.tolist())[-1] == 500 and counts.sum() == 1500
 
 
