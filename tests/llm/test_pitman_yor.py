@@ -223,6 +223,12 @@ def test_blocks_give_back_what_was_packed():
         assert before.tolist() == after.tolist()
 
 
+def test_rounded_chances_keep_sixteen_bits():
+    chance = 10 ** np.random.default_rng(5).uniform(-20, 0, 10_000)
+    assert np.abs(py.rounded(chance) / chance - 1).max() < 2.0**-16 * 1.01
+    assert py.rounded(np.array([1.0]))[0] == 1
+
+
 def test_owners_share_out_all_names():
     names = np.unique(np.random.default_rng(4).integers(0, 2**62, 5000).astype(np.uint64))
     for owners in (1, 7):
