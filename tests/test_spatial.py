@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotline.operators import grid
+from lotline.operators import pairs as pb
 from lotline.operators import spatial as sp
 
 RNG = np.random.default_rng(5)
@@ -167,3 +168,25 @@ def test_pairs_of_cells_are_sorted_in_tasks_of_bounded_size(spark, monkeypatch):
     got = sp.nearest_distance(spark.createDataFrame(a), spark.createDataFrame(b)).toPandas().sort_values("id")
     np.testing.assert_allclose(got["distance"], distances(a, b).min(axis=1), rtol=0, atol=1e-9)
     assert len(most) > 1 and max(most[1:]) <= 200
+
+
+@pytest.mark.parametrize("small,rows", [(0, 7), (4096, 1024), (30, 16)])
+def test_semivariogram_makes_no_row_for_a_pair(spark, monkeypatch, small, rows):
+    """Blocks of any size, met one by one or together; the join has blocks in it and not pairs of places."""
+    monkeypatch.setattr(pb, "SMALL", max(small, 1))
+    monkeypatch.setattr(pb, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(pb, "CHUNK_ROWS", 3)
+    frame = cloud(300, "copies").round(0).assign(z=lambda t: t.id * 1.0)
+    df = spark.createDataFrame(frame)
+    got = sp.semivariogram(df, "z", 130, 50).toPandas().set_index("bin")
+    i, j = np.triu_indices(300, 1)
+    d, g = distances(frame, frame)[i, j], ((frame.z.values[:, None] - frame.z.values) ** 2)[i, j]
+    b = np.maximum(np.ceil(d / 50), 1)
+    assert sorted(got.index) == [1, 2, 3]
+    for k in (1, 2, 3):
+        hit = (b == k) & (d <= 130)
+        assert got.pairs[k] == hit.sum()
+        assert got.distance[k] == pytest.approx(d[hit].mean()) and got.gamma[k] == pytest.approx(g[hit].mean() / 2)
+    places = spark.createDataFrame(frame.drop_duplicates(["x", "y"])).select(F.col("x").alias("x1"), F.col("y").alias("y1"), *[F.lit(1.0).alias(c) for c in "nsq"])
+    blocks = pb.place_blocks(places, 130).select(F.size("x1").alias("n")).toPandas().n
+    assert blocks.max() <= rows and blocks.sum() == places.count()
