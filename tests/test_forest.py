@@ -109,3 +109,37 @@ def test_a_tree_does_not_see_the_rows_out_of_its_bag(spark):
     odd = rows.withColumn("label", F.when(fo.bag_weight(mark(F.lit(0))) == 0, 1e6).otherwise(F.col("label")))
     a, b = (fo.bagged_forest(t, ["a"], mark, 1, 1, depth=4) for t in (rows, odd))
     np.testing.assert_allclose(*[f.transform(rows).orderBy("id").toPandas().prediction for f in (a, b)])
+
+
+def test_out_of_bag_importance_by_hand_and_its_shuffles_go(spark, data, bagged):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: sum(f.getName().startswith("shuffle_") for f in (files.apply(i) for files in [disk.getAllFiles()] for i in range(files.size())))
+    rows, before = data.repartition(4, "id").localCheckpoint(), shuffles()
+    got = {r["variable"]: r["importance"] for r in fo.out_of_bag_importance(bagged, rows, ["id"], bucket_rows=100, seed=7).collect()}
+    assert shuffles() <= before
+
+    def by_tree(df, ids):
+        ready = VectorAssembler(inputCols=COLUMNS, outputCol="_features").transform(df)
+        return np.column_stack([t.setFeaturesCol("_features").transform(ready).toPandas().set_index("id").loc[ids].prediction for t in bagged.model.trees])
+
+    pdf = data.withColumn("bags", bagged._bags()).toPandas()
+    out, y, own = np.array(pdf.bags.tolist()) == 0, pdf.label.to_numpy()[:, None], by_tree(data, pdf.id)
+    # ids decide the bags, so the bags stay with the rows when a column moves
+    for i, c in enumerate(COLUMNS):
+        moved = by_tree(ev.shuffle_column(data.select("id", *COLUMNS), c, ["id"], N // 100, 7 + 2 * i), pdf.id)
+        rise = ((((y - moved) ** 2 - (y - own) ** 2) * out).sum(0) / out.sum(0)).mean()
+        assert got[c] == pytest.approx(rise, rel=1e-9, abs=1e-9)
+
+
+def test_walk_over_ranks_takes_thresholds_and_categories_as_the_model_does(spark):
+    from pyspark.ml.feature import StringIndexer
+    rows = pd.DataFrame({"kind": [f"k{v}" for v in RNG.integers(0, 6, 500)], "a": RNG.integers(0, 9, 500) / 4})
+    rows["label"] = rows.kind.isin(["k1", "k4"]) * 5.0 + rows.a
+    df = spark.createDataFrame(rows)
+    df = StringIndexer(inputCol="kind", outputCol="k").fit(df).transform(df)
+    ready = VectorAssembler(inputCols=["k", "a"], outputCol="features").transform(df).cache()
+    model = fo._forest(1, 2, 4, 32, "label", "features", 1).fit(ready)
+    nodes = fo.forest_nodes(model)
+    walk, pdf = fo._Walk(nodes, 2), model.transform(ready).toPandas()
+    assert nodes.categorical.any() and not nodes.categorical.all()
+    np.testing.assert_allclose(walk.predict(0, walk.ranks(pdf[["k", "a"]].to_numpy())), pdf.prediction)
