@@ -10,15 +10,19 @@ result of fixed size.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SKETCH_ACCURACY = 10_000
 MAX_BRACKET_ROWS = 100_000
+MAX_CASES = 32  # beyond so many ends, values are placed by binary search
 
 
 @dataclass
@@ -134,9 +138,14 @@ def _narrow(data, col, searches, accuracy) -> None:
     places, starts = {}, {}
     for name, edges in ends.items():
         starts[name] = sum(2 * len(ends[c]) + 1 for c in starts)
-        places[name] = _place(col[name], edges, starts[name])
-    tagged = _tagged(data, [(tag, col[name]) for name, tag in places.items()])
-    tally = {r["tag"]: r["count"] for r in tagged.groupBy("tag").count().collect()}
+        places[name] = _place(col[name], edges, starts[name]) if len(edges) <= MAX_CASES or not _is_double(data, col[name]) else None
+    many = {name for name in ends if len(ends[name]) > MAX_CASES and _is_double(data, col[name])}
+    tally = {}
+    if len(many) < len(ends):
+        tagged = _tagged(data, [(tag, col[name]) for name, tag in places.items() if name not in many])
+        tally = {r["tag"]: r["count"] for r in tagged.groupBy("tag").count().collect()}
+    for name in many:
+        tally.update(_tally(data, col[name], ends[name], starts[name]))
     for g, (low, high) in brackets.items():
         name = groups[g][0].name
         at = {e: starts[name] + 2 * i for i, e in enumerate(ends[name])}
@@ -190,6 +199,40 @@ def _place(c: Column, edges: Sequence[float], start: int) -> Column:
     return tag.when(c.isNotNull(), F.lit(start + 2 * len(edges)))
 
 
+def _is_double(data: DataFrame, c: Column) -> bool:
+    return isinstance(data.select(c).schema[0].dataType, T.DoubleType)
+
+
+def _tally(data: DataFrame, c: Column, edges: Sequence[float], start: int) -> dict[int, int]:
+    """Number of values per tag of `_place`, by binary search: a chain of cases costs every row half of all edges."""
+    ends = np.array(edges)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(2 * len(ends) + 1, dtype=np.int64)
+        for batch in batches:
+            v = batch.column(0).to_numpy(zero_copy_only=False)
+            counts += np.bincount(np.searchsorted(ends, v, "left") + np.searchsorted(ends, v, "right"), minlength=len(counts))
+        hit = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(start + hit, pa.int32()), pa.array(counts[hit])], ["tag", "n"])
+
+    rows = data.select(c.alias("v")).where("v is not null").mapInArrow(run, "tag int, n long").groupBy("tag").agg(F.sum("n").alias("n"))
+    return {r["tag"]: r["n"] for r in rows.collect()}
+
+
+def _in_zones(data: DataFrame, c: Column, zones: Sequence[tuple[int, float, float]]) -> DataFrame:
+    """(tag, v) of the values inside open zones (tag, low, high) that rise and do not overlap, by binary search."""
+    tags, lows, highs = (np.array(x) for x in zip(*zones))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = batch.column(0).to_numpy(zero_copy_only=False)
+            at = np.searchsorted(lows, v, "left") - 1
+            hit = np.flatnonzero((at >= 0) & (v < highs[at]))
+            yield pa.RecordBatch.from_arrays([pa.array(tags[at[hit]], pa.int32()), pa.array(v[hit])], ["tag", "v"])
+
+    return data.select(c.alias("v")).where("v is not null").mapInArrow(run, "tag int, v double")
+
+
 def _tagged(data: DataFrame, pairs: Sequence[tuple[Column, Column]]) -> DataFrame:
     """Long rows (tag, value), untagged ones left out."""
     rows = F.inline(F.array(*[F.struct(tag.alias("tag"), v.alias("v")) for tag, v in pairs]))
@@ -201,7 +244,14 @@ def _pick(data, col, searches) -> None:
     zones = sorted({s.zone for s in searches})
     # zones of one column that overlap go to different layers, so that each sees all its rows
     layers: list[tuple[str, float, Column]] = []
+    of = {name: [(t, low, high) for t, (n, low, high) in enumerate(zones) if n == name] for name, _, _ in zones}
+    many = {
+        name for name, own in of.items() if len(own) > MAX_CASES and _is_double(data, col[name])
+        and all(math.isfinite(end) for _, low, high in own for end in (low, high)) and all(a[2] <= b[1] for a, b in zip(own, own[1:]))
+    }
     for t, (name, low, high) in enumerate(zones):
+        if name in many:
+            continue
         c = col[name]
         hit = c.isNotNull()
         if math.isfinite(low):
@@ -216,8 +266,11 @@ def _pick(data, col, searches) -> None:
             layers.append((name, high, F.when(hit, F.lit(t))))
     offsets = [F.array(*[F.lit(s.rank - s.below + 1) for s in searches if s.zone == z]) for z in zones]
     wanted = F.element_at(F.array(*offsets), F.col("tag") + 1)
+    found = [_in_zones(data, col[name], of[name]) for name in many]
+    if layers:
+        found.append(_tagged(data, [(tag, col[name]) for name, _, tag in layers]))
     rows = (
-        _tagged(data, [(tag, col[name]) for name, _, tag in layers])
+        reduce(DataFrame.unionByName, found)
         .groupBy("tag")
         .agg(F.sort_array(F.collect_list("v")).alias("vs"))
         .select("tag", F.transform(wanted, lambda k: F.element_at("vs", k)).alias("hits"))

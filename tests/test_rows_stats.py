@@ -228,3 +228,17 @@ def test_describe_and_profile(spark):
     assert (prof["s"]["nulls"], prof["s"]["type"], prof["v"]["complete"]) == (1, "string", pytest.approx(2 / 3))
     q = st.qq_table(df, "i", 3).collect()
     assert q[1]["theoretical"] == pytest.approx(0) and q[1]["sample"] == 2.0
+
+
+def test_many_quantiles_are_placed_by_binary_search(spark, monkeypatch):
+    """Far more ranks than a chain of cases should hold, ties and infinite values among the rows."""
+    from lotline.operators import quantiles as qu
+
+    longest, place = [0], qu._place
+    monkeypatch.setattr(qu, "_place", lambda c, edges, start: longest.append(len(edges)) or place(c, edges, start))
+    values = np.concatenate([np.random.default_rng(3).normal(0, 50, 6000).round(1), [np.inf, -np.inf, 0.0, -0.0]])
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(3)
+    probs = [(i - 0.5) / 80 for i in range(1, 81)]
+    got = qu.exact_quantiles(df, ["v"], probs, max_rows=40, accuracy=200)["v"]
+    np.testing.assert_allclose(got, np.quantile(values, probs), atol=1e-9)
+    assert max(longest) <= 32
