@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -116,6 +118,10 @@ def test_out_of_bag_importance_by_hand_and_its_shuffles_go(spark, data, bagged):
     shuffles = lambda: sum(f.getName().startswith("shuffle_") for f in (files.apply(i) for files in [disk.getAllFiles()] for i in range(files.size())))
     rows, before = data.repartition(4, "id").localCheckpoint(), shuffles()
     got = {r["variable"]: r["importance"] for r in fo.out_of_bag_importance(bagged, rows, ["id"], bucket_rows=100, seed=7).collect()}
+    for _ in range(100):  # files go in the background
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
     assert shuffles() <= before
 
     def by_tree(df, ids):
