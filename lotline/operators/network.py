@@ -2,22 +2,27 @@
 
 Rows are dealt to parts of bounded size by a hash of their keys. In an epoch every part starts from the same weights and takes
 its own steps, one per mini-batch; the weights and the state of the optimiser are then averaged over the parts. Only these, a
-few hundred numbers, travel. Order, parts and dropout masks come from the row keys, so a fit does not depend on the partitioning.
+few hundred numbers, travel. A task takes the steps of `PARTS_AT_ONCE` parts side by side, in stacked arrays. Order, parts and dropout masks come from the row keys, so a fit does not depend on the partitioning.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotline import fixed_values as fv
 from lotline.staging import stage
 
+# parts whose steps a task takes side by side; bounds its memory together with `part_rows`
+PARTS_AT_ONCE = 32
+
 
 def _sizes(inputs: int, units: Sequence[int]) -> list[tuple[int, int]]:
     layers = [inputs, *units, 1]
@@ -25,9 +30,10 @@ def _sizes(inputs: int, units: Sequence[int]) -> list[tuple[int, int]]:
 
 
 def _unpack(flat: np.ndarray, sizes) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Weights and biases of every layer; leading axes are networks of their own."""
     out, at = [], 0
     for i, o in sizes:
-        out.append((flat[at:at + i * o].reshape(i, o), flat[at + i * o:at + i * o + o]))
+        out.append((flat[..., at:at + i * o].reshape(*flat.shape[:-1], i, o), flat[..., None, at + i * o:at + i * o + o]))
         at += i * o + o
     return out
 
@@ -44,7 +50,7 @@ def _initial(sizes, seed: int) -> np.ndarray:
 def _keep_mask(ids: np.ndarray, units: int, epoch: int, rate: float) -> np.ndarray:
     """Dropout mask by hashing (row, epoch, unit)."""
     with np.errstate(over="ignore"):
-        h = ids.astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
+        h = ids.astype(np.uint64)[..., None] * np.uint64(0x9E3779B97F4A7C15)
         h = h + np.uint64(epoch * 1_000_003) + np.arange(units, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
         h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
         h = h ^ (h >> np.uint64(29))
@@ -64,38 +70,62 @@ def _forward(x: np.ndarray, weights, mask=None):
     return states
 
 
-def _gradient(x, y, weights, mask, loss: str) -> np.ndarray:
+def _gradient(x, y, weights, mask, loss: str, known=None) -> np.ndarray:
+    """Gradient of the summed loss; rows that are not `known` do not count."""
     states = _forward(x, weights, mask)
-    error = states[-1][:, 0] - y
-    delta = (np.sign(error) if loss == "absolute" else 2 * error)[:, None]
+    error = states[-1][..., 0] - y
+    delta = (np.sign(error) if loss == "absolute" else 2 * error)[..., None]
+    if known is not None:
+        delta = np.where(known[..., None], delta, 0.0)
     parts = []
     for n in range(len(weights) - 1, -1, -1):
         w, _ = weights[n]
-        parts.append(np.concatenate([(states[n].T @ delta).ravel(), delta.sum(axis=0)]))
+        own = states[n].swapaxes(-1, -2) @ delta
+        parts.append(np.concatenate([own.reshape(*own.shape[:-2], -1), delta.sum(axis=-2)], axis=-1))
         if n:
-            delta = (delta @ w.T) * (states[n] > 0)
+            delta = (delta @ w.swapaxes(-1, -2)) * (states[n] > 0)
             if n == 1 and mask is not None:
                 delta = delta * mask
-    return np.concatenate(parts[::-1])
+    return np.concatenate(parts[::-1], axis=-1)
 
 
 class _Step:
-    """Optimiser state; each call gives the change of the weights."""
+    """Optimiser state of several networks, one a row; each call gives the change of the weights of the first ones."""
 
     def __init__(self, name: str, rate: float, m: np.ndarray, v: np.ndarray, t: int):
         self.name, self.rate, self.m, self.v, self.t = name, rate, m, v, t
 
     def __call__(self, g: np.ndarray) -> np.ndarray:
         self.t += 1
+        m, v = self.m[: len(g)], self.v[: len(g)]
         if self.name == "sgd":
             return -self.rate * g
         if self.name == "rmsprop":
-            self.v = 0.9 * self.v + 0.1 * g * g
-            return -self.rate * g / (np.sqrt(self.v) + 1e-7)
-        self.m = 0.9 * self.m + 0.1 * g
-        self.v = 0.999 * self.v + 0.001 * g * g
-        m, v = self.m / (1 - 0.9**self.t), self.v / (1 - 0.999**self.t)
-        return -self.rate * m / (np.sqrt(v) + 1e-7)
+            v[:] = 0.9 * v + 0.1 * g * g
+            return -self.rate * g / (np.sqrt(v) + 1e-7)
+        m[:] = 0.9 * m + 0.1 * g
+        v[:] = 0.999 * v + 0.001 * g * g
+        return -self.rate * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.999**self.t)) + 1e-7)
+
+
+def _whole_parts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(x, y, check, mark) of each part; the rows of a part follow each other."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part, y, mark = (batch.column(c).to_numpy() for c in ("part", "y", "mark"))
+        check = batch.column("check").to_numpy(zero_copy_only=False).astype(bool)
+        x = np.column_stack([batch.column(f"x{i}").to_numpy() for i in range(width)])
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        for start, end in zip(cuts[:-1], cuts[1:]):
+            if held and part[start] != last:
+                yield tuple(map(np.concatenate, zip(*held)))
+                held = []
+            held.append(tuple(c[start:end] for c in (x, y, check, mark)))
+            last = part[start]
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
 
 
 @dataclass
@@ -186,47 +216,50 @@ class NetworkRegressor:
         dropout, loss, width, size = self.dropout, self.loss, len(self.columns), len(state) // 3
         name, rate, batch, seed = self.optimizer, self.rate, self.batch, self.seed
 
-        def train(pdf: pd.DataFrame) -> np.ndarray:
-            x, y, check = pdf[[f"x{i}" for i in range(width)]].to_numpy(float), pdf["y"].to_numpy(float), pdf["check"].to_numpy(bool)
-            total = np.zeros(len(state) + 4)
-            if check.any():
-                error = _forward(x[check], _unpack(state[:size], sizes))[-1][:, 0] - y[check]
-                total[-3] = np.abs(error).sum() if loss == "absolute" else (error**2).sum()
-                total[-2] = check.sum()
-            own = np.flatnonzero(~check)
-            if not len(own):
+        def train(parts: list[tuple[np.ndarray, ...]]) -> np.ndarray:
+            total, weights = np.zeros(len(state) + 4), _unpack(state[:size], sizes)
+            orders = []
+            for x, y, check, _ in parts:
+                if check.any():
+                    error = _forward(x[check], weights)[-1][:, 0] - y[check]
+                    total[-3] += np.abs(error).sum() if loss == "absolute" else (error**2).sum()
+                    total[-2] += check.sum()
+                own = np.flatnonzero(~check)
+                orders.append(own[np.random.default_rng([seed, epoch]).permutation(len(own))])
+            # the longest first, so that those with steps left are always the first ones
+            turn = [k for k in sorted(range(len(parts)), key=lambda k: -len(orders[k])) if len(orders[k])]
+            if not turn:
                 return total
-            order = own[np.random.default_rng([seed, epoch]).permutation(len(own))]
-            flat, step = state[:size].copy(), _Step(name, rate, state[size : 2 * size].copy(), state[2 * size :].copy(), steps)
-            ids = pdf["mark"].to_numpy()
-            for at in range(0, len(order), batch):
-                rows = order[at : at + batch]
+            lengths = np.array([len(orders[k]) for k in turn])
+            count = -(-int(lengths[0]) // batch)
+            xs, ys, ids = np.zeros((len(turn), count * batch, width)), np.zeros((len(turn), count * batch)), np.zeros((len(turn), count * batch), dtype=np.int64)
+            for i, k in enumerate(turn):
+                x, y, _, mark = parts[k]
+                xs[i, : lengths[i]], ys[i, : lengths[i]], ids[i, : lengths[i]] = x[orders[k]], y[orders[k]], mark[orders[k]]
+            flat, m, v = (np.tile(state[k * size : (k + 1) * size], (len(turn), 1)) for k in range(3))
+            step = _Step(name, rate, m, v, steps)
+            for at in range(0, count * batch, batch):
+                live = int((lengths > at).sum())
+                n = np.minimum(lengths[:live] - at, batch)
+                most = int(n[0])
+                rows = (slice(0, live), slice(at, at + most))
+                known = None if (n == most).all() else np.arange(most) < n[:, None]
                 mask = _keep_mask(ids[rows], sizes[0][1], epoch, dropout) / (1 - dropout) if dropout else None
-                flat += step(_gradient(x[rows], y[rows], _unpack(flat, sizes), mask, loss) / len(rows))
-            total[:-4] = len(own) * np.concatenate((flat, step.m, step.v))
-            total[-4], total[-1] = len(own), step.t - steps
+                flat[:live] += step(_gradient(xs[rows], ys[rows], _unpack(flat[:live], sizes), mask, loss, known) / n[:, None])
+            total[:-4] = lengths @ np.concatenate((flat, m, v), axis=1)
+            total[-4], total[-1] = lengths.sum(), count
             return total
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total, held = np.zeros(len(state) + 4), []
-
-            def add(pdf: pd.DataFrame) -> None:
-                one = train(pdf)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, parts = np.zeros(len(state) + 4), _whole_parts(batches, width)
+            while group := list(islice(parts, PARTS_AT_ONCE)):
+                one = train(group)
                 total[:-1] += one[:-1]
                 total[-1] = max(total[-1], one[-1])
-
-            for pdf in batches:
-                for part, rows in pdf.groupby("part", sort=True):
-                    if held and held[0]["part"].iloc[0] != part:
-                        add(pd.concat(held))
-                        held = []
-                    held.append(rows)
-            if held:
-                add(pd.concat(held))
-            yield pd.DataFrame({"i": np.arange(len(total)), "g": total})
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total)), pa.int32()), pa.array(total)], ["i", "g"])
 
         largest = F.col("i") == len(state) + 3
-        sums = data.mapInPandas(run, "i int, g double").groupBy("i").agg(F.when(F.first(largest), F.max("g")).otherwise(F.sum("g")).alias("g"))
+        sums = data.mapInArrow(run, "i int, g double").groupBy("i").agg(F.when(F.first(largest), F.max("g")).otherwise(F.sum("g")).alias("g"))
         out = np.zeros(len(state) + 4)
         for r in sums.collect():
             out[r["i"]] = r["g"]

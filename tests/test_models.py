@@ -169,3 +169,21 @@ def test_stages_can_be_cleared(spark, tmp_path):
     clear_stages(spark)
     stage(spark.range(3), "gone")
     assert clear_stages(spark) == 1 and clear_stages(spark) == 0
+
+
+def test_parts_side_by_side_take_the_steps_of_each_part_alone(data, monkeypatch):
+    """Stacked networks have the gradients of each; parts of unequal size and short last batches change nothing."""
+    sizes = nw._sizes(2, (4, 3))
+    flats = np.stack([nw._initial(sizes, s) for s in range(5)]) + 0.1 * RNG.normal(size=(5, 31))
+    x, y, ids = RNG.normal(size=(5, 20, 2)), RNG.normal(size=(5, 20)), np.arange(100).reshape(5, 20)
+    mask, count = nw._keep_mask(ids, 4, 2, 0.2) / 0.8, np.array([20, 17, 20, 1, 9])
+    got = nw._gradient(x, y, nw._unpack(flats, sizes), mask, "absolute", np.arange(20) < count[:, None])
+    for i, n in enumerate(count):
+        own = nw._gradient(x[i, :n], y[i, :n], nw._unpack(flats[i], sizes), nw._keep_mask(ids[i, :n], 4, 2, 0.2) / 0.8, "absolute")
+        np.testing.assert_allclose(got[i], own, atol=1e-12)
+    for optimizer in ("adam", "rmsprop", "sgd"):
+        learner = nw.NetworkRegressor(["a", "b"], epochs=3, rate=0.01, dropout=0.1, part_rows=50, batch=7, optimizer=optimizer)
+        monkeypatch.setattr(nw, "PARTS_AT_ONCE", 32)
+        many = learner.fit(data)
+        monkeypatch.setattr(nw, "PARTS_AT_ONCE", 1)
+        np.testing.assert_allclose(many.flat, learner.fit(data).flat, atol=1e-8)
