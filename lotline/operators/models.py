@@ -23,6 +23,21 @@ from lotline.functions.columns import TARGET_TRANSFORMS
 from lotline.operators.quantiles import exact_median
 
 
+# rows that a task of a tree fit holds; each takes some 200 bytes in Spark's cache
+FIT_ROWS = 500_000
+
+
+def in_fit_tasks(df: DataFrame, columns: Sequence[str] = ("features", "label"), rows: int | None = None) -> DataFrame:
+    """The columns of a fit, dealt to more tasks where one would hold more than `rows` rows; other tables keep their tasks.
+
+    Trees keep their rows in memory, task by task, in a form that is much larger than the file a task reads.
+    """
+    rows = rows or FIT_ROWS
+    n, most = df.groupBy(F.spark_partition_id()).count().agg(F.sum("count"), F.max("count")).head()
+    narrow = df.select(*columns)
+    return narrow.repartition(-(-n // rows)) if most is not None and most > rows else narrow
+
+
 def least_squares(label: str = "label", features: str = "features") -> LinearRegression:
     return LinearRegression(labelCol=label, featuresCol=features, solver="normal", regParam=0.0)
 

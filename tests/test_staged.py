@@ -64,3 +64,14 @@ def test_full_shape_of_the_grid(data):
     got = sg.boosting_search(data, lambda depth, shrinkage, min_node: md.absolute_loss_boosting(1, min(depth, 3), shrinkage, min_node, fv.BOOSTING_BAG),
                              grid, [1, 2, 3], 2, parallelism=4)
     assert got.scores.count() == 36 * 2
+
+
+def test_a_fit_holds_few_rows_per_task(data):
+    """Rows are dealt to more tasks only where one has too many, and the trees stay the same."""
+    assert md.in_fit_tasks(data).rdd.getNumPartitions() == 2
+    dealt = md.in_fit_tasks(data, rows=90)
+    sizes = dealt.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert sizes.sum() == N and sizes.max() <= 90 and dealt.columns == ["features", "label"]
+    learner = md.regularised_boosting(3, 2, 0.3)
+    a, b = (learner.fit(df).transform(data).toPandas().prediction for df in (data, dealt))
+    np.testing.assert_allclose(a, b, rtol=1e-9)
