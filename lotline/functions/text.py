@@ -6,7 +6,7 @@ Patterns start with (?U) so that word boundaries know accented letters.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -40,10 +40,32 @@ def strip_accents(column: Column | str) -> Column:
 
 
 def normalize_text(column: Column | str, accents: bool = True) -> Column:
-    """Lower case, runs of white space as one blank; marks on letters go when `accents` is False."""
+    """Lower case, runs of white space as one blank; marks on letters go when `accents` is False.
+
+    A blank on its own stays, so the pattern passes it over: most texts have no other white space.
+    """
     c = _col(column)
     c = c if accents else strip_accents(c)
-    return F.regexp_replace(F.lower(c), r"\s+", " ")
+    return F.regexp_replace(F.lower(c), r" \s+|[\t\n\x0B\f\r]\s*", " ")
+
+
+def known(text: Column) -> Column:
+    """Null for an empty text. `nullif` says the same but names the text twice, and so works it out twice; nested ones four times."""
+    return F.get(F.array_remove(F.array(text), ""), F.lit(0))
+
+
+def named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is worked out once, however often `use` names it.
+
+    A function of an array element is not fused into the code of a whole stage either. Many patterns in one fused method make it
+    longer than the JVM compiles (8,000 bytes), and then every row of the stage is interpreted.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def first_match(column: Column | str, pattern: str) -> Column:
+    """What the pattern matches first, null where that is nothing."""
+    return known(F.regexp_extract(_col(column), pattern, 0))
 
 
 def context_window(
@@ -57,7 +79,7 @@ def context_window(
     Texts without any number and unit are told apart first by the short pattern.
     """
     c = _col(column)
-    window = F.regexp_substr(c, F.lit("(?U)" + context_pattern(units, before, after)))
+    window = first_match(c, "(?U)" + context_pattern(units, before, after))
     return F.when(c.rlike(rf"(?U)\d\s?({units})"), window)
 
 
@@ -75,12 +97,11 @@ def unit_pattern(units: str) -> str:
 
 def number_with_unit(column: Column | str, units: str = fv.SURFACE_UNITS) -> Column:
     """The number of the first "number unit" in the text, null when there is none."""
-    hit = F.regexp_substr(_col(column), F.lit("(?U)" + unit_pattern(units)))
-    return first_number(hit)
+    return first_number(first_match(column, "(?U)" + unit_pattern(units)))
 
 
 def first_number(column: Column | str) -> Column:
-    return F.regexp_substr(_col(column), F.lit(NUMBER)).try_cast("double")
+    return first_match(column, NUMBER).try_cast("double")
 
 
 def veto(value: Column | str, context: Column | str, words: Sequence[str] = fv.EXCLUSION_WORDS) -> Column:
@@ -100,12 +121,12 @@ def dimension_pattern() -> str:
 
 def dimension_product(column: Column | str) -> Column:
     """Area out of "a x b"; opening hours such as 24x7 are no area."""
-    hit = F.regexp_substr(_col(column), F.lit("(?U)" + dimension_pattern()))
-    first = F.regexp_substr(hit, F.lit(rf"^\s*{NUMBER}")).try_cast("double")
-    second = F.regexp_extract(
-        hit, rf"(?i)(?:{fv.LENGTH_SEPARATORS})\s*({NUMBER})", 1
-    ).try_cast("double")
-    return F.when(~hit.rlike(fv.WATCH_HOURS), first * second)
+    def area(hit: Column) -> Column:
+        first = first_match(hit, rf"^\s*{NUMBER}").try_cast("double")
+        second = known(F.regexp_extract(hit, rf"(?i)(?:{fv.LENGTH_SEPARATORS})\s*({NUMBER})", 1)).try_cast("double")
+        return F.when(~hit.rlike(fv.WATCH_HOURS), first * second)
+
+    return named(first_match(column, "(?U)" + dimension_pattern()), area)
 
 
 def labelled_pattern() -> str:
@@ -114,25 +135,35 @@ def labelled_pattern() -> str:
 
 def labelled_quantity(column: Column | str) -> Column:
     """Number of a labelled area such as "area construida 80 m2"."""
-    return first_number(F.regexp_substr(_col(column), F.lit("(?U)" + labelled_pattern())))
+    return first_number(first_match(column, "(?U)" + labelled_pattern()))
+
+
+def has_any(column: Column | str, words: Sequence[str]) -> Column:
+    """Whether a text has any of the plain words as a substring; words that hold another one need no test."""
+    c = _col(column)
+    least = [w for w in dict.fromkeys(words) if not any(v in w for v in words if v != w)]
+    return reduce(lambda a, b: a | b, [c.contains(w) for w in least])
 
 
 def classify_by_keywords(
     columns: Sequence[Column | str],
-    rules: Sequence[tuple[str, str]] | None = None,
+    rules: Sequence[tuple] | None = None,
     fallback: Column | str | None = None,
+    lowered: bool = False,
 ) -> Column:
     """First rule that matches the first column that matches any; else the stored value.
 
-    `rules` are (pattern, label) in order of precedence, tried on lower-case text.
+    `rules` are (pattern, label) in order of precedence, tried on lower-case text; a third item has plain words of which every
+    match holds one, which spares other texts the pattern. `lowered` says that the columns are in lower case already.
     """
-    rules = rules or HOUSING_RULES
+    rules = rules or _HOUSING
     parts = []
     for column in columns:
-        text = F.lower(_col(column))
+        text = _col(column) if lowered else F.lower(_col(column))
         expr = None
-        for pattern, label in rules:
+        for pattern, label, *words in rules:
             test = text.rlike("(?U)" + pattern)
+            test = has_any(text, words[0]) & test if words else test
             expr = F.when(test, label) if expr is None else expr.when(test, label)
         parts.append(expr)
     if fallback is not None:
@@ -144,6 +175,7 @@ HOUSING_RULES = [
     ("|".join(fv.HOUSE_WORDS), fv.HOUSE),
     (word_pattern(fv.FLAT_WORDS), fv.FLAT),
 ]
+_HOUSING = [(*rule, words) for rule, words in zip(HOUSING_RULES, (fv.HOUSE_WORDS, fv.FLAT_WORDS))]
 
 
 def count_pattern(words: Mapping[str, int], noun: str) -> str:
@@ -156,41 +188,55 @@ def digit_or_word_count(
     words: Mapping[str, int] = fv.NUMBER_WORDS,
     limit: float = fv.BATH_LIMIT,
 ) -> Column:
-    """A count before a noun, in digits or in words; counts at or over the limit are null."""
-    token = F.regexp_extract(_col(column), count_pattern(words, noun), 1)
+    """A count before a noun, in digits or in words; counts at or over the limit are null.
+
+    Texts without the noun are told apart first by its own pattern.
+    """
+    c = _col(column)
+    token = F.when(c.rlike(f"(?i){noun}"), known(F.regexp_extract(c, count_pattern(words, noun), 1)))
     spelled = F.create_map(*[F.lit(v) for w, n in words.items() for v in (w, float(n))])
-    value = F.coalesce(token.try_cast("double"), F.try_element_at(spelled, F.lower(token)))
-    # null where the limit is reached, with the value named once so that it is worked out once
-    return F.nullif(F.least(value, F.lit(float(limit))), F.lit(float(limit)))
+    value = named(token, lambda t: F.coalesce(t.try_cast("double"), F.try_element_at(spelled, F.lower(t))))
+    return named(value, lambda v: F.when(v < limit, v))
 
 
-def one_edit_pattern(word: str) -> str:
-    """Everything within one insertion, deletion or substitution of the word.
+def _edited(word: str, start: int, end: int, rest: str) -> str:
+    """The word from `start` on with at most one edit before `end`; `rest` stands for what follows where there was none.
 
     Letter by letter: either the letter and the rest within one edit, or the edit here and the rest
     as it stands. Sharing prefixes this way keeps the tries per text position few.
     """
-    pattern = ""
-    for i in reversed(range(len(word))):
+    pattern = rest
+    for i in reversed(range(start, end)):
         ways = [word[i] + pattern, ".?" + word[i + 1:]]
         if i:
             ways.append("." + word[i:])
         pattern = "(?:" + "|".join(ways) + ")"
-    return "(?s)" + pattern
+    return pattern
+
+
+def one_edit_pattern(word: str) -> str:
+    """Everything within one insertion, deletion or substitution of the word."""
+    return "(?s)" + _edited(word, 0, len(word), "")
+
+
+def half_patterns(word: str) -> list[tuple[str, str]]:
+    """(half, pattern) for either half of the word: everything within one edit that leaves this half whole, found from the half on."""
+    cut = len(word) // 2
+    left, right = word[:cut], word[cut:]
+    return [
+        (left, f"(?s){left}{_edited(word, cut, len(word), '')}"),
+        (right, f"(?s){right}(?<={_edited(word, 0, cut, right)})"),
+    ]
 
 
 def fuzzy_contains(column: Column | str, words: Sequence[str]) -> Column:
     """1 where any word occurs as a substring within one edit, else 0 (null text too).
 
-    One edit leaves one half of the word whole, so a plain substring test of the two halves
-    goes first and spares most texts the regular expression.
+    One edit leaves one half of the word whole, so a plain substring test of a half goes before the pattern
+    of the edits in the other one, which starts from the half: few places of a text are tried.
     """
     c = _col(column)
-    tests = []
-    for word in words:
-        cut = len(word) // 2
-        halves = c.contains(word[:cut]) | c.contains(word[cut:])
-        tests.append(halves & c.rlike(one_edit_pattern(word)))
+    tests = [c.contains(half) & c.rlike(pattern) for word in words for half, pattern in half_patterns(word)]
     return F.coalesce(reduce(lambda a, b: a | b, tests).cast("int"), F.lit(0))
 
 

@@ -23,6 +23,8 @@ def mine_text(ads: DataFrame) -> DataFrame:
     lacks = F.col("surface_total").isNull()
     ads = ads.withColumns({
         "description_adj": tx.normalize_text("description"),
+        "_title": F.lower("title"),
+        "_text": F.lower("description"),
         "_context": F.when(lacks, tx.context_window("description")),
     })
     # each candidate is a column of its own: the cascade names it more than once
@@ -36,10 +38,10 @@ def mine_text(ads: DataFrame) -> DataFrame:
     ])
     return ads.withColumns({
         "surface_total": surface,
-        "type_housing": tx.classify_by_keywords(["title", "description"], fallback="property_type"),
+        "type_housing": tx.classify_by_keywords(["_title", "_text"], fallback="property_type", lowered=True),
         "bathrooms": fill_from("bathrooms", [(tx.digit_or_word_count("description_adj"), None)]),
         **{name: tx.fuzzy_contains("description_adj", words) for name, words in fv.AMENITY_WORDS.items()},
-    }).drop("_context", "_label", "_mined", "_area")
+    }).drop("_context", "_title", "_text", "_label", "_mined", "_area")
 
 
 @dataclass(frozen=True)

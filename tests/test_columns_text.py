@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lotline import fixed_values as fv
 from lotline.functions import columns as cl
 from lotline.functions import geo
 from lotline.functions import text as tx
@@ -90,6 +91,53 @@ def test_fuzzy_matches_edit_distance_brute_force(spark):
     assert all(got[t] == int(within(t, "gym")) for t in texts)
 
 
+def test_edits_are_looked_for_from_a_whole_half(spark):
+    """Either pattern starts from a half, and both together match what the pattern of the whole word does."""
+    import random
+
+    draw = random.Random(3)
+    for word in [w for words in fv.AMENITY_WORDS.values() for w in words]:
+        cut = len(word) // 2
+        assert [p.startswith(f"(?s){half}") for half, p in tx.half_patterns(word)] == [True, True]
+        texts = [word, word[:cut], word[cut:], f"{word[:cut]} {word[cut:]}", f"{word[cut:]}{word[:cut]}"]
+        for _ in range(300):
+            letters = list(draw.choice(["", "a ", word[:2]]) + word + draw.choice(["", " b", word[-2:]]))
+            for _ in range(draw.choice([1, 1, 2, 2, 3])):
+                at = draw.randrange(len(letters))
+                letters[at:at + draw.choice([0, 1])] = draw.choice([[], ["x"], ["\n"], [draw.choice(word)]])
+                letters = letters or ["x"]
+            texts.append("".join(letters))
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        rows = df.select("t", tx.fuzzy_contains("t", [word]).alias("got"), F.col("t").rlike(tx.one_edit_pattern(word)).cast("int").alias("want")).collect()
+        assert [r for r in rows if r["got"] != r["want"]] == [] and {r["want"] for r in rows} == {0, 1}
+
+
+def test_white_space_and_words_before_patterns(spark):
+    texts = ["a b", " a", "a ", "a  b", "a\tb", "a \t b", "a\n\n b ", "\t", "  ", "", "A\u00a0 \x0bB\r\n", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = [r[0] for r in df.select(F.regexp_replace(F.lower("t"), r"\s+", " ")).collect()]
+    assert [r[0] for r in df.select(tx.normalize_text("t")).collect()] == want
+    held = df.select(tx.has_any("t", ["b", "ab", "a"]).alias("v"))
+    assert [r["v"] for r in held.where("v is not null").collect()] == [any(c in t for c in "ab") for t in texts if t is not None]
+    homes = ["apto", "xapto", "aptos", "Peth House", "casapto", "apt\u00e1", "local", "el apto.", None]
+    rows = spark.createDataFrame([(t,) for t in homes], "t string").select(
+        tx.classify_by_keywords(["t"]).alias("got"), tx.classify_by_keywords(["t"], rules=tx.HOUSING_RULES).alias("want")).collect()
+    assert [r["got"] for r in rows] == [r["want"] for r in rows] and {r["got"] for r in rows} == {fv.HOUSE, fv.FLAT, None}
+
+
+def test_a_text_is_searched_once(spark):
+    """A search that a plan names twice inside a condition is made twice."""
+    rows = [(None, "8 x 5"), (3.0, "24x7"), (None, "tres banos"), (None, "30 banos"), (None, None), (None, "a x b 4x2.5"), (None, "banos")]
+    df = spark.createDataFrame(rows, "need double, t string")
+    lacks = F.col("need").isNull()
+    got = df.select(F.when(lacks, tx.dimension_product("t")).alias("area"), F.when(lacks, tx.digit_or_word_count("t")).alias("n"),
+                    F.when(lacks, tx.number_with_unit("t")).alias("size"), F.when(lacks, tx.first_match("t", "[0-9]+")).alias("first"))
+    assert [tuple(r) for r in got.collect()] == [
+        (40.0, None, None, "8"), (None,) * 4, (None, 3.0, None, None), (None, None, None, "30"), (None,) * 4, (10.0, None, None, "4"), (None,) * 4]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(frente|frente") == 1 and plan.count("|cuatro|") == 1
+
+
 def test_fill_from(spark):
     rows = [(None, 80.0, 30.0, 10.0), (None, None, 30.0, 10.0), (None, None, 20.0, 40.0), (None, None, 20.0, 20.0)]
     df = spark.createDataFrame(rows, "t double, a double, b double, c double")
