@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -6,8 +8,10 @@ from pyspark.sql import functions as F
 
 from lotline import fixed_values as fv
 from lotline.operators import evaluate as ev
+from lotline.operators import forest as fo
 from lotline.operators import models as md
 from lotline.operators import staged as sg
+from lotline.operators import stacking as sk
 from lotline.operators.tuning import grid_search
 
 RNG = np.random.default_rng(31)
@@ -75,3 +79,44 @@ def test_a_fit_holds_few_rows_per_task(data):
     learner = md.regularised_boosting(3, 2, 0.3)
     a, b = (learner.fit(df).transform(data).toPandas().prediction for df in (data, dealt))
     np.testing.assert_allclose(a, b, rtol=1e-9)
+
+
+def searches(data, seen):
+    """Each search with fits of a few trees; `seen` gets the threads that fit."""
+    def boosting(depth, **other):
+        seen.add(threading.get_ident())
+        return md.regularised_boosting(1, depth, 0.3)
+
+    class Mean(md.MeanLearner):
+        def fit(self, df):
+            seen.add(threading.get_ident())
+            return super().fit(df)
+
+    return {
+        "boosting": lambda: sg.boosting_search(data, boosting, {"depth": [1, 2]}, [1, 2], 3, parallelism=4).table(),
+        "grid": lambda: grid_search(data, boosting, {"depth": [1, 2]}, 3, parallelism=4).table(),
+        "forest": lambda: fo.forest_search(data, [1, 2], [5], 2, 3, depth=2, parallelism=4).table(),
+        "stack": lambda: sk.out_of_fold(data, {"mean": Mean(), "other": Mean()}, 3, parallelism=4),
+    }
+
+
+@pytest.mark.parametrize("name", ["boosting", "grid", "forest", "stack"])
+def test_fits_run_side_by_side_only_as_far_as_their_rows_stay_in_memory(data, monkeypatch, name):
+    seen, learner = set(), fo._forest
+    monkeypatch.setattr(fo, "_forest", lambda *a, **b: (seen.add(threading.get_ident()), learner(*a, **b))[1])
+    run = searches(data, seen)[name]
+    wide = run().toPandas()
+    assert len(seen - {threading.get_ident()}) > 1
+    seen.clear()
+    monkeypatch.setattr(md, "cache_room", lambda spark: 1.5 * N * md.FIT_ROW_BYTES * 2 / 3)
+    narrow = run().toPandas()
+    assert len(seen - {threading.get_ident()}) == 1
+    wide, narrow = (t.drop(columns="features", errors="ignore").pipe(lambda t: t.sort_values(list(t.columns)).reset_index(drop=True)) for t in (wide, narrow))
+    pd.testing.assert_frame_equal(wide, narrow)
+
+
+def test_room_for_fits(data):
+    """The memory of the session is counted, wide forests weigh more, and a single fit always runs."""
+    assert md.cache_room(data.sparkSession) > 1e8
+    assert md.fits_at_once(data, 4) == 4 and md.fits_at_once(data.limit(0), 3) == 3
+    assert md.fits_at_once(data, 4, trees=10**7) == 1
