@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lotline.functions.columns import TARGET_TRANSFORMS
 from lotline.operators.evaluate import METRICS
-from lotline.operators.models import TransformedModel
+from lotline.operators.models import TransformedModel, fits_at_once
 from lotline.operators.tuning import DEFAULT_METRICS, SearchResult, fold_pairs, grid_points
 
 
@@ -62,7 +62,8 @@ def boosting_search(
 
     `learner(**point)` is an estimator whose rounds are set here to the largest of `rounds`; `transform` names a transform of the target,
     undone before scoring. Lower is better, but for the R2 metrics; ties go to the earlier point, then to fewer rounds. The
-    result's `param_trees` is the rounds axis and its model the best point after its rounds, fitted on all rows. `df` is best staged before.
+    result's `param_trees` is the rounds axis and its model the best point after its rounds, fitted on all rows. `df` is best staged before. Fits run side by
+    side as far as their rows stay in memory.
     """
     points = grid_points(grid) if isinstance(grid, Mapping) else list(grid)
     rounds = sorted(set(rounds))
@@ -78,7 +79,7 @@ def boosting_search(
         measures = [METRICS[m](F.col(label), inverse(F.col(f"after_{r}"))).alias(f"{m}_{r}") for r in rounds for m in metrics]
         return i, f, scored.agg(F.count(F.lit(1)).alias("n"), *measures).head()
 
-    with ThreadPool(parallelism) as pool:
+    with ThreadPool(fits_at_once(df, parallelism, 1 - 1 / k)) as pool:
         done = pool.map(score, [(p, f) for p in enumerate(points) for f in enumerate(folds)], chunksize=1)
     rows, sums = [], {}
     for i, f, row in done:
