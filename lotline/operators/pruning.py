@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotline.operators.models import fits_at_once
 from lotline.operators.tuning import SearchResult, fold_pairs
 
 _LEAF = "_leaf"
@@ -203,23 +205,33 @@ def scores_by_cp(tree: GrownTree, held_out: Mapping[int, dict], cps: Sequence[fl
 
 def tree_search(
     df: DataFrame, cps: Sequence[float], k: int, min_node: int = 20, depth: int = 10, bins: int = 64, label: str = "label",
-    metric: str = "mae", roles: DataFrame | None = None, key: str | None = None,
+    metric: str = "mae", roles: DataFrame | None = None, key: str | None = None, parallelism: int = 3,
 ) -> SearchResult:
     """Every complexity on every fold from one tree per fold; the best one, and the tree of all rows pruned to it.
 
-    Ties go to the earlier complexity. A fold without training or held-out rows is left out. `df` is best staged before.
+    Ties go to the earlier complexity. A fold without training or held-out rows is left out. `df` is best staged before. The trees of the folds and of all
+    rows grow side by side as far as their rows stay in memory.
     """
     rows, sums = [], {i: [] for i in range(len(cps))}
-    for fold, (train, test) in enumerate(fold_pairs(df.where(F.col(label).isNotNull()), k, roles, key)):
+    known = df.where(F.col(label).isNotNull())
+
+    def scored(pair):
+        train, test = pair
         if train.isEmpty() or test.isEmpty():
-            continue
+            return []
         tree = grow(train, min_node, depth, bins, label)
-        for i, score in enumerate(scores_by_cp(tree, node_deviations(tree, test, label), cps)):
+        return scores_by_cp(tree, node_deviations(tree, test, label), cps)
+
+    with ThreadPool(fits_at_once(df, parallelism)) as pool:
+        last = pool.apply_async(lambda: None if known.isEmpty() else grow(known, min_node, depth, bins, label))
+        done = pool.map(scored, list(fold_pairs(known, k, roles, key)), chunksize=1)
+        whole = last.get()
+    for fold, found in enumerate(done):
+        for i, score in enumerate(found):
             rows.append((float(cps[i]), fold, score["n"], score["rmse"], score["r2_cor"], score["mae"]))
             if score[metric] is not None:
                 sums[i].append(score[metric])
     sign = -1 if metric.startswith("r2") else 1
     best = min((i for i in sums if sums[i]), key=lambda i: (sign * sum(sums[i]) / len(sums[i]), i))
     scores = df.sparkSession.createDataFrame(rows, "param_cp double, fold int, n long, rmse double, r2_cor double, mae double")
-    whole = grow(df.where(F.col(label).isNotNull()), min_node, depth, bins, label)
     return SearchResult(scores, {"cp": cps[best]}, PrunedTree(whole, float(cps[best])))

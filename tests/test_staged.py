@@ -10,6 +10,7 @@ from lotline import fixed_values as fv
 from lotline.operators import evaluate as ev
 from lotline.operators import forest as fo
 from lotline.operators import models as md
+from lotline.operators import pruning as pr
 from lotline.operators import staged as sg
 from lotline.operators import stacking as sk
 from lotline.operators.tuning import grid_search
@@ -120,3 +121,17 @@ def test_room_for_fits(data):
     assert md.cache_room(data.sparkSession) > 1e8
     assert md.fits_at_once(data, 4) == 4 and md.fits_at_once(data.limit(0), 3) == 3
     assert md.fits_at_once(data, 4, trees=10**7) == 1
+
+
+def test_trees_of_a_search_grow_side_by_side_as_far_as_their_rows_stay_in_memory(data, monkeypatch):
+    seen, grow = set(), pr.grow
+    monkeypatch.setattr(pr, "grow", lambda *a: (seen.add(threading.get_ident()), grow(*a))[1])
+    wide = pr.tree_search(data, [0.0, 0.01, 0.1], 3, depth=3)
+    assert len(seen) > 1
+    seen.clear()
+    monkeypatch.setattr(md, "cache_room", lambda spark: 1.5 * N * md.FIT_ROW_BYTES)
+    narrow = pr.tree_search(data, [0.0, 0.01, 0.1], 3, depth=3)
+    assert len(seen) == 1 and wide.best == narrow.best
+    a, b = (r.scores.toPandas().sort_values(["fold", "param_cp"]).reset_index(drop=True) for r in (wide, narrow))
+    pd.testing.assert_frame_equal(a, b)
+    assert len(a) == 9 and wide.model.tree.size(0.0) == narrow.model.tree.size(0.0) > 1
