@@ -11,6 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotline.operators.models import fits_at_once
 from lotline.operators.tuning import fold_pairs
 from lotline.staging import stage
 
@@ -28,9 +29,10 @@ def _score_all(models: Mapping[str, object], df: DataFrame) -> DataFrame:
 def out_of_fold(
     df: DataFrame, learners: Mapping[str, object], k: int, roles: DataFrame | None = None, key: str | None = None, parallelism: int = 8
 ) -> DataFrame:
-    """Rows with each learner's prediction from the fit that did not see them; the fits run side by side."""
+    """Rows with each learner's prediction from the fit that did not see them; the fits run side by side as far as their rows stay in memory."""
     folds = list(fold_pairs(df, k, roles, key))
-    with ThreadPool(parallelism) as pool:
+    trees = max((e.getNumTrees() for e in learners.values() if hasattr(e, "getNumTrees")), default=1)
+    with ThreadPool(fits_at_once(df, parallelism, 1 - 1 / k, trees)) as pool:
         fitted = pool.map(lambda job: job[1].fit(folds[job[0]][0]), [(f, e) for f in range(k) for e in learners.values()], chunksize=1)
     out = None
     for f, (_, test) in enumerate(folds):
