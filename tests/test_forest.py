@@ -149,3 +149,11 @@ def test_walk_over_ranks_takes_thresholds_and_categories_as_the_model_does(spark
     walk, pdf = fo._Walk(nodes, 2), model.transform(ready).toPandas()
     assert nodes.categorical.any() and not nodes.categorical.all()
     np.testing.assert_allclose(walk.predict(0, walk.ranks(pdf[["k", "a"]].to_numpy())), pdf.prediction)
+
+
+def test_rows_of_an_importance_are_packed_once(data, bagged, monkeypatch):
+    """Bags and ranks are worked out in one scan, whatever the number of columns."""
+    staged, stage = [], fo.stage
+    monkeypatch.setattr(fo, "stage", lambda df, name: (staged.append((name, df.count())), stage(df, name))[1])
+    got = fo.out_of_bag_importance(bagged, data, ["id"], bucket_rows=100)
+    assert staged == [("packed", N)] and got.count() == len(COLUMNS)
